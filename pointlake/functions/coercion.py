@@ -4,8 +4,8 @@ Two shapes of the same rules:
 
 * columns of a wide table: one expression per declared field, chosen at plan time
   from the declared type and the column's own Spark type;
-* map-form values (``FIELD_VALUE`` structs): the declared type is looked up per
-  value, so one expression serves any number of schemas.
+* map-form values (``FIELD_VALUE`` structs): the same per declared field of each
+  schema, on the members of the value.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pointlake.functions.text import is_numeric_text, number_text, quote, scalar_text
-from pointlake.model import FieldType, MeasurementSchema
+from pointlake.model import FieldType
 
 # Doubles from here on do not fit a BIGINT.
 INTEGER_LIMIT = 9.2e18
@@ -147,39 +147,43 @@ def untyped_text(value: Column) -> Column:
     )
 
 
-def _shown(value: Column) -> Column:
-    return F.coalesce(plain_text(value), F.lit("an unsupported value"))
-
-
-def coerce_value(value: Column, declared: Column, ref: Column) -> Coerced:
-    """One map-form value; ``declared`` holds the type's name, NULL means undeclared."""
-    integer = F.coalesce(
-        value["i"], integer_of_double(value["f"]), integer_of_text(value["s"])
-    )
-    float_text = F.coalesce(
-        number_text(value["f"]),
-        value["i"].cast("string"),
-        F.when(is_numeric_text(value["s"]), value["s"]),
-    )
-    text = (
-        F.when(declared == FieldType.STRING.value, quote(plain_text(value)))
-        .when(declared == FieldType.INTEGER.value, _integer_text(integer))
-        .when(declared == FieldType.FLOAT.value, float_text)
-        .when(
-            declared == FieldType.BOOLEAN.value,
+def coerce_member(value: Column, declared: FieldType, ref: str) -> Coerced:
+    """One declared field of the map form."""
+    where, present = F.lit(ref), value.isNotNull()
+    if declared is FieldType.STRING:
+        known = F.coalesce(
+            value["s"].isNotNull() | value["f"].isNotNull() | value["i"].isNotNull(),
+            F.lit(False),
+        ) | value["b"].isNotNull()
+        return Coerced(
+            quote(plain_text(value)),
+            F.when(present & ~known, F.concat(F.lit("Unsupported value for "), where)),
+        )
+    if declared is FieldType.BOOLEAN:
+        kind = F.when(value["s"].isNotNull(), F.lit("string")).otherwise(F.lit("number"))
+        return Coerced(
             F.when(value["b"], F.lit("T")).when(~value["b"], F.lit("F")),
+            F.when(present & value["b"].isNull(), boolean_reason(where, kind)),
         )
+    shown = F.coalesce(
+        value["s"],
+        value["f"].cast("string"),
+        value["b"].cast("string"),
+        F.lit("an unsupported value"),
     )
-    kind = F.when(value["s"].isNotNull(), F.lit("string")).otherwise(F.lit("number"))
-    reason = (
-        F.when(declared == FieldType.BOOLEAN.value, boolean_reason(ref, kind))
-        .when(
-            declared == FieldType.STRING.value,
-            F.concat(F.lit("Unsupported value for "), ref),
+    if declared is FieldType.INTEGER:
+        number = member_value(value, declared)
+        text, fits = _integer_text(number), number.isNotNull()
+    else:
+        text = F.coalesce(
+            number_text(value["f"]),
+            value["i"].cast("string"),
+            F.when(is_numeric_text(value["s"]), value["s"]),
         )
-        .otherwise(numeric_reason(ref, _shown(value)))
-    )
-    return Coerced(text, F.when(value.isNotNull() & text.isNull(), reason))
+        fits = F.coalesce(
+            _finite(value["f"]), is_numeric_text(value["s"]), value["i"].isNotNull()
+        )
+    return Coerced(text, F.when(present & ~fits, numeric_reason(where, shown)))
 
 
 def member_value(value: Column, declared: FieldType) -> Column:
@@ -195,31 +199,3 @@ def member_value(value: Column, declared: FieldType) -> Column:
         value["i"].cast("double"),
         F.when(is_numeric_text(value["s"]), F.trim(value["s"]).try_cast("double")),
     )
-
-
-def schema_lookup(schemas: list[MeasurementSchema], key: Column, what: str) -> Column:
-    """The field types (name to type) or the tag names of the schema of each row."""
-    pairs: list[Column] = []
-    for schema in schemas:
-        pairs.append(F.lit(schema_key_text(schema.database, schema.measurement)))
-        if what == "tags":
-            pairs.append(
-                F.array(*[F.lit(t) for t in schema.tag_names]).cast("array<string>")
-            )
-        else:
-            entries = [
-                F.lit(x) for f in schema.field_names for x in (f, schema.fields[f].value)
-            ]
-            pairs.append(F.create_map(*entries).cast("map<string,string>"))
-    if not pairs:
-        empty = "array<string>" if what == "tags" else "map<string,string>"
-        return F.lit(None).cast(empty)
-    return F.try_element_at(F.create_map(*pairs), key)
-
-
-def schema_key_text(database: str | None, measurement: str) -> str:
-    return f"{database or ''}\u0000{measurement}"
-
-
-def schema_key(database: Column, measurement: Column) -> Column:
-    return F.concat(F.coalesce(database, F.lit("")), F.lit("\u0000"), measurement)

@@ -29,13 +29,17 @@ def any_present(names: Iterable[str]) -> Column:
     return out
 
 
-def computed_once(df: DataFrame, columns: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+def computed_once(
+    df: DataFrame, columns: dict[str, Column], keep: list[str] | None = None
+) -> DataFrame:
     """Adds costly columns so that they are evaluated once per row.
 
-    A filter on a computed column is otherwise moved below its projection and the
-    whole expression is evaluated twice, in one method too large to compile. Columns
-    that come out of a generator stay where they are.
+    A filter on a computed column is otherwise moved below its projection, where the
+    whole expression is evaluated a second time. Columns that come out of a generator
+    stay where they are. The generator only passes columns on: the expressions
+    themselves stay in a projection, which is compiled even around lambda functions.
     """
-    row = F.struct(*[c.alias(n) for n, c in columns.items()])
     kept = [ref(c) for c in (df.columns if keep is None else keep)]
-    return df.select(*kept, F.inline(F.array(row)))
+    staged = df.select(*kept, *[c.alias("_" + n) for n, c in columns.items()])
+    row = F.struct(*[ref("_" + n).alias(n) for n in columns])
+    return staged.select(*kept, F.inline(F.array(row)))

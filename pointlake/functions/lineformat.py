@@ -41,7 +41,7 @@ def wide_tag_pairs(tags: dict[str, Column]) -> Column:
 
 
 def wide_field_pairs(texts: dict[str, Column], present: Column) -> Column:
-    """``field=val,...`` in name order, NULL unless ``present``."""
+    """``field=val,...`` of known fields in name order, NULL unless ``present``."""
     pairs = [F.concat(name_text(f), F.lit("="), texts[f]) for f in sorted(texts)]
     return F.when(present, F.concat_ws(",", *pairs))
 

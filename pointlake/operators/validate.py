@@ -7,7 +7,7 @@ rejected rows; ``require_all`` stops the job at the first bad point instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +15,19 @@ from pyspark.sql import functions as F
 from pointlake.functions.coercion import (
     Coerced,
     coerce_column,
-    coerce_value,
+    coerce_member,
     extraneous_reason,
     no_text,
-    schema_key,
-    schema_lookup,
     untyped_text,
 )
-from pointlake.functions.columns import computed_once, ref, type_of
+from pointlake.functions.columns import ref, type_of
+from pointlake.functions.lineformat import (
+    line,
+    map_field_pairs,
+    map_tag_pairs,
+    wide_field_pairs,
+    wide_tag_pairs,
+)
 from pointlake.functions.text import is_numeric_text
 from pointlake.functions.timecol import to_precision
 from pointlake.model import MeasurementSchema, SchemaSet
@@ -116,15 +121,12 @@ def check_table(
     coerced = coerced_fields(df, schema, fields)
     casted, time_reason = cast_timestamp(df, precision, time)
     pairs = [
-        F.when(c.text.isNotNull(), F.struct(F.lit(n).alias("name"), c.text.alias("text")))
-        for n, c in coerced.items()
+        F.struct(F.lit(n).alias("name"), c.text.alias("text")) for n, c in coerced.items()
     ]
     tag_names = sorted(tags if tags is not None else [t for t in schema.tags if t in df.columns])
     return df.select(
         "*",
-        (F.array_compact(F.array(*pairs)) if pairs else F.array()).cast(PAIRS).alias(
-            "fields_pairs"
-        ),
+        with_text(pairs).cast(PAIRS).alias("fields_pairs"),
         (_present(tag_names) if tag_names else F.array()).cast("array<string>").alias(
             "tags_names"
         ),
@@ -151,75 +153,146 @@ def check_points(
     """Map-form points with ``fields_pairs``, ``tags_names``, ``casted_timestamp``,
     ``reason``; the schema is chosen per row by database and measurement, and rows
     without one are written by guessing from the value."""
-    declared = list(schemas if isinstance(schemas, SchemaSet) else SchemaSet(schemas, database))
-    db = F.coalesce(F.col("db"), F.lit(database).cast("string"))
-    place = F.concat_ws(".", db, F.col("measurement"))
-    key = schema_key(db, F.col("measurement"))
-    staged = points.select(
+    rules = _rules(schemas, database)
+    casted, time_reason = cast_timestamp(points, precision)
+    pairs = _by_schema(rules, lambda r: r.pairs(), _guessed_pairs())
+    tag_names = _by_schema(rules, lambda r: r.tag_names(), F.array_sort(_present_keys("tags")))
+    return points.select(
         "*",
-        place.alias("_place"),
-        schema_lookup(declared, key, "fields").alias("_types"),
-        schema_lookup(declared, key, "tags").alias("_tags"),
+        pairs.cast(PAIRS).alias("fields_pairs"),
+        tag_names.alias("tags_names"),
+        casted.alias("casted_timestamp"),
+        _points_reason(rules, time_reason).alias("reason"),
     )
-    typed = F.col("_types").isNotNull()
-
-    def entry(e: Column) -> Column:
-        value, name = e["value"], e["key"]
-        kind = F.try_element_at(F.col("_types"), name)
-        where = F.concat_ws(".", F.col("_place"), name)
-        checked = coerce_value(value, kind, where)
-        guessed = untyped_text(value)
-        unknown = typed & kind.isNull()
-        return F.struct(
-            name.alias("name"),
-            F.when(typed, checked.text).otherwise(guessed).alias("text"),
-            F.when(typed & ~unknown, checked.reason)
-            .when(
-                ~typed & value.isNotNull() & guessed.isNull(),
-                F.concat(F.lit("Unsupported value for "), where),
-            )
-            .alias("reason"),
-            unknown.alias("unknown"),
-        )
 
-    staged = computed_once(
-        staged, {"_checked": F.transform(F.array_sort(F.map_entries("fields")), entry)}
-    )
+
+def check_lines(
+    points: DataFrame,
+    schemas: SchemaSet | Sequence[MeasurementSchema] = (),
+    precision: str = "n",
+    database: str | None = None,
+    escape_name: bool = False,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Map-form points as ``line`` and ``reason``. Declared points are printed from
+    expressions in fixed name order; only undeclared ones sort and walk their maps."""
+    rules = _rules(schemas, database)
     casted, time_reason = cast_timestamp(points, precision)
-    bad_field = F.get(F.filter("_checked", lambda c: c["reason"].isNotNull()), F.lit(0))["reason"]
-    unknown_fields = F.transform(
-        F.filter("_checked", lambda c: c["unknown"]), lambda c: c["name"]
+    text = line(
+        F.col("measurement"),
+        _by_schema(rules, lambda r: r.tag_text(), map_tag_pairs(F.col("tags"))),
+        _by_schema(rules, lambda r: r.field_text(), map_field_pairs(_guessed_pairs())),
+        casted,
+        escape_name,
     )
-    tag_names = F.array_sort(F.map_keys(F.map_filter("tags", lambda _, v: v.isNotNull())))
-    unknown_tags = F.array_except(F.array_sort(F.map_keys("tags")), F.col("_tags"))
-    reason = F.coalesce(
-        F.when(
-            F.coalesce(F.length("measurement"), F.lit(0)) == 0, F.lit("Missing measurement")
-        ),
-        bad_field,
-        F.when(
-            typed & (F.size(unknown_fields) > 0),
-            extraneous_reason("fields", F.col("_place"), unknown_fields),
-        ),
-        F.when(
-            typed & (F.size(unknown_tags) > 0),
-            extraneous_reason("tags", F.col("_place"), unknown_tags),
-        ),
-        time_reason,
+    reason = _points_reason(rules, time_reason)
+    return points.select(*[ref(k) for k in keep], text.alias("line"), reason.alias("reason"))
+
+
+class _SchemaRule:
+    """The checks of one schema as expressions over map-form points."""
+
+    def __init__(self, schema: MeasurementSchema, db: Column):
+        self.schema = schema
+        self.here = (db == schema.database) & (F.col("measurement") == schema.measurement)
+        self.coerced = {
+            n: coerce_member(F.col("fields")[F.lit(n)], schema.fields[n], schema.ref(n))
+            for n in schema.field_names
+        }
+
+    def pairs(self) -> Column:
+        return with_text(
+            [F.struct(F.lit(n).alias("name"), c.text.alias("text"))
+             for n, c in self.coerced.items()]
+        )
+
+    def field_text(self) -> Column:
+        present = F.lit(False)
+        for name in self.coerced:
+            present = present | F.col("fields")[F.lit(name)].isNotNull()
+        return wide_field_pairs({n: c.text for n, c in self.coerced.items()}, present)
+
+    def tag_names(self) -> Column:
+        names = [
+            F.when(F.col("tags")[F.lit(t)].isNotNull(), F.lit(t)) for t in self.schema.tag_names
+        ]
+        return F.array_compact(F.array(*names)).cast("array<string>")
+
+    def tag_text(self) -> Column:
+        return wide_tag_pairs({t: F.col("tags")[F.lit(t)] for t in self.schema.tag_names})
+
+    def reason(self) -> Column:
+        checks = [c.reason for c in self.coerced.values()]
+        checks.append(self._unknown("fields", self.schema.field_names))
+        checks.append(self._unknown("tags", self.schema.tag_names))
+        return F.coalesce(*checks)
+
+    def _unknown(self, what: str, declared: Sequence[str]) -> Column:
+        known = F.lit(0)
+        for name in declared:
+            known = known + F.map_contains_key(what, name).cast("int")
+        allowed = F.array(*[F.lit(n) for n in declared]).cast("array<string>")
+        names = F.array_sort(F.array_except(F.map_keys(what), allowed))
+        return F.when(
+            F.size(what) > known, extraneous_reason(what, F.lit(self.schema.ref()), names)
+        )
+
+
+def _rules(
+    schemas: SchemaSet | Sequence[MeasurementSchema], database: str | None
+) -> list[_SchemaRule]:
+    declared = schemas if isinstance(schemas, SchemaSet) else SchemaSet(schemas, database)
+    db = F.coalesce(F.col("db"), F.lit(database).cast("string"))
+    return [_SchemaRule(schema, db) for schema in declared]
+
+
+def _by_schema(
+    rules: list[_SchemaRule], part: Callable[[_SchemaRule], Column], undeclared: Column
+) -> Column:
+    if not rules:
+        return undeclared
+    chosen = F.when(rules[0].here, part(rules[0]))
+    for rule in rules[1:]:
+        chosen = chosen.when(rule.here, part(rule))
+    return chosen.otherwise(undeclared)
+
+
+def with_text(pairs: Sequence[Column]) -> Column:
+    """Array of those ``name, text`` structs that have a text."""
+    if not pairs:
+        return F.array().cast(PAIRS)
+    return F.filter(F.array(*pairs), lambda p: p["text"].isNotNull())
+
+
+def _present_keys(name: str) -> Column:
+    return F.map_keys(F.map_filter(name, lambda _, v: v.isNotNull()))
+
+
+def _guessed_pairs() -> Column:
+    """Pairs of an undeclared point, in name order."""
+    guessed = F.transform(
+        F.array_sort(F.map_entries("fields")),
+        lambda e: F.struct(e["key"].alias("name"), untyped_text(e["value"]).alias("text")),
     )
-    good_pairs = F.transform(
-        F.filter("_checked", lambda c: c["text"].isNotNull()),
-        lambda c: F.struct(c["name"].alias("name"), c["text"].alias("text")),
+    return F.filter(guessed, lambda p: p["text"].isNotNull())
+
+
+def _guess_reason() -> Column:
+    bad = F.array_sort(
+        F.map_keys(
+            F.map_filter("fields", lambda _, v: v.isNotNull() & untyped_text(v).isNull())
+        )
     )
-    return computed_once(
-        staged,
-        {
-            "fields_pairs": good_pairs,
-            "tags_names": tag_names,
-            "casted_timestamp": casted,
-            "reason": reason,
-        },
-        points.columns,
+    where = F.concat_ws(".", "db", "measurement", F.get(bad, F.lit(0)))
+    return F.when(F.size(bad) > 0, F.concat(F.lit("Unsupported value for "), where))
+
+
+def _points_reason(rules: list[_SchemaRule], time_reason: Column) -> Column:
+    unnamed = F.coalesce(F.length("measurement"), F.lit(0)) == 0
+    return F.coalesce(
+        F.when(unnamed, F.lit("Missing measurement")),
+        _by_schema(rules, lambda r: r.reason(), _guess_reason()),
+        time_reason,
     )
 
 

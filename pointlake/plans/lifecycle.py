@@ -28,6 +28,7 @@ from pointlake.plans.tables import (
 from pointlake.session import fresh_path
 from pointlake.sinks.store import MeasurementRef, Store
 from pointlake.sources.line_protocol import read_line_protocol
+from pointlake.sources.tables import to_point_form
 from pointlake.streaming import downsample
 from pointlake.streaming.downsample import with_time_ns
 from pointlake.streaming.intake import stream_points as start_stream_points
@@ -249,7 +250,7 @@ def resample_standing(spark: SparkSession, sf_dir: str) -> DataFrame:
     standing = downsample.resample_stream(
         event_stream(spark, sf_dir),
         name="resample_hourly",
-        read_source=lambda: store.read("events", EVENTS),
+        read_source=lambda start: store.read("events", EVENTS, start=start),
         field="value",
         every="1h",
         span="168h",
@@ -280,8 +281,6 @@ STREAMED = MeasurementSchema(
 )
 def stream_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events arrive with text in place of the number for the type ``error``."""
-    from pointlake.sources.tables import to_point_form
-
     carried = MeasurementSchema(
         "events", {"value": FieldType.STRING, "event_id": FieldType.INTEGER}, STRICT.tags
     )

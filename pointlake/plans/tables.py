@@ -26,7 +26,7 @@ ORDERS = MeasurementSchema(
 POLICIES = (
     RetentionPolicy("app", "autogen", is_default=True),
     RetentionPolicy("app", "7d", duration_s=7 * 86_400, shard_s=86_400),
-    RetentionPolicy("sales", "autogen", is_default=True),
+    RetentionPolicy("sales", "autogen", shard_s=52 * 7 * 86_400, is_default=True),
 )
 
 # The mean both engines compute alike: an exact decimal sum over the count.

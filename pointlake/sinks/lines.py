@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from pointlake.functions.columns import any_present, ref, type_of
 from pointlake.functions.lineformat import (
     line,
-    map_field_pairs,
-    map_tag_pairs,
     wide_field_pairs,
     wide_tag_pairs,
 )
@@ -19,7 +17,7 @@ from pointlake.functions.text import scalar_text
 from pointlake.model import MeasurementSchema, SchemaSet
 from pointlake.operators.validate import (
     cast_timestamp,
-    check_points,
+    check_lines,
     coerced_fields,
     require_all,
     table_reason,
@@ -55,21 +53,6 @@ def table_lines(
     return df.select(*[ref(k) for k in keep], text.alias("line"), reason.alias("reason"))
 
 
-def checked_lines(
-    checked: DataFrame, escape_name: bool = False, keep: Sequence[str] = ()
-) -> DataFrame:
-    """Lines of points that ``check_points`` has annotated."""
-    text = line(
-        F.col("measurement"),
-        map_tag_pairs(F.col("tags")),
-        map_field_pairs(F.col("fields_pairs")),
-        F.col("casted_timestamp"),
-        escape_name,
-    )
-    reason = [F.col("reason")] if "reason" in checked.columns else []
-    return checked.select(*[ref(k) for k in keep], text.alias("line"), *reason)
-
-
 def to_line_protocol(
     points: DataFrame,
     schema: MeasurementSchema | SchemaSet | Sequence[MeasurementSchema] = (),
@@ -83,8 +66,7 @@ def to_line_protocol(
     if isinstance(schema, MeasurementSchema):
         marked = table_lines(points, schema, precision, escape_name=escape_name, keep=keep)
     else:
-        checked = check_points(points, schema, precision, database)
-        marked = checked_lines(checked, escape_name, keep)
+        marked = check_lines(points, schema, precision, database, escape_name, keep)
     return require_all(marked)
 
 
@@ -133,5 +115,5 @@ def write_measurement(
     database: str | None = None,
     reject_path: str | None = None,
 ) -> None:
-    checked = check_points(fill_measurement(points, measurement), schemas, precision, database)
-    write_line_protocol(checked_lines(checked), path, reject_path)
+    named = fill_measurement(points, measurement)
+    write_line_protocol(check_lines(named, schemas, precision, database), path, reject_path)

@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointlake.functions.columns import computed_once
-from pointlake.functions.text import is_numeric_text, unescape_name, unquote
+from pointlake.functions.coercion import integer_of_text
+from pointlake.functions.columns import computed_once, ref
+from pointlake.functions.text import (
+    MEASUREMENT_ESCAPED,
+    TAG_ESCAPED,
+    is_numeric_text,
+    unescape_name,
+    unquote,
+)
 from pointlake.functions.timecol import from_epoch
-from pointlake.model import FIELD_VALUE, MeasurementSchema
-from pointlake.sources.tables import points_of
+from pointlake.model import FIELD_VALUE, FieldType, MeasurementSchema
 
 # Fixed patterns of the format. Every quantifier is possessive: a backtracking
 # form recurses once per character and overflows the stack on long values.
@@ -24,12 +32,19 @@ PAIR = r'(?s)^((?:[^\\=]++|\\.)++)=(.++)$'
 DIGITS = r'^-?\d++$'
 INTEGER = r'^[+-]?\d++i$'
 
+# One value, and one pair, inside the field section.
+ONE_VALUE = r'(?:"(?:[^"\\]++|\\.)*+"|[^",]++)'
+ONE_PAIR = rf'(?:[^\\=,]++|\\.)++={ONE_VALUE}'
+
 # The spellings of the two booleans.
 TRUE_WORDS = ("t", "T", "true", "True", "TRUE")
 FALSE_WORDS = ("f", "F", "false", "False", "FALSE")
 
 NOT_A_LINE = "not a line"
 
+# Column of the line's text beside the point columns.
+TEXT = "_line"
+
 
 def _complete(parts: Column, whole: Column) -> Column:
     """The parts and the commas between them make up the whole text."""
@@ -74,23 +89,17 @@ def _has_value(entry: Column) -> Column:
                       value["b"].cast("string")).isNotNull()
 
 
-def annotate_lines(
-    lines: DataFrame,
-    precision: str = "n",
-    column: str = "value",
-    database: str | None = None,
-    retention_policy: str | None = None,
-) -> DataFrame:
-    """Point columns and a ``reason`` (NULL for a good line) for each line.
+def _sections(lines: DataFrame, keep: list[str]) -> DataFrame:
+    """Each line cut into ``_head`` (name and tags), ``_body`` (fields) and ``_stamp``,
+    with ``_plain`` (no escapes or quotes) and ``_misplaced`` (cannot be a line).
 
-    Most lines hold neither a backslash nor a quote; those are cut at spaces and
-    commas. The patterns run only on the others.
+    Most lines hold neither a backslash nor a quote; those are cut at spaces. The
+    pattern runs only on the others.
     """
-    text = F.col(column)
-    own = [c for c in lines.columns if c not in ("measurement", "tags", "fields")]
+    text = F.col(TEXT)
     is_plain = (F.instr(text, "\\") == 0) & (F.instr(text, '"') == 0)
     cut = computed_once(
-        lines, {"_plain": is_plain, "_words": F.when(is_plain, F.split(text, " ", 4))}, own
+        lines, {"_plain": is_plain, "_words": F.when(is_plain, F.split(text, " ", 4))}, keep
     )
     plain, words = F.col("_plain"), F.col("_words")
 
@@ -105,20 +114,34 @@ def annotate_lines(
             "_head": section(1),
             "_section": section(2),
             "_time": section(3),
-            "_misplaced": misplaced,
+            "_misplaced": F.coalesce(misplaced, F.lit(True)),
         },
-        [*own, "_plain"],
+        [*keep, "_plain"],
     )
     bare_time = (F.col("_time") == "") & F.col("_section").rlike(DIGITS)
-    cut = computed_once(
-        cut,
-        {
-            "_stamp": F.when(bare_time, F.col("_section")).otherwise(F.col("_time")),
-            "_body": F.when(bare_time, F.lit("")).otherwise(F.col("_section")),
-        },
-        [*own, "_plain", "_head", "_misplaced"],
+    return cut.select(
+        *[ref(c) for c in keep],
+        "_plain",
+        "_head",
+        "_misplaced",
+        F.when(bare_time, F.col("_section")).otherwise(F.col("_time")).alias("_stamp"),
+        F.when(bare_time, F.lit("")).otherwise(F.col("_section")).alias("_body"),
     )
 
+
+def annotate_lines(
+    lines: DataFrame,
+    precision: str = "n",
+    column: str = "value",
+    database: str | None = None,
+    retention_policy: str | None = None,
+) -> DataFrame:
+    """Map-form point columns and a ``reason`` (NULL for a good line) for each line."""
+    lines = lines.select(ref(column).alias(TEXT))
+    own = [TEXT]
+    cut = _sections(lines, own)
+    plain = F.col("_plain")
+
     def parts(name: str, pattern: str) -> Column:
         whole = F.col(name)
         found = F.when(plain, F.split(whole, ",")).otherwise(
@@ -132,7 +155,7 @@ def annotate_lines(
     tag_texts = F.slice(
         F.col("_names"), F.lit(2), F.greatest(F.size("_names") - 1, F.lit(0))
     )
-    whole = plain | (
+    complete = plain | (
         _complete(F.col("_names"), F.col("_head")) & _complete(F.col("_pairs"), F.col("_body"))
     )
     cut = computed_once(
@@ -141,7 +164,7 @@ def annotate_lines(
             "_name": unescape_name(F.get("_names", F.lit(0))),
             "_tags": F.transform(tag_texts, lambda t: _pair(t, plain, False)),
             "_fields": F.transform("_pairs", lambda p: _pair(p, plain, True)),
-            "_whole": whole,
+            "_whole": complete,
             "_number": F.col("_stamp").try_cast("bigint"),
         },
         [*own, "_stamp", "_misplaced"],
@@ -188,6 +211,110 @@ def annotate_lines(
     )
 
 
+def _declared_value(text: Column, declared: FieldType) -> Column:
+    """The text of a field as its declared type; NULL where it is another type."""
+    if declared is FieldType.STRING:
+        inner = F.substring(text, F.lit(2), F.length(text) - 2)
+        return F.when(text.startswith('"'), unquote(inner))
+    if declared is FieldType.BOOLEAN:
+        return F.when(text.isin(*TRUE_WORDS), F.lit(True)).when(
+            text.isin(*FALSE_WORDS), F.lit(False)
+        )
+    digits = F.substring(text, F.lit(1), F.length(text) - 1)
+    if declared is FieldType.INTEGER:
+        return F.when(text.rlike(INTEGER), digits.try_cast("bigint")).otherwise(
+            integer_of_text(text)
+        )
+    return F.when(is_numeric_text(text), text.try_cast("double")).when(
+        text.rlike(INTEGER), digits.try_cast("double")
+    )
+
+
+def _quoted_pattern(name: str) -> str:
+    """A name as it stands in a line, as a literal of a pattern."""
+    for character in TAG_ESCAPED:
+        name = name.replace(character, "\\" + character)
+    return re.escape(name)
+
+
+def annotate_table_lines(
+    lines: DataFrame,
+    schema: MeasurementSchema,
+    precision: str = "n",
+    column: str = "value",
+) -> DataFrame:
+    """Lines of one declared measurement as its wide columns plus ``reason``; lines of
+    other measurements are left out.
+
+    Each declared tag and field is taken from the line by a pattern that steps over the
+    other pairs, so no map or array is built. The lengths of what was found must add up
+    to the line; otherwise it holds something undeclared, repeated or malformed.
+    """
+    lines = lines.select(ref(column).alias(TEXT))
+    own = [TEXT]
+    cut = _sections(lines, own)
+    name = schema.measurement
+    for character in MEASUREMENT_ESCAPED:
+        name = name.replace(character, "\\" + character)
+    head = F.col("_head")
+    cut = cut.filter((head == name) | head.startswith(name + ",") | (head == ""))
+
+    found = {}
+    for tag in schema.tag_names:
+        key = _quoted_pattern(tag)
+        pattern = rf"(?s)^(?:(?!{key}=)(?:[^\\,]++|\\.)++,)++{key}=((?:[^\\,]++|\\.)++)(?:,|$)"
+        found["_tag_" + tag] = F.regexp_extract("_head", pattern, 1)
+    for field in schema.field_names:
+        key = _quoted_pattern(field)
+        pattern = rf"(?s)^(?:(?!{key}=){ONE_PAIR},)*+{key}=({ONE_VALUE})(?:,|$)"
+        found["_field_" + field] = F.regexp_extract("_body", pattern, 1)
+    cut = computed_once(cut, found, [*own, "_head", "_body", "_misplaced", "_stamp"])
+
+    def pair_length(prefix: str, key: str) -> Column:
+        written = len(key) + sum(key.count(c) for c in TAG_ESCAPED)
+        text = ref(prefix + key)
+        return F.when(text != "", F.length(text) + (written + 2)).otherwise(F.lit(0))
+
+    head_length, body_length = F.lit(len(name)), F.lit(0)
+    for tag in schema.tag_names:
+        head_length = head_length + pair_length("_tag_", tag)
+    for field in schema.field_names:
+        body_length = body_length + pair_length("_field_", field)
+    whole = (F.length("_head") == head_length) & (
+        F.when(F.col("_body") == "", F.lit(0)).otherwise(F.length("_body") + 1) == body_length
+    )
+
+    typed, checks = {}, []
+    for field in schema.field_names:
+        text = F.when(ref("_field_" + field) != "", ref("_field_" + field))
+        typed[field] = _declared_value(text, schema.fields[field])
+        expected = schema.fields[field].value
+        checks.append(
+            F.when(
+                text.isNotNull() & typed[field].isNull(),
+                F.concat(F.lit(f"Expected {expected} value for {schema.ref(field)}, but got "),
+                         text),
+            )
+        )
+    number = F.col("_stamp").try_cast("bigint")
+    reason = F.coalesce(
+        F.when(F.col("_misplaced") | (F.col("_head") == ""), F.lit(NOT_A_LINE)),
+        *checks,
+        F.when(~whole, F.lit(f"undeclared, repeated or malformed part for {schema.ref()}")),
+        F.when((F.col("_stamp") != "") & number.isNull(), F.lit("not a time")),
+    )
+    return cut.select(
+        *[ref(c) for c in own],
+        *[
+            F.when(ref("_tag_" + t) != "", unescape_name(ref("_tag_" + t))).alias(t)
+            for t in schema.tag_names
+        ],
+        *[typed[f].alias(f) for f in schema.field_names],
+        from_epoch(number, precision).alias("time_ns"),
+        reason.alias("reason"),
+    )
+
+
 def parse_lines(
     lines: DataFrame,
     schema: MeasurementSchema | None = None,
@@ -197,11 +324,12 @@ def parse_lines(
     retention_policy: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Good points (map form, or the wide table of ``schema``) and rejected lines."""
-    marked = annotate_lines(lines, precision, column, database, retention_policy)
-    good = marked.filter(F.col("reason").isNull()).drop("reason", column)
-    rejects = marked.filter(F.col("reason").isNotNull()).select(column, "reason")
     if schema is not None:
-        good = points_of(good, schema)
+        marked = annotate_table_lines(lines, schema, precision, column)
+    else:
+        marked = annotate_lines(lines, precision, column, database, retention_policy)
+    good = marked.filter(F.col("reason").isNull()).drop("reason", TEXT)
+    rejects = marked.filter(F.col("reason").isNotNull()).select(F.col(TEXT).alias("line"), "reason")
     return good, rejects
 
 

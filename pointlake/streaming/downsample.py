@@ -104,22 +104,23 @@ def resample(
     Late points are taken up this way. The first recomputed bucket is the one that
     holds ``now - span``; it is recomputed whole.
     """
-    start = resample_start(every, span, now)
+    start = F.lit(int(resample_start(every, span, now))).cast("bigint")
     fresh = mean(source.filter(ref(time) >= start), field, by, every, time, scale)
     kept = target.filter(F.col("time_ns") < start)
     return kept.select(fresh.columns).unionByName(fresh)
 
 
-def resample_start(every: str, span: str, now: datetime | NanoTime):
+def resample_start(every: str, span: str, now: datetime | NanoTime) -> NanoTime:
+    """Start of the bucket that holds ``now - span``."""
     moment = int(NanoTime.from_datetime(now) if isinstance(now, datetime) else now)
     first = moment - duration_ns(span)
-    return F.lit(first - first % duration_ns(every)).cast("bigint")
+    return NanoTime(first - first % duration_ns(every))
 
 
 def resample_stream(
     arrivals: DataFrame,
     name: str,
-    read_source: Callable[[], DataFrame],
+    read_source: Callable[[NanoTime], DataFrame],
     field: str,
     every: str,
     span: str,
@@ -132,10 +133,11 @@ def resample_stream(
     scale: int | None = None,
 ) -> StreamingQuery:
     """Recomputes the last ``span`` each time points have arrived, at most once per
-    ``resample_every``, and updates the target measurement."""
+    ``resample_every``, and updates the target measurement. ``read_source`` is given the
+    start of the span, so it can read only the buckets from there on."""
 
     def update(_: DataFrame, __: int) -> None:
-        recent = read_source().filter(F.col("time_ns") >= resample_start(every, span, clock()))
+        recent = read_source(resample_start(every, span, clock()))
         store.upsert(mean(recent, field, schema.tag_names, every, scale=scale), schema, into)
 
     writer = (

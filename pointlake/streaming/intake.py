@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pointlake.model import MeasurementSchema, SchemaSet
-from pointlake.operators.validate import check_points
-from pointlake.sinks.lines import checked_lines, mark_line_breaks
+from pointlake.operators.validate import check_lines
+from pointlake.sinks.lines import mark_line_breaks
 from pointlake.streaming.downsample import interval_text
 
 
@@ -28,8 +28,7 @@ def stream_points(
     """Map-form points checked as they arrive; good ones become lines, the others a
     table of ``line, reason``. Each batch writes directories of its own and overwrites
     them when it is repeated, so every point ends up in exactly one of them once."""
-    checked = check_points(stream, schemas, precision, database)
-    marked = mark_line_breaks(checked_lines(checked))
+    marked = mark_line_breaks(check_lines(stream, schemas, precision, database))
 
     def write(batch: DataFrame, number: int) -> None:
         good = batch.filter(F.col("reason").isNull()).select(F.col("line").alias("value"))
