@@ -17,9 +17,10 @@ from pointlake.functions.predicate import Where, parse_where
 from pointlake.functions.timecol import SECOND_NS, floor_div, now_ns
 from pointlake.operators.shards import (
     Policies,
-    default_policies,
+    is_under,
     shard_id,
     start_of,
+    with_default_policy,
     with_policy,
 )
 
@@ -72,17 +73,30 @@ def drop_shard(points: DataFrame, policies: Policies, number: int) -> DataFrame:
 def apply_retention(
     points: DataFrame, policies: Policies, now: datetime | int | None = None
 ) -> DataFrame:
-    """Points that their policy still keeps at ``now``; duration 0 keeps forever."""
+    """Points that their policy still keeps at ``now``; duration 0 keeps forever.
+
+    Declared policies give a plain filter on ``db``, ``rp`` and ``time_ns``, which
+    prunes stored partitions; a policy table is joined.
+    """
+    moment = now_ns(now)
+    if not isinstance(policies, DataFrame):
+        expired = F.lit(False)
+        for policy in policies:
+            if policy.duration_s:
+                span = F.lit(policy.duration_s * SECOND_NS).cast("bigint")
+                expired = expired | (is_under(policy) & (F.col("time_ns") < moment - span))
+        return keep_unless(points, expired)
     placed = with_policy(points, policies)
-    oldest = now_ns(now) - F.col("duration_s") * F.lit(SECOND_NS).cast("bigint")
+    oldest = moment - F.col("duration_s") * F.lit(SECOND_NS).cast("bigint")
     expired = (F.col("duration_s") > 0) & (F.col("time_ns") < oldest)
     return keep_unless(placed, expired).select(*[ref(c) for c in points.columns])
 
 
 def route_default_policy(points: DataFrame, policies: Policies) -> DataFrame:
     """Points without a policy take their database's default one."""
-    joined = points.join(default_policies(policies, points), "db", "left")
-    routed = joined.withColumn("rp", F.coalesce("rp", "default_rp"))
+    routed = with_default_policy(points, policies).withColumn(
+        "rp", F.coalesce("rp", "default_rp")
+    )
     return routed.select(*[ref(c) for c in points.columns])
 
 

@@ -53,28 +53,55 @@ def shard_id_of(db: str, rp: str, start_s: int) -> int:
     return int(digest[:15], 16)
 
 
+def is_under(policy: RetentionPolicy) -> Column:
+    return (F.col("db") == policy.db) & (F.col("rp") == policy.name)
+
+
+def _chosen(cases: Sequence[tuple[Column, Column]], default: Column) -> Column:
+    out = default
+    for condition, value in reversed(cases):
+        out = F.when(condition, value).otherwise(out)
+    return out
+
+
 def with_policy(points: DataFrame, policies: Policies) -> DataFrame:
     """Adds ``duration_s`` and ``shard_s`` of each point's policy (defaults where the
-    policy is unknown). Policies are a small table; the planner checks its size before
-    it broadcasts it, and adaptive execution splits a hot (db, rp) otherwise."""
+    policy is unknown). Declared policies become expressions, so nothing is joined. A
+    policy table is joined; the planner checks its size before it broadcasts it, and
+    adaptive execution splits a hot (db, rp) otherwise."""
+    forever, week = F.lit(0).cast("bigint"), F.lit(WEEK_S).cast("bigint")
+    if not isinstance(policies, DataFrame):
+
+        def looked_up(attribute: str, default: Column) -> Column:
+            return _chosen(
+                [(is_under(p), F.lit(getattr(p, attribute)).cast("bigint")) for p in policies],
+                default,
+            )
+
+        return points.withColumns(
+            {
+                "duration_s": looked_up("duration_s", forever),
+                "shard_s": looked_up("shard_s", week),
+            }
+        )
     known = policies_frame(points, policies).select("db", "rp", "duration_s", "shard_s")
-    joined = points.join(known, ["db", "rp"], "left")
-    return joined.withColumns(
+    return points.join(known, ["db", "rp"], "left").withColumns(
         {
-            "duration_s": F.coalesce("duration_s", F.lit(0).cast("bigint")),
-            "shard_s": F.coalesce("shard_s", F.lit(WEEK_S).cast("bigint")),
+            "duration_s": F.coalesce("duration_s", forever),
+            "shard_s": F.coalesce("shard_s", week),
         }
     )
 
 
-def default_policies(policies: Policies, points: DataFrame) -> DataFrame:
-    """``db, default_rp``, one row per database."""
+def with_default_policy(points: DataFrame, policies: Policies) -> DataFrame:
+    """Adds ``default_rp``, the default policy of each point's database."""
     if isinstance(policies, DataFrame):
         chosen = policies.filter("is_default").groupBy("db")
-        return chosen.agg(F.min("rp").alias("default_rp"))
-    chosen = defaults_by_database(policies)
-    rows = [RetentionPolicy(db, rp) for db, rp in chosen.items()]
-    return policy_table(points.sparkSession, rows).select("db", F.col("rp").alias("default_rp"))
+        return points.join(chosen.agg(F.min("rp").alias("default_rp")), "db", "left")
+    cases = [
+        (F.col("db") == db, F.lit(rp)) for db, rp in defaults_by_database(policies).items()
+    ]
+    return points.withColumn("default_rp", _chosen(cases, F.lit(None).cast("string")))
 
 
 def defaults_by_database(policies: Iterable[RetentionPolicy]) -> dict[str, str]:

@@ -257,7 +257,8 @@ def annotate_table_lines(
     for character in MEASUREMENT_ESCAPED:
         name = name.replace(character, "\\" + character)
     head = F.col("_head")
-    cut = cut.filter((head == name) | head.startswith(name + ",") | (head == ""))
+    nameless = (head == "") | head.startswith(",")
+    cut = cut.filter((head == name) | head.startswith(name + ",") | nameless)
 
     found = {}
     for tag in schema.tag_names:
@@ -298,7 +299,7 @@ def annotate_table_lines(
         )
     number = F.col("_stamp").try_cast("bigint")
     reason = F.coalesce(
-        F.when(F.col("_misplaced") | (F.col("_head") == ""), F.lit(NOT_A_LINE)),
+        F.when(F.col("_misplaced") | nameless, F.lit(NOT_A_LINE)),
         *checks,
         F.when(~whole, F.lit(f"undeclared, repeated or malformed part for {schema.ref()}")),
         F.when((F.col("_stamp") != "") & number.isNull(), F.lit("not a time")),

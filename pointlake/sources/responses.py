@@ -22,7 +22,7 @@ def read_responses(
     """Documents from text files (one per line, or one per file) or from a column of a
     DataFrame. A document with an error stops the job unless ``require_success`` is off."""
     if not isinstance(source, DataFrame):
-        source = spark.read.option("wholetext", whole_files).text(source)
+        source = spark.read.text(source, wholetext=whole_files)
         document = "value"
     parsed = parse_documents(source, document)
     if require_success:
