@@ -17,7 +17,6 @@ from pointlake.functions.text import scalar_text
 from pointlake.functions.timecol import SECOND_NS, duration_text, floor_div, to_timestamp_ntz
 from pointlake.operators.shards import (
     Policies,
-    policies_frame,
     shard_id,
     start_of,
     with_policy,
@@ -58,11 +57,8 @@ def table_series(df: DataFrame, measurement: str, tags: Sequence[str]) -> DataFr
     return distinct.select(key.alias("key"))
 
 
-def show_retention_policies(
-    policies: Policies, db: str, points: DataFrame | None = None
-) -> DataFrame:
-    if not isinstance(policies, DataFrame):
-        policies = policies_frame(points, policies)
+def show_retention_policies(policies: DataFrame, db: str) -> DataFrame:
+    """The policies of a database; ``policy_table`` makes the table of declared ones."""
     return policies.filter(F.col("db") == db).select(
         F.col("rp").alias("name"),
         duration_text(F.col("duration_s")).alias("duration"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointlake.functions.timecol import SECOND_NS, floor_div
-from pointlake.model import WEEK_S, RetentionPolicy, policy_table
+from pointlake.model import WEEK_S, RetentionPolicy
 
 Policies = DataFrame | Sequence[RetentionPolicy]
 
@@ -18,14 +18,6 @@ Policies = DataFrame | Sequence[RetentionPolicy]
 ORIGIN_S = 62_135_596_800
 
 
-def policies_frame(points: DataFrame, policies: Policies) -> DataFrame:
-    """Policies as one row per (db, rp)."""
-    if isinstance(policies, DataFrame):
-        return policies.dropDuplicates(["db", "rp"])
-    unique = {(p.db, p.name): p for p in policies}
-    return policy_table(points.sparkSession, unique.values())
-
-
 def start_of(seconds: Column, shard_s: Column) -> Column:
     shift = F.pmod(F.lit(ORIGIN_S).cast("bigint"), shard_s)
     return seconds - F.pmod(seconds + shift, shard_s)
@@ -84,7 +76,8 @@ def with_policy(points: DataFrame, policies: Policies) -> DataFrame:
                 "shard_s": looked_up("shard_s", week),
             }
         )
-    known = policies_frame(points, policies).select("db", "rp", "duration_s", "shard_s")
+    known = policies.dropDuplicates(["db", "rp"])
+    known = known.select("db", "rp", "duration_s", "shard_s")
     return points.join(known, ["db", "rp"], "left").withColumns(
         {
             "duration_s": F.coalesce("duration_s", forever),

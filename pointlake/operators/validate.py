@@ -20,7 +20,7 @@ from pointlake.functions.coercion import (
     no_text,
     untyped_text,
 )
-from pointlake.functions.columns import ref, type_of
+from pointlake.functions.columns import computed_once, ref, type_of
 from pointlake.functions.lineformat import (
     line,
     map_field_pairs,
@@ -157,12 +157,14 @@ def check_points(
     casted, time_reason = cast_timestamp(points, precision)
     pairs = _by_schema(rules, lambda r: r.pairs(), _guessed_pairs())
     tag_names = _by_schema(rules, lambda r: r.tag_names(), F.array_sort(_present_keys("tags")))
-    return points.select(
-        "*",
-        pairs.cast(PAIRS).alias("fields_pairs"),
-        tag_names.alias("tags_names"),
-        casted.alias("casted_timestamp"),
-        _points_reason(rules, time_reason).alias("reason"),
+    return computed_once(
+        points,
+        {
+            "fields_pairs": pairs.cast(PAIRS),
+            "tags_names": tag_names,
+            "casted_timestamp": casted,
+            "reason": _points_reason(rules, time_reason),
+        },
     )
 
 
@@ -186,7 +188,7 @@ def check_lines(
         escape_name,
     )
     reason = _points_reason(rules, time_reason)
-    return points.select(*[ref(k) for k in keep], text.alias("line"), reason.alias("reason"))
+    return computed_once(points, {"line": text, "reason": reason}, list(keep))
 
 
 class _SchemaRule:

@@ -18,6 +18,8 @@ SETTINGS = {
     # A fused stage whose method is too long for the JVM's compiler runs as separate
     # projections, which Spark splits into short methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the call site of every column expression slows plan building down.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

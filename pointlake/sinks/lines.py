@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointlake.functions.columns import any_present, ref, type_of
+from pointlake.functions.columns import any_present, computed_once, ref, type_of
 from pointlake.functions.lineformat import (
     line,
     wide_field_pairs,
@@ -50,7 +50,7 @@ def table_lines(
         escape_name,
     )
     reason = table_reason(df, schema, coerced, time_reason=time_reason)
-    return df.select(*[ref(k) for k in keep], text.alias("line"), reason.alias("reason"))
+    return computed_once(df, {"line": text, "reason": reason}, list(keep))
 
 
 def to_line_protocol(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,9 +68,9 @@ def _field_value(text: Column) -> Column:
     ).cast(FIELD_VALUE)
 
 
-def _pair(text: Column, plain: Column, as_field: bool) -> Column:
-    """Key and value of ``key=value``. A pair without escapes and with a single ``=``
-    is cut by position; the pattern runs on the rest."""
+def _pair(text: Column, plain: Column) -> Column:
+    """Key and raw value of ``key=value``. A pair of a plain line is cut by position;
+    the pattern runs on the others."""
     at = F.instr(text, "=")
     key = F.when(plain, F.substring(text, F.lit(1), at - 1)).otherwise(
         unescape_name(F.regexp_extract(text, PAIR, 1))
@@ -77,12 +78,18 @@ def _pair(text: Column, plain: Column, as_field: bool) -> Column:
     value = F.when(plain, F.substring(text, at + 1, F.length(text))).otherwise(
         F.regexp_extract(text, PAIR, 2)
     )
-    if as_field:
-        return F.struct(key.alias("key"), _field_value(value).alias("value"))
-    value = F.when(plain, value).otherwise(unescape_name(value))
     return F.struct(key.alias("key"), value.alias("value"))
 
 
+def _pairs(texts: Column, plain: Column, value: Callable[[Column], Column]) -> Column:
+    """Pairs with their values converted. Cutting and converting are separate walks, so
+    that a conversion that looks at its text several times does not cut it each time."""
+    return F.transform(
+        F.transform(texts, lambda t: _pair(t, plain)),
+        lambda e: F.struct(e["key"].alias("key"), value(e["value"]).alias("value")),
+    )
+
+
 def _has_value(entry: Column) -> Column:
     value = entry["value"]
     return F.coalesce(value["s"], value["f"].cast("string"), value["i"].cast("string"),
@@ -162,8 +169,10 @@ def annotate_lines(
         cut,
         {
             "_name": unescape_name(F.get("_names", F.lit(0))),
-            "_tags": F.transform(tag_texts, lambda t: _pair(t, plain, False)),
-            "_fields": F.transform("_pairs", lambda p: _pair(p, plain, True)),
+            "_tags": _pairs(
+                tag_texts, plain, lambda v: F.when(plain, v).otherwise(unescape_name(v))
+            ),
+            "_fields": _pairs(F.col("_pairs"), plain, _field_value),
             "_whole": complete,
             "_number": F.col("_stamp").try_cast("bigint"),
         },

@@ -14,8 +14,12 @@ JSON_SCHEMA = (
 )
 
 
-def _scalar(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
+def _with_kind(value: Column) -> Column:
+    return F.struct(F.schema_of_variant(value).alias("kind"), value.alias("value"))
+
+
+def _scalar(kinded: Column) -> Column:
+    kind, value = kinded["kind"], kinded["value"]
     return F.when(
         kind != "VOID",
         F.struct(
@@ -53,12 +57,13 @@ def read_points_json(
     raw_time = F.when(kind != "VOID", F.try_variant_get("timestamp", "$", "string"))
     empty_tags = F.create_map().cast("map<string,string>")
     empty_fields = F.create_map().cast(f"map<string,{FIELD_VALUE.simpleString()}>")
+    kinded = F.transform_values("fields", lambda _, v: _with_kind(v))
     points = raw.select(
         F.lit(database).cast("string").alias("db"),
         F.lit(retention_policy).cast("string").alias("rp"),
         "measurement",
         F.coalesce("tags", empty_tags).alias("tags"),
-        F.coalesce(F.transform_values("fields", lambda _, v: _scalar(v)), empty_fields).alias(
+        F.coalesce(F.transform_values(kinded, lambda _, v: _scalar(v)), empty_fields).alias(
             "fields"
         ),
         F.when(raw_time != "", raw_time).alias("raw_time"),
