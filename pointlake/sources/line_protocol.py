@@ -22,9 +22,12 @@ from pointlake.model import FIELD_VALUE, FieldType, MeasurementSchema
 
 # Fixed patterns of the format. Every quantifier is possessive: a backtracking
 # form recurses once per character and overflows the stack on long values.
+# One value, and one pair, inside the field section.
+ONE_VALUE = r'(?:"(?:[^"\\]++|\\.)*+"|[^", ]++)'
+ONE_PAIR = rf'(?:[^\\=, ]++|\\.)++={ONE_VALUE}'
 LINE = (
     r'(?s)^((?:[^\\ ]++|\\.)++)'
-    r'(?: ((?:[^"\\ ]++|\\.|"(?:[^"\\]++|\\.)*+")++))?'
+    rf'(?: ({ONE_PAIR}(?:,{ONE_PAIR})*+))?'
     r'(?: (-?\d++))?$'
 )
 FIELD_PAIRS = r'(?s)((?:[^\\=,]++|\\.)++=(?:"(?:[^"\\]++|\\.)*+"|[^",]++))(?:,|$)'
@@ -33,10 +36,6 @@ PAIR = r'(?s)^((?:[^\\=]++|\\.)++)=(.++)$'
 DIGITS = r'^-?\d++$'
 INTEGER = r'^[+-]?\d++i$'
 
-# One value, and one pair, inside the field section.
-ONE_VALUE = r'(?:"(?:[^"\\]++|\\.)*+"|[^",]++)'
-ONE_PAIR = rf'(?:[^\\=,]++|\\.)++={ONE_VALUE}'
-
 # The spellings of the two booleans.
 TRUE_WORDS = ("t", "T", "true", "True", "TRUE")
 FALSE_WORDS = ("f", "F", "false", "False", "FALSE")
