@@ -31,10 +31,15 @@ def stream_points(
     marked = mark_line_breaks(check_lines(stream, schemas, precision, database))
 
     def write(batch: DataFrame, number: int) -> None:
-        good = batch.filter(F.col("reason").isNull()).select(F.col("line").alias("value"))
-        good.write.mode("overwrite").text(f"{good_path}/batch={number}")
-        rejects = batch.filter(F.col("reason").isNotNull())
-        rejects.write.mode("overwrite").parquet(f"{reject_path}/batch={number}")
+        # Written twice, checked once.
+        batch.persist()
+        try:
+            good = batch.filter(F.col("reason").isNull()).select(F.col("line").alias("value"))
+            good.write.mode("overwrite").text(f"{good_path}/batch={number}")
+            rejects = batch.filter(F.col("reason").isNotNull())
+            rejects.write.mode("overwrite").parquet(f"{reject_path}/batch={number}")
+        finally:
+            batch.unpersist()
 
     writer = (
         marked.writeStream.queryName(name)
