@@ -10,13 +10,24 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
-from enum import Enum
+from enum import Enum, StrEnum
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+class Precision(StrEnum):
+    """Units of integer times."""
+
+    HOURS = "h"
+    MINUTES = "m"
+    SECONDS = "s"
+    MILLISECONDS = "ms"
+    MICROSECONDS = "u"
+    NANOSECONDS = "n"
+
+
 class FieldType(Enum):
     FLOAT = "float"
     INTEGER = "integer"

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pointlake.functions.timecol import to_precision
 from pointlake.operators.query import (
     bound_query,
-    empty_measurement,
     latest,
     order_groups,
     run_all,
@@ -20,10 +19,12 @@ from pointlake.operators.query import (
     since,
     where,
 )
-from pointlake.operators.results import group
 from pointlake.model import FieldType, MeasurementSchema
+from pointlake.operators.results import group
 from pointlake.plans.registry import query
 from pointlake.plans.tables import event_points, table
+from pointlake.session import fresh_path
+from pointlake.sinks.store import Store
 
 
 @query(
@@ -50,14 +51,17 @@ def select_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_columns(table(spark, sf_dir, "events"), "ts", "event_type", "value")
 
 
-@query("SELECT ts, value FROM events WHERE false")
+@query("SELECT epoch_us(ts) * 1000 AS time_ns, value FROM events WHERE event_type = 'refund'")
 def select_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A measurement without points: the schema of the table, no rows."""
-    kinds = dict(table(spark, sf_dir, "events").dtypes)
-    absent = MeasurementSchema("not_there", {"value": FieldType.FLOAT})
-    return empty_measurement(spark, absent).select(
-        F.lit(None).cast(kinds["ts"]).alias("ts"), "value"
-    )
+    """Measurements nobody wrote give no rows and no error: here one looked for among the
+    points, each event type being a measurement, and one looked for in a store that holds
+    only the others."""
+    points = event_points(spark, sf_dir)
+    named = points.withColumn("measurement", F.col("event_type"))
+    looked_for = where(named, lambda e: e.tag("measurement").equals.value("refund"))
+    store = Store(spark, fresh_path(spark, "store"), database="app")
+    stored = store.read("refund", MeasurementSchema("refund", {"value": FieldType.FLOAT}))
+    return looked_for.select("time_ns", "value").unionByName(stored)
 
 
 @query("SELECT event_id FROM events WHERE event_type = 'click' AND user_id = 8")

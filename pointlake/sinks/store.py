@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -305,10 +306,8 @@ class Store:
     def drop_database(self, db: str) -> None:
         self._remove(f"{self.root}/db={path_part(db)}")
 
-    def _all_targets(self) -> list[MeasurementRef]:
+    def targets(self) -> list[MeasurementRef]:
         """Every stored measurement, from directory names."""
-        from urllib.parse import unquote
-
         found = []
         for db in self._children(self.root, "db="):
             for rp in self._children(f"{self.root}/{db}", "rp="):
@@ -319,7 +318,7 @@ class Store:
 
     def drop_shard(self, number: int) -> None:
         """Removes the bucket of that id from every measurement: directories only."""
-        for target in self._all_targets():
+        for target in self.targets():
             for start in self.shard_starts(target):
                 if shard_id_of(target.db, target.policy, start) == number:
                     self._remove_shards(target, [start])
@@ -329,7 +328,7 @@ class Store:
         that are only partly past it stay whole until then, and ``keep_valid`` hides
         their old points from reads."""
         moment = NanoTime.from_datetime(now) if isinstance(now, datetime) else now
-        for target in self._all_targets():
+        for target in self.targets():
             policy = self.policy_of(target)
             if policy.duration_s == 0:
                 continue

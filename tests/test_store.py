@@ -72,7 +72,7 @@ def test_odd_names(spark, store):
     df = spark.createDataFrame(ROWS, COLUMNS)
     store.append(df, PERF, odd)
     assert rows_of(store.read(odd, PERF)) == ROWS
-    assert store._all_targets() == [odd]
+    assert store.targets() == [odd]
 
 
 def test_missing_measurement(store):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointlake.functions import timecol
-from pointlake.model import NanoTime
+from pointlake.model import NanoTime, Precision
 
 NS = 1475985480231035677
 
@@ -133,3 +133,15 @@ def test_wall_times_do_not_depend_on_the_session_zone(spark):
 def test_nano_time():
     assert NanoTime.from_string("1475985480231035600") == 1475985480231035600
     assert NanoTime.from_datetime(datetime(1970, 1, 1, 0, 0, 1, tzinfo=UTC)) == 10**9
+
+
+def test_precision_names(spark):
+    assert [timecol.unit_ns(p) for p in Precision] == [timecol.UNIT_NS[p.value] for p in Precision]
+    assert one(spark, timecol.to_precision(F.lit(NS), Precision.SECONDS)) == 1475985480
+
+
+def test_result_epoch(spark):
+    df = spark.createDataFrame([(NS,)], "time_ns bigint")
+    assert timecol.with_epoch(df, "ms").first().time == 1475985480231
+    for none in (None, "n"):
+        assert timecol.with_epoch(df, none).first().time == "2016-10-09T03:58:00.231035677Z"
