@@ -47,9 +47,9 @@ def wide_field_pairs(texts: dict[str, Column], present: Column) -> Column:
 
 
 def map_tag_pairs(tags: Column) -> Column:
-    """``,tag=val...`` of a tag map."""
+    """``,tag=val...`` of a tag map; nothing for a NULL map."""
     present = F.filter(F.map_entries(tags), lambda e: e["value"].isNotNull())
-    return F.array_join(
+    joined = F.array_join(
         F.transform(
             F.array_sort(present),
             lambda e: F.concat(
@@ -58,6 +58,7 @@ def map_tag_pairs(tags: Column) -> Column:
         ),
         "",
     )
+    return F.coalesce(joined, F.lit(""))
 
 
 def map_field_pairs(pairs: Column) -> Column:

@@ -160,8 +160,8 @@ def check_points(
     return computed_once(
         points,
         {
-            "fields_pairs": pairs.cast(PAIRS),
-            "tags_names": tag_names,
+            "fields_pairs": F.coalesce(pairs.cast(PAIRS), F.array().cast(PAIRS)),
+            "tags_names": F.coalesce(tag_names, F.array().cast("array<string>")),
             "casted_timestamp": casted,
             "reason": _points_reason(rules, time_reason),
         },

@@ -20,7 +20,13 @@ from pyspark.sql import types as T
 from pointlake.functions.columns import ref
 from pointlake.functions.predicate import Where, parse_where
 from pointlake.functions.timecol import SECOND_NS, from_epoch, now_ns
-from pointlake.model import WEEK_S, MeasurementSchema, NanoTime, RetentionPolicy
+from pointlake.model import (
+    WEEK_S,
+    MeasurementSchema,
+    NanoTime,
+    RetentionPolicy,
+    SchemaSet,
+)
 from pointlake.operators.lifecycle import keep_unless, upsert_points
 from pointlake.operators.query import empty_measurement
 from pointlake.operators.shards import (
@@ -29,6 +35,7 @@ from pointlake.operators.shards import (
     shard_start_of,
     shard_start_s,
 )
+from pointlake.operators.validate import check_points, require_all, split
 from pointlake.sources.tables import points_of
 
 DEFAULT_POLICY = "autogen"
@@ -209,17 +216,38 @@ class Store:
         schemas: Sequence[MeasurementSchema],
         retention_policy: str | None = None,
         write_time: datetime | None = None,
+        reject_path: str | None = None,
     ) -> None:
-        """Map-form points of several declared measurements, one write each."""
-        for schema in schemas:
-            db = schema.database or self.database
-            target = MeasurementRef(schema.measurement, retention_policy, db)
-            chosen = points.filter(F.coalesce(F.col("db"), F.lit(db)) == F.lit(db))
-            wide = points_of(
-                chosen,
-                MeasurementSchema(schema.measurement, schema.fields, schema.tags),
+        """Map-form points of several declared measurements, one write each.
+
+        Points that fail their checks, or whose measurement is not declared, go to a
+        table at ``reject_path`` with their ``reason``; without it they stop the job
+        before anything is written for their measurement.
+        """
+        declared = SchemaSet(schemas, self.database)
+        db = F.coalesce(F.col("db"), F.lit(self.database).cast("string"))
+        checked = check_points(points, declared, database=self.database)
+        known = F.lit(False)
+        for schema in declared:
+            known = known | (
+                (db == schema.database) & (F.col("measurement") == schema.measurement)
             )
-            self.append(wide, schema, target, write_time=write_time)
+        unknown = F.concat(
+            F.lit("No schema declared for "), F.concat_ws(".", db, F.col("measurement"))
+        )
+        checked = checked.withColumn(
+            "reason",
+            F.coalesce("reason", F.when(~F.coalesce(known, F.lit(False)), unknown)),
+        )
+        if reject_path is None:
+            good = require_all(checked)
+        else:
+            good, rejects = split(checked)
+            rejects.write.parquet(reject_path)
+        good = good.withColumn("db", db)
+        for schema in declared:
+            target = MeasurementRef(schema.measurement, retention_policy, schema.database)
+            self.append(points_of(good, schema), schema, target, write_time=write_time)
 
     def write_into(
         self,

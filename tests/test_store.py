@@ -122,6 +122,24 @@ def test_points_of_several_measurements(spark, store):
     ]
 
 
+def test_points_that_cannot_be_stored(spark, store, folder):
+    text = MeasurementSchema("perf", {"cpu": FieldType.STRING}, ("host",))
+    columns = "time_ns bigint, host string, cpu string"
+    rows = [(1, "a", "1.5"), (2, "b", "oops")]
+    points = to_point_form(spark.createDataFrame(rows, columns), text).unionByName(
+        to_point_form(spark.createDataFrame(rows[:1], columns), text, measurement=F.lit("else"))
+    )
+    with pytest.raises(Exception, match="oops|No schema declared"):
+        store.append_points(points, [PERF])
+    store.append_points(points, [PERF], reject_path=folder + "/rejects")
+    assert rows_of(store.read("perf", PERF)) == [(1, "a", 1.5, None)]
+    reasons = sorted(r.reason for r in spark.read.parquet(folder + "/rejects").collect())
+    assert reasons == [
+        "Expected numeric value for db.perf.cpu, but got 'oops'",
+        "No schema declared for db.else",
+    ]
+
+
 def test_upsert_touches_only_its_buckets(spark, filled):
     before = {
         r.f for r in filled.read("perf", PERF).filter(f"time_ns >= {at('2024-01-08')}")

@@ -124,6 +124,15 @@ def test_missing_measurement(spark):
     assert checked(spark, {"a": 1}, schemas=(), measurement=None).reason == "Missing measurement"
 
 
+@pytest.mark.parametrize("schemas", [(), (SCHEMA,)])
+def test_points_without_maps(spark, schemas):
+    df = spark.createDataFrame([("my_db", None, "my_measure", None, None, 7)], POINT_SCHEMA)
+    row = validate.check_points(df, schemas).first()
+    assert (row.fields_pairs, row.tags_names, row.reason) == ([], [], None)
+    text = validate.check_lines(df, schemas).first()
+    assert (text.line, text.reason) == ("my_measure 7", None)
+
+
 def test_schema_per_row(spark):
     other = MeasurementSchema("my_measure", {"int": FieldType.STRING}, (), database="other_db")
     points = point(spark, {"int": 1}).unionByName(point(spark, {"int": 1}, db="other_db"))
