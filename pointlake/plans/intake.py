@@ -87,6 +87,34 @@ def write_points_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_points(read_stored(store, "events", EVENTS, db="app"))
 
 
+@query(
+    """
+    SELECT 'events' AS measurement, count(*) AS n,
+           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM events
+    UNION ALL
+    SELECT 'orders', count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+    FROM orders
+    """
+)
+def write_points_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of two databases in one table, checked and stored by measurement."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES)
+    points = to_point_form(event_points(spark, sf_dir), EVENTS, db="app").unionByName(
+        to_point_form(order_points(spark, sf_dir), ORDERS, db="sales")
+    )
+    store.append_points(points, [EVENTS, ORDERS])
+
+    def summed(schema: MeasurementSchema, field: str) -> DataFrame:
+        stored = read_stored(store, schema.measurement, schema, db=schema.database)
+        total = F.sum(F.col(field).cast("decimal(18,2)")).cast("double")
+        return stored.agg(F.count(F.lit(1)).alias("n"), total.alias("total")).select(
+            F.lit(schema.measurement).alias("measurement"), "n", "total"
+        )
+
+    return summed(EVENTS, "value").unionByName(summed(ORDERS, "o_totalprice"))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def read_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, fresh_path(spark, "store"), POLICIES, database="sales")
