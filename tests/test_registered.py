@@ -9,9 +9,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from conftest import SF_DIR
+from pointlake.plans.registry import QUERIES as REGISTERED
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+# The text operators have tests of their own.
+QUERIES = {name: query.run for name, query in REGISTERED.items()}
+ORACLES = {name: query.oracle for name, query in REGISTERED.items() if query.oracle}
 
 
 @pytest.fixture(scope="module")
