@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from pointlake.llm import bpe, mixing, quality_rules
+from pointlake.llm import bpe, mixing, near_dedup, quality_rules, suffix_dedup
 from pointlake.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,6 +17,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.passing(docs, table(spark, sf_dir, "labels").where("quality = 1"))
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of every class of near-duplicates."""
+    return near_dedup.representatives(docs)
+
+
+def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that stand more than once out of the texts; every document stays."""
+    return suffix_dedup.without_repeats(docs)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes every document as often as the mix does."""
     return mixing.mixed_documents(docs)
@@ -30,6 +39,8 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("suffix_dedup", suffix_dedup_stage),
     ("mixing", mixing_stage),
     ("bpe", encoding_stage),
 ]

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointlake.llm import bpe, mixing, quality_rules, token_files
+from pointlake.llm import (
+    bpe,
+    chat,
+    imatch,
+    mixing,
+    near_dedup,
+    quality_gam,
+    quality_rules,
+    site_style,
+    suffix_dedup,
+    token_files,
+)
 from pointlake.llm.common import table
 from pointlake.plans.registry import Query
 
@@ -91,3 +102,46 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken")
     )
+
+
+@query()
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near-duplicates that every document belongs to."""
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that speaks the template's own marks, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    probe = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    return chat.read_back(chat.format_turns(turns.unionByName(probe)))
+
+
+@query()
+def op3_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return site_style.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the removal of repeated passages leaves of every document."""
+    return suffix_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, by a model of the labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_gam.score(docs, quality_gam.train(docs, labels))
+
+
+@query()
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts."""
+    return imatch.with_edits(table(spark, sf_dir, "documents"))
