@@ -31,13 +31,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointlake.llm.common import map_batches
+from pointlake.llm.common import chunked, map_batches, unchunked
 
 VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
 NEVER = np.int64(1) << 40
-# Entries of the worker's caches; a full cache is emptied.
-CACHE_ENTRIES = 400_000
+# Words that a worker keeps; a full cache is emptied.
+CACHE_ENTRIES = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -81,7 +81,6 @@ class Vocabulary:
         names = {**{i: t for t, i in tokens.items()}, **{i: t for t, i in special.items()}}
         self.names = pa.array([names.get(i) for i in range(max(names) + 1)])
         self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {"": ()}
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left << 32 | right
@@ -160,41 +159,38 @@ class Vocabulary:
             return [text[:-1], text[-1]]
         return self.cut.findall(text)
 
-    def learn(self, chunks: set[str]) -> None:
-        """Encodes chunks of text (parted by white space) that are not cached yet."""
-        if len(self.words) > CACHE_ENTRIES:
-            self.words = {}
-        parts: dict[str, list[str | int]] = {}
-        for chunk in chunks:
-            cut: list[str | int] = []
-            for piece in self.special_cut.split(chunk) if "<" in chunk else (chunk,):
-                if piece in self.special:
-                    cut.append(self.special[piece])
-                else:
-                    cut.extend(self.split(self.normal(piece)))
-            parts[chunk] = cut
-        fresh = list({w for cut in parts.values() for w in cut if isinstance(w, str)} - self.words.keys())
-        if fresh:
-            self.words.update(zip(fresh, self.merge(fresh), strict=True))
-        for chunk, cut in parts.items():
-            self.chunks[chunk] = tuple(
-                chain.from_iterable((w,) if isinstance(w, int) else self.words[w] for w in cut)
-            )
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        wanted = set(chain.from_iterable(cut))
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks = {"": ()}
-        gc.disable()  # nothing here is cyclic, and walking the caches takes longer than filling them
+    def cut_chunk(self, chunk: str) -> list[str | int]:
+        """Words and ids of special tokens of a chunk between white space."""
+        if "<" not in chunk:
+            return self.split(self.normal(chunk))
+        out: list[str | int] = []
+        for piece in self.special_cut.split(chunk):
+            if piece in self.special:
+                out.append(self.special[piece])
+            else:
+                out.extend(self.split(self.normal(piece)))
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and the offsets of each text's."""
+        chunks, places, offsets = chunked(texts)
+        gc.disable()  # nothing here is cyclic, and walking the cache takes longer than filling it
         try:
-            self.learn(wanted - self.chunks.keys())
+            cuts = [self.cut_chunk(c) for c in chunks]
+            if len(self.words) > CACHE_ENTRIES:
+                self.words = {}
+            known = self.words
+            fresh = list({w for cut in cuts for w in cut if w not in known and isinstance(w, str)})
+            if fresh:
+                known.update(zip(fresh, self.merge(fresh), strict=True))
+            ids = [
+                known[cut[0]] if len(cut) == 1 and isinstance(cut[0], str)
+                else tuple(chain.from_iterable((w,) if isinstance(w, int) else known[w] for w in cut))
+                for cut in cuts
+            ]
+            return unchunked(ids, places, offsets)
         finally:
             gc.enable()
-        return [
-            np.fromiter(chain.from_iterable(map(self.chunks.__getitem__, chunks)), np.int32)
-            for chunks in cut
-        ]
 
     def decode(self, ids: pa.ListArray) -> pa.Array:
         flat = ids.flatten()
@@ -220,11 +216,11 @@ def encode(
     path = path or public_tokenizers.path(VOCABULARY)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = vocabulary(path).encode(batch.column(1).to_pylist())
-        sizes = np.array([len(x) for x in ids], np.int64)
-        offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), lists], [id_column, "n_tokens", "ids"])
+        ids, offsets = vocabulary(path).encode(batch.column(1))
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.diff(offsets)), lists], [id_column, "n_tokens", "ids"]
+        )
 
     kind = docs.schema[id_column].dataType.simpleString()
     return map_batches(

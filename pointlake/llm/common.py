@@ -6,11 +6,13 @@ import atexit
 import shutil
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +94,27 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct chunks between ASCII white space, the chunk of every place, and text offsets."""
+    lists = pc.ascii_split_whitespace(texts.fill_null("").cast(pa.large_string()))
+    coded = lists.flatten().dictionary_encode()
+    offsets = np.r_[0, np.cumsum(np.asarray(lists.value_lengths()))].astype(np.int64)
+    return coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64), offsets
+
+
+def unchunked(
+    per_chunk: Sequence[Sequence[int]], places: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all texts in one array and their offsets, from those of each chunk."""
+    sizes = np.fromiter(map(len, per_chunk), np.int64, len(per_chunk))
+    flat = np.fromiter(chain.from_iterable(per_chunk), np.int32, int(sizes.sum()))
+    first = np.cumsum(sizes) - sizes
+    counts = sizes[places]
+    ends = np.r_[0, np.cumsum(counts)]
+    picked = flat[np.arange(ends[-1]) + np.repeat(first[places] - ends[:-1], counts)]
+    return picked, ends[offsets]
+
+
 def id_ranges(docs: DataFrame, id_column: str = "doc_id") -> list[int]:
     """Sorted first ids of consecutive ranges of about RANGE_ROWS documents each.
 

@@ -204,22 +204,27 @@ def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
     links = written(confirmed(_pivot_pairs(members, F.lit(0)), texts), "near-links")
     labels = connected(links)
-    # Second: the best linked member. The bucket's smallest has been compared already.
     rest = written(_labelled(members, labels), "near-rest")
+    if rest.isEmpty():
+        return labels, nodes.drop("bands")
+    # Second: the best linked member. The bucket's smallest has been compared already.
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     ranked = rest.join(degree, "node", "left").withColumn("few", -F.coalesce("links", F.lit(0)))
     more = written(confirmed(_pivot_pairs(ranked, F.col("few")).join(links, ["a", "b"], "left_anti"), texts), "near-links")
-    links = links.unionByName(more)
-    labels = connected(links)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = connected(links)
+        rest = written(_labelled(rest.drop("label"), labels), "near-rest")
     # Last: what pivots have not joined, pair by pair.
-    rest = written(_labelled(rest.drop("label"), labels), "near-rest")
     other = rest.select("band", "hash", F.col("node").alias("b"), F.col("label").alias("other"))
     pairs = (
         rest.join(other, ["band", "hash"]).where("label != other AND node < b")
         .select(F.col("node").alias("a"), "b").distinct()
     )
     last = written(confirmed(pairs, texts), "near-links")
-    return connected(links.unionByName(last)), nodes.drop("bands")
+    if not last.isEmpty():
+        labels = connected(links.unionByName(last))
+    return labels, nodes.drop("bands")
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -1,6 +1,6 @@
 """Quality rules: n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Texts are cut into lower-case runs of letters and digits and runs of other signs. Single
+Texts are cut into lower-case runs of letters and digits and runs of ASCII signs. Single
 tokens and pairs of neighbours are hashed into ``BUCKETS`` buckets. Two multinomials over the
 buckets, one from trusted documents and one from all, give every bucket a log ratio; a
 document's score is the sum over its n-grams divided by their number. Documents below the
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from pointlake.llm.common import text_of, word_list, written
 
-BUCKETS = 1 << 15
+BUCKETS = 1 << 15  # a power of two
+# A run of letters and digits (all beyond ASCII count as such), or of ASCII signs.
+TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 # Added to every bucket's count, so that unseen buckets have a ratio.
 SMOOTHING = 1.0
 # Lowest mean log ratio that is kept.
@@ -67,11 +69,12 @@ def repeated_words(words: Column) -> Column:
             F.size(F.array_distinct(hashes)) < F.size(hashes), _bound(ordered, covered)
         ).otherwise(0)
 
-    windows = F.transform(
-        F.sequence(F.lit(1), F.size(words) - (WINDOW - 1)),
-        lambda i: F.xxhash64(F.slice(words, i, WINDOW)),
-    )
-    return F.when(F.size(words) <= WINDOW, 0).otherwise(_bound(windows, of_windows))
+    def windows(hashes: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1))
+        return _bound(F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, WINDOW))), of_windows)
+
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    return F.when(F.size(words) <= WINDOW, 0).otherwise(_bound(hashes, windows))
 
 
 def base_columns(text: Column) -> list[Column]:
@@ -93,27 +96,30 @@ def base_columns(text: Column) -> list[Column]:
 
 def buckets_of(text: Column) -> Column:
     """The buckets of the n-grams of a text: its tokens, then its pairs of neighbours."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"), F.lit(0))
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+    hashes = F.transform(tokens, lambda t: F.xxhash64(t))
 
-    def grams(tokens: Column) -> Column:
-        singles = F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(BUCKETS)).cast("int"))
+    def grams(hashes: Column) -> Column:
+        bucket = lambda h: h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
         pairs = F.zip_with(
-            F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
-            F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(0))),
-            lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(BUCKETS)).cast("int"),
+            F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0))),
+            F.slice(hashes, 2, F.greatest(F.size(hashes), F.lit(0))),
+            lambda a, b: bucket(F.xxhash64(a, b)),
         )
-        return F.concat(singles, pairs)
+        return F.concat(F.transform(hashes, bucket), pairs)
 
-    return _bound(tokens, grams)
+    return _bound(hashes, grams)
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``bucket, ratio`` for every bucket; ``trusted`` lists ids of the target documents."""
     marks = trusted.select(F.col(id_column).alias("__id")).distinct().withColumn("__trusted", F.lit(1))
+    # The texts meet the list of trusted ids once, in the shuffle; their n-grams are counted
+    # after it, combined before the next.
     counts = (
-        docs.select(F.col(id_column).alias("id"), buckets_of(text_of(text_column)).alias("buckets"))
+        docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
         .join(marks, F.col("id") == F.col("__id"), "left")
-        .select(F.explode("buckets").alias("bucket"), F.coalesce("__trusted", F.lit(0)).alias("target"))
+        .select(F.explode(buckets_of(F.col("text"))).alias("bucket"), F.coalesce("__trusted", F.lit(0)).alias("target"))
         .groupBy("bucket").agg(F.sum("target").alias("target"), F.count("*").alias("raw"))
     )
     counts = written(counts, "ngram-counts")

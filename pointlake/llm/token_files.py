@@ -20,11 +20,11 @@ and text columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import functools
+import gc
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pointlake.llm.common import ready_workers, id_array, id_ranges, map_batches, range_of, written
+from pointlake.llm.bpe import byte_letters
+from pointlake.llm.common import chunked, id_array, id_ranges, map_batches, range_of, ready_workers, unchunked, written
 from pointlake.session import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -49,45 +50,70 @@ DICTIONARY_BYTES = 64 << 10
 # Ids of one sample document that the trainer sees.
 SAMPLE_IDS = 2_000
 LEVEL = 3
-CACHE_ENTRIES = 400_000
+# Words that a worker keeps; a full cache is emptied.
+CACHE_ENTRIES = 300_000
+# Letters below are composed, and their lower case is one letter or not a letter.
+COMBINING = "\u0250"
+SIGNS = frozenset(".,;:!?")
 
 
 class Encoder:
-    """The library's tokenizer; chunks between spaces and line breaks are encoded once."""
+    """The library's tokenizer. White space parts texts for it, so distinct chunks are encoded once.
+
+    Chunks of plain letters, with or without a sign at the end, are one or two words whatever
+    else stands around: their words go to the library's merges directly and are kept. All
+    other chunks go through its whole encoding.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        # A special token ends every chunk in the joined text; it parts texts like a text's end.
-        special = self.tokenizer.get_added_tokens_decoder()
-        self.mark, self.mark_id = next((t.content, i) for i, t in sorted(special.items()))
-        self.known: dict[str, tuple[int, ...]] = {"": ()}
-
-    def learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if self.mark not in c]
-        for c in chunks:
-            if self.mark in c:
-                self.known[c] = tuple(self.tokenizer.encode(c, add_special_tokens=False).ids)
-        if plain:
-            joined = self.mark.join(plain)
-            ids = self.tokenizer.encode(joined, add_special_tokens=False).ids
-            ends = [*np.flatnonzero(np.array(ids) == self.mark_id).tolist(), len(ids)]
-            at = 0
-            for chunk, end in zip(plain, ends, strict=True):
-                self.known[chunk] = tuple(ids[at:end])
-                at = end + 1
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        wanted = set(chain.from_iterable(cut))
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {"": ()}
-        self.learn(list(wanted - self.known.keys()))
-        return [
-            np.fromiter(chain(chain.from_iterable(map(self.known.__getitem__, c)), (END_ID,)), "<u4")
-            for c in cut
-        ]
+        self.model = self.tokenizer.model
+        # How the library spells the bytes of a word.
+        self.spelling = dict(enumerate(byte_letters()))
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def word(self, word: str) -> tuple[int, ...]:
+        ids = self.known.get(word)
+        if ids is None:
+            spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
+            ids = self.known[word] = tuple([t.id for t in self.model.tokenize(spelt)])
+        return ids
+
+    def chunk(self, chunk: str) -> tuple[int, ...] | None:
+        """The ids of a chunk of plain letters; none for any other chunk."""
+        end = chunk[-1:]
+        body = chunk[:-1] if end in SIGNS else chunk
+        if body and max(body) < COMBINING:
+            low = body.lower()
+            if low.isalpha():
+                return self.word(low) + self.word(end) if end in SIGNS else self.word(low)
+        return None
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and the offsets of each text's."""
+        chunks, places, offsets = chunked(texts)
+        gc.disable()  # nothing here is cyclic, and walking the cache takes long
+        try:
+            if len(self.known) > CACHE_ENTRIES:
+                self.known = {}
+            ids = [self.chunk(c) if c else () for c in chunks]
+            other = [i for i, found in enumerate(ids) if found is None]
+            for i, found in zip(
+                other, self.tokenizer.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False), strict=True
+            ):
+                ids[i] = found.ids
+            return unchunked(ids, places, offsets)
+        finally:
+            gc.enable()
+
+
+def documents_of(ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The serialised ids of each text with the end id behind them."""
+    end = np.array([END_ID], "<u4").tobytes()
+    data = ids.astype("<u4").tobytes()
+    return [data[4 * a : 4 * b] + end for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
 @functools.cache
@@ -103,8 +129,8 @@ def train_dictionary(docs: DataFrame, path: str, id_column: str, text_column: st
     )
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = encoder(path).encode(batch.column(1).to_pylist())
-        return pa.RecordBatch.from_arrays([pa.array([x[:SAMPLE_IDS].tobytes() for x in ids])], ["ids"])
+        found = documents_of(*encoder(path).encode(batch.column(1)))
+        return pa.RecordBatch.from_arrays([pa.array([x[: 4 * SAMPLE_IDS] for x in found])], ["ids"])
 
     samples = [bytes(r.ids) for r in map_batches(sample, work, "ids binary").collect()]
     try:
@@ -162,12 +188,12 @@ def write_tokens(
     def compressed(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, missing = id_array(batch.column(0))
         pack = codec(dictionary)[0]
-        tokens = encoder(path).encode(batch.column(1).to_pylist())
+        found = documents_of(*encoder(path).encode(batch.column(1)))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(range_of(ids, missing, shared_cuts.value)), batch.column(0),
-                pa.array([len(t) for t in tokens], pa.int64()),
-                pa.array([pack.compress(t.tobytes()) for t in tokens], pa.binary()),
+                pa.array([len(t) // 4 for t in found], pa.int64()),
+                pa.array([pack.compress(t) for t in found], pa.binary()),
             ],
             ["part", "id", "tokens", "frame"],
         )
