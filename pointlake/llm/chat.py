@@ -124,8 +124,9 @@ def format_turns(
     )
 
 
+_ESCAPE = r"\\(?:\\|###|</turn>|<\||: )"
 TURN = re.compile(
-    re.escape(START) + r"((?:[^\\]|\\.)*?)" + re.escape(BETWEEN) + r"((?:[^\\]|\\.)*?)" + re.escape(STOP) + r"\n", re.DOTALL
+    rf"{START}((?:(?!###|</turn>|: )[^\\]|{_ESCAPE})*){BETWEEN}((?:(?!###|</turn>)[^\\]|{_ESCAPE})*){STOP}\n"
 )
 
 
