@@ -123,10 +123,11 @@ def encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, path: str, id_column: str, text_column: str) -> bytes:
     """A dictionary from a bounded sample of whole documents; empty where they are too few."""
-    sample = (
-        docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-        .orderBy(F.md5(F.col("id").cast("string")), "text").limit(DICTIONARY_SAMPLE)
-    )
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    ids = rows.select("id").where("id IS NOT NULL").distinct()
+    chosen = ids.orderBy(F.md5(F.col("id").cast("string")), "id").limit(DICTIONARY_SAMPLE)
+    # Ids alone are sorted; the texts of DICTIONARY_SAMPLE of them are read.
+    sample = rows.join(F.broadcast(chosen), "id", "left_semi")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = documents_of(*encoder(path).encode(batch.column(1)))
