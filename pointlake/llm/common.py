@@ -70,7 +70,8 @@ def text_of(column: str | Column) -> Column:
 
 
 def word_list(text: Column) -> Column:
-    return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
+    """The words of a text in order."""
+    return F.array_remove(F.split(text, WORD_BREAK), "")
 
 
 def words_of(text: str | None) -> list[str]:

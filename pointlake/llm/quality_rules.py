@@ -1,6 +1,6 @@
 """Quality rules: n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Texts are cut into lower-case runs of letters and digits and runs of ASCII signs. Single
+Texts are cut into runs of letters and digits and runs of ASCII signs. Single
 tokens and pairs of neighbours are hashed into ``BUCKETS`` buckets. Two multinomials over the
 buckets, one from trusted documents and one from all, give every bucket a log ratio; a
 document's score is the sum over its n-grams divided by their number. Documents below the
@@ -96,7 +96,7 @@ def base_columns(text: Column) -> list[Column]:
 
 def buckets_of(text: Column) -> Column:
     """The buckets of the n-grams of a text: its tokens, then its pairs of neighbours."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
     hashes = F.transform(tokens, lambda t: F.xxhash64(t))
 
     def grams(hashes: Column) -> Column:
@@ -115,10 +115,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", t
     """``bucket, ratio`` for every bucket; ``trusted`` lists ids of the target documents."""
     marks = trusted.select(F.col(id_column).alias("__id")).distinct().withColumn("__trusted", F.lit(1))
     # The texts meet the list of trusted ids once, in the shuffle; their n-grams are counted
-    # after it, combined before the next.
+    # after it, combined before the next. The list grows with the corpus: it is not broadcast.
     counts = (
         docs.select(F.col(id_column).alias("id"), text_of(text_column).alias("text"))
-        .join(marks, F.col("id") == F.col("__id"), "left")
+        .join(marks.hint("merge"), F.col("id") == F.col("__id"), "left")
         .select(F.explode(buckets_of(F.col("text"))).alias("bucket"), F.coalesce("__trusted", F.lit(0)).alias("target"))
         .groupBy("bucket").agg(F.sum("target").alias("target"), F.count("*").alias("raw"))
     )

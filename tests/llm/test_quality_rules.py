@@ -34,7 +34,7 @@ def signed(value):
 
 def grams(text):
     """Buckets as Spark's hash functions give them: seed 42, chained over the arguments."""
-    tokens = re.findall(quality_rules.TOKEN, (text or "").lower())
+    tokens = re.findall(quality_rules.TOKEN, text or "")
     hashes = [xxhash.xxh64_intdigest(t.encode(), 42) for t in tokens]
     pairs = [chained(a, b) for a, b in zip(hashes, hashes[1:])]
     return [h & MASK for h in hashes + pairs]
