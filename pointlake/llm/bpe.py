@@ -37,7 +37,9 @@ VOCABULARY = "word_bpe_49k.json"
 END = "</w>"
 NEVER = np.int64(1) << 40
 # Words that a worker keeps; a full cache is emptied.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 120_000
+# Words merged together: what the symbol arrays hold at a time.
+MERGED_WORDS = 20_000
 
 
 def byte_letters() -> list[str]:
@@ -181,8 +183,9 @@ class Vocabulary:
                 self.words = {}
             known = self.words
             fresh = list({w for cut in cuts for w in cut if w not in known and isinstance(w, str)})
-            if fresh:
-                known.update(zip(fresh, self.merge(fresh), strict=True))
+            for at in range(0, len(fresh), MERGED_WORDS):
+                part = fresh[at : at + MERGED_WORDS]
+                known.update(zip(part, self.merge(part), strict=True))
             ids = [
                 known[cut[0]] if len(cut) == 1 and isinstance(cut[0], str)
                 else tuple(chain.from_iterable((w,) if isinstance(w, int) else known[w] for w in cut))
@@ -229,6 +232,28 @@ def encode(
     )
 
 
+def roundtrip(
+    docs: DataFrame, path: str | None = None, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: ``<id>, n_tokens, ids, decoded``."""
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = vocabulary(path)
+        ids, offsets = words.encode(batch.column(1))
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.diff(offsets)), lists, words.decode(lists)],
+            [id_column, "n_tokens", "ids", "decoded"],
+        )
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    return map_batches(
+        docs.select(id_column, F.col(text_column).alias("__text")), work,
+        f"`{id_column}` {kind}, n_tokens bigint, ids array<int>, decoded string",
+    )
+
+
 def decode(encoded: DataFrame, path: str | None = None, id_column: str = "doc_id") -> DataFrame:
     """``<id>, n_tokens, ids, decoded``: the text that the ids spell."""
     path = path or public_tokenizers.path(VOCABULARY)

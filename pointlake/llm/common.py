@@ -24,8 +24,8 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 TO_SPACE = str.maketrans("\t\n\x0b\x0c\r", "     ")
 
 # Documents per batch that a Python worker holds at a time; a batch also ends at the bytes.
-BATCH_ROWS = 2_000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1_000
+BATCH_BYTES = 4 << 20
 # Documents per range of ids (see id_ranges).
 RANGE_ROWS = 4_000
 # Ranges are found with this relative error of a range's rank.

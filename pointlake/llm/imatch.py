@@ -38,7 +38,7 @@ BAND = (5e-4, 0.1)
 LEXICONS = 24
 # Odd factors: one random order of all terms for each lexicon.
 FACTORS = mixed(np.arange(1, LEXICONS + 1)) | np.uint64(1)
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 SHIFT = np.uint64(64 - BUCKET_BITS)
 
 

@@ -40,7 +40,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -49,7 +49,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of all documents and of the text they decode to."""
-    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    decoded = bpe.roundtrip(table(spark, sf_dir, "documents"))
     return decoded.select(
         "doc_id", "n_tokens",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

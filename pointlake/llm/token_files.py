@@ -51,7 +51,7 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_IDS = 2_000
 LEVEL = 3
 # Words that a worker keeps; a full cache is emptied.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 120_000
 # Letters below are composed, and their lower case is one letter or not a letter.
 COMBINING = "\u0250"
 SIGNS = frozenset(".,;:!?")

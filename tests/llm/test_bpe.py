@@ -54,6 +54,7 @@ def test_any_texts(texts):
 
 def test_caches_may_be_emptied(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    monkeypatch.setattr(bpe, "MERGED_WORDS", 2)
     monkeypatch.setattr(token_files, "CACHE_ENTRIES", 3)
     own, files = bpe.Vocabulary(PATH), token_files.Encoder(PATH)
     for text in ["one two three four", "five six one two", "three seven"]:
@@ -63,6 +64,7 @@ def test_caches_may_be_emptied(monkeypatch):
 def test_encoding_and_decoding_of_a_table(spark):
     docs = frame(spark, documents())
     rows = bpe.decode(bpe.encode(docs)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, bpe.roundtrip(docs).collect()))
     want = sorted((str(i), expected(t), LIBRARY.decode(expected(t), skip_special_tokens=False)) for i, t, _ in documents())
     assert sorted((str(r.doc_id), r.ids, r.decoded) for r in rows) == want
     assert all(r.n_tokens == len(r.ids) for r in rows)
