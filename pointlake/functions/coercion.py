@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from pointlake.functions.text import is_numeric_text, number_text, quote, scalar_text
 from pointlake.model import FieldType
 
-# Doubles from here on do not fit a BIGINT.
-INTEGER_LIMIT = 9.2e18
+# Doubles from here on do not fit a BIGINT; its lowest value does.
+INTEGER_LIMIT = 2.0**63
 
 
 @dataclass(frozen=True)
@@ -56,7 +56,7 @@ def _finite(value: Column) -> Column:
 
 
 def _floored(value: Column) -> Column:
-    return F.when(F.abs(value) < INTEGER_LIMIT, F.floor(value))
+    return F.when((value < INTEGER_LIMIT) & (value >= -INTEGER_LIMIT), F.floor(value))
 
 
 def integer_of_text(text: Column) -> Column:
@@ -120,7 +120,7 @@ def coerce_column(
         text = _integer_text(typed)
     elif isinstance(kind, T.StringType):
         bad = ~is_numeric_text(column)
-        text = column
+        text = F.when(~bad, column)
     else:
         bad = ~_finite(column) if _is_fractional(kind) else None
         text = scalar_text(column, kind)

@@ -192,10 +192,63 @@ def _combine(symbol: str, left: _Operand, right: _Operand) -> _Operand:
         ):
             flip = {">": "<", ">=": "<=", "<": ">", "<=": ">="} if one is left else {}
             return _Operand(_compare_instant(flip.get(symbol, symbol), other, one.payload))
-    a, b = _member(left, right.kind).column, _member(right, left.kind).column
+    if "map_field" in (left.kind, right.kind):
+        return _Operand(_compare_members(symbol, left, right))
+    if symbol in ("=", "!="):
+        left, right = _as_number(left, right), _as_number(right, left)
+    a, b = _as_text(left, right), _as_text(right, left)
     return _Operand(_COMPARE[symbol](a, b))
 
 
+def _as_number(side: _Operand, other: _Operand) -> _Operand:
+    """A text that is how a whole number prints, next to a column of whole numbers: the
+    number, so that the filter reaches the file scan."""
+    whole = isinstance(other.spark_type, T.IntegralType) and side.kind == "text"
+    if whole and re.fullmatch(r"0|-?[1-9][0-9]{0,17}", str(side.payload)):
+        return _Operand(F.lit(int(side.payload)).cast("bigint"), "number", int(side.payload))
+    return side
+
+
+def _as_text(side: _Operand, other: _Operand) -> Column:
+    """A number column next to a text: the text form, which no text can make fail."""
+    if other.kind == "text" and isinstance(side.spark_type, T.NumericType):
+        return side.column.cast("string")
+    return side.column
+
+
+def _compare_members(symbol: str, left: _Operand, right: _Operand) -> Column:
+    """Map-form values by the member both sides have: integers as integers, other numbers
+    as doubles, strings and booleans as they are."""
+    compare = _COMPARE[symbol]
+
+    def member(side: _Operand, name: str) -> Column | None:
+        if side.kind == "map_field":
+            return side.column[name]
+        kinds = {"text": "s", "flag": "b", "number": "f"}
+        if name == "i":
+            whole = side.kind == "number" and isinstance(side.payload, int)
+            whole = whole or side.kind == "time" or isinstance(side.spark_type, T.IntegralType)
+            return side.column.cast("bigint") if whole else None
+        return side.column if kinds.get(side.kind, name) == name else None
+
+    def number(side: _Operand) -> Column | None:
+        if side.kind == "map_field":
+            return F.coalesce(side.column["f"], side.column["i"].cast("double"))
+        return side.column.cast("double") if side.kind in ("number", "time") or isinstance(
+            side.spark_type, T.NumericType
+        ) else None
+
+    found = []
+    for name in ("i", "s", "b"):
+        a, b = member(left, name), member(right, name)
+        if a is not None and b is not None:
+            found.append(F.when(a.isNotNull() & b.isNotNull(), compare(a, b)))
+    a, b = number(left), number(right)
+    if a is not None and b is not None:
+        found.append(compare(a, b))
+    return F.coalesce(*found)
+
+
 def _member(side: _Operand, other_kind: str) -> _Operand:
     """Picks the typed member of a map-form field by what it is combined with."""
     if side.kind != "map_field":
@@ -247,9 +300,36 @@ def parse_where(where: Where, df: DataFrame | None = None) -> Column:
     return where(Expression()).to_column(df)
 
 
-def time_since(
-    time_ns: Column, since_ns: int, now: Column, strict: bool = True
-) -> Column:
-    """``time > now - since``."""
-    start = now - F.lit(since_ns).cast("bigint")
-    return time_ns > start if strict else time_ns >= start
+def time_bounds(where: Where, time: str = "time_ns") -> tuple[int | None, int | None]:
+    """Lowest time and first time beyond that a builder condition leaves: from its
+    comparisons of ``time`` with whole numbers or instants that are joined by AND only.
+    Spark SQL text and columns say nothing."""
+    if callable(where) and not isinstance(where, (Column, Expression)):
+        where = where(Expression())
+    if not isinstance(where, Expression) or "OR" in where._items:
+        return None, None
+    parts: list[list] = [[]]
+    for item in where._items:
+        if item == "AND":
+            parts.append([])
+        else:
+            parts[-1].append(item)
+    low = high = None
+    flipped = {">": "<", ">=": "<=", "<": ">", "<=": ">=", "=": "="}
+    for part in parts:
+        if len(part) != 3 or part[1] not in flipped:
+            continue
+        left, symbol, right = part
+        if isinstance(right, _Reference):
+            left, symbol, right = right, flipped[symbol], left
+        known = isinstance(left, _Reference) and left.name == time and isinstance(right, _Operand)
+        if not known or right.kind not in ("time", "number") or not isinstance(right.payload, int):
+            continue
+        value = right.payload
+        if symbol in (">", ">=", "="):
+            first = value + (symbol == ">")
+            low = first if low is None else max(low, first)
+        if symbol in ("<", "<=", "="):
+            beyond = value + (symbol != "<")
+            high = beyond if high is None else min(high, beyond)
+    return low, high

@@ -39,6 +39,8 @@ _DURATION = re.compile(r"([0-9]+)(ns|ms|u|µ|s|m|h|d|w)")
 
 SECOND_NS = UNIT_NS["s"]
 
+ISO_TIME = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d{1,9})?Z$"
+
 
 def unit_ns(precision: str) -> int:
     if precision not in UNIT_NS:
@@ -68,14 +70,13 @@ def to_precision(time_ns: Column, precision: str) -> Column:
 
 
 def from_epoch(value: Column, precision: str) -> Column:
-    return value.cast("bigint") * F.lit(unit_ns(precision)).cast("bigint")
+    """Nanoseconds; NULL where they do not fit a BIGINT."""
+    return F.try_multiply(value.cast("bigint"), F.lit(unit_ns(precision)).cast("bigint"))
 
 
-def bucket_start(time_ns: Column, every_ns: int, offset_ns: int = 0) -> Column:
+def bucket_start(time_ns: Column, every_ns: int) -> Column:
     """Start of the half-open bucket ``[start, start + every)`` that holds the time."""
-    d = F.lit(every_ns).cast("bigint")
-    shifted = time_ns if offset_ns == 0 else time_ns + F.lit(offset_ns).cast("bigint")
-    return time_ns - F.pmod(shifted, d)
+    return time_ns - F.pmod(time_ns, F.lit(every_ns).cast("bigint"))
 
 
 def from_iso(text: Column) -> Column:
@@ -83,7 +84,8 @@ def from_iso(text: Column) -> Column:
     seconds = F.unix_seconds(F.try_to_timestamp(F.concat(F.substring(text, 1, 19), F.lit("Z"))))
     tail = F.translate(F.substring(text, 20, 2**31 - 1), ".Z", "")
     fraction = F.rpad(tail, 9, "0").try_cast("bigint")
-    return seconds * F.lit(SECOND_NS).cast("bigint") + fraction
+    whole = F.try_multiply(seconds, F.lit(SECOND_NS).cast("bigint"))
+    return F.when(text.rlike(ISO_TIME), F.try_add(whole, fraction))
 
 
 def from_timestamp(value: Column, kind: T.DataType, session_zone: str) -> Column:
@@ -97,7 +99,9 @@ def from_timestamp(value: Column, kind: T.DataType, session_zone: str) -> Column
         )
         second = F.extract(F.lit("SECOND"), value)
         return seconds * F.lit(SECOND_NS).cast("bigint") + (second * SECOND_NS).cast("bigint")
-    if isinstance(kind, (T.TimestampNTZType, T.DateType)):
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint") * F.lit(86_400 * SECOND_NS).cast("bigint")
+    if isinstance(kind, T.TimestampNTZType):
         value = value.cast("timestamp")
     return F.unix_micros(value) * F.lit(1_000).cast("bigint")
 

@@ -91,12 +91,15 @@ def empty_measurement(spark: SparkSession, schema: MeasurementSchema) -> DataFra
 
 
 def exact_mean(value: Column, scale: int | None = None) -> Column:
-    """Mean of the non-NULL values. With ``scale`` the sum runs on decimals, so the
-    result does not depend on how the rows are spread over tasks."""
+    """Mean of the non-NULL values. With ``scale``, for values that are known to have no
+    more decimals, the sum runs on decimals of that scale, so the result does not depend
+    on how the rows are spread over tasks; a value with more decimals, or too large for
+    the type, makes the mean NULL instead of another number."""
     if scale is None:
         return F.avg(value)
-    total = F.sum(value.cast(T.DecimalType(18, scale)))
-    return F.try_divide(total.cast("double"), F.count(value))
+    exact = value.try_cast(T.DecimalType(38, scale))
+    whole = F.count_if(value.isNotNull() & ~F.coalesce(exact.cast("double") == value.cast("double"), F.lit(False))) == 0
+    return F.when(whole, F.try_divide(F.try_sum(exact).cast("double"), F.count(value)))
 
 
 def mean(

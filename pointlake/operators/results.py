@@ -9,24 +9,25 @@ from pyspark.sql import functions as F
 
 from pointlake.functions.columns import ref, type_of
 from pointlake.functions.text import scalar_text
-from pointlake.functions.timecol import from_epoch, from_iso
+from pointlake.functions.timecol import bucket_start, duration_ns, from_epoch, from_iso
 
 SERIES_SCHEMA = (
     "STRUCT<name: STRING, tags: MAP<STRING,STRING>, columns: ARRAY<STRING>, "
     "values: ARRAY<ARRAY<STRING>>>"
 )
-RESPONSE_SCHEMA = (
-    f"STRUCT<results: ARRAY<STRUCT<error: STRING, series: ARRAY<{SERIES_SCHEMA}>>>, "
-    "error: STRING>"
-)
-
-# Rows of one nested group or series document.
-MAX_ROWS = 10_000
+RESULTS_SCHEMA = f"ARRAY<STRUCT<error: STRING, series: ARRAY<{SERIES_SCHEMA}>>>"
+RESPONSE_SCHEMA = f"STRUCT<results: {RESULTS_SCHEMA}, error: STRING>"
 
 
 def parse_documents(df: DataFrame, document: str, out: str = "response") -> DataFrame:
     """JSON text to the nested response structure."""
-    parsed = F.from_json(ref(document), RESPONSE_SCHEMA)
+    read = F.from_json(ref(document), RESPONSE_SCHEMA)
+    # Text that is no JSON object becomes a document with an error, so that it is seen.
+    unread = F.named_struct(
+        F.lit("results"), F.lit(None).cast(RESULTS_SCHEMA), F.lit("error"), F.lit("not a response document")
+    )
+    is_object = F.coalesce(F.trim(ref(document)).startswith("{") & F.try_parse_json(ref(document)).isNotNull(), F.lit(False))
+    parsed = F.when(ref(document).isNotNull() & ~is_object, unread).otherwise(read)
     return df.select(*[ref(c) for c in df.columns if c != document], parsed.alias(out))
 
 
@@ -67,7 +68,8 @@ def flatten_responses(
 
     def last_position(name: str) -> Column:
         names = F.coalesce("_series.columns", F.array().cast("array<string>"))
-        return F.size(names) - F.array_position(F.reverse(names), name)
+        from_end = F.array_position(F.reverse(names), name)
+        return F.when(from_end > 0, F.size(names) - from_end)
 
     located = series.select(
         *[ref(c) for c in carried],
@@ -197,53 +199,39 @@ def groups(
     df: DataFrame,
     name: str,
     tags: Sequence[str],
+    every: str,
     time: str = "time_ns",
     descending: bool = False,
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Rows nested per tag set: ``name, <tags>, first_time, last_time, rows``.
+    """Rows nested per tag set and time bucket:
+    ``name, <tags>, bucket, first_time, last_time, rows``.
 
-    A tag set with more than ``max_rows`` rows comes out as several rows, each a
-    contiguous run of its time order, so no task ever holds a whole hot group. The
-    rows are range-partitioned by tags and time, numbered inside each partition, and
-    nested per run of ``max_rows``. All columns take part in the sort, so a repeated
-    task numbers the rows alike.
+    ``every`` is the length of the buckets, so it bounds the rows of one list; the
+    result depends on the rows alone, not on how they are spread. Rows are in order of
+    time, then of their other columns. One shuffle. ``order_groups`` gives whole groups
+    as flat sorted rows.
     """
     others = [c for c in df.columns if c not in tags and c != time]
-    order = [
-        *[ref(t) for t in tags],
-        ref(time).desc() if descending else ref(time).asc(),
-        *[ref(c) for c in others],
-    ]
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    placed = placed.select(
-        *[ref(c) for c in df.columns],
-        F.spark_partition_id().alias("_partition"),
-        F.call_function("div", position, F.lit(max_rows).cast("bigint")).alias("_run"),
-    )
     row = F.struct(*[ref(c) for c in [time, *others]])
-    nested = placed.groupBy(*[ref(t) for t in tags], "_partition", "_run").agg(
+    nested = df.groupBy(
+        *[ref(t) for t in tags], bucket_start(ref(time), duration_ns(every)).alias("bucket")
+    ).agg(
         F.sort_array(F.collect_list(row), asc=not descending).alias("rows"),
         F.min(ref(time)).alias("first_time"),
         F.max(ref(time)).alias("last_time"),
     )
     return nested.select(
-        F.lit(name).alias("name"), *[ref(t) for t in tags], "first_time", "last_time", "rows"
+        F.lit(name).alias("name"), *[ref(t) for t in tags], "bucket", "first_time", "last_time", "rows"
     )
 
 
 def series_rows(
-    df: DataFrame,
-    name: str,
-    tags: Sequence[str],
-    time: str = "time_ns",
-    max_rows: int = MAX_ROWS,
+    df: DataFrame, name: str, tags: Sequence[str], every: str, time: str = "time_ns"
 ) -> DataFrame:
-    """The raw response shape: ``name, <tags>, columns, values``, values as text; long
-    series continue in further rows."""
+    """The raw response shape: ``name, <tags>, bucket, columns, values``, values as text;
+    a series has a row for each time bucket."""
     columns = [time, *[c for c in df.columns if c not in tags and c != time]]
-    nested = groups(df, name, tags, time, max_rows=max_rows)
+    nested = groups(df, name, tags, every, time)
     values = F.transform(
         "rows",
         lambda r: F.array(*[scalar_text(r[c], type_of(df, c)) for c in columns]),
@@ -251,6 +239,7 @@ def series_rows(
     return nested.select(
         "name",
         *[ref(t) for t in tags],
+        "bucket",
         F.array(*[F.lit("time" if c == time else c) for c in columns]).alias("columns"),
         values.alias("values"),
     )

@@ -35,13 +35,14 @@ def shard_start_of(time_ns: int, shard_s: int) -> int:
 
 def shard_id(db: Column, rp: Column, start_s: Column) -> Column:
     """A number that depends on the bucket only, so ids stay the same when other
-    buckets come and go, and no global ranking is needed."""
-    digest = F.md5(F.concat_ws("/", db, rp, start_s.cast("string")))
+    buckets come and go, and no global ranking is needed. The text under the digest
+    names the length of the database, so no two buckets share it."""
+    digest = F.md5(F.concat_ws("/", F.length(db).cast("string"), db, rp, start_s.cast("string")))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def shard_id_of(db: str, rp: str, start_s: int) -> int:
-    digest = hashlib.md5(f"{db}/{rp}/{start_s}".encode()).hexdigest()
+    digest = hashlib.md5(f"{len(db)}/{db}/{rp}/{start_s}".encode()).hexdigest()
     return int(digest[:15], 16)
 
 

@@ -27,7 +27,7 @@ from pointlake.sources.tables import to_point_form
 @query(f"SELECT event_type, {MEAN_SQL} AS mean FROM events GROUP BY event_type")
 def mean_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = event_points(spark, sf_dir)
-    return rounded_mean(mean(points, "value", by=["event_type"], scale=2))
+    return rounded_mean(mean(points, "value", by=["event_type"]))
 
 
 @query(
@@ -38,7 +38,7 @@ def mean_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def downsample_mean_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = event_points(spark, sf_dir)
-    hourly = mean(points, "value", by=["event_type"], every="1h", scale=2, counted=True)
+    hourly = mean(points, "value", by=["event_type"], every="1h", counted=True)
     return with_wall_time(rounded_mean(hourly))
 
 
@@ -70,47 +70,39 @@ def top_n_by_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(spark, sf_dir, 5)
 
 
-@query(
-    """
-    SELECT event_type, count(*) AS n_rows, min(ts) AS first_time, max(ts) AS last_time,
-           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, TRUE AS in_order
-    FROM events GROUP BY event_type
-    """
-)
-def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested rows per tag set, summed up again to a line per tag set."""
+DAILY_GROUPS_SQL = """
+SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS bucket, min(ts) AS first_time, max(ts) AS last_time,
+       string_agg(epoch_us(ts) * 1000 || '=' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), ';'
+                  ORDER BY ts {order}, value {order}) AS rows
+FROM events GROUP BY 1, 2
+"""
+
+
+def _daily_groups(spark: SparkSession, sf_dir: str, descending: bool) -> DataFrame:
     points = event_points(spark, sf_dir).select("event_type", "time_ns", "value")
-    nested = nested_groups(points, "events", ["event_type"])
-    total = F.aggregate(
+    nested = nested_groups(points, "events", ["event_type"], "1d", descending=descending)
+    shown = F.transform(
         "rows",
-        F.lit(0).cast("decimal(28,2)"),
-        lambda acc, r: (acc + r["value"].cast("decimal(18,2)")).cast("decimal(28,2)"),
+        lambda r: F.concat(r["time_ns"].cast("string"), F.lit("="), r["value"].cast("decimal(18,2)").cast("string")),
     )
-    per_part = nested.select(
+    return nested.select(
         "event_type",
-        F.size("rows").cast("bigint").alias("n"),
-        "first_time",
-        "last_time",
-        total.alias("total"),
-        (F.col("rows.time_ns") == F.array_sort("rows.time_ns")).alias("in_order"),
-    )
-    summed = per_part.groupBy("event_type").agg(
-        F.sum("n").alias("n_rows"),
-        F.min("first_time").alias("first"),
-        F.max("last_time").alias("last"),
-        F.sum("total").cast("double").alias("total"),
-        F.bool_and("in_order").alias("in_order"),
-    )
-    return summed.select(
-        "event_type",
-        "n_rows",
-        to_timestamp_ntz(F.col("first")).alias("first_time"),
-        to_timestamp_ntz(F.col("last")).alias("last_time"),
-        "total",
-        "in_order",
+        *[to_timestamp_ntz(F.col(c)).alias(c) for c in ("bucket", "first_time", "last_time")],
+        F.array_join(shown, ";").alias("rows"),
     )
 
 
+@query(DAILY_GROUPS_SQL.format(order="ASC"))
+def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested rows of each tag set and day, in order, printed."""
+    return _daily_groups(spark, sf_dir, descending=False)
+
+
+@query(DAILY_GROUPS_SQL.format(order="DESC"))
+def groups_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily_groups(spark, sf_dir, descending=True)
+
+
 def _named_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both measurements with their places."""
     events = event_points(spark, sf_dir).select(
@@ -192,10 +184,10 @@ def show_retention_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST('0x' || substr(md5('app/' || rp || '/' || CAST(epoch(start_time) AS BIGINT)),
+    SELECT CAST('0x' || substr(md5('3/app/' || rp || '/' || CAST(epoch(start_time) AS BIGINT)),
                                1, 15) AS BIGINT) AS id,
            'app' AS database, rp AS retention_policy,
-           CAST('0x' || substr(md5('app/' || rp || '/' || CAST(epoch(start_time) AS BIGINT)),
+           CAST('0x' || substr(md5('3/app/' || rp || '/' || CAST(epoch(start_time) AS BIGINT)),
                                1, 15) AS BIGINT) AS shard_group,
            start_time,
            start_time + CASE WHEN rp = '7d' THEN INTERVAL 24 HOUR ELSE INTERVAL 168 HOUR END

@@ -118,7 +118,8 @@ def write_points_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def read_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, fresh_path(spark, "store"), POLICIES, database="sales")
-    write_points(order_points(spark, sf_dir), store, ORDERS)
+    # Orders of one day, status and priority are points of one series and time: all are kept.
+    write_points(order_points(spark, sf_dir), store, ORDERS, known_new=True)
     return read_stored(store, "orders", ORDERS).select("o_orderkey", "o_totalprice")
 
 
@@ -186,7 +187,7 @@ def downsample_into(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``mean`` per hour, kept as a measurement of its own under the policy ``7d``."""
     store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
     into = MeasurementRef("hourly", "7d")
-    hourly = mean(event_points(spark, sf_dir), "value", every="1h", scale=2)
+    hourly = mean(event_points(spark, sf_dir), "value", every="1h")
     store.write_into(hourly, HOURLY, into)
     return with_wall_time(rounded_mean(store.read(into, HOURLY)))
 

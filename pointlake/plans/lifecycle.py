@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlake.functions.timecol import to_precision
-from pointlake.model import FieldType, MeasurementSchema, RetentionPolicy
+from pointlake.model import FieldType, MeasurementSchema, NanoTime, RetentionPolicy
 from pointlake.operators import lifecycle
 from pointlake.operators.shards import shard_id_of
 from pointlake.plans.intake import HOURLY, STRICT, faulty_points
@@ -17,6 +17,7 @@ from pointlake.plans.tables import (
     EVENTS,
     K_SQL,
     MEAN_SQL,
+    ORDERS,
     POLICIES,
     event_points,
     k_of_props,
@@ -157,6 +158,98 @@ def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("events", KEYED_EVENTS).select("event_id", "value", "k")
 
 
+WRITTEN_AT = datetime(2024, 1, 20, 12)
+
+
+@query(
+    f"""
+    SELECT event_type, CAST(user_id AS VARCHAR) AS user_id, epoch_us(ts) * 1000 AS time_ns,
+           CASE WHEN event_type = 'purchase' AND ts < TIMESTAMP '2024-01-10' THEN value + 1 ELSE value END AS value
+    FROM events
+    UNION ALL
+    SELECT 'purchase', CAST(user_id AS VARCHAR), epoch_us(TIMESTAMP '{WRITTEN_AT}') * 1000, max(value) + 1
+    FROM events WHERE event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-10' GROUP BY user_id
+    """
+)
+def upsert_missing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases once more; those from 10 January on have lost their time."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    store.append(event_points(spark, sf_dir), EVENTS)
+    late = F.col("time_ns") >= int(NanoTime.from_datetime(datetime(2024, 1, 10)))
+    again = _purchases_again(event_points(spark, sf_dir)).withColumn("time_ns", F.when(~late, F.col("time_ns")))
+    store.upsert(again, EVENTS, write_time=WRITTEN_AT)
+    return store.read("events", EVENTS).select("event_type", "user_id", "time_ns", "value")
+
+
+def _event_map_points(spark: SparkSession, sf_dir: str, **columns) -> DataFrame:
+    return to_point_form(event_points(spark, sf_dir, keep=["event_id"]), EVENTS, db="app", **columns)
+
+
+@query(f"SELECT event_type, CAST(user_id AS VARCHAR) AS user_id, epoch_us(ts) * 1000 AS time_ns, value, {K_SQL} AS k FROM events")
+def write_points_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writing points again updates them; nothing is doubled."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    for _ in range(2):
+        store.write_points(_event_map_points(spark, sf_dir), [EVENTS])
+    return store.read("events", EVENTS).select("event_type", "user_id", "time_ns", "value", "k")
+
+
+@query(
+    "SELECT CASE WHEN event_type = 'error' THEN '7d' ELSE 'autogen' END AS rp, event_type, count(*) AS n,"
+    " round(sum(value), 2) AS total FROM events GROUP BY ALL"
+)
+def write_points_by_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row's own policy says where it is stored."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    rp = F.when(F.col("event_type") == "error", F.lit("7d"))
+    store.append_points(_event_map_points(spark, sf_dir, rp=rp), [EVENTS])
+    tables = [
+        store.read(MeasurementRef("events", name), EVENTS).withColumn("rp", F.lit(name)) for name in ("7d", "autogen")
+    ]
+    both = tables[0].unionByName(tables[1])
+    return both.groupBy("rp", "event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total")
+    )
+
+
+@query(f"SELECT event_type, CAST(user_id AS VARCHAR) AS user_id, epoch_us(ts) * 1000 AS time_ns, value, {K_SQL} AS k FROM events")
+def write_points_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No schema is declared; fields and tags are those of the points, and of the files."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    store.append_points(_event_map_points(spark, sf_dir))
+    return store.read("events").select("event_type", "user_id", "time_ns", "value", "k")
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_type = 'purchase' THEN value + 1 ELSE value END AS value FROM events"
+    " WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-19'"
+)
+def read_after_policy_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly buckets are read and updated under a policy of daily ones."""
+    path = fresh_path(spark, "store")
+    weekly = Store(spark, path, [RetentionPolicy("app", "autogen", is_default=True)], database="app")
+    weekly.append(event_points(spark, sf_dir, keep=["event_id"]), KEYED_EVENTS)
+    daily = Store(spark, path, [RetentionPolicy("app", "autogen", shard_s=86_400, is_default=True)], database="app")
+    daily.upsert(_purchases_again(event_points(spark, sf_dir)).filter("time_ns % 2000 = 0"), KEYED_EVENTS)
+    daily.upsert(_purchases_again(event_points(spark, sf_dir)), KEYED_EVENTS)
+    start, end = (NanoTime.from_datetime(t) for t in (datetime(2024, 1, 10, 6), datetime(2024, 1, 19)))
+    return daily.read("events", KEYED_EVENTS, start=start, end=end).select("event_id", "value")
+
+
+@query(
+    "SELECT 'app' AS db, 'events' AS name FROM events UNION SELECT 'app', 'logins' FROM events"
+    " UNION SELECT 'sales', 'orders' FROM orders"
+)
+def list_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Databases and measurements of a store, from its directories."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    store.append(event_points(spark, sf_dir), EVENTS)
+    store.append(event_points(spark, sf_dir).drop("measurement"), EVENTS, MeasurementRef("logins", "7d"))
+    store.append(order_points(spark, sf_dir), ORDERS)
+    rows = [(db, name) for db in store.databases() for name in store.measurements(db)]
+    return spark.createDataFrame(rows, "db string, name string")
+
+
 @query("SELECT event_id FROM events WHERE NOT (event_type = 'click' AND user_id = 8)")
 def delete_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
@@ -210,7 +303,6 @@ def continuous_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema=HOURLY_BY_TYPE,
         checkpoint=fresh_path(spark, "checkpoint"),
         watermark="1d",
-        scale=2,
     )
     standing.awaitTermination()
     return with_wall_time(rounded_mean(store.read(into, HOURLY_BY_TYPE)))
@@ -234,7 +326,7 @@ def _stale_target(points: DataFrame) -> DataFrame:
 def resample_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = event_points(spark, sf_dir)
     recomputed = downsample.resample(
-        points, _stale_target(points), "value", "1h", "168h", datetime(2024, 1, 31), scale=2
+        points, _stale_target(points), "value", "1h", "168h", datetime(2024, 1, 31)
     )
     return with_wall_time(rounded_mean(recomputed))
 
@@ -260,7 +352,6 @@ def resample_standing(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema=HOURLY,
         checkpoint=fresh_path(spark, "checkpoint"),
         clock=lambda: datetime(2024, 1, 31),
-        scale=2,
     )
     standing.awaitTermination()
     return with_wall_time(rounded_mean(store.read(into, HOURLY)))

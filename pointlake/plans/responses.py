@@ -1,5 +1,5 @@
-"""Stored response documents. They are made from events first: one document per run of
-rows of an event type."""
+"""Stored response documents. They are made from events first: one document per event
+type and day."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from pointlake.sources.responses import read_responses as read_documents
 
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = event_points(spark, sf_dir).select("event_type", "time_ns", "value")
-    series = results.series_rows(points, "events", ["event_type"], max_rows=1_000)
+    series = results.series_rows(points, "events", ["event_type"], "1d")
     return results.response_documents(series, ["event_type"])
 
 
@@ -43,28 +43,19 @@ def read_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT 'events' AS name, event_type, CAST(2 AS BIGINT) AS n_columns, count(*) AS n_values,
-           CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
-    FROM events GROUP BY event_type
+    SELECT 'events' AS name, event_type, epoch_us(date_trunc('day', ts)::TIMESTAMP) * 1000 AS bucket,
+           'time,value' AS columns,
+           string_agg(epoch_us(ts) * 1000 || '=' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), ';'
+                      ORDER BY ts, value) AS rows
+    FROM events GROUP BY event_type, bucket
     """
 )
 def series_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = event_points(spark, sf_dir).select("event_type", "time_ns", "value")
-    series = results.series_rows(points, "events", ["event_type"])
-    total = F.aggregate(
-        "values",
-        F.lit(0).cast("decimal(28,2)"),
-        lambda acc, v: (acc + v[1].cast("decimal(18,2)")).cast("decimal(28,2)"),
-    )
-    parts = series.select(
-        "name",
-        "event_type",
-        F.size("columns").cast("bigint").alias("n_columns"),
-        F.size("values").cast("bigint").alias("n"),
-        total.alias("total"),
-    )
-    return parts.groupBy("name", "event_type", "n_columns").agg(
-        F.sum("n").alias("n_values"), F.sum("total").cast("double").alias("total")
+    series = results.series_rows(points, "events", ["event_type"], "1d")
+    shown = F.transform("values", lambda v: F.concat(v[0], F.lit("="), v[1].cast("decimal(18,2)").cast("string")))
+    return series.select(
+        "name", "event_type", "bucket", F.array_join("columns", ",").alias("columns"), F.array_join(shown, ";").alias("rows")
     )
 
 

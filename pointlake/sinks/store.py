@@ -1,27 +1,35 @@
-"""The partitioned store: ``db=/rp=/measurement=/shard=`` directories of wide Parquet.
-
-``shard`` is the start of the policy's time bucket in seconds. Reads prune by it,
-retention and shard drops remove whole directories, and updates rewrite only the
-buckets they touch. Rewrites use Spark's dynamic partition overwrite, which writes to
-a staging directory and swaps partitions in when the job commits.
+"""The partitioned store: ``db=/rp=/measurement=/shard_s=/shard=`` directories of Parquet.
+
+``shard`` is the start of a time bucket in seconds and ``shard_s`` its length, so the
+data itself says which times a directory holds, whatever the policy says later. Reads
+prune by both, retention and shard drops remove whole directories, and updates rewrite
+only the buckets they touch. Rewrites use Spark's dynamic partition overwrite, which
+writes to a staging directory and swaps partitions in when the job commits; the file
+system needs renames (HDFS, a local disk) or a committer that supports the mode. A store
+takes one writer at a time.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pointlake.functions.columns import ref
-from pointlake.functions.predicate import Where, parse_where
-from pointlake.functions.timecol import SECOND_NS, from_epoch, now_ns
+from pointlake.functions.coercion import typed_value
+from pointlake.functions.columns import ref, type_of
+from pointlake.functions.predicate import Where, parse_where, time_bounds
+from pointlake.functions.text import scalar_text
+from pointlake.functions.timecol import SECOND_NS, duration_ns, from_epoch, now_ns
 from pointlake.model import (
     WEEK_S,
+    FieldType,
     MeasurementSchema,
     NanoTime,
     RetentionPolicy,
@@ -32,11 +40,12 @@ from pointlake.operators.query import empty_measurement
 from pointlake.operators.shards import (
     defaults_by_database,
     shard_id_of,
-    shard_start_of,
     shard_start_s,
+    with_default_policy,
 )
-from pointlake.operators.validate import check_points, require_all, split
-from pointlake.sources.tables import points_of
+from pointlake.operators.validate import check_points
+from pointlake.session import fresh_path
+from pointlake.sources.tables import to_wide
 
 DEFAULT_POLICY = "autogen"
 
@@ -63,6 +72,68 @@ class MeasurementRef:
             raise ValueError(f"A measurement needs a name, got {self.name!r}")
 
 
+# Columns that say where a point belongs; they are not stored with it.
+PLACE_COLUMNS = {"time_ns", "db", "rp", "measurement"}
+
+
+def moment_of(write_time: datetime | NanoTime | None) -> NanoTime:
+    if isinstance(write_time, NanoTime):
+        return write_time
+    return NanoTime.from_datetime(write_time or datetime.now(UTC))
+
+
+def overlapping(
+    wanted: Sequence[tuple[int, int]], stored: Sequence[tuple[int, int]]
+) -> list[tuple[int, int]]:
+    """The stored buckets ``(length, start)`` that share times with the wanted ones, or
+    with a bucket that does: all that has to be rewritten together."""
+    spans = sorted((start, start + length) for length, start in wanted)
+    found: set[tuple[int, int]] = set()
+    while True:
+        merged: list[list[int]] = []
+        for low, high in sorted(spans):
+            if merged and low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], high)
+            else:
+                merged.append([low, high])
+        starts = [m[0] for m in merged]
+        new = []
+        for bucket in stored:
+            length, start = bucket
+            at = bisect_left(starts, start + length) - 1
+            if bucket not in found and at >= 0 and any(
+                low < start + length and start < high for low, high in merged[max(0, at - 1) : at + 1]
+            ):
+                new.append(bucket)
+        if not new:
+            return sorted(found)
+        found.update(new)
+        spans = [tuple(m) for m in merged] + [(start, start + length) for length, start in new]
+
+
+def inferred_schema(points: DataFrame, target: MeasurementRef) -> MeasurementSchema:
+    """Fields and tags of map-form points of one measurement. The driver receives a row
+    for each field name and kind and for each tag name."""
+    value = F.col("value")
+    member = F.when(value["f"].isNotNull(), "f").when(value["i"].isNotNull(), "i").when(
+        value["b"].isNotNull(), "b"
+    ).when(value["s"].isNotNull(), "s")
+    kinds: dict[str, set[str]] = {}
+    fields = points.select(F.explode("fields")).select("key", member.alias("kind")).where("kind IS NOT NULL")
+    for row in fields.distinct().toLocalIterator():
+        kinds.setdefault(row.key, set()).add(row.kind)
+    plain = {"f": FieldType.FLOAT, "i": FieldType.INTEGER, "b": FieldType.BOOLEAN, "s": FieldType.STRING}
+    types = {
+        name: plain[min(found)] if len(found) == 1 else FieldType.FLOAT if found == {"f", "i"} else FieldType.STRING
+        for name, found in kinds.items()
+    }
+    tags = [r.key for r in points.select(F.explode("tags")).where("value IS NOT NULL").select("key").distinct().toLocalIterator()]
+    clash = sorted(set(tags) & set(types))
+    if clash:
+        raise ValueError(f"Both tags and fields of {target.name}: {', '.join(clash)}")
+    return MeasurementSchema(target.name, types, tuple(tags), target.db)
+
+
 @dataclass(frozen=True)
 class Store:
     """A store root with its declared policies and default database."""
@@ -119,76 +190,131 @@ class Store:
         names = [status.getPath().getName() for status in fs.listStatus(handle)]
         return sorted(n for n in names if n.startswith(prefix))
 
+    def buckets(self, measurement: str | MeasurementRef) -> list[tuple[int, int]]:
+        """``(length, start)`` of every stored bucket in seconds, from directory names."""
+        path = self.path_of(self.resolve(measurement))
+        found = []
+        for length in self._children(path, "shard_s="):
+            size = int(length.removeprefix("shard_s="))
+            found += [
+                (size, int(n.removeprefix("shard=")))
+                for n in self._children(f"{path}/{length}", "shard=")
+            ]
+        return sorted(found, key=lambda b: (b[1], b[0]))
+
     def shard_starts(self, measurement: str | MeasurementRef) -> list[int]:
-        children = self._children(self.path_of(self.resolve(measurement)), "shard=")
-        return [int(n.removeprefix("shard=")) for n in children]
+        return sorted({start for _, start in self.buckets(measurement)})
 
     # -- read ------------------------------------------------------------------
 
     def read(
         self,
         measurement: str | MeasurementRef,
-        schema: MeasurementSchema,
+        schema: MeasurementSchema | None = None,
         start: NanoTime | None = None,
         end: NanoTime | None = None,
+        where: Where | None = None,
     ) -> DataFrame:
-        """The wide table; a missing measurement is an empty one. ``start`` (included)
-        and ``end`` (excluded) prune buckets and reach the Parquet scan."""
-        return self._read_shards(measurement, schema, start, end).drop("shard")
+        """The wide table; a missing measurement is an empty one. Without ``schema`` the
+        columns are those of the files. ``start`` (included) and ``end`` (excluded) prune
+        buckets and reach the Parquet scan; so do the times that a builder condition
+        compares ``time_ns`` with."""
+        return self._read_shards(measurement, schema, start, end, where).drop("shard_s", "shard")
+
+    def since(
+        self,
+        measurement: str | MeasurementRef,
+        span: str,
+        schema: MeasurementSchema | None = None,
+        now: datetime | NanoTime | None = None,
+    ) -> DataFrame:
+        """Points later than ``span`` before now; older buckets are not opened."""
+        moment = NanoTime.from_datetime(now or datetime.now(UTC)) if not isinstance(now, int) else now
+        return self.read(measurement, schema, start=NanoTime(int(moment) - duration_ns(span) + 1))
 
     def _read_shards(
         self,
         measurement: str | MeasurementRef,
-        schema: MeasurementSchema,
+        schema: MeasurementSchema | None = None,
         start: NanoTime | None = None,
         end: NanoTime | None = None,
+        where: Where | None = None,
     ) -> DataFrame:
         target = self.resolve(measurement)
         path = self.path_of(target)
         if not self._exists(path):
-            return empty_measurement(self.spark, schema).withColumn(
-                "shard", F.lit(None).cast("bigint")
-            )
-        kind = T.StructType([*schema.struct_type.fields, T.StructField("shard", T.LongType())])
-        df = self.spark.read.schema(kind).parquet(path)
-        shard_s = self.policy_of(target).shard_s
-        if start is not None:
-            df = df.filter(
-                (F.col("shard") >= shard_start_of(int(start), shard_s))
-                & (F.col("time_ns") >= F.lit(int(start)).cast("bigint"))
+            if schema is None:
+                raise ValueError(f"{target.name} is not stored, and no schema says its columns")
+            df = empty_measurement(self.spark, schema).withColumns(
+                {"shard_s": F.lit(None).cast("bigint"), "shard": F.lit(None).cast("bigint")}
             )
-        if end is not None:
-            df = df.filter(
-                (F.col("shard") <= shard_start_of(int(end), shard_s))
-                & (F.col("time_ns") < F.lit(int(end)).cast("bigint"))
+            return df if where is None else df.filter(parse_where(where, df))
+        if schema is None:
+            df = self.spark.read.option("mergeSchema", True).parquet(path)
+            df = df.withColumns({c: F.col(c).cast("bigint") for c in ("shard_s", "shard")})
+        else:
+            kind = T.StructType(
+                [
+                    *schema.struct_type.fields,
+                    T.StructField("shard_s", T.LongType()),
+                    T.StructField("shard", T.LongType()),
+                ]
             )
+            df = self.spark.read.schema(kind).parquet(path)
+        low, high = (None if start is None else int(start)), (None if end is None else int(end))
+        if low is not None:
+            df = df.filter(F.col("time_ns") >= F.lit(low).cast("bigint"))
+        if high is not None:
+            df = df.filter(F.col("time_ns") < F.lit(high).cast("bigint"))
+        if where is not None:
+            df = df.filter(parse_where(where, df))
+            found = time_bounds(where)
+            low = found[0] if low is None else low if found[0] is None else max(low, found[0])
+            high = found[1] if high is None else high if found[1] is None else min(high, found[1])
+        if low is not None:
+            df = df.filter(F.col("shard") + F.col("shard_s") > F.lit(low // SECOND_NS).cast("bigint"))
+        if high is not None:
+            df = df.filter(F.col("shard") <= F.lit((high - 1) // SECOND_NS).cast("bigint"))
         return df
 
     # -- write -----------------------------------------------------------------
 
-    def _laid_out(
-        self,
-        df: DataFrame,
-        schema: MeasurementSchema,
-        target: MeasurementRef,
-        write_time: datetime | None = None,
-    ) -> DataFrame:
-        """Declared columns plus ``shard``, placed for writing: rebalanced by bucket, so
+    def _typed(self, df: DataFrame, schema: MeasurementSchema, moment: NanoTime) -> DataFrame:
+        """Declared columns in their declared types, the time filled. A column that is
+        not declared is an error; a value that does not fit stops the job."""
+        known = {f.name for f in schema.struct_type.fields} | PLACE_COLUMNS
+        extra = sorted(set(df.columns) - known)
+        if extra:
+            raise ValueError(f"Not declared in {schema.ref()}: {', '.join(extra)}")
+        out = [F.coalesce(ref("time_ns"), F.lit(int(moment)).cast("bigint")).alias("time_ns")]
+        for tag in schema.tag_names:
+            value = scalar_text(ref(tag), type_of(df, tag)) if tag in df.columns else F.lit(None).cast("string")
+            out.append(value.alias(tag))
+        for name in schema.field_names:
+            declared = schema.fields[name]
+            if name not in df.columns:
+                out.append(F.lit(None).cast(declared.spark_type).alias(name))
+                continue
+            kind = type_of(df, name)
+            value = typed_value(ref(name), kind, declared)
+            if kind != declared.spark_type or declared is FieldType.FLOAT:
+                message = F.concat(
+                    F.lit(f"Expected {declared.value} value for {schema.ref(name)}, but got '"),
+                    ref(name).cast("string"), F.lit("'"),
+                )
+                wrong = ref(name).isNotNull() & value.isNull()
+                value = F.when(wrong, F.raise_error(message).cast(declared.spark_type)).otherwise(value)
+            out.append(value.alias(name))
+        return df.select(*out)
+
+    def _laid_out(self, df: DataFrame, schema: MeasurementSchema, target: MeasurementRef) -> DataFrame:
+        """The typed points with their bucket, placed for writing: rebalanced by bucket, so
         that a hot bucket spreads over several tasks and small ones share files, and
         sorted by series and time, so that file statistics prune tag and time filters."""
-        moment = NanoTime.from_datetime(write_time or datetime.now(UTC))
-        shaped = df.select(
-            F.coalesce(ref("time_ns"), F.lit(int(moment)).cast("bigint")).alias("time_ns"),
-            *[
-                (ref(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(
-                    f.name
-                )
-                for f in schema.struct_type.fields
-                if f.name != "time_ns"
-            ],
-        )
         shard_s = self.policy_of(target).shard_s
-        placed = shaped.withColumn("shard", shard_start_s(F.col("time_ns"), shard_s))
+        placed = df.withColumns(
+            {"shard_s": F.lit(shard_s).cast("bigint"), "shard": shard_start_s(F.col("time_ns"), shard_s)}
+        )
         order = ["shard", *schema.tag_names, "time_ns"]
         return placed.hint("rebalance", F.col("shard")).sortWithinPartitions(
             *[ref(c) for c in order]
@@ -202,52 +328,83 @@ class Store:
         precision: str = "n",
         write_time: datetime | None = None,
     ) -> None:
-        """Adds points. ``precision`` is the unit of an integer ``time_ns`` column;
-        points without time get the one ``write_time`` of the job."""
-        target = self.resolve(measurement or schema.measurement)
+        """Adds points that are known to be new; ``upsert`` also takes those that are stored
+        already. ``precision`` is the unit of an integer ``time_ns`` column; points without
+        time get the one ``write_time`` of the job."""
+        target = self.resolve(measurement or MeasurementRef(schema.measurement, None, schema.database))
         if precision != "n":
             df = df.withColumn("time_ns", from_epoch(F.col("time_ns"), precision))
-        laid = self._laid_out(df, schema, target, write_time)
-        laid.write.mode("append").partitionBy("shard").parquet(self.path_of(target))
+        typed = self._typed(df, schema, moment_of(write_time))
+        laid = self._laid_out(typed, schema, target)
+        laid.write.mode("append").partitionBy("shard_s", "shard").parquet(self.path_of(target))
 
-    def append_points(
+    def write_points(
         self,
         points: DataFrame,
-        schemas: Sequence[MeasurementSchema],
+        schemas: Sequence[MeasurementSchema] = (),
         retention_policy: str | None = None,
         write_time: datetime | None = None,
         reject_path: str | None = None,
+        known_new: bool = False,
     ) -> None:
-        """Map-form points of several declared measurements, one write each.
-
-        Points that fail their checks, or whose measurement is not declared, go to a
-        table at ``reject_path`` with their ``reason``; without it they stop the job
-        before anything is written for their measurement.
+        """Map-form points of any measurements; a stored point of the same series and time
+        is updated (``known_new`` skips the look for it).
+
+        The batch is checked whole, once, into a staging table of the shared folder, with
+        a directory for each place. Points that fail go to a table at ``reject_path`` with
+        their ``reason``; without it they stop the job before anything is written. A row's
+        own ``rp`` comes first, then ``retention_policy``, then the database's default.
+        Measurements without a declared schema take fields and tags from their points;
+        a field with numbers of both kinds is FLOAT, with other mixtures STRING.
         """
+        moment = moment_of(write_time)
         declared = SchemaSet(schemas, self.database)
         db = F.coalesce(F.col("db"), F.lit(self.database).cast("string"))
         checked = check_points(points, declared, database=self.database)
-        known = F.lit(False)
-        for schema in declared:
-            known = known | (
-                (db == schema.database) & (F.col("measurement") == schema.measurement)
+        reason = F.coalesce("reason", F.when(db.isNull(), F.lit("Missing database")))
+        if "raw_time" in checked.columns:
+            untimed = F.concat(F.lit("Expected a whole time in range, but got '"), F.col("raw_time"), F.lit("'"))
+            reason = F.coalesce(reason, F.when(F.col("raw_time").isNotNull() & F.col("time_ns").isNull(), untimed))
+        chosen = with_default_policy(
+            checked.withColumns({"reason": reason, "db": db}), self.policies
+        ).withColumn("rp", F.coalesce("rp", F.lit(retention_policy).cast("string"), "default_rp", F.lit(DEFAULT_POLICY)))
+        kept = ["db", "rp", "measurement", "tags", "fields", "time_ns", "reason"]
+        places = ["_failed", "_db", "_rp", "_measurement"]
+        staged_path = fresh_path(self.spark, "staged")
+        (
+            chosen.select(
+                *kept, F.col("reason").isNotNull().alias("_failed"), F.col("db").alias("_db"),
+                F.col("rp").alias("_rp"), F.col("measurement").alias("_measurement"),
             )
-        unknown = F.concat(
-            F.lit("No schema declared for "), F.concat_ws(".", db, F.col("measurement"))
+            .write.partitionBy(*places).parquet(staged_path)
         )
-        checked = checked.withColumn(
-            "reason",
-            F.coalesce("reason", F.when(~F.coalesce(known, F.lit(False)), unknown)),
+        kind = T.StructType(
+            [f for f in chosen.select(*kept).schema.fields]
+            + [T.StructField("_failed", T.BooleanType()), *(T.StructField(p, T.StringType()) for p in places[1:])]
         )
-        if reject_path is None:
-            good = require_all(checked)
-        else:
-            good, rejects = split(checked)
-            rejects.write.parquet(reject_path)
-        good = good.withColumn("db", db)
-        for schema in declared:
-            target = MeasurementRef(schema.measurement, retention_policy, schema.database)
-            self.append(points_of(good, schema), schema, target, write_time=write_time)
+        staged = self.spark.read.schema(kind).parquet(staged_path)
+        failed = staged.filter("_failed").drop(*places)
+        if reject_path is not None:
+            failed.write.parquet(reject_path)
+        elif (first := failed.select("reason").first()) is not None:
+            raise ValueError(first.reason)
+        good = staged.filter("NOT _failed")
+        # One row for each stored place, from directory names.
+        for place in good.select(*places[1:]).distinct().toLocalIterator():
+            target = MeasurementRef(place["_measurement"], place["_rp"], place["_db"])
+            own = good.filter(
+                (F.col("_db") == target.db) & (F.col("_rp") == target.policy) & (F.col("_measurement") == target.name)
+            )
+            schema = declared.get(target.db, target.name) or inferred_schema(own, target)
+            wide = to_wide(own, schema)
+            if known_new:
+                self.append(wide, schema, target, write_time=moment)
+            else:
+                self.upsert(wide, schema, target, write_time=moment)
+
+    def append_points(self, points: DataFrame, schemas: Sequence[MeasurementSchema] = (), **options) -> None:
+        """``write_points`` for points known to be new."""
+        self.write_points(points, schemas, known_new=True, **options)
 
     def write_into(
         self,
@@ -261,64 +418,139 @@ class Store:
 
     # -- update and delete -----------------------------------------------------
 
-    def _shards_of(self, df: DataFrame, shard_s: int) -> list[int]:
-        """Buckets the rows fall into. Bounded by the number of bucket directories."""
-        starts = df.select(shard_start_s(F.col("time_ns"), shard_s).alias("shard")).distinct()
-        return sorted(row.shard for row in starts.toLocalIterator())
-
     def _replace(self, laid: DataFrame, target: MeasurementRef) -> None:
         (
             laid.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("shard")
+            .partitionBy("shard_s", "shard")
             .parquet(self.path_of(target))
         )
 
+    def _rewrite(
+        self, merged: DataFrame, schema: MeasurementSchema, target: MeasurementRef,
+        read: Sequence[tuple[int, int]], emptied: bool = False,
+    ) -> None:
+        """Writes points in place of the buckets they were read from. Buckets of another
+        length than the policy's are removed afterwards, as their points have moved."""
+        laid = self._laid_out(merged, schema, target)
+        gone = {b for b in read if b[0] != self.policy_of(target).shard_s}
+        if emptied:
+            filled = {(r.shard_s, r.shard) for r in laid.select("shard_s", "shard").distinct().toLocalIterator()}
+            gone = set(read) - filled
+        self._replace(laid, target)
+        self._remove_shards(target, sorted(gone))
+
+    def _in_buckets(self, buckets: Sequence[tuple[int, int]]) -> Column:
+        chosen = F.lit(False)
+        for length in sorted({b[0] for b in buckets}):
+            starts = [start for size, start in buckets if size == length]
+            chosen = chosen | ((F.col("shard_s") == length) & F.col("shard").isin(starts))
+        return chosen
+
     def upsert(
         self,
         incoming: DataFrame,
         schema: MeasurementSchema,
         measurement: str | MeasurementRef | None = None,
         write_seq: str | None = None,
+        write_time: datetime | NanoTime | None = None,
     ) -> None:
         """Updates by series and time; only the buckets of the incoming points are read
-        and rewritten. Repeating it with the same points changes nothing."""
-        target = self.resolve(measurement or schema.measurement)
-        touched = self._shards_of(incoming, self.policy_of(target).shard_s)
+        and rewritten. Repeating it with the same points and ``write_time`` changes
+        nothing. Points without time get that time first, so they meet their bucket too."""
+        target = self.resolve(measurement or MeasurementRef(schema.measurement, None, schema.database))
+        moment = moment_of(write_time)
+        carried = schema
+        if write_seq:  # the order of writes goes along with the typed columns
+            fields = {**schema.fields, write_seq: FieldType.INTEGER}
+            carried = MeasurementSchema(schema.measurement, fields, schema.tags, schema.database)
+        typed = self._typed(incoming, carried, moment)
+        shard_s = self.policy_of(target).shard_s
+        # One row for each bucket that the points fall into.
+        starts = typed.select(shard_start_s(F.col("time_ns"), shard_s).alias("shard")).distinct()
+        touched = [(shard_s, row.shard) for row in starts.toLocalIterator()]
         if not touched:
             return
-        stored = self._read_shards(target, schema).filter(F.col("shard").isin(touched))
-        merged = upsert_points(
-            stored.drop("shard"), incoming, schema.tag_names, schema.field_names, write_seq
+        read = overlapping(touched, self.buckets(target))
+        stored = self._read_shards(target, schema).filter(self._in_buckets(read)).drop("shard_s", "shard")
+        merged = upsert_points(stored, typed, schema.tag_names, schema.field_names, write_seq)
+        self._rewrite(merged, schema, target, read)
+
+    def replace_from(
+        self,
+        incoming: DataFrame,
+        schema: MeasurementSchema,
+        measurement: str | MeasurementRef,
+        start: NanoTime,
+    ) -> None:
+        """Puts the points in place of all stored ones from ``start`` on."""
+        target = self.resolve(measurement)
+        typed = self._typed(incoming, schema, start).filter(F.col("time_ns") >= F.lit(int(start)).cast("bigint"))
+        first = int(start) // SECOND_NS
+        late = [b for b in self.buckets(target) if b[0] + b[1] > first]
+        read = overlapping(late, self.buckets(target))
+        kept = (
+            self._read_shards(target, schema).filter(self._in_buckets(read)).drop("shard_s", "shard")
+            .filter(F.col("time_ns") < F.lit(int(start)).cast("bigint"))
         )
-        self._replace(self._laid_out(merged, schema, target), target)
+        merged = kept.unionByName(typed)
+        if read or not merged.isEmpty():
+            self._rewrite(merged, schema, target, read, emptied=True)
 
     def delete(
-        self, schema: MeasurementSchema, measurement: str | MeasurementRef, where: Where
+        self,
+        schema: MeasurementSchema | None = None,
+        measurement: str | MeasurementRef | None = None,
+        where: Where | None = None,
+        db: str | None = None,
     ) -> None:
         """Deletes points. Buckets without a hit stay untouched, buckets that lose all
-        their points are removed, the others are rewritten."""
-        target = self.resolve(measurement)
-        stored = self._read_shards(target, schema)
-        dropped = F.coalesce(parse_where(where, stored), F.lit(False))
-        hits = (
-            stored.groupBy("shard")
-            .agg(F.count_if(dropped).alias("hit"), F.count(F.lit(1)).alias("n"))
-            .filter("hit > 0")
-        )
-        # One row per bucket directory of this measurement.
-        touched = list(hits.toLocalIterator())
-        emptied = [r.shard for r in touched if r.hit == r.n]
-        partial = [r.shard for r in touched if r.hit < r.n]
+        their points are removed, the others are rewritten. Without ``measurement`` the
+        condition goes to every measurement of the database that has its columns."""
+        if where is None:
+            raise ValueError("Deleting needs a condition; drop_measurement drops everything")
+        if measurement is None:
+            for target in self.targets():
+                if target.db == (db or self.database):
+                    self._delete_known(target, where)
+            return
+        self._delete(self.resolve(measurement), schema, where)
+
+    def _delete_known(self, target: MeasurementRef, where: Where) -> None:
+        try:
+            self._read_shards(target, where=where)
+        except AnalysisException as missing:
+            if "UNRESOLVED_COLUMN" not in str(missing):
+                raise
+            return  # the measurement lacks a column of the condition: no point meets it
+        self._delete(target, None, where)
+
+    def _delete(self, target: MeasurementRef, schema: MeasurementSchema | None, where: Where) -> None:
+        hit = self._read_shards(target, schema, where=where)
+        # One row for each bucket with a hit; buckets outside the condition's times are not opened.
+        hits = {
+            (r.shard_s, r.shard): r.n
+            for r in hit.groupBy("shard_s", "shard").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()
+        }
+        if not hits:
+            return
+        stored = self._read_shards(target, schema).filter(self._in_buckets(list(hits)))
+        sizes = {
+            (r.shard_s, r.shard): r.n
+            for r in stored.groupBy("shard_s", "shard").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()
+        }
+        partial = [b for b in hits if hits[b] < sizes[b]]
         if partial:
-            chosen = stored.filter(F.col("shard").isin(partial))
-            kept = keep_unless(chosen, dropped).drop("shard")
-            self._replace(self._laid_out(kept, schema, target), target)
-        self._remove_shards(target, emptied)
+            chosen = stored.filter(self._in_buckets(partial))
+            dropped = F.coalesce(parse_where(where, chosen), F.lit(False))
+            # The rows stay in their buckets.
+            laid = keep_unless(chosen, dropped).hint("rebalance", F.col("shard")).sortWithinPartitions("shard", "time_ns")
+            self._replace(laid, target)
+        self._remove_shards(target, [b for b in hits if hits[b] == sizes[b]])
 
-    def _remove_shards(self, target: MeasurementRef, starts: Sequence[int]) -> None:
-        for start in starts:
-            self._remove(f"{self.path_of(target)}/shard={start}")
+    def _remove_shards(self, target: MeasurementRef, buckets: Sequence[tuple[int, int]]) -> None:
+        for length, start in buckets:
+            self._remove(f"{self.path_of(target)}/shard_s={length}/shard={start}")
 
     def drop_measurement(self, measurement: str, db: str | None = None) -> None:
         """Removes the measurement under every policy of the database."""
@@ -334,6 +566,12 @@ class Store:
     def drop_database(self, db: str) -> None:
         self._remove(f"{self.root}/db={path_part(db)}")
 
+    def databases(self) -> list[str]:
+        return sorted({t.db for t in self.targets()})
+
+    def measurements(self, db: str | None = None) -> list[str]:
+        return sorted({t.name for t in self.targets() if t.db == (db or self.database)})
+
     def targets(self) -> list[MeasurementRef]:
         """Every stored measurement, from directory names."""
         found = []
@@ -347,9 +585,9 @@ class Store:
     def drop_shard(self, number: int) -> None:
         """Removes the bucket of that id from every measurement: directories only."""
         for target in self.targets():
-            for start in self.shard_starts(target):
+            for length, start in self.buckets(target):
                 if shard_id_of(target.db, target.policy, start) == number:
-                    self._remove_shards(target, [start])
+                    self._remove_shards(target, [(length, start)])
 
     def apply_retention(self, now: datetime | NanoTime) -> None:
         """Removes the buckets whose last point is past its policy's duration. Buckets
@@ -361,7 +599,7 @@ class Store:
             if policy.duration_s == 0:
                 continue
             oldest_s = int(moment) // SECOND_NS - policy.duration_s
-            gone = [s for s in self.shard_starts(target) if s + policy.shard_s <= oldest_s]
+            gone = [b for b in self.buckets(target) if sum(b) <= oldest_s]
             self._remove_shards(target, gone)
 
     def keep_valid(self, measurement: str | MeasurementRef, now: datetime | None = None) -> Column:
@@ -393,8 +631,15 @@ def write_points(
     retention_policy: str | None = None,
     precision: str = "n",
     write_time: datetime | None = None,
+    known_new: bool = False,
 ) -> None:
+    """A wide table; stored points of the same series and time are updated."""
     target = MeasurementRef(
         schema.measurement, retention_policy, database or schema.database or store.database
     )
-    store.append(df, schema, target, precision, write_time)
+    if known_new:
+        store.append(df, schema, target, precision, write_time)
+        return
+    if precision != "n":
+        df = df.withColumn("time_ns", from_epoch(F.col("time_ns"), precision))
+    store.upsert(df, schema, target, write_time=write_time)

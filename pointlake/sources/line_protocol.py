@@ -201,7 +201,7 @@ def annotate_lines(
         )
         .when(~distinct_keys("_tags"), F.lit("repeated tag"))
         .when(~distinct_keys("_fields"), F.lit("repeated field"))
-        .when(timed & F.col("_number").isNull(), F.lit("time out of range"))
+        .when(timed & from_epoch(F.col("_number"), precision).isNull(), F.lit("time out of range"))
     )
     cut = computed_once(
         cut, {"reason": reason}, [*own, "_name", "_tags", "_fields", "_number"]
@@ -311,6 +311,7 @@ def annotate_table_lines(
         *checks,
         F.when(~whole, F.lit(f"undeclared, repeated or malformed part for {schema.ref()}")),
         F.when((F.col("_stamp") != "") & number.isNull(), F.lit("not a time")),
+        F.when(number.isNotNull() & from_epoch(number, precision).isNull(), F.lit("time out of range")),
     )
     return cut.select(
         *[ref(c) for c in own],

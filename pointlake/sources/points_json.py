@@ -68,6 +68,8 @@ def read_points_json(
         ),
         F.when(raw_time != "", raw_time).alias("raw_time"),
     )
+    # Only digits are a time: 1e9 and 5.5 go to the checks as they are written.
+    digits = F.col("raw_time").rlike(r"^-?[0-9]+$")
     return points.withColumn(
-        "time_ns", from_epoch(F.col("raw_time").try_cast("bigint"), precision)
+        "time_ns", F.when(digits, from_epoch(F.col("raw_time").try_cast("bigint"), precision))
     )

@@ -133,12 +133,14 @@ def resample_stream(
     scale: int | None = None,
 ) -> StreamingQuery:
     """Recomputes the last ``span`` each time points have arrived, at most once per
-    ``resample_every``, and updates the target measurement. ``read_source`` is given the
+    ``resample_every``, and puts the result in place of the target's span. ``read_source`` is given the
     start of the span, so it can read only the buckets from there on."""
 
     def update(_: DataFrame, __: int) -> None:
-        recent = read_source(resample_start(every, span, clock()))
-        store.upsert(mean(recent, field, schema.tag_names, every, scale=scale), schema, into)
+        start = resample_start(every, span, clock())
+        recent = read_source(start)
+        # In place of the whole span: a bucket whose points are gone goes too.
+        store.replace_from(mean(recent, field, schema.tag_names, every, scale=scale), schema, into, start)
 
     writer = (
         arrivals.writeStream.queryName(name)

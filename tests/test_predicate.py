@@ -4,8 +4,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from pointlake.functions.predicate import Expression, parse_where
-from pointlake.model import FieldType, MeasurementSchema, NanoTime
+from pointlake.functions.predicate import Expression, parse_where, time_bounds
+from pointlake.model import POINT_SCHEMA, FieldType, MeasurementSchema, NanoTime
 from pointlake.sources.tables import to_point_form
 
 ROWS = [
@@ -147,3 +147,40 @@ def test_map_form(spark, df):
 def test_datetimes(spark):
     df = spark.sql("SELECT 1 id, TIMESTAMP_NTZ'2024-01-01 00:00:00' ts")
     assert ids(df, lambda e: e.field("ts").equals.value(datetime(2024, 1, 1))) == [1]
+
+
+def test_numeric_tag_columns_bear_any_text(spark):
+    df = spark.createDataFrame([(8, 1), (-3, 2), (None, 3)], "t bigint, id int")
+    for text, ids in (("8", [1]), ("-3", [2]), ("08", []), ("eight", []), ("9" * 30, []), ("", [])):
+        found = df.filter(Expression().tag("t").equals.value(text).to_column(df))
+        assert [r.id for r in found.collect()] == ids
+    assert df.filter(Expression().tag("t").not_equal.value("eight").to_column(df)).count() == 2
+
+
+def test_map_integers_are_compared_exactly(spark):
+    value = lambda **v: {"f": None, "i": None, "s": None, "b": None, **v}
+    rows = [
+        ("m", {"a": value(i=2**53 + 1), "b": value(i=2**53)}, 1), ("m", {"a": value(i=2**53), "b": value(f=2.0**53)}, 2),
+        ("m", {"a": value(s="x"), "b": value(s="x")}, 3), ("m", {"a": value(f=0.5), "b": value(s="0.5")}, 4),
+    ]
+    points = [("db", None, m, {}, f, t) for m, f, t in rows]
+    df = spark.createDataFrame(points, POINT_SCHEMA)
+
+    def found(build):
+        return sorted(r.time_ns for r in df.filter(build(Expression()).to_column(df)).collect())
+
+    assert found(lambda e: e.field("a").equals.value(2**53 + 1)) == [1]
+    assert found(lambda e: e.field("a").gte.value(2**53)) == [1, 2]
+    assert found(lambda e: e.field("a").equals.field("b")) == [2, 3]
+    assert found(lambda e: e.field("a").lt.value(0.75)) == [4]
+    assert found(lambda e: e.field("a").equals.value("x")) == [3]
+
+
+def test_time_bounds():
+    bounds = lambda build: time_bounds(build)
+    assert bounds(lambda e: e.field("time_ns").gt.value(5).and_.field("time_ns").lte.value(9)) == (6, 10)
+    assert bounds(lambda e: e.value(7).gte.field("time_ns").and_.tag("x").equals.value("y")) == (None, 8)
+    assert bounds(lambda e: e.field("time_ns").equals.value(4)) == (4, 5)
+    assert bounds(lambda e: e.field("time_ns").gt.value(5).or_.tag("x").equals.value("y")) == (None, None)
+    assert bounds(lambda e: e.field("time_ns").plus.value(1).gt.value(5)) == (None, None)
+    assert bounds("time_ns > 5") == (None, None)

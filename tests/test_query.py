@@ -8,17 +8,7 @@ from pointlake.operators import catalog, lifecycle, query
 from pointlake.operators.shards import shard_id_of, shard_start_of
 from pointlake.sources.line_protocol import parse_lines
 from pointlake.sources.tables import points_from_table, points_of, to_point_form
-from samples import (
-    H2O_FEET,
-    H2O_QUALITY,
-    NEWEST_NS,
-    SAMPLE,
-    SERIES,
-    sample_lines,
-    water_points,
-)
-
-MS = 10**6
+from samples import FAN, PROBES, RAIN, READINGS, START_NS, STEP_NS, rain_points, readings, sample_lines
 
 
 @pytest.fixture(scope="module")
@@ -29,41 +19,34 @@ def sample(spark):
 
 
 @pytest.fixture(scope="module")
-def series_0(sample):
-    return points_of(sample, SAMPLE)
+def fan(sample):
+    return points_of(sample, FAN)
 
 
-# -- selection and aggregates ----------------------------------------------------------
+def loads(site=None):
+    return [(load, t) for _, s, load, t in readings("fan") if site in (None, s)]
 
 
-def test_newest_first(series_0):
-    tagged = query.where(series_0, lambda e: e.tag("my_tag").equals.value("1"))
-    rows = query.latest(tagged, 10).collect()
-    assert [(r.time_ns, r.my_value) for r in rows] == [(NEWEST_NS, 67.0), (NEWEST_NS - MS, 32.0)]
+# -- selection and aggregates ----------------------------------------------------------
 
 
-def test_top(series_0):
-    rows = query.top(series_0, "my_value", 1, ["my_tag"]).orderBy("my_tag").collect()
-    assert [(r.my_tag, r.top) for r in rows] == [
-        ("0", 85.0), ("1", 67.0), ("5", 93.0), ("6", 98.0), ("7", 28.0), ("8", 75.0), ("9", 44.0),
-    ]
-    ms = {r.my_tag: (r.time_ns - 1475115549000 * MS) // MS for r in rows}
-    assert ms == {"0": 375, "1": 380, "5": 374, "6": 378, "7": 379, "8": 377, "9": 376}
+def test_newest_first(fan):
+    tagged = query.where(fan, lambda e: e.tag("site").equals.value("east"))
+    rows = query.latest(tagged, 3).collect()
+    assert [(r.load, r.time_ns) for r in rows] == loads("east")[::-1][:3]
 
 
-def test_top_n_against_brute_force(series_0):
-    rows = query.top(series_0, "my_value", 3, ["my_tag"]).collect()
-    for tag, values in SERIES["series_0"].items():
-        ranked = sorted(
-            ((-v, NEWEST_NS - i * MS) for i, v in enumerate(values))
-        )[:3]
-        got = sorted((-r.top, r.time_ns) for r in rows if r.my_tag == tag)
-        assert got == [(float(v), t) for v, t in ranked]
+@pytest.mark.parametrize("n", [1, 3])
+def test_top(fan, n):
+    rows = query.top(fan, "load", n, ["site"]).collect()
+    for site in READINGS["fan"]:
+        want = sorted(loads(site), key=lambda r: (-r[0], r[1]))[:n]
+        assert sorted(((r.top, r.time_ns) for r in rows if r.site == site), key=lambda r: (-r[0], r[1])) == want
 
 
-def test_top_without_tags(series_0):
-    rows = query.top(series_0, "my_value", 2).collect()
-    assert [r.top for r in rows] == [98.0, 93.0]
+def test_top_without_tags(fan):
+    rows = query.top(fan, "load", 2).collect()
+    assert [r.top for r in rows] == sorted((load for load, _ in loads()), reverse=True)[:2]
 
 
 def test_ties_go_to_the_earliest(spark):
@@ -75,29 +58,30 @@ def test_ties_go_to_the_earliest(spark):
     assert [(r.time_ns, r.top) for r in row] == [(1, 5.0)]
 
 
-def test_mean(series_0):
-    rows = query.mean(series_0, "my_value", ["my_tag"], scale=2).collect()
-    assert {r.my_tag: r["mean"] for r in rows} == {
-        t: sum(v) / len(v) for t, v in SERIES["series_0"].items()
-    }
-    plain = query.mean(series_0, "my_value", ["my_tag"]).collect()
-    assert {r.my_tag: round(r["mean"], 9) for r in plain} == {
-        t: round(sum(v) / len(v), 9) for t, v in SERIES["series_0"].items()
-    }
+def test_mean(fan):
+    want = {site: sum(v for v, _ in loads(site)) / n for site, n in READINGS["fan"].items()}
+    for scale in (None, 2):
+        rows = query.mean(fan, "load", ["site"], scale=scale).collect()
+        assert {r.site: round(r["mean"], 9) for r in rows} == {s: round(v, 9) for s, v in want.items()}
 
 
-def test_mean_by_time(series_0):
-    rows = query.mean(series_0, "my_value", every="5ms", counted=True).collect()
-    want: dict[int, list[int]] = {}
-    for values in SERIES["series_0"].values():
-        for i, v in enumerate(values):
-            t = NEWEST_NS - i * MS
-            want.setdefault(t - t % (5 * MS), []).append(v)
-    assert {r.time_ns: (r["mean"], r.n) for r in rows} == {
-        t: (sum(v) / len(v), len(v)) for t, v in want.items()
+def test_mean_by_time(fan):
+    rows = query.mean(fan, "load", every="1ms", counted=True).collect()
+    want: dict[int, list[float]] = {}
+    for load, t in loads():
+        want.setdefault(t - t % 10**6, []).append(load)
+    assert len(want) == 3
+    assert {r.time_ns: (round(r["mean"], 9), r.n) for r in rows} == {
+        t: (round(sum(v) / len(v), 9), len(v)) for t, v in want.items()
     }
 
 
+@pytest.mark.parametrize("values", [[0.001], [1e17, 3e17], [0.125, 0.25, 1e-9]])
+def test_means_keep_small_and_large_values(spark, values):
+    df = spark.createDataFrame([("a", v) for v in values], "t string, v double")
+    assert query.mean(df, "v", ["t"]).first()["mean"] == pytest.approx(sum(values) / len(values), rel=1e-12)
+
+
 def test_buckets_before_the_epoch(spark):
     df = spark.createDataFrame([(-1, 1.0), (0, 3.0), (-1000, 5.0)], "time_ns bigint, v double")
     rows = query.mean(df, "v", every="1u").collect()
@@ -110,69 +94,62 @@ def test_mean_ignores_nulls(spark):
     assert {r.t: r["mean"] for r in rows} == {"a": 2.0, "b": None}
 
 
-def test_since(spark, series_0):
-    now = NanoTime(NEWEST_NS)
-    assert query.since(series_0, "1ms", now).filter(f"time_ns < {NEWEST_NS}").count() == 0
-    assert query.since(series_0, "2ms", now).select("time_ns").distinct().count() == 2
-    assert query.since(series_0, "10s").count() == 0
+def test_since(spark, fan):
+    now = NanoTime(START_NS + 10 * STEP_NS)
+    assert query.since(fan, "250u", now).count() == 1
+    assert query.since(fan, "1ms", now).count() == sum(t > now - 10**6 for _, t in loads())
+    assert query.since(fan, "10s", NanoTime(START_NS + 20 * 10**9)).count() == 0
     stamps = spark.sql("SELECT current_timestamp() - INTERVAL 5 SECOND ts")
     assert query.since(stamps, "10s", time="ts").count() == 1
     assert query.since(stamps, "1s", time="ts").count() == 0
 
 
-def test_bound_parameters(spark, series_0):
-    text = "SELECT * FROM {t} WHERE my_tag = :tag AND my_value >= :least"
-    got = query.bound_query(spark, text, {"tag": "1", "least": 40}, t=series_0)
-    assert got.count() == 1
-    evil = query.bound_query(spark, text, {"tag": "1' OR '1'='1", "least": 0}, t=series_0)
-    assert evil.count() == 0
+def test_bound_parameters(spark, fan):
+    text = "SELECT * FROM {t} WHERE site = :site AND load >= :least"
+    least = sorted(load for load, _ in loads("north"))[5]
+    got = query.bound_query(spark, text, {"site": "north", "least": least}, t=fan)
+    assert got.count() == sum(load >= least for load, _ in loads("north"))
+    sly = query.bound_query(spark, text, {"site": "x' OR 'y' < 'z", "least": 0}, t=fan)
+    assert sly.count() == 0
 
 
 def test_missing_measurement(spark):
-    empty = query.empty_measurement(spark, SAMPLE)
-    assert empty.count() == 0 and empty.columns == ["time_ns", "my_tag", "my_value"]
+    empty = query.empty_measurement(spark, FAN)
+    assert empty.count() == 0 and empty.columns == ["time_ns", "site", "load"]
 
 
-def test_order_of_groups(series_0):
-    rows = query.order_groups(series_0, ["my_tag"]).collect()
-    assert [(r.my_tag, -r.time_ns) for r in rows] == sorted((r.my_tag, -r.time_ns) for r in rows)
+def test_order_of_groups(fan):
+    rows = query.order_groups(fan, ["site"]).collect()
+    assert [(r.site, -r.time_ns) for r in rows] == sorted((r.site, -r.time_ns) for r in rows)
 
 
-def test_select(series_0):
-    assert query.select_all(series_0).columns[0] == "time_ns"
-    assert query.select_columns(series_0, "my_value").columns == ["my_value"]
+def test_select(fan):
+    assert query.select_all(fan).columns[0] == "time_ns"
+    assert query.select_columns(fan, "load").columns == ["load"]
 
 
 # -- listings ---------------------------------------------------------------------------
 
 
 def test_listings(sample):
-    assert [r.name for r in catalog.show_measurements(sample).collect()] == list(SERIES)
+    assert [r.name for r in catalog.show_measurements(sample).collect()] == sorted(READINGS)
     assert [r.name for r in catalog.show_databases(sample).collect()] == ["db"]
-    keys = [f"{s},my_tag={t}" for s, tags in SERIES.items() for t in tags]
+    keys = sorted(f"{machine},site={site}" for machine, sites in READINGS.items() for site in sites)
     assert [r.key for r in catalog.show_series(sample).collect()] == keys
-    one = [r.key for r in catalog.show_series(sample, "db", "series_1").collect()]
-    assert one == [k for k in keys if k.startswith("series_1")]
+    one = [r.key for r in catalog.show_series(sample, "db", "mill").collect()]
+    assert one == [k for k in keys if k.startswith("mill")]
     assert catalog.show_series(sample, "elsewhere").count() == 0
 
 
-def test_water_series(spark):
-    rows = spark.createDataFrame([(p["measurement"], p["tags"]) for p in water_points()],
+def test_series_of_points(spark):
+    rows = spark.createDataFrame([(p["measurement"], p["tags"]) for p in rain_points()],
                                  "measurement string, tags map<string,string>")
-    keys = [r.key for r in catalog.show_series(rows).collect()]
-    assert keys == [
-        "h2o_feet,location=coyote_creek",
-        "h2o_feet,location=santa_monica",
-        "h2o_quality,location=coyote_creek,randtag=1",
-        "h2o_quality,location=coyote_creek,randtag=2",
-        "h2o_quality,location=coyote_creek,randtag=3",
-    ]
-    kept = lifecycle.drop_series(
-        rows, "h2o_quality", lambda e: e.tag("randtag").equals.value("1")
-    )
-    left = [r.key for r in catalog.show_series(kept).collect()]
-    assert left == [k for k in keys if not k.endswith("randtag=1")]
-    assert H2O_FEET.field_names and H2O_QUALITY.tag_names == ["location", "randtag"]
+    keys = ["probes,basin=upper,depth\\ class=deep", "probes,basin=upper,depth\\ class=flat",
+            "rain,basin=lower", "rain,basin=upper"]
+    assert [r.key for r in catalog.show_series(rows).collect()] == keys
+    kept = lifecycle.drop_series(rows, "probes", lambda e: e.tag("depth class").equals.value("deep"))
+    assert [r.key for r in catalog.show_series(kept).collect()] == keys[1:]
+    assert RAIN.field_names == ["depth", "kind of day"] and PROBES.tag_names == ["basin", "depth class"]
 
 
 def test_series_key_escapes(spark):
@@ -247,12 +224,13 @@ def test_unknown_conditions_keep_rows(spark):
 
 
 def test_drops(sample):
-    assert lifecycle.drop_measurement(sample, "series_0").count() == 96 - 45
-    assert lifecycle.drop_measurement(sample, "series_0", "elsewhere").count() == 96
+    everything, fans = len(readings()), len(readings("fan"))
+    assert lifecycle.drop_measurement(sample, "fan").count() == everything - fans
+    assert lifecycle.drop_measurement(sample, "fan", "elsewhere").count() == everything
     assert lifecycle.drop_database(sample, "db").count() == 0
-    assert lifecycle.drop_retention_policy(sample, "db", "7d").count() == 96
-    by_tag = lifecycle.drop_series(sample, where=lambda e: e.tag("my_tag").equals.value("0"))
-    assert by_tag.count() == 96 - 6 - 8
+    assert lifecycle.drop_retention_policy(sample, "db", "7d").count() == everything
+    by_tag = lifecycle.drop_series(sample, where=lambda e: e.tag("site").equals.value("east"))
+    assert by_tag.count() == sum(site != "east" for _, site, _, _ in readings())
 
 
 def test_retention(spark):
@@ -332,14 +310,14 @@ def test_points_from_table(spark):
     assert (typed.v, typed.n) == (3, 7.0)
     seconds = spark.sql("SELECT 'a' t, 1D v, 5 at")
     assert points_from_table(seconds, "m", ["t"], ["v"], "at", "s").first().time_ns == 5 * 10**9
-    text = spark.sql("SELECT 'a' t, 1D v, '2015-08-18T00:00:00Z' at")
-    assert points_from_table(text, "m", ["t"], ["v"], "at").first().time_ns == 1439856000 * 10**9
+    text = spark.sql("SELECT 'a' t, 1D v, '2031-02-03T04:05:06Z' at")
+    assert points_from_table(text, "m", ["t"], ["v"], "at").first().time_ns == 1927857906 * 10**9
 
 
-def test_point_forms(spark, series_0):
-    mapped = to_point_form(series_0, SAMPLE, db="db", rp="r")
+def test_point_forms(spark, fan):
+    mapped = to_point_form(fan, FAN, db="db", rp="r")
     assert mapped.columns == ["db", "rp", "measurement", "tags", "fields", "time_ns"]
-    back = points_of(mapped, SAMPLE)
-    assert back.exceptAll(series_0.select(back.columns)).count() == 0
-    assert back.count() == 45
-    assert mapped.filter(F.col("tags")["my_tag"] == "1").count() == 2
+    back = points_of(mapped, FAN)
+    assert back.exceptAll(fan.select(back.columns)).count() == 0
+    assert back.count() == len(readings("fan"))
+    assert mapped.filter(F.col("tags")["site"] == "south").count() == READINGS["fan"]["south"]

@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 from pointlake.operators import results
 from pointlake.sources.responses import read_responses
 
-MS = 10**6
-
-
 def documents(spark, *docs):
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, doc string")
     return results.parse_documents(df, "doc")
@@ -23,61 +20,59 @@ def flat(spark, doc, columns, tags=(), precision=None):
     return df.orderBy("result_index", "series_index", "row_index")
 
 
-def table(name="test_series", columns=("time", "mean"), values=(), **more):
+def table(name="fan", columns=("time", "load"), values=(), **more):
     return {"name": name, "columns": list(columns), "values": [list(v) for v in values], **more}
 
 
-def test_empty(spark):
-    for doc in (one(table()), {"results": [{}]}, one({"columns": ["user", "admin"]}),
-                {"results": []}, one({"name": "x"})):
-        assert flat(spark, doc, {"mean": "double"}).count() == 0
+@pytest.mark.parametrize(
+    "doc", [{}, {"results": None}, one(), {"results": [{}, {"series": None}]}, one(table()), one({"name": "fan", "columns": ["load"]})]
+)
+def test_no_rows(spark, doc):
+    assert flat(spark, doc, {"load": "double"}).count() == 0
 
 
 @pytest.mark.parametrize(
-    "times, precision, expected",
+    "texts, precision, expected",
     [
-        (["2016-09-25T16:12:51.787Z", "2016-09-25T16:34:31.999Z"], None,
-         [1474819971787 * MS, 1474821271999 * MS]),
-        (["2015-08-18T00:00:00Z", "2015-08-18T00:06:00Z"], None,
-         [1439856000000 * MS, 1439856360000 * MS]),
-        ([1474819971787, 1474821271999], "ms", [1474819971787 * MS, 1474821271999 * MS]),
-        ([1474819971787000, 1474821271999000], "u", [1474819971787 * MS, 1474821271999 * MS]),
-        ([1475985480231035677, 5], None, [1475985480231035677, 5]),
+        (["2031-02-03T04:05:06Z", "2031-02-03T04:05:06.7Z", "1969-12-31T23:59:59.999999999Z"], None,
+         [1927857906 * 10**9, 19278579067 * 10**8, -1]),
+        ([-3, 0, 1987654321], "s", [-3 * 10**9, 0, 1987654321 * 10**9]),
+        ([7, "8"], "h", [7 * 3600 * 10**9, 8 * 3600 * 10**9]),
+        ([1987654321012345678, -1], None, [1987654321012345678, -1]),
     ],
 )
-def test_times(spark, times, precision, expected):
-    doc = one(table(values=[(t, 42 + 2 * i) for i, t in enumerate(times)]))
-    rows = flat(spark, doc, {"time": "bigint", "mean": "double"}, precision=precision).collect()
-    assert [(r.time_ns, r.mean) for r in rows] == list(zip(expected, [42.0, 44.0]))
+def test_times(spark, texts, precision, expected):
+    doc = one(table(values=[(t, i / 4) for i, t in enumerate(texts)]))
+    rows = flat(spark, doc, {"time": "bigint", "load": "double"}, precision=precision).collect()
+    assert [(r.time_ns, r.load) for r in rows] == [(t, i / 4) for i, t in enumerate(expected)]
 
 
-GROUPED = one(
-    table(columns=["mean"], values=[[1], [2]], tags={"tag": "a"}),
-    table(columns=["mean"], values=[[3], [4]], tags={"tag": "b"}),
-)
+SITES = {"east": [0.5, 0.25, 8.0], "north": [3.5], "west": []}
+GROUPED = one(*[table(columns=["load"], values=[[v] for v in values], tags={"site": site}) for site, values in SITES.items()])
 
 
 def test_groups(spark):
-    rows = flat(spark, GROUPED, {"mean": "bigint"}, ["tag"]).collect()
-    assert [(r.tag, r.mean) for r in rows] == [("a", 1), ("a", 2), ("b", 3), ("b", 4)]
+    rows = flat(spark, GROUPED, {"load": "double"}, ["site"]).collect()
+    assert [(r.site, r.load) for r in rows] == [(site, v) for site, values in SITES.items() for v in values]
 
 
-@pytest.mark.parametrize(
-    "matcher, expected",
-    [({"tag": "a"}, [1, 2]), ({"tag": "b"}, [3, 4]), ({"tag": "c"}, []), ({}, []),
-     ({"tag": "a", "x": "1"}, []), ({"x": "a"}, [])],
-)
-def test_group_of_response(spark, matcher, expected):
+@pytest.mark.parametrize("site", [*SITES, "south"])
+def test_group_of_response(spark, site):
+    found = results.group_of_response(documents(spark, GROUPED), {"site": site})
+    rows = results.flatten_responses(found, {"load": "double"}).orderBy("row_index").collect()
+    assert [r.load for r in rows] == SITES.get(site, [])
+
+
+@pytest.mark.parametrize("matcher", [{}, {"floor": "east"}, {"site": "east", "floor": "1"}])
+def test_groups_of_other_tags(spark, matcher):
     found = results.group_of_response(documents(spark, GROUPED), matcher)
-    rows = results.flatten_responses(found, {"mean": "bigint"}).orderBy("row_index").collect()
-    assert [r.mean for r in rows] == expected
+    assert results.flatten_responses(found, {"load": "double"}).count() == 0
 
 
 def test_group_without_tags(spark):
-    doc = documents(spark, one(table(values=[("2016-09-25T16:12:51.787Z", 42)])))
-    assert results.flatten_responses(
-        results.group_of_response(doc, {"tag": "a"}), {"mean": "double"}
-    ).count() == 0
+    doc = documents(spark, one(table(values=[("2031-02-03T04:05:06Z", 1.5)])))
+    found = results.group_of_response(doc, {"site": "east"})
+    assert results.flatten_responses(found, {"load": "double"}).count() == 0
 
 
 def test_first_matching_series_wins(spark):
@@ -113,7 +108,7 @@ def test_statements(spark):
     rows = results.flatten_responses(documents(spark, doc), {"v": "int"})
     first, second = results.split_results(rows, 2)
     assert [r.v for r in first.collect()] == [1] and [r.v for r in second.collect()] == [2]
-    alone = results.flatten_responses(documents(spark, GROUPED), {"mean": "int"})
+    alone = results.flatten_responses(documents(spark, GROUPED), {"load": "double"})
     assert results.split_results(alone, 1).count() == 4
     with pytest.raises(Exception, match="exactly one result, but got 2"):
         results.assert_single(documents(spark, doc)).collect()
@@ -122,40 +117,44 @@ def test_statements(spark):
 
 def test_errors(spark):
     docs = documents(
-        spark,
-        {"results": [{"error": "user already exists"}]},
-        {"error": "error parsing query"},
-        GROUPED,
-        {"results": [{}, {"error": "second"}]},
+        spark, {"results": [{"error": "no such pump"}, {}]}, {"error": "cannot read this"}, GROUPED,
+        {"results": [{}, {}, {"error": "third"}]},
     )
     rows = results.error_rows(docs).orderBy("id").collect()
     assert [(r.id, r.result_index, r.error) for r in rows] == [
-        (0, 0, "user already exists"), (1, None, "error parsing query"), (3, 1, "second"),
+        (0, 0, "no such pump"), (1, None, "cannot read this"), (3, 2, "third"),
     ]
-    with pytest.raises(Exception, match="already exists"):
-        results.assert_no_errors(docs.filter("id = 0")).collect()
-    with pytest.raises(Exception, match="error parsing"):
-        results.assert_no_errors(docs.filter("id = 1")).collect()
+    for number, message in ((0, "no such pump"), (1, "cannot read"), (3, "third")):
+        with pytest.raises(Exception, match=message):
+            results.assert_no_errors(docs.filter(f"id = {number}")).collect()
     assert results.assert_no_errors(docs.filter("id = 2")).count() == 1
 
 
-def test_policies_document(spark, tmp_path):
-    doc = one(
-        {
-            "columns": ["name", "duration", "shardGroupDuration", "replicaN", "default"],
-            "values": [["autogen", "0s", "168h0m0s", 1, True], ["7d", "168h0m0s", "24h0m0s", 1,
-                                                               False]],
-        }
-    )
+def test_absent_columns_and_unreadable_documents(spark):
+    doc = one(table(columns=["a"], values=[[1, 99], [2]]))
+    assert [(r.a, r.b) for r in flat(spark, doc, {"a": "int", "b": "int"}).collect()] == [(1, None), (2, None)]
+    texts = ["{\"results\": [{}]}", "oops", "[1]", "{\"results\": ", None]
+    df = results.parse_documents(spark.createDataFrame(list(enumerate(texts)), "id int, doc string"), "doc")
+    assert {r.id: r.error for r in results.error_rows(df).collect()} == dict.fromkeys((1, 2, 3), "not a response document")
+    with pytest.raises(Exception, match="not a response document"):
+        results.assert_no_errors(df).collect()
+
+
+@pytest.mark.parametrize(
+    "text", ["2031-02-03T04:05:06.7.8Z", "2031-02-03T04:05:06+01:00", "2031-02-03T04:05:06.0123456789Z", "noon", "9" * 19]
+)
+def test_unreadable_times_are_null(spark, text):
+    doc = one(table(values=[(text, 1)]))
+    assert flat(spark, doc, {"load": "double"}, precision="s").first().time_ns is None
+
+
+def test_documents_over_several_lines(spark, tmp_path):
+    doc = one({"columns": ["site", "floors", "closed"], "values": [["east", 3, False], ["north", None, True]]})
     (tmp_path / "d.json").write_text(json.dumps(doc, indent=2))
     rows = read_responses(
-        spark, str(tmp_path / "d.json"),
-        {"name": "string", "duration": "string", "replicaN": "int", "default": "boolean"},
-        whole_files=True,
+        spark, str(tmp_path / "d.json"), {"site": "string", "floors": "int", "closed": "boolean"}, whole_files=True,
     ).orderBy("row_index").collect()
-    assert [(r["duration"], r.replicaN, r["default"]) for r in rows] == [
-        ("0s", 1, True), ("168h0m0s", 1, False),
-    ]
+    assert [(r.site, r.floors, r.closed) for r in rows] == [("east", 3, False), ("north", None, True)]
 
 
 @pytest.fixture
@@ -164,30 +163,41 @@ def points(spark):
     return spark.createDataFrame(rows, "tag string, time_ns bigint, v double").repartition(3)
 
 
-@pytest.mark.parametrize("max_rows", [4, 1000])
 @pytest.mark.parametrize("descending", [False, True])
-def test_nested_groups(points, max_rows, descending):
-    nested = results.groups(points, "m", ["tag"], descending=descending, max_rows=max_rows)
-    rows = nested.collect()
-    assert all(len(r.rows) <= max_rows for r in rows)
-    for tag in ("a", "b", None):
-        parts = sorted(
-            (r for r in rows if r.tag == tag), key=lambda r: r.first_time, reverse=descending
-        )
-        times = [x.time_ns for p in parts for x in p.rows]
-        assert times == sorted(range(25), reverse=descending)
-        assert all((p.first_time, p.last_time) == (min(x.time_ns for x in p.rows),
-                                                   max(x.time_ns for x in p.rows)) for p in parts)
+def test_nested_groups(points, descending):
+    rows = results.groups(points, "m", ["tag"], "10ns", descending=descending).collect()
+    assert len(rows) == 9 and all(len(r.rows) <= 10 for r in rows)
+    for r in rows:
+        times = [x.time_ns for x in r.rows]
+        assert times == sorted(range(r.bucket, min(r.bucket + 10, 25)), reverse=descending)
+        assert (r.first_time, r.last_time) == (min(times), max(times))
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 7])
+def test_groups_depend_on_the_rows_only(spark, points, partitions):
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    old = {k: spark.conf.get(k) for k in settings}
+    want = sorted(map(str, results.groups(points, "m", ["tag"], "7ns").collect()))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = results.groups(points.repartition(partitions), "m", ["tag"], "7ns")
+        assert sorted(map(str, found.collect())) == want
+        series = results.series_rows(points.repartition(partitions), "m", ["tag"], "7ns")
+        assert series.count() == len(want)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def test_copies_of_a_row_are_kept(spark):
     df = spark.sql("SELECT 'a' tag, 1L time_ns, 2.0D v FROM range(100)")
-    nested = results.groups(df, "m", ["tag"], max_rows=7).collect()
+    nested = results.groups(df, "m", ["tag"], "1s").collect()
     assert sum(len(r.rows) for r in nested) == 100
 
 
 def test_series_documents_flatten_back(spark, points):
-    series = results.series_rows(points, "m", ["tag"], max_rows=6)
+    series = results.series_rows(points, "m", ["tag"], "6ns")
     docs = results.response_documents(series.filter("tag IS NOT NULL"), ["tag"])
     back = results.flatten_responses(
         results.parse_documents(docs.withColumnRenamed("tag", "kind"), "document"),

@@ -3,11 +3,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from pointlake.model import FieldType, MeasurementSchema, NanoTime, RetentionPolicy
+from pointlake.model import POINT_SCHEMA, FieldType, MeasurementSchema, NanoTime, RetentionPolicy
 from pointlake.operators.shards import shard_id_of, shard_start_of
 from pointlake.sinks.store import (
     MeasurementRef,
     Store,
+    overlapping,
     path_part,
     read_measurement,
     write_points,
@@ -85,7 +86,7 @@ def test_time_range_prunes(filled):
     got = read_measurement(filled, "perf", PERF, start=start, end=end)
     assert rows_of(got) == [ROWS[1]]
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(shard" in plan
+    assert "PartitionFilters: [isnotnull" in plan
     assert "GreaterThanOrEqual(time_ns" in plan
 
 
@@ -122,22 +123,133 @@ def test_points_of_several_measurements(spark, store):
     ]
 
 
+CPU_TEXT = MeasurementSchema("perf", {"cpu": FieldType.STRING}, ("host",))
+
+
+def cpu_points(spark, rows, **more):
+    return to_point_form(spark.createDataFrame(rows, "time_ns bigint, host string, cpu string"), CPU_TEXT, **more)
+
+
 def test_points_that_cannot_be_stored(spark, store, folder):
-    text = MeasurementSchema("perf", {"cpu": FieldType.STRING}, ("host",))
-    columns = "time_ns bigint, host string, cpu string"
-    rows = [(1, "a", "1.5"), (2, "b", "oops")]
-    points = to_point_form(spark.createDataFrame(rows, columns), text).unionByName(
-        to_point_form(spark.createDataFrame(rows[:1], columns), text, measurement=F.lit("else"))
-    )
-    with pytest.raises(Exception, match="oops|No schema declared"):
+    good, bad = (1, "a", "1.5"), (2, "b", "high")
+    disk = cpu_points(spark, [good], measurement=F.lit("disk"))
+    points = disk.unionByName(cpu_points(spark, [good, bad]))
+    with pytest.raises(Exception, match="high"):
         store.append_points(points, [PERF])
+    # Nothing of the batch has been written.
+    assert store.targets() == []
     store.append_points(points, [PERF], reject_path=folder + "/rejects")
     assert rows_of(store.read("perf", PERF)) == [(1, "a", 1.5, None)]
-    reasons = sorted(r.reason for r in spark.read.parquet(folder + "/rejects").collect())
-    assert reasons == [
-        "Expected numeric value for db.perf.cpu, but got 'oops'",
-        "No schema declared for db.else",
+    assert [tuple(r) for r in store.read("disk").select("host", "cpu").collect()] == [("a", "1.5")]
+    reasons = [r.reason for r in spark.read.parquet(folder + "/rejects").collect()]
+    assert reasons == ["Expected numeric value for db.perf.cpu, but got 'high'"]
+
+
+def test_points_are_updated_and_go_to_their_policy(spark, store):
+    for value in ("1.5", "2.5"):
+        store.write_points(cpu_points(spark, [(1, "a", value)], rp="7d"), [PERF])
+        store.write_points(cpu_points(spark, [(1, "a", value), (3, "b", "4")]), [PERF])
+    assert rows_of(store.read(MeasurementRef("perf", "7d"), PERF)) == [(1, "a", 2.5, None)]
+    assert rows_of(store.read("perf", PERF)) == [(1, "a", 2.5, None), (3, "b", 4.0, None)]
+    assert store.databases() == ["db"] and store.measurements() == ["perf"]
+
+
+def test_undeclared_points_take_their_own_types(spark, store):
+    kinds = [
+        ("db", None, "m", {"t": "x"}, {"n": {"i": 4}, "x": {"f": 0.5}, "s": {"s": "q"}, "b": {"b": True}}, 1),
+        ("db", None, "m", {"u": "y"}, {"n": {"f": 2.5}, "s": {"i": 7}}, 2),
     ]
+    whole = lambda v: {"f": None, "i": None, "s": None, "b": None, **v}
+    rows = [(d, r, m, t, {k: whole(v) for k, v in f.items()}, n) for d, r, m, t, f, n in kinds]
+    store.write_points(spark.createDataFrame(rows, POINT_SCHEMA))
+    got = store.read("m").orderBy("time_ns").select("t", "u", "n", "x", "s", "b").collect()
+    assert [tuple(r) for r in got] == [("x", None, 4.0, 0.5, "q", True), (None, "y", 2.5, None, "7", None)]
+
+
+@pytest.mark.parametrize(
+    "kind, value, message",
+    [("string", "high", "Expected float"), ("boolean", True, "Expected float"), ("double", float("nan"), "Expected float")],
+)
+def test_wide_values_are_checked(spark, store, kind, value, message):
+    df = spark.createDataFrame([(1, "a", value)], f"time_ns bigint, host string, cpu {kind}")
+    with pytest.raises(Exception, match=message):
+        store.append(df, PERF)
+
+
+def test_wide_columns_are_checked_and_integers_floored(spark, store):
+    schema = MeasurementSchema("m", {"n": FieldType.INTEGER}, ())
+    store.append(spark.createDataFrame([(1, -1.5)], "time_ns bigint, n double"), schema)
+    assert store.read("m").first().n == -2
+    with pytest.raises(ValueError, match="extra"):
+        store.append(spark.createDataFrame([(1, 2, 3)], "time_ns bigint, n bigint, extra bigint"), schema)
+
+
+def test_upsert_without_time_keeps_what_is_stored(spark, filled):
+    moment = datetime(2024, 1, 9)
+    change = [(None, "a", 7.0, None), (ROWS[2][0], "a", 8.0, None), (None, "q", 9.0, "w")]
+    for _ in range(2):
+        filled.upsert(spark.createDataFrame(change, COLUMNS), PERF, write_time=moment)
+    now = at("2024-01-09T00:00:00")
+    want = [ROWS[0], ROWS[1], (ROWS[2][0], "a", 8.0, "y"), (now, "a", 7.0, None), (now, "q", 9.0, "w"), ROWS[3]]
+    assert rows_of(filled.read("perf", PERF)) == sorted(want)
+
+
+def test_buckets_outlive_their_policy(spark, store, folder):
+    weekly = store
+    weekly.append(spark.createDataFrame(ROWS, COLUMNS), PERF)
+    daily = Store(spark, store.root, [RetentionPolicy("db", "autogen", shard_s=86_400, is_default=True)], "db")
+    daily.append(spark.createDataFrame([(ROWS[0][0] + 5, "d", 6.0, None)], COLUMNS), PERF)
+    start, end = NanoTime(at("2024-01-03T00:00:00")), NanoTime(at("2024-01-08T00:00:00"))
+    assert rows_of(daily.read("perf", PERF, start=start, end=end)) == [ROWS[1]]
+    daily.upsert(spark.createDataFrame([(ROWS[1][0], "b", 5.0, "new")], COLUMNS), PERF)
+    want = [ROWS[0], (ROWS[0][0] + 5, "d", 6.0, None), (ROWS[1][0], "b", 5.0, "new"), *ROWS[2:]]
+    assert rows_of(daily.read("perf", PERF)) == want == rows_of(weekly.read("perf", PERF))
+    # The week that was touched is stored in days now, the others as they were.
+    assert sorted(length for length, _ in daily.buckets("perf")) == [86_400] * 2 + [604_800] * 2
+
+
+@pytest.mark.parametrize(
+    "wanted, stored, found",
+    [
+        ([(10, 20)], [(10, 0), (10, 10), (10, 20), (10, 30)], [(10, 20)]),
+        ([(10, 20)], [(70, 0), (10, 60), (10, 70)], [(10, 60), (70, 0)]),
+        ([(10, 20)], [(5, 25), (5, 30), (40, -20)], [(5, 25)]),
+        ([(10, 20), (10, 90)], [(100, 0), (300, 0), (10, 300)], [(100, 0), (300, 0)]),
+        ([], [(10, 0)], []),
+    ],
+)
+def test_overlapping_buckets(wanted, stored, found):
+    assert overlapping(wanted, stored) == found
+
+
+def test_time_conditions_prune(filled):
+    middle = at("2024-01-08T00:00:00")
+    found = [
+        filled.read("perf", PERF, where=lambda e: e.field("time_ns").gte.value(middle).and_.tag("host").equals.value("a")),
+        filled.since("perf", "3d", PERF, now=NanoTime(at("2024-01-10T00:00:00"))),
+    ]
+    for df in found:
+        assert rows_of(df.filter("host = 'a'")) == [ROWS[2]]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(shard" in plan or "PartitionFilters: [isnotnull((shard" in plan, plan
+
+
+def test_delete_by_condition_alone(spark, filled):
+    other = MeasurementSchema("disk", {"free": FieldType.INTEGER}, ("bay",), database="db")
+    filled.append(spark.createDataFrame([(5, "a", 7)], "time_ns bigint, bay string, free bigint"), other)
+    filled.delete(where=lambda e: e.tag("host").equals.value("a"))
+    assert rows_of(filled.read("perf", PERF)) == [ROWS[1], ROWS[3]]
+    assert filled.read("disk", other).count() == 1
+    with pytest.raises(ValueError):
+        filled.delete(PERF, "perf")
+
+
+def test_replace_from(spark, filled):
+    start = NanoTime(at("2024-01-03T00:00:00"))
+    new = [(at("2024-01-04T00:00:00"), "n", 1.0, None)]
+    filled.replace_from(spark.createDataFrame(new, COLUMNS), PERF, "perf", start)
+    assert rows_of(filled.read("perf", PERF)) == [ROWS[0], *new]
+    assert len(filled.buckets("perf")) == 1
 
 
 def test_upsert_touches_only_its_buckets(spark, filled):
@@ -180,6 +292,7 @@ def test_drops(spark, filled):
     filled.append(spark.createDataFrame(ROWS, COLUMNS), PERF, MeasurementRef("perf", "7d"))
     filled.append(spark.createDataFrame(ROWS, COLUMNS), PERF, MeasurementRef("other"))
     number = shard_id_of("db", "autogen", shard_start_of(at("2024-01-09"), 604800))
+    assert shard_id_of("a/b", "c", 0) != shard_id_of("a", "b/c", 0)
     filled.drop_shard(number)
     assert rows_of(filled.read("perf", PERF)) == [ROWS[0], ROWS[1], ROWS[3]]
     assert rows_of(filled.read("other", PERF)) == [ROWS[0], ROWS[1], ROWS[3]]
