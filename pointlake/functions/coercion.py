@@ -147,9 +147,9 @@ def untyped_text(value: Column) -> Column:
     )
 
 
-def coerce_member(value: Column, declared: FieldType, ref: str) -> Coerced:
-    """One declared field of the map form."""
-    where, present = F.lit(ref), value.isNotNull()
+def coerce_member(value: Column, declared: FieldType, where: Column) -> Coerced:
+    """One declared field of the map form; ``where`` is how reasons name it."""
+    present = value.isNotNull()
     if declared is FieldType.STRING:
         known = F.coalesce(
             value["s"].isNotNull() | value["f"].isNotNull() | value["i"].isNotNull(),

@@ -7,9 +7,10 @@ rejected rows; ``require_all`` stops the job at the first bad point instead.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlake.functions.coercion import (
@@ -25,12 +26,10 @@ from pointlake.functions.lineformat import (
     line,
     map_field_pairs,
     map_tag_pairs,
-    wide_field_pairs,
-    wide_tag_pairs,
 )
 from pointlake.functions.text import is_numeric_text
 from pointlake.functions.timecol import to_precision
-from pointlake.model import MeasurementSchema, SchemaSet
+from pointlake.model import FieldType, MeasurementSchema, SchemaSet
 
 PAIRS = "array<struct<name:string,text:string>>"
 
@@ -153,18 +152,17 @@ def check_points(
     """Map-form points with ``fields_pairs``, ``tags_names``, ``casted_timestamp``,
     ``reason``; the schema is chosen per row by database and measurement, and rows
     without one are written by guessing from the value."""
-    rules = _rules(schemas, database)
+    placed = with_schema(points, schemas, database)
     casted, time_reason = cast_timestamp(points, precision)
-    pairs = _by_schema(rules, lambda r: r.pairs(), _guessed_pairs())
-    tag_names = _by_schema(rules, lambda r: r.tag_names(), F.array_sort(_present_keys("tags")))
     return computed_once(
-        points,
+        placed,
         {
-            "fields_pairs": F.coalesce(pairs.cast(PAIRS), F.array().cast(PAIRS)),
-            "tags_names": F.coalesce(tag_names, F.array().cast("array<string>")),
+            "fields_pairs": F.coalesce(_pairs().cast(PAIRS), F.array().cast(PAIRS)),
+            "tags_names": F.coalesce(F.array_sort(_present_keys("tags")), F.array().cast("array<string>")),
             "casted_timestamp": casted,
-            "reason": _points_reason(rules, time_reason),
+            "reason": _points_reason(time_reason),
         },
+        points.columns,
     )
 
 
@@ -176,87 +174,89 @@ def check_lines(
     escape_name: bool = False,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Map-form points as ``line`` and ``reason``. Declared points are printed from
-    expressions in fixed name order; only undeclared ones sort and walk their maps."""
-    rules = _rules(schemas, database)
+    """Map-form points as ``line`` and ``reason``, tags and fields in name order."""
+    placed = with_schema(points, schemas, database)
     casted, time_reason = cast_timestamp(points, precision)
     text = line(
         F.col("measurement"),
-        _by_schema(rules, lambda r: r.tag_text(), map_tag_pairs(F.col("tags"))),
-        _by_schema(rules, lambda r: r.field_text(), map_field_pairs(_guessed_pairs())),
+        map_tag_pairs(F.col("tags")),
+        map_field_pairs(_pairs()),
         casted,
         escape_name,
     )
-    reason = _points_reason(rules, time_reason)
-    return computed_once(points, {"line": text, "reason": reason}, list(keep))
+    return computed_once(placed, {"line": text, "reason": _points_reason(time_reason)}, list(keep))
+
+
+SCHEMA = "_schema"
+SCHEMA_KIND = "struct<ref:string,fields:map<string,string>,names:array<string>,tags:array<string>>"
+
+
+def schema_table(spark: SparkSession, schemas: SchemaSet) -> DataFrame:
+    """A row for each declared measurement, as a table of known size, so that the planner's
+    own size check decides how to join it."""
+    rows = list(schemas)
+    return spark.createDataFrame(
+        pa.table(
+            {
+                "_db": pa.array([s.database for s in rows], pa.string()),
+                "_measurement": pa.array([s.measurement for s in rows], pa.string()),
+                "ref": pa.array([s.ref() for s in rows], pa.string()),
+                "fields": pa.array(
+                    [[(n, s.fields[n].value) for n in s.field_names] for s in rows],
+                    pa.map_(pa.string(), pa.string()),
+                ),
+                "names": pa.array([s.field_names for s in rows], pa.list_(pa.string())),
+                "tags": pa.array([s.tag_names for s in rows], pa.list_(pa.string())),
+            }
+        )
+    ).select("_db", "_measurement", F.struct("ref", "fields", "names", "tags").cast(SCHEMA_KIND).alias(SCHEMA))
 
 
-class _SchemaRule:
-    """The checks of one schema as expressions over map-form points."""
+def with_schema(
+    points: DataFrame, schemas: SchemaSet | Sequence[MeasurementSchema], database: str | None
+) -> DataFrame:
+    """Each point with the schema of its measurement, NULL where none is declared. The
+    plan is the same for one schema and for thousands."""
+    declared = schemas if isinstance(schemas, SchemaSet) else SchemaSet(schemas, database)
+    if not len(declared):
+        return points.withColumn(SCHEMA, F.lit(None).cast(SCHEMA_KIND))
+    table = schema_table(points.sparkSession, declared)
+    db = F.coalesce(F.col("db"), F.lit(database).cast("string"))
+    here = (db == F.col("_db")) & (F.col("measurement") == F.col("_measurement"))
+    return points.join(table, here, "left").select(*[ref(c) for c in points.columns], SCHEMA)
 
-    def __init__(self, schema: MeasurementSchema, db: Column):
-        self.schema = schema
-        self.here = (db == schema.database) & (F.col("measurement") == schema.measurement)
-        self.coerced = {
-            n: coerce_member(F.col("fields")[F.lit(n)], schema.fields[n], schema.ref(n))
-            for n in schema.field_names
-        }
 
-    def pairs(self) -> Column:
-        return with_text(
-            [F.struct(F.lit(n).alias("name"), c.text.alias("text"))
-             for n, c in self.coerced.items()]
-        )
+def _by_type(value: Column, kind: Column, where: Column, part: str) -> Column:
+    """The text or the reason of a field value, by its declared type."""
+    out = F.lit(None).cast("string")
+    for declared in FieldType:
+        one = getattr(coerce_member(value, declared, where), part)
+        out = F.when(kind == declared.value, one).otherwise(out)
+    return out
 
-    def field_text(self) -> Column:
-        present = F.lit(False)
-        for name in self.coerced:
-            present = present | F.col("fields")[F.lit(name)].isNotNull()
-        return wide_field_pairs({n: c.text for n, c in self.coerced.items()}, present)
-
-    def tag_names(self) -> Column:
-        names = [
-            F.when(F.col("tags")[F.lit(t)].isNotNull(), F.lit(t)) for t in self.schema.tag_names
-        ]
-        return F.array_compact(F.array(*names)).cast("array<string>")
-
-    def tag_text(self) -> Column:
-        return wide_tag_pairs({t: F.col("tags")[F.lit(t)] for t in self.schema.tag_names})
-
-    def reason(self) -> Column:
-        checks = [c.reason for c in self.coerced.values()]
-        checks.append(self._unknown("fields", self.schema.field_names))
-        checks.append(self._unknown("tags", self.schema.tag_names))
-        return F.coalesce(*checks)
-
-    def _unknown(self, what: str, declared: Sequence[str]) -> Column:
-        known = F.lit(0)
-        for name in declared:
-            known = known + F.map_contains_key(what, name).cast("int")
-        allowed = F.array(*[F.lit(n) for n in declared]).cast("array<string>")
-        names = F.array_sort(F.array_except(F.map_keys(what), allowed))
-        return F.when(
-            F.size(what) > known, extraneous_reason(what, F.lit(self.schema.ref()), names)
-        )
 
+def _declared(part: str) -> Column:
+    """Name and text (or reason) of every declared field, in name order."""
+    schema = F.col(SCHEMA)
 
-def _rules(
-    schemas: SchemaSet | Sequence[MeasurementSchema], database: str | None
-) -> list[_SchemaRule]:
-    declared = schemas if isinstance(schemas, SchemaSet) else SchemaSet(schemas, database)
-    db = F.coalesce(F.col("db"), F.lit(database).cast("string"))
-    return [_SchemaRule(schema, db) for schema in declared]
+    def one(name: Column) -> Column:
+        value, where = F.col("fields")[name], F.concat(schema["ref"], F.lit("."), name)
+        return F.struct(name.alias("name"), _by_type(value, schema["fields"][name], where, part).alias("text"))
 
+    return F.filter(F.transform(schema["names"], one), lambda p: p["text"].isNotNull())
 
-def _by_schema(
-    rules: list[_SchemaRule], part: Callable[[_SchemaRule], Column], undeclared: Column
-) -> Column:
-    if not rules:
-        return undeclared
-    chosen = F.when(rules[0].here, part(rules[0]))
-    for rule in rules[1:]:
-        chosen = chosen.when(rule.here, part(rule))
-    return chosen.otherwise(undeclared)
+
+def _pairs() -> Column:
+    return F.when(F.col(SCHEMA).isNotNull(), _declared("text")).otherwise(_guessed_pairs())
+
+
+def _declared_reason() -> Column:
+    schema = F.col(SCHEMA)
+    checks = [F.get(_declared("reason"), F.lit(0))["text"]]
+    for what, names in (("fields", schema["names"]), ("tags", schema["tags"])):
+        unknown = F.array_sort(F.array_except(F.map_keys(what), names))
+        checks.append(F.when(F.size(unknown) > 0, extraneous_reason(what, schema["ref"], unknown)))
+    return F.coalesce(*checks)
 
 
 def with_text(pairs: Sequence[Column]) -> Column:
@@ -289,11 +289,11 @@ def _guess_reason() -> Column:
     return F.when(F.size(bad) > 0, F.concat(F.lit("Unsupported value for "), where))
 
 
-def _points_reason(rules: list[_SchemaRule], time_reason: Column) -> Column:
+def _points_reason(time_reason: Column) -> Column:
     unnamed = F.coalesce(F.length("measurement"), F.lit(0)) == 0
     return F.coalesce(
         F.when(unnamed, F.lit("Missing measurement")),
-        _by_schema(rules, lambda r: r.reason(), _guess_reason()),
+        F.when(F.col(SCHEMA).isNotNull(), _declared_reason()).otherwise(_guess_reason()),
         time_reason,
     )
 

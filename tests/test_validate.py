@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,6 +141,19 @@ def test_schema_per_row(spark):
     assert named.first().fields_pairs[0].text == "4i"
 
 
+def test_a_thousand_schemas_plan_like_one(spark):
+    kinds = list(FieldType)
+    schemas = [
+        MeasurementSchema(f"m{i}", {f"f{k}": kinds[(i + k) % 4] for k in range(8)}, ("t",), "plant") for i in range(1000)
+    ]
+    points = point(spark, {"f0": 4}, measurement="m998").unionByName(point(spark, {"f1": True}, measurement="m4"))
+    started = time.monotonic()
+    rows = validate.check_points(points, schemas).orderBy("measurement").collect()
+    assert time.monotonic() - started < 20
+    assert rows[0].reason.startswith("Expected numeric value for plant.m4.f1")
+    assert rows[1].reason is None and rows[1].fields_pairs[0].text == '"4"'
+
+
 def test_schema_set():
     later = MeasurementSchema("boiler", {"z": FieldType.FLOAT}, (), "plant")
     both = SchemaSet([SCHEMA, later])
