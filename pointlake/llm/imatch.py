@@ -51,12 +51,13 @@ class Terms:
     def __call__(self, text: str | None) -> np.ndarray:
         """Sorted distinct term hashes."""
         words = set(words_of(text.lower() if text else text))
-        new = words - self.known.keys()
         if len(self.known) > CACHE_ENTRIES:
-            self.known, new = {}, words
-        for word in new:
-            self.known[word] = xxhash.xxh3_64_intdigest(word.encode())
-        out = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+            self.known = {}
+        known = self.known
+        for word in words:
+            if word not in known:
+                known[word] = xxhash.xxh3_64_intdigest(word.encode())
+        out = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         out.sort()
         return out
 

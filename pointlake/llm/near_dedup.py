@@ -55,9 +55,11 @@ class Shingles:
         words = words_of(text)
         if len(self.known) > CACHE_ENTRIES:
             self.known = {}
-        for word in set(words) - self.known.keys():
-            self.known[word] = xxhash.xxh3_64_intdigest(word.encode())
-        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
+        known = self.known
+        for word in words:
+            if word not in known:
+                known[word] = xxhash.xxh3_64_intdigest(word.encode())
+        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         width = min(SHINGLE, len(hashes))
         if not width:
             return np.zeros(1, np.uint64), np.ones(1)
