@@ -43,7 +43,8 @@ def show_series(
     chosen = _in_database(points, db)
     if measurement is not None:
         chosen = chosen.filter(F.col("measurement") == measurement)
-    distinct = chosen.groupBy("measurement", "tags").agg(F.count(F.lit(1)))
+    # The count is used, so the optimizer keeps this aggregate: keys are printed per series.
+    distinct = chosen.groupBy("measurement", "tags").agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
     key = series_key(F.col("measurement"), map_tag_pairs(F.col("tags")))
     return distinct.select(key.alias("key")).distinct().orderBy("key")
 

@@ -20,7 +20,7 @@ from pointlake.operators.query import (
     where,
 )
 from pointlake.model import FieldType, MeasurementSchema
-from pointlake.operators.results import group
+from pointlake.operators.results import group, split_results
 from pointlake.plans.registry import query
 from pointlake.plans.tables import event_points, table
 from pointlake.session import fresh_path
@@ -220,7 +220,10 @@ def multi_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     def numbered(df: DataFrame, index: int) -> DataFrame:
         return df.select(F.lit(index).cast("bigint").alias("result_index"), "event_id")
 
-    return numbered(first, 0).unionByName(numbered(second, 1))
+    # One table of both results, split again into a table per statement.
+    flat = numbered(first, 0).unionByName(numbered(second, 1))
+    clicks, views = split_results(flat, 2)
+    return numbered(clicks, 0).unionByName(numbered(views, 1))
 
 
 @query("SELECT event_id, value FROM events WHERE event_type = 'view' AND user_id = 8")

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pointlake.model import MeasurementSchema, SchemaSet
 from pointlake.operators.validate import check_lines
+from pointlake.session import fresh_path
 from pointlake.sinks.lines import mark_line_breaks
 from pointlake.streaming.downsample import interval_text
 
@@ -31,15 +32,16 @@ def stream_points(
     marked = mark_line_breaks(check_lines(stream, schemas, precision, database))
 
     def write(batch: DataFrame, number: int) -> None:
-        # Written twice, checked once.
-        batch.persist()
-        try:
-            good = batch.filter(F.col("reason").isNull()).select(F.col("line").alias("value"))
-            good.write.mode("overwrite").text(f"{good_path}/batch={number}")
-            rejects = batch.filter(F.col("reason").isNotNull())
-            rejects.write.mode("overwrite").parquet(f"{reject_path}/batch={number}")
-        finally:
-            batch.unpersist()
+        # Checked once, into a table of the shared folder: a batch may be a whole backlog.
+        spark = batch.sparkSession
+        path = fresh_path(spark, "checked")
+        failed = F.col("reason").isNotNull().alias("_failed")
+        batch.select("line", "reason", failed).write.partitionBy("_failed").parquet(path)
+        checked = spark.read.schema("line STRING, reason STRING, _failed BOOLEAN").parquet(path)
+        good = checked.filter("NOT _failed").select(F.col("line").alias("value"))
+        good.write.mode("overwrite").text(f"{good_path}/batch={number}")
+        rejects = checked.filter("_failed").drop("_failed")
+        rejects.write.mode("overwrite").parquet(f"{reject_path}/batch={number}")
 
     writer = (
         marked.writeStream.queryName(name)
