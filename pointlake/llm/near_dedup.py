@@ -11,14 +11,16 @@ agree in a register with the probability Jaccard similarity
 Signatures are cut into BANDS bands; texts that share a band are candidates. Of those, pairs that agree in fewer than
 MIN_AGREEING registers are let go, and a link is what the exact J of two whole texts confirms
 to be THRESHOLD or more. A pair of J = 0.8 shares no band once in 38,000 times, and agrees in
-fewer registers once in ten billion.
+fewer registers once in a hundred million.
 
 Equal texts are one node from the start, so copies make no pairs. Within a bucket of a band
 the nodes are compared with one pivot, not with each other: first the bucket's smallest
-node, then the best linked one. Nodes that the links found so far already join are done.
-What is left, pairs of nodes of one bucket that no links join yet, is verified pair by pair;
-so no link between different texts that share a band is lost for the classes, while a large
-group of near copies costs a few comparisons for each node.
+node, then, for PIVOT_ROUNDS rounds, a node of the component that has most nodes in the
+bucket, another one in each band and round. Nodes that links already join are done. What is
+left, pairs of nodes of one bucket that no links join yet, is compared pair by pair: their
+registers in the join itself, and the texts of those that agree. So no link between different
+texts that share a band is lost for the classes, while a large group of near copies
+costs some comparisons for each node.
 
 Cases: a null text is empty; texts without words are equal to each other; equal texts have
 similarity 1; repeated rows are copies; null ids count as larger than all others for the
@@ -41,7 +43,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
-MIN_AGREEING = REGISTERS // 2  # of J = 0.8, 64 registers agree on average, give or take 3.6
+MIN_AGREEING = 42  # of J = 0.8, 64 registers agree on average, give or take 3.6
+PIVOT_ROUNDS = 4
 CACHE_ENTRIES = 150_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -143,7 +146,8 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         found = bands_of(signed)
         offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * BANDS)
         lists = pa.ListArray.from_arrays(offsets, pa.array(found.reshape(-1).view(np.int64)))
-        short = pa.array([row.tobytes() for row in mixed(signed).astype(np.uint16)], pa.binary())
+        ends = pa.array(np.arange(len(signed) + 1, dtype=np.int32) * REGISTERS)
+        short = pa.ListArray.from_arrays(ends, pa.array(mixed(signed).astype(np.uint16).view(np.int16).reshape(-1)))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), lists, short], ["node", "id", "bands", "signature"]
         )
@@ -151,7 +155,7 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = text_of(text_column)
     return map_batches(
         docs.select(node_of(text).alias("node"), F.col(id_column).cast("bigint").alias("id"), text.alias("text")),
-        work, "node binary, id bigint, bands array<bigint>, signature binary",
+        work, "node binary, id bigint, bands array<bigint>, signature array<smallint>",
     )
 
 
@@ -166,9 +170,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        registers = [
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3)
-        ]
+        registers = [np.asarray(batch.column(i).flatten()).reshape(-1, REGISTERS) for i in (2, 3)]
         close = (registers[0] == registers[1]).sum(1) >= MIN_AGREEING
         batch = batch.filter(pa.array(close))
         shingles, known = Shingles(), {}
@@ -209,6 +211,20 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(open_buckets, ["band", "hash"])
 
 
+def _component_pairs(rest: DataFrame, turn: int) -> DataFrame:
+    """Every member of a bucket with a node of the component that is largest in it."""
+    rank = F.xxhash64("node", "band", F.lit(turn))
+    chosen = (
+        rest.groupBy("band", "hash", "label").agg(F.count("*").alias("n"), F.min(F.struct(rank, "node")).alias("first"))
+        .groupBy("band", "hash").agg(F.max(F.struct("n", "label", F.col("first.node").alias("node"))).alias("pivot"))
+        .select("band", "hash", "pivot")
+    )
+    return (
+        rest.join(chosen, ["band", "hash"]).where("label != pivot.label")
+        .select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
+    )
+
+
 def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """``node, label`` of the linked nodes, and ``node, id, copies`` of all nodes."""
     signed = written(sketches(docs, id_column, text_column), "near-sketches")
@@ -231,27 +247,30 @@ def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
     links = written(confirmed(_pivot_pairs(members, F.lit(0)), texts), "near-links")
     labels = connected(links)
-    rest = written(_labelled(members, labels), "near-rest")
-    if rest.isEmpty():
-        return labels, nodes.drop("bands", "signature")
-    # Second: the best linked member. The bucket's smallest has been compared already.
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    ranked = rest.join(degree, "node", "left").withColumn("few", -F.coalesce("links", F.lit(0)))
-    more = written(confirmed(_pivot_pairs(ranked, F.col("few")).join(links, ["a", "b"], "left_anti"), texts), "near-links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = connected(links)
-        rest = written(_labelled(rest.drop("label"), labels), "near-rest")
+    bare = nodes.drop("bands", "signature")
+    for turn in range(PIVOT_ROUNDS):
+        rest = written(_labelled(members, labels), "near-rest")
+        if rest.isEmpty():
+            return labels, bare
+        more = written(confirmed(_component_pairs(rest, turn), texts), "near-links")
+        if not more.isEmpty():
+            # The components so far are stars of links themselves.
+            stars = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+            labels = connected(stars.unionByName(more))
     # Last: what pivots have not joined, pair by pair.
-    other = rest.select("band", "hash", F.col("node").alias("b"), F.col("label").alias("other"))
+    rest = written(_labelled(members, labels).join(nodes.select("node", "signature"), "node"), "near-rest")
+    other = rest.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "signature")])
+    agreeing = F.size(F.filter(F.zip_with("signature", "signature_b", lambda x, y: x == y), lambda same: same))
     pairs = (
-        rest.join(other, ["band", "hash"]).where("label != other AND node < b")
-        .select(F.col("node").alias("a"), "b").distinct()
+        rest.join(other.hint("merge"), ["band", "hash"])
+        .where((F.col("label") != F.col("label_b")) & (F.col("node") < F.col("node_b")) & (agreeing >= MIN_AGREEING))
+        .select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
     )
     last = written(confirmed(pairs, texts), "near-links")
     if not last.isEmpty():
-        labels = connected(links.unionByName(last))
-    return labels, nodes.drop("bands", "signature")
+        stars = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
+        labels = connected(stars.unionByName(last))
+    return labels, bare
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
