@@ -21,7 +21,7 @@ from pointlake.session import fresh_path
 
 # Words are runs of anything but ASCII white space.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
-TO_SPACE = str.maketrans("\t\n\x0b\x0c\r", "     ")
+OTHER_SPACES = "\t\n\x0b\x0c\r"
 
 # Documents per batch that a Python worker holds at a time; a batch also ends at the bytes.
 BATCH_ROWS = 1_000
@@ -74,9 +74,17 @@ def word_list(text: Column) -> Column:
     return F.array_remove(F.split(text, WORD_BREAK), "")
 
 
+def parts_of(text: str) -> list[str]:
+    """The words of a text with empty strings between them where spaces follow each other."""
+    for space in OTHER_SPACES:
+        if space in text:
+            text = text.replace(space, " ")
+    return text.split(" ")
+
+
 def words_of(text: str | None) -> list[str]:
     """The words of a text; only ASCII white space parts them."""
-    return [w for w in text.translate(TO_SPACE).split(" ") if w] if text else []
+    return [w for w in parts_of(text) if w] if text else []
 
 
 def map_batches(

@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointlake.llm.common import id_array, id_ranges, mixed, range_of, ready_workers, words_of
+from pointlake.llm.common import id_array, id_ranges, mixed, parts_of, range_of, ready_workers
 
 BUCKET_BITS = 18
 # Share of documents that a bucket's terms may stand in. Words that stand in one document
 # each add about (rare words of a document) / 2^BUCKET_BITS, which is below the band.
 BAND = (5e-4, 0.1)
-LEXICONS = 24
+LEXICONS = 16
 # Odd factors: one random order of all terms for each lexicon.
 FACTORS = mixed(np.arange(1, LEXICONS + 1)) | np.uint64(1)
 CACHE_ENTRIES = 150_000
@@ -50,7 +50,8 @@ class Terms:
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Sorted distinct term hashes."""
-        words = set(words_of(text.lower() if text else text))
+        words = set(parts_of(text.lower())) if text else set()
+        words.discard("")
         if len(self.known) > CACHE_ENTRIES:
             self.known = {}
         known = self.known
