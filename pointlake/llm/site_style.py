@@ -1,19 +1,21 @@
 """Main text of web pages by a site style tree.
 
-Every page is read into element paths, each step a tag with its class and id. What a path
-means by its markup is settled first: menus, headers, footers, asides, forms, adverts,
-notices, comments and the like are noise; an article or main element is content, and where a
-page has one with text, its main text is what stands in it outside noise. The pages that
-mark no main element go by the tree of their host: the paths of all its pages are merged,
-and every node gets an importance from entropies over the pages,
+Every page is read into element paths, each step a tag with its class and id. The paths of
+all distinct pages of a host are merged into one tree, and every node gets an importance
+from entropies over the pages,
 
     presentation: -sum p log_m p of the child sequences that the m pages show at the node
     content:      1 - mean over features a of -sum_j p_aj log_m p_aj over the pages j
 
 where features are words, and all links are one feature. Both are weighed by the number of
 children. Branches whose importance is below MIN_IMPORTANCE are removed from each page.
-Copies of a page count once in the tree. All sums are combined before the shuffle; what is
-left for a host is a row for each of its paths.
+
+The markup is a check on what is left. Menus, headers, footers, asides, forms, adverts,
+notices, comments and the like go, whatever their importance. Where a page has an article or
+main element with text, only what stands in it stays; if the tree has left nothing of it, as
+happens to copies of one article on a host, the marked text comes back.
+
+Copies of a page count once in the tree. All sums are combined before the shuffle.
 
 Cases: null and empty html give an empty text; markup that is cut off or not closed is read
 to its end; a page that is alone on its host keeps all that is not noise or links; a null
@@ -24,13 +26,15 @@ result; only id, url and html are read, so other columns cannot clash.
 from __future__ import annotations
 
 import html as references
+import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
-
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointlake.llm.common import map_batches, written
@@ -72,6 +76,8 @@ NOISE_WORDS = frozenset(
     " sharing social pagination pager login search toolbar".split()
 )
 NOISE_WORDS_OUTSIDE = frozenset("header masthead banner topbar widget alert".split())
+# What these hold is never shown, so it is not in the tree either.
+UNSEEN_TAGS = RAW | {"head", "template", "svg", "canvas", "object"}
 MAIN_TAGS = frozenset(["article", "main"])
 MAIN_CLASSES = frozenset(
     "article-body article-content articlebody post-content post-body entry-content story-body".split()
@@ -98,10 +104,10 @@ def attributes(text: str) -> dict[str, str]:
 
 
 class Element:
-    __slots__ = ("tag", "path", "state", "children")
+    __slots__ = ("tag", "path", "state", "seen", "children")
 
-    def __init__(self, tag: str, path: str, state: int):
-        self.tag, self.path, self.state = tag, path, state
+    def __init__(self, tag: str, path: str, state: int, seen: bool = True):
+        self.tag, self.path, self.state, self.seen = tag, path, state, seen
         self.children: list[str] = []
 
 
@@ -141,6 +147,7 @@ class Page:
 
     def __init__(self, text: str):
         self.runs: list[tuple[Element, str, bool]] = []  # element, text, whether in a link
+        self.noise: list[tuple[Element, str, bool]] = []  # the same of noise
         self.elements: list[Element] = []
         root = Element("", "", ASK)
         self.stack = [root]
@@ -163,9 +170,10 @@ class Page:
         self._text(text[at:])
 
     def _text(self, text: str) -> None:
-        if text and self.stack[-1].state != NOISE:
+        element = self.stack[-1]
+        if text and element.seen:
             linked = any(e.tag == "a" for e in self.stack[-3:])
-            self.runs.append((self.stack[-1], references.unescape(text), linked))
+            (self.noise if element.state == NOISE else self.runs).append((element, references.unescape(text), linked))
 
     def _break(self) -> None:
         if self.runs and self.runs[-1][1] != " ":
@@ -182,7 +190,7 @@ class Page:
         above = self.stack[-1]
         name = step(tag, found)
         above.children.append(name)
-        made = Element(tag, f"{above.path}/{name}", state_of(tag, found, above.state))
+        made = Element(tag, f"{above.path}/{name}", state_of(tag, found, above.state), above.seen and tag not in UNSEEN_TAGS)
         self.elements.append(made)
         self.stack.append(made)
 
@@ -210,29 +218,24 @@ class Page:
         text = joined(t for e, t, _ in self.runs if e.state == CONTENT)
         return text or None
 
-    def blocks(self) -> list[tuple[str, str]]:
-        """Path and text of consecutive runs with one path."""
-        out: list[tuple[str, list[str]]] = []
-        for element, text, _ in self.runs:
-            if not out or out[-1][0] != element.path:
-                out.append((element.path, []))
+    def blocks(self) -> list[tuple[str, str, int, bool]]:
+        """Path, text, state and whether in a link, of consecutive runs with one path; noise comes last."""
+        out: list[tuple[str, list[str], int, bool]] = []
+        for element, text, linked in (*self.runs, *self.noise):
+            if not out or (out[-1][0], *out[-1][2:]) != (element.path, element.state, linked):
+                # A break belongs to what it follows.
+                if text == " " and out and (out[-1][0], out[-1][2]) == (element.path, element.state):
+                    out[-1][1].append(text)
+                    continue
+                out.append((element.path, [], element.state, linked))
             out[-1][1].append(text)
-        return [(path, "".join(parts)) for path, parts in out]
-
-    def features(self) -> list[tuple[str, str, int]]:
-        """Path, word and count; every link is the feature ``<a>``."""
-        counts: Counter[tuple[str, str]] = Counter()
-        for element, text, linked in self.runs:
-            for word in text.split():
-                counts[element.path, "<a>" if linked else word] += 1
-        return [(path, word, n) for (path, word), n in counts.items()]
-
-    def styles(self) -> list[tuple[str, int, int]]:
-        """Path, digest of the sequence of children, and their number, of undecided elements."""
+        return [(path, "".join(parts), state, linked) for path, parts, state, linked in out]
+
+    def styles(self) -> list[tuple[str, int, int, int]]:
+        """Path, digest of the sequence of children, their number, and how many elements are so."""
+        shown = Counter((e.path, "\n".join(e.children), len(e.children)) for e in self.elements if e.seen)
         return [
-            (e.path, xxhash.xxh3_64_intdigest("\n".join(e.children).encode()) >> 1, len(e.children))
-            for e in self.elements
-            if e.state == ASK
+            (path, xxhash.xxh3_64_intdigest(names.encode()) >> 1, children, n) for (path, names, children), n in shown.items()
         ]
 
 
@@ -240,40 +243,50 @@ def joined(texts) -> str:
     return " ".join("".join(texts).split())
 
 
+BLOCK = {"path": pa.string(), "text": pa.string(), "state": pa.int8(), "linked": pa.bool_()}
+STYLE = {"path": pa.string(), "style": pa.int64(), "children": pa.int32(), "n": pa.int32()}
 PARSED = (
-    "url string, host string, digest bigint, blocks array<struct<path:string,text:string>>,"
-    " features array<struct<path:string,word:string,n:int>>,"
-    " styles array<struct<path:string,style:bigint,children:int>>"
+    "url string, host string, digest bigint,"
+    " blocks array<struct<path:string,text:string,state:tinyint,linked:boolean>>,"
+    " styles array<struct<path:string,style:bigint,children:int,n:int>>"
 )
 
 
+def _lists(rows: list[list[tuple]], fields: dict[str, pa.DataType]) -> pa.Array:
+    """Lists of structs from lists of tuples."""
+    flat = [x for row in rows for x in row]
+    columns = zip(*flat, strict=True) if flat else [()] * len(fields)
+    structs = pa.StructArray.from_arrays(
+        [pa.array(c, kind) for c, kind in zip(columns, fields.values(), strict=True)], list(fields)
+    )
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(row) for row in rows])], pa.int32()), structs)
+
+
+def _rows(lists: pa.Array) -> list[list[tuple]]:
+    """The tuples of lists of structs."""
+    flat = list(zip(*(c.to_pylist() for c in lists.flatten().flatten()), strict=True))
+    ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0))).tolist()
+    return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def parse_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """Pages as blocks. A block without path is main text; the tree decides about others."""
+    """Pages as blocks of text, and the elements that they show."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, digests, blocks, features, styles = [], [], [], [], []
+        hosts, digests, blocks, styles = [], [], [], []
         for url, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             page = Page(text or "")
-            main = page.main_text()
             host = HOST.match(url or "")
             hosts.append(host[1].lower() if host else "")
             digests.append(xxhash.xxh3_64_intdigest((text or "").encode()) >> 1)
-            plain = main is not None
-            blocks.append([(None, main)] if plain else page.blocks())
-            features.append([] if plain else page.features())
-            styles.append([] if plain else page.styles())
-        kinds = [
-            pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())])),
-            pa.list_(pa.struct([("path", pa.string()), ("word", pa.string()), ("n", pa.int32())])),
-            pa.list_(pa.struct([("path", pa.string()), ("style", pa.int64()), ("children", pa.int32())])),
-        ]
-        lists = [
-            pa.array([[dict(zip(k.value_type.names, x, strict=True)) for x in row] for row in rows], k)
-            for rows, k in zip((blocks, features, styles), kinds, strict=True)
-        ]
+            blocks.append(page.blocks())
+            styles.append(page.styles())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), *lists],
-            [id_column, "url", "host", "digest", "blocks", "features", "styles"],
+            [
+                batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(digests, pa.int64()),
+                _lists(blocks, BLOCK), _lists(styles, STYLE),
+            ],
+            [id_column, "url", "host", "digest", "blocks", "styles"],
         )
 
     kind = pages.schema[id_column].dataType.simpleString()
@@ -283,15 +296,44 @@ def parse_pages(pages: DataFrame, id_column: str = "page_id", url_column: str =
     )
 
 
+def feature_sums(pages: DataFrame) -> DataFrame:
+    """``host, path, word, n, nlogn``, added up by batch; rows without word count pages in ``n``."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sums: dict[tuple[str, str, str | None], list[float]] = {}
+        for host, blocks in zip(batch.column(0).to_pylist(), _rows(batch.column(1)), strict=True):
+            counts: dict[str, Counter] = {}
+            for path, text, _, linked in blocks:
+                if words := text.split():
+                    counts.setdefault(path, Counter()).update({"<a>": len(words)} if linked else words)
+            for path, found in counts.items():
+                sums.setdefault((host, path, None), [0, 0.0])[0] += 1
+                for word, n in found.items():
+                    held = sums.get((host, path, word))
+                    if held is None:
+                        held = sums[host, path, word] = [0, 0.0]
+                    held[0] += n
+                    if n > 1:
+                        held[1] += n * math.log(n)
+        keys = zip(*sums, strict=True) if sums else [()] * 3
+        values = zip(*sums.values(), strict=True) if sums else [()] * 2
+        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip((*keys, *values), kinds, strict=True)], ["host", "path", "word", "n", "nlogn"]
+        )
+
+    return map_batches(pages.select("host", "blocks"), work, "host string, path string, word string, n bigint, nlogn double")
+
+
 def importances(parsed: DataFrame) -> DataFrame:
-    """``host, path, importance`` of the undecided nodes of every host's merged tree."""
-    # A page and its copies count once; pages with a marked main element have no such nodes.
-    pages = parsed.where(F.size("styles") > 0).dropDuplicates(["host", "digest"])
+    """``host, path, importance`` of the nodes of every host's merged tree."""
+    # A page and its copies count once.
+    pages = parsed.dropDuplicates(["host", "digest"])
     shown = (
-        pages.select("host", F.inline("styles")).groupBy("host", "path", "style")
-        .agg(F.count("*").alias("n"), F.sum("children").alias("children"))
+        parsed.select("host", "digest", "styles").dropDuplicates(["host", "digest"])
+        .select("host", F.inline("styles")).groupBy("host", "path", "style")
+        .agg(F.sum("n").alias("n"), F.sum(F.col("children") * F.col("n")).alias("children"))
     )
-    log = lambda x, m: F.when(m > 1, F.log(x) / F.log(m)).otherwise(0.0)
     presentation = shown.groupBy("host", "path").agg(
         F.sum("n").alias("shown"), (F.sum("children") / F.sum("n")).alias("children"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
     ).select(
@@ -299,24 +341,19 @@ def importances(parsed: DataFrame) -> DataFrame:
         # -sum p log_m p with p = n / m.
         F.when(F.col("shown") > 1, 1 - F.col("nlogn") / (F.col("shown") * F.log("shown"))).otherwise(1.0).alias("presented"),
     )
-    pages_of = (
-        pages.select("host", F.explode(F.array_distinct("features.path")).alias("path"))
-        .groupBy("host", "path").agg(F.count("*").alias("m"))
-    )
-    words = (
-        pages.select("host", F.inline("features")).groupBy("host", "path", "word")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-    )
+    is_word = F.col("word").isNotNull()
     content = (
-        words.join(pages_of, ["host", "path"])
-        .select(
-            "host", "path", "word", "n", "m",
-            log(F.exp(F.log("n") - F.col("nlogn") / F.col("n")), F.col("m")).alias("spread"),
-        )
+        feature_sums(pages).groupBy("host", "path", "word")
+        .agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"))
         .groupBy("host", "path")
         .agg(
-            F.avg("spread").alias("spread"),
-            (F.sum(F.when(F.col("word") == "<a>", F.col("n")).otherwise(0)) / F.sum("n")).alias("links"),
+            F.sum(F.when(~is_word, F.col("n"))).alias("m"),
+            F.avg(F.when(is_word, F.log("n") - F.col("nlogn") / F.col("n"))).alias("entropy"),
+            (F.sum(F.when(F.col("word") == "<a>", F.col("n")).otherwise(0)) / F.sum(F.when(is_word, F.col("n")))).alias("links"),
+        )
+        .select(
+            "host", "path", "links",
+            F.when(F.col("m") > 1, F.col("entropy") / F.log("m")).otherwise(0.0).alias("spread"),
         )
         .select("host", "path", ((1 - F.col("spread")) * (1 - F.col("links"))).alias("content"))
     )
@@ -327,29 +364,39 @@ def importances(parsed: DataFrame) -> DataFrame:
     )
 
 
+def left_text(blocks: list[tuple[str, str, int, bool]], removed: Iterable[str]) -> str:
+    """The text of a page when branches are removed and its markup is looked at."""
+    gone = frozenset(removed)
+    states = {state for _, text, state, _ in blocks if state != NOISE and text.strip()}
+    marked = CONTENT in states
+    checked = [(path, text) for path, text, state, _ in blocks if state == CONTENT or not marked and state == ASK]
+    kept = joined(text if path not in gone else " " for path, text in checked)
+    return kept if kept or not marked else joined(text for _, text in checked)
+
+
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """``<id>, url, text, n_chars``: the main text of every page."""
     parsed = written(parse_pages(pages, id_column, url_column, html_column), "pages")
-    sites = importances(parsed).groupBy("host").agg(
-        F.map_from_entries(F.collect_list(F.struct("path", "importance"))).alias("tree")
-    ).select(F.col("host").alias("site"), "tree")
+    removed = (
+        importances(parsed).where(F.col("importance") < MIN_IMPORTANCE)
+        .groupBy("host").agg(F.collect_list("path").alias("removed"))
+    )
+    rows = parsed.join(removed, "host", "left").select(id_column, "url", "blocks", "removed")
+    return texts(rows, id_column)
 
-    def text_of_blocks(keep) -> Column:
-        joined_text = F.array_join(F.transform(F.filter("blocks", keep), lambda b: b["text"]), "")
-        return F.trim(F.regexp_replace(joined_text, r"(?U)[\s\x1C-\x1F]+", " "))
 
-    decided = parsed.where(F.size("styles") == 0).select(
-        id_column, "url", F.coalesce(F.get(F.col("blocks"), F.lit(0))["text"], F.lit("")).alias("text")
-    )
-    asked = (
-        parsed.where(F.size("styles") > 0)
-        .join(sites, F.col("host") == F.col("site"), "left")
-        .select(
-            id_column, "url",
-            text_of_blocks(
-                lambda b: F.coalesce(F.get(F.map_values(F.map_filter("tree", lambda k, v: k == b["path"])), F.lit(0)), F.lit(1.0))
-                >= MIN_IMPORTANCE
-            ).alias("text"),
+def texts(rows: DataFrame, id_column: str) -> DataFrame:
+    """``<id>, url, text, n_chars`` of ``<id>, url, blocks, removed``."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [
+            left_text(blocks, removed or ())
+            for blocks, removed in zip(_rows(batch.column(2)), batch.column(3).to_pylist(), strict=True)
+        ]
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())],
+            [id_column, "url", "text", "n_chars"],
         )
-    )
-    return decided.unionByName(asked).withColumn("n_chars", F.length("text").cast("bigint"))
+
+    kind = rows.schema[id_column].dataType.simpleString()
+    return map_batches(rows, work, f"`{id_column}` {kind}, url string, text string, n_chars bigint")

@@ -64,5 +64,30 @@ def test_a_lone_page_keeps_what_is_not_links(spark):
     assert [r.text for r in extract(spark, [(1, "http://a/", FRAME.format(unmarked(1)[0]))]).collect()] == [text]
 
 
+def marked(i):
+    words = " ".join(f"word{i}x{k}" for k in range(40))
+    return (
+        f"<nav><a href='/'>home</a></nav><article><p>{words}</p><div class='bio'>Written by the staff of us</div></article>"
+        "<div class='low'>All rights reserved by us</div>"
+    ), words
+
+
+def test_the_tree_decides_on_marked_pages(spark):
+    pages = [(i, f"http://site.example.com/{i}", FRAME.format(marked(i)[0])) for i in range(12)]
+    assert {r.page_id: r.text for r in extract(spark, pages).collect()} == {i: marked(i)[1] for i in range(12)}
+
+
+def test_an_unmarked_page_goes_by_the_marked_pages_of_its_host(spark):
+    pages = [(i, f"http://site.example.com/{i}", FRAME.format(marked(i)[0])) for i in range(12)]
+    pages.append((50, "http://site.example.com/50", FRAME.format("<p>only here</p><div class='low'>All rights reserved by us</div>")))
+    assert {r.page_id: r.text for r in extract(spark, pages).collect()}[50] == "only here"
+
+
+def test_marked_text_that_a_host_repeats_comes_back(spark):
+    body = "<div class='ad'>buy {}</div><article><p>one text on many pages</p></article>"
+    pages = [(i, f"http://site.example.com/{i}", FRAME.format(body.format(i))) for i in range(5)]
+    assert {r.text for r in extract(spark, pages).collect()} == {"one text on many pages"}
+
+
 def test_empty(spark):
     assert extract(spark, []).count() == 0
