@@ -40,6 +40,8 @@ from pyspark.sql import functions as F
 from pointlake.llm.common import map_batches, written
 
 MIN_IMPORTANCE = 0.3
+# A node on more than one in so many of the pages' paths is joined by broadcast.
+HOT_SHARE = 256
 CHILD_WEIGHT = 0.9  # how much of the importance content has, to the power of the children
 
 # Element names of HTML by what they do to the text around them.
@@ -376,15 +378,38 @@ def left_text(blocks: list[tuple[str, str, int, bool]], removed: Iterable[str])
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """``<id>, url, text, n_chars``: the main text of every page."""
-    parsed = written(parse_pages(pages, id_column, url_column, html_column), "pages")
-    removed = (
-        importances(parsed).where(F.col("importance") < MIN_IMPORTANCE)
-        .groupBy("host").agg(F.collect_list("path").alias("removed"))
+    parsed = written(
+        parse_pages(pages, id_column, url_column, html_column).withColumn("__row", F.monotonically_increasing_id()), "pages"
+    )
+    low = written(importances(parsed).where(F.col("importance") < MIN_IMPORTANCE).select("host", "path"), "pages-removed")
+    removed = removed_of(parsed, low).withColumnRenamed("__row", "__at")
+    rows = parsed.join(removed, F.col("__row") == F.col("__at"), "left").select(
+        F.col(id_column), "url", "blocks", "removed"
     )
-    rows = parsed.join(removed, "host", "left").select(id_column, "url", "blocks", "removed")
     return texts(rows, id_column)
 
 
+def removed_of(parsed: DataFrame, low: DataFrame) -> DataFrame:
+    """``__row, removed``: the paths of each page that are in ``low``, for pages that have any.
+
+    The paths of pages meet those of their host. Nodes that stand on more than one in
+    HOT_SHARE of all pages' paths, at most HOT_SHARE of them, are sent to all tasks; the others
+    meet by host and path, so no host has to be held or read by one task.
+    """
+    shown = parsed.select("__row", "host", F.explode(F.array_distinct("blocks.path")).alias("path"))
+    counts = shown.groupBy("host", "path").agg(F.count("*").alias("n"))
+    total = parsed.agg(F.sum(F.size(F.array_distinct("blocks.path")))).first()[0] or 0
+    marked = written(
+        low.join(counts, ["host", "path"]).select("host", "path", (F.col("n") * HOT_SHARE > total).alias("hot")),
+        "pages-nodes",
+    )
+    hot, rest = (marked.where(kept).select("host", "path") for kept in ("hot", "NOT hot"))
+    # A path of a hot node finds nothing among the others; without it, no key has many rows.
+    cold = shown.join(F.broadcast(hot), ["host", "path"], "left_anti")
+    found = cold.join(rest, ["host", "path"]).unionByName(shown.join(F.broadcast(hot), ["host", "path"]))
+    return found.groupBy("__row").agg(F.collect_list("path").alias("removed"))
+
+
 def texts(rows: DataFrame, id_column: str) -> DataFrame:
     """``<id>, url, text, n_chars`` of ``<id>, url, blocks, removed``."""
 

@@ -89,5 +89,27 @@ def test_marked_text_that_a_host_repeats_comes_back(spark):
     assert {r.text for r in extract(spark, pages).collect()} == {"one text on many pages"}
 
 
+@pytest.mark.parametrize("share", [0, 256, 1 << 40], ids=["none hot", "some hot", "all hot"])
+def test_removed_paths_of_hosts_large_and_small(spark, share, monkeypatch):
+    monkeypatch.setattr(site_style, "HOT_SHARE", share)
+    pages = [(i, f"http://h{max(0, i - 55)}/", ["/own", f"/p#post-{i % 7}", "/menu", "/menu"]) for i in range(60)]
+    parsed = spark.createDataFrame(
+        [(i, url, [(path,) for path in paths]) for i, url, paths in pages], "__row long, host string, blocks array<struct<path:string>>"
+    )
+    low = [(url, path) for _, url, paths in pages for path in set(paths) if path == "/menu" or path == "/p#post-3"]
+    removed = site_style.removed_of(parsed, spark.createDataFrame(sorted(set(low)), "host string, path string"))
+    want = {i: ["/menu", "/p#post-3"] if i % 7 == 3 else ["/menu"] for i, _, _ in pages}
+    assert {r["__row"]: sorted(r.removed) for r in removed.collect()} == want
+
+
+def test_no_row_holds_the_tree_of_a_host(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(site_style, "texts", lambda rows, _: held.extend(rows.collect()) or rows)
+    body = "<nav><a class='post-{0}' href='/'>x</a></nav><a id='{0}' href='/'>y</a><p>own{0}</p>"
+    names = ["".join("abcd"[i >> k & 3] for k in (0, 2, 4)) for i in range(64)]
+    extract(spark, [(i, "http://h/", FRAME.format(body.format(name))) for i, name in enumerate(names)])
+    assert len(held) == 64 and max(len(r.removed) for r in held) == 2
+
+
 def test_empty(spark):
     assert extract(spark, []).count() == 0
