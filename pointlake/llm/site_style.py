@@ -18,9 +18,10 @@ happens to copies of one article on a host, the marked text comes back.
 Copies of a page count once in the tree. All sums are combined before the shuffle.
 
 Cases: null and empty html give an empty text; markup that is cut off or not closed is read
-to its end; a page that is alone on its host keeps all that is not noise or links; a null
-url is a host of its own; repeated rows give repeated rows; an empty table gives an empty
-result; only id, url and html are read, so other columns cannot clash.
+to its end; tagless html and fragments are pages like others; a page that is alone on its host
+keeps all that is not noise or links; a null url is a host of its own; repeated rows give
+repeated rows; an empty table gives an empty result; only id, url and html are read, so other
+columns cannot clash.
 """
 
 from __future__ import annotations

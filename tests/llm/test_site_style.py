@@ -111,5 +111,17 @@ def test_no_row_holds_the_tree_of_a_host(spark, monkeypatch):
     assert len(held) == 64 and max(len(r.removed) for r in held) == 2
 
 
+FRAGMENTS = [
+    ("a\n\n b ", "a b"), ("before <article> </article> after", "before after"), ("<nav>menu</nav> left\u00a0 over ", "left over"),
+    ("x &amp;\ty<script>1</script>", "x & y"), (" \n ", ""), ("<article></article>", ""), ("<!-- c --> bare", "bare"),
+]
+
+
+def test_pages_without_undecided_elements(spark):
+    found = extract(spark, [(i, f"http://h{i}/", html) for i, (html, _) in enumerate(FRAGMENTS)]).collect()
+    assert {r.page_id: r.text for r in found} == {i: text for i, (_, text) in enumerate(FRAGMENTS)}
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
 def test_empty(spark):
     assert extract(spark, []).count() == 0
