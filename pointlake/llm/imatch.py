@@ -35,7 +35,7 @@ BUCKET_BITS = 18
 # Share of documents that a bucket's terms may stand in. Words that stand in one document
 # each add about (rare words of a document) / 2^BUCKET_BITS, which is below the band.
 BAND = (5e-4, 0.1)
-LEXICONS = 16
+LEXICONS = 24
 # Odd factors: one random order of all terms for each lexicon.
 FACTORS = mixed(np.arange(1, LEXICONS + 1)) | np.uint64(1)
 CACHE_ENTRIES = 150_000

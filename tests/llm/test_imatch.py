@@ -56,6 +56,12 @@ def test_likeness():
     assert make("a B") == make(" b\ta a")
 
 
+def test_a_level_has_a_hash_for_each_of_24_lexicons():
+    flags = np.ones(1 << imatch.BUCKET_BITS, bool)
+    levels = imatch.fingerprint(imatch.Terms()(prose(1, 400)), flags).split(";")
+    assert [len(level.split("=")[1].split(",")) for level in levels] == [24, 24]
+
+
 def test_lone_and_empty(spark):
     lone = imatch.with_edits(frame(spark, [(3, "abcdefgh", "a")])).collect()
     assert len(lone) == 1 and lone[0].near_next == 1 and lone[0].edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
