@@ -1,8 +1,10 @@
 """Document fingerprints by I-Match: hashes of sorted terms from randomised lexicons.
 
-Terms are lower-case words. Their document frequencies over the whole corpus are counted in
-a fixed number of hash buckets; the lexicon holds the terms of buckets whose share of
-documents lies within a band, so neither function words nor words of few documents count.
+Terms are lower-case words. Their document frequencies over the whole corpus are counted by
+64-bit hash; the lexicon holds the terms whose share of documents lies within a band, so
+neither function words nor words of few documents count. Every term of the lexicon stands in
+BAND[0] of the documents at least, so it has at most (mean distinct terms of a document) /
+BAND[0] terms, whatever the corpus.
 A document's terms of the lexicon are made distinct and sorted; each of LEXICONS random
 subsets of the lexicon selects some of them, and what it selects is hashed. A subset keeps
 one term in 2^level, for two neighbouring levels by which about one to four terms are
@@ -31,15 +33,17 @@ from pyspark.sql import functions as F
 
 from pointlake.llm.common import id_array, id_ranges, mixed, parts_of, range_of, ready_workers
 
+# Buckets of term hashes in which a term is looked up first; most terms end there.
 BUCKET_BITS = 18
-# Share of documents that a bucket's terms may stand in. Words that stand in one document
-# each add about (rare words of a document) / 2^BUCKET_BITS, which is below the band.
+# Share of documents that a term of the lexicon stands in.
 BAND = (5e-4, 0.1)
 LEXICONS = 24
 # Odd factors: one random order of all terms for each lexicon.
 FACTORS = mixed(np.arange(1, LEXICONS + 1)) | np.uint64(1)
 CACHE_ENTRIES = 150_000
 SHIFT = np.uint64(64 - BUCKET_BITS)
+# Term hashes that a task holds before it adds them up and passes them on.
+HELD_TERMS = 1 << 20
 
 
 class Terms:
@@ -63,35 +67,60 @@ class Terms:
         return out
 
 
-def lexicon(docs: DataFrame, text_column: str = "text", band: tuple[float, float] = BAND) -> np.ndarray:
-    """For every bucket whether its terms are in the lexicon; 2^BUCKET_BITS flags at any size."""
+class Lexicon:
+    """Sorted term hashes. Indexed by buckets it tells which of them hold terms at all."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = np.sort(terms)
+        self.flags = np.zeros(1 << BUCKET_BITS, bool)
+        self.flags[(self.terms >> SHIFT).astype(np.int64)] = True
+
+    def __getitem__(self, buckets: np.ndarray) -> np.ndarray:
+        return self.flags[buckets.astype(np.int64)]
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
+        """Those of the terms that are in the lexicon."""
+        found = terms[self[terms >> SHIFT]]
+        at = np.searchsorted(self.terms, found)
+        return found[self.terms[at.clip(max=len(self.terms) - 1)] == found] if len(found) else found
+
+
+def lexicon(docs: DataFrame, text_column: str = "text", band: tuple[float, float] = BAND) -> Lexicon:
+    """The terms within the band; only they come to the driver."""
     ready_workers(docs.sparkSession)
 
+    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["term", "documents"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, counts, n = Terms(), np.zeros(1 << BUCKET_BITS, np.int64), 0
+        terms, held, n = Terms(), [], 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts[np.unique(terms(text) >> SHIFT).astype(np.int64)] += 1
-            n += batch.num_rows
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[-1, found]), pa.array(np.r_[n, counts[found]])], ["bucket", "documents"]
-        )
-
-    sums = (
-        docs.select(text_column).mapInArrow(run, "bucket bigint, documents bigint")
-        .groupBy("bucket").agg(F.sum("documents").alias("documents")).toPandas()
+                held.append(terms(text))
+                n += len(held[-1])
+                if n >= HELD_TERMS:
+                    yield summed(held)
+                    held, n = [], 0
+        if held:
+            yield summed(held)
+
+    total = docs.count()
+    inside = (
+        docs.select(text_column).mapInArrow(run, "term bigint, documents bigint")
+        .groupBy("term").agg(F.sum("documents").alias("documents"))
+        .where((F.col("documents") >= band[0] * total) & (F.col("documents") <= band[1] * total))
+        .select("term").toPandas()
     )
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    total = sums.loc[sums["bucket"] < 0, "documents"].sum()
-    inside = sums[sums["bucket"] >= 0]
-    counts[inside["bucket"]] = inside["documents"]
-    return (counts >= band[0] * total) & (counts <= band[1] * total) & (counts > 0)
+    return Lexicon(inside["term"].to_numpy(np.int64).view(np.uint64))
 
 
-def fingerprint(terms: np.ndarray, lexicon: np.ndarray) -> str:
-    """``level=hash,hash,...;level=...``: a hash for each lexicon, empty where it selects none."""
-    kept = terms[lexicon[(terms >> SHIFT).astype(np.int64)]]
+def fingerprint(terms: np.ndarray, lexicon: Lexicon | np.ndarray) -> str:
+    """``level=hash,hash,...;level=...``: a hash for each lexicon, empty where it selects none.
+
+    An array has a flag for each bucket, and selects all terms of a bucket.
+    """
+    kept = lexicon.of(terms) if isinstance(lexicon, Lexicon) else terms[lexicon[(terms >> SHIFT).astype(np.int64)]]
     kept = kept if len(kept) else terms
     if not len(kept):
         return ""

@@ -45,6 +45,17 @@ def test_document_frequencies_choose_the_lexicon(spark):
     assert sum(inside(f"rare{i}") for i in range(2000)) < 20
 
 
+def test_the_lexicon_has_the_terms_of_the_band_alone(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "HELD_TERMS", 500)
+    # So many words of one document each that every bucket has as many of them as the floor asks for.
+    rare = 4000
+    rows = [(i, " ".join([f"band{i % 40}", "Common", *(f"r{i}x{k}" for k in range(rare))]), "a") for i in range(400)]
+    docs = frame(spark, [*rows, (1000, None, "a"), (1001, "", "a")])
+    found = imatch.lexicon(docs, band=(0.01, 0.3))
+    assert set(found.terms.tolist()) == set(imatch.Terms()(" ".join(f"band{k}" for k in range(40))).tolist())
+    assert found.of(imatch.Terms()(rows[0][1])).tolist() == imatch.Terms()("band0").tolist()
+
+
 def test_likeness():
     flags = np.ones(1 << imatch.BUCKET_BITS, bool)
     make = lambda text: imatch.fingerprint(imatch.Terms()(text), flags)
