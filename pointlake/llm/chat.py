@@ -38,6 +38,7 @@ CONTROL_IN_ROLE = r"(\\|###|</turn>|<\||: )"
 ESCAPED = re.compile(r"\\(\\|###|</turn>|<\||: )")
 
 PART = "struct<kind:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>"
+NOT_OF_TEXT = {"uri": "string", "width": "int", "height": "int", "seconds": "double", "pages": "int"}
 # Tokens that attachments expand to: per patch of pixels, per second, per page.
 PATCH_SIDE = 28
 TOKENS_PER_SECOND = 25
@@ -104,10 +105,11 @@ def format_turns(
     ``parts_column`` holds an array of PART; without it the text is the only part.
     """
     if parts_column:
-        body, attachments = _flattened(F.coalesce(F.col(parts_column), F.array().cast(f"array<{PART}>")))
+        parts = F.coalesce(F.col(parts_column), F.array().cast(f"array<{PART}>"))
     else:
-        body = escaped(text_of(text_column))
-        attachments = F.array().cast("array<struct<number:int,kind:string,uri:string,tokens:bigint>>")
+        absent = [F.lit(None).cast(kind).alias(name) for name, kind in NOT_OF_TEXT.items()]
+        parts = F.array(F.struct(F.lit("text").alias("kind"), F.col(text_column).alias("text"), *absent))
+    body, attachments = _flattened(parts)
     head = F.concat(F.lit(START), escaped(text_of(role_column), CONTROL_IN_ROLE), F.lit(BETWEEN))
     learnt = F.coalesce(F.col(role_column) == LEARNT_ROLE, F.lit(False))
     staged = turns.select(

@@ -80,6 +80,16 @@ def test_parts(spark):
     assert second.formatted == "### assistant: </turn>\n" and second.loss_start == second.loss_end
 
 
+def test_a_text_goes_through_the_visitor_as_a_part(spark, monkeypatch):
+    seen = []
+    flattened = chat._flattened
+    monkeypatch.setattr(chat, "_flattened", lambda parts: seen.append(parts) or flattened(parts))
+    formatted = chat.format_turns(turns(spark))
+    (parts,) = turns(spark, ROWS[:1]).select(seen[0].alias("parts")).first()
+    assert [(p.kind, p.text) for p in parts] == [("text", "hi")]
+    assert all(r.attachments == [] for r in formatted.collect())
+
+
 def test_what_is_no_turn_is_an_error():
     with pytest.raises(ValueError):
         chat.parsed("### user: a</turn> b</turn>\n")
