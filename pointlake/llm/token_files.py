@@ -7,9 +7,9 @@ ascending id order:
     index: per document id, whether it is null, tokens, end of its frame (8 bytes each)
     frames: per document its ids as little-endian 32-bit numbers, zstandard with the dictionary
 
-so a document is read by its index entry and one frame. The dictionary is trained on the
-ids of DICTIONARY_SAMPLE documents with the smallest digests of their ids and lies beside
-the files. A manifest table lists files with their documents and tokens; a file's name is
+so a document is read by its index entry and one frame. The dictionary is trained on
+pieces from all places of DICTIONARY_SAMPLE documents with the smallest digests of their ids,
+TRAINING_BYTES in all, and lies beside the files. A manifest table lists files with their documents and tokens; a file's name is
 its writer's own, and only files in the manifest count, so a repeated task does no harm.
 
 Cases: null and empty texts hold the end id alone; null ids come first; repeated rows are
@@ -47,8 +47,9 @@ MAGIC = b"tokfile1"
 ENTRY = np.dtype([("id", "<i8"), ("null", "<i8"), ("tokens", "<i8"), ("end", "<i8")])
 DICTIONARY_SAMPLE = 2_000
 DICTIONARY_BYTES = 64 << 10
-# Ids of one sample document that the trainer sees.
+# Ids of one piece, and the bytes of all pieces that the trainer sees.
 SAMPLE_IDS = 2_000
+TRAINING_BYTES = 4 * SAMPLE_IDS * DICTIONARY_SAMPLE
 LEVEL = 3
 # Words that a worker keeps; a full cache is emptied.
 CACHE_ENTRIES = 120_000
@@ -122,7 +123,16 @@ def encoder(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, path: str, id_column: str, text_column: str) -> bytes:
-    """A dictionary from a bounded sample of whole documents; empty where they are too few."""
+    """A dictionary from pieces of a bounded sample of documents; empty where they are too few."""
+    samples = training_pieces(docs, path, id_column, text_column)
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=512, d=8).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
+def training_pieces(docs: DataFrame, path: str, id_column: str, text_column: str) -> list[bytes]:
+    """Pieces of whole sample documents, by their digests as far as TRAINING_BYTES go."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     ids = rows.select("id").where("id IS NOT NULL").distinct()
     chosen = ids.orderBy(F.md5(F.col("id").cast("string")), "id").limit(DICTIONARY_SAMPLE)
@@ -131,13 +141,25 @@ def train_dictionary(docs: DataFrame, path: str, id_column: str, text_column: st
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = documents_of(*encoder(path).encode(batch.column(1)))
-        return pa.RecordBatch.from_arrays([pa.array([x[: 4 * SAMPLE_IDS] for x in found])], ["ids"])
+        step = 4 * SAMPLE_IDS
+        pieces = [x[at : at + step] for x in found for at in range(0, len(x), step)]
+        keys = [xxhash.xxh3_64_intdigest(x) >> 1 for x in pieces]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int64()), pa.array([len(x) for x in pieces], pa.int64()), pa.array(pieces, pa.binary())],
+            ["key", "size", "ids"],
+        )
 
-    samples = [bytes(r.ids) for r in map_batches(sample, work, "ids binary").collect()]
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=512, d=8).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    pieces = written(map_batches(sample, work, "key bigint, size bigint, ids binary"), "training-pieces")
+    total = pieces.agg(F.sum("size")).first()[0] or 0
+    # Digests are even: below this one lie about nine tenths of the budget.
+    below = int((1 << 63) * min(1.0, 0.9 * TRAINING_BYTES / total)) if total > TRAINING_BYTES else 1 << 63
+    out, left = [], TRAINING_BYTES
+    for row in pieces.where(F.col("key") <= below - 1).orderBy("key", "ids").toLocalIterator():
+        left -= row["size"]
+        if left < 0:
+            break
+        out.append(bytes(row["ids"]))
+    return out
 
 
 def _opened(uri: str) -> tuple[fs.FileSystem, str]:

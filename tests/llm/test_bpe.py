@@ -108,3 +108,14 @@ def test_empty_tables(spark, folder):
     assert bpe.decode(bpe.encode(empty(spark))).count() == 0
     path = token_files.write_tokens(empty(spark), f"{folder}/tokens")
     assert token_files.read_tokens(spark, path).count() == 0
+
+
+def test_training_pieces_come_from_whole_documents_under_a_budget(spark, monkeypatch):
+    rows = [(i, " ".join(["head"] * 3000 + [f"tail{i}"] * 500), "a") for i in range(4)]
+    whole = token_files.training_pieces(frame(spark, rows), PATH, "doc_id", "text")
+    encoder = token_files.encoder(PATH)
+    found = token_files.documents_of(*encoder.encode(pa.array([t for _, t, _ in rows])))
+    assert sorted(whole) == sorted(x[a : a + 8000] for x in found for a in range(0, len(x), 8000))
+    monkeypatch.setattr(token_files, "TRAINING_BYTES", 30_000)
+    some = token_files.training_pieces(frame(spark, rows), PATH, "doc_id", "text")
+    assert 0 < sum(map(len, some)) <= 30_000 and set(some) < set(whole)
