@@ -11,6 +11,7 @@ from pointlake.llm import (
     imatch,
     mixing,
     near_dedup,
+    prefix_trie,
     quality_gam,
     quality_rules,
     site_style,
@@ -145,3 +146,59 @@ def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their edited texts."""
     return imatch.with_edits(table(spark, sf_dir, "documents"))
+
+
+TRIE_SQL = r"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS place,
+         length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS said,
+         strlen(coalesce(text, '')) AS n_bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), lengths AS (
+  SELECT conv_id, count(*) AS n,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+             lambda r, b: list_reduce(list_concat([xor(r, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+               lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 9 AS h
+  FROM own GROUP BY conv_id
+), convs AS (
+  SELECT a.*, a.conv_id - ((a.conv_id % 5) + 5) % 5 AS base, least(a.h, coalesce(b.n, 0)) AS head
+  FROM lengths a LEFT JOIN lengths b ON b.conv_id = a.conv_id - ((a.conv_id % 5) + 5) % 5
+), turns AS (
+  SELECT c.conv_id, o.place - c.h + c.head + 1 AS depth, said, n_bytes FROM own o JOIN convs c ON o.conv_id = c.conv_id WHERE o.place >= c.h
+  UNION ALL
+  SELECT c.conv_id, o.place + 1, said, n_bytes FROM own o JOIN convs c ON o.conv_id = c.base WHERE o.place < c.head
+), prefixes AS (
+  SELECT conv_id, depth, n_bytes,
+         sha256(string_agg(sha256(said), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM turns
+  UNION ALL
+  SELECT conv_id, 0, 0, '', NOT EXISTS (SELECT 1 FROM turns t WHERE t.conv_id = c.conv_id) FROM convs c
+), nodes AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(n_bytes) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY node
+), links AS (
+  SELECT a.node, p.node AS parent
+  FROM nodes a JOIN prefixes p ON p.conv_id = a.conv_id AND p.depth = a.depth - 1
+), kids AS (
+  SELECT parent AS node, count(*) AS n_children FROM links GROUP BY parent
+), below AS (
+  SELECT p.node, sum(n.saved) AS saved_tokens, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids k ON k.node = n.node
+  GROUP BY p.node
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(k.n_children, 0) AS BIGINT) AS n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN kids k ON k.node = n.node
+LEFT JOIN links l ON l.node = n.node LEFT JOIN nodes u ON u.node = l.parent
+"""
+
+
+@query(TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations, with its members."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
