@@ -14,6 +14,7 @@ from pointlake.llm import (
     prefix_trie,
     quality_gam,
     quality_rules,
+    sharding,
     site_style,
     suffix_dedup,
     token_files,
@@ -202,3 +203,9 @@ LEFT JOIN links l ON l.node = n.node LEFT JOIN nodes u ON u.node = l.parent
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct prefix of the rebuilt conversations, with its members."""
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and the place in it of every document."""
+    return sharding.placed(table(spark, sf_dir, "documents"))
