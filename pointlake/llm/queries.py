@@ -9,6 +9,7 @@ from pointlake.llm import (
     bpe,
     chat,
     imatch,
+    lexical_search,
     mixing,
     near_dedup,
     prefix_trie,
@@ -209,3 +210,42 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard and the place in it of every document."""
     return sharding.placed(table(spark, sf_dir, "documents"))
+
+
+SEARCH_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), lengths AS (
+  SELECT place, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM docs WHERE len(terms) > 0
+), sums AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths
+), items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), occurrences AS (
+  SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(terms) AS term FROM lengths)
+  WHERE term IN (SELECT term FROM items) GROUP BY place, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(s.docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM occurrences, sums s GROUP BY term
+), scores AS (
+  SELECT i.item_id, l.place, l.doc_id,
+         CAST(sum(w.w * ((1000000000 * o.tf) // (1000 * o.tf + 8 * (100 - 90 + (90 * l.n * s.docs) // s.words)))) AS BIGINT) AS score
+  FROM items i JOIN occurrences o ON o.term = i.term JOIN weights w ON w.term = i.term
+  JOIN lengths l ON l.place = o.place CROSS JOIN sums s
+  GROUP BY i.item_id, l.place, l.doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query(SEARCH_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
