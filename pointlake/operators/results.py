@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pointlake.functions.columns import ref, type_of
 from pointlake.functions.text import scalar_text
@@ -16,15 +18,17 @@ SERIES_SCHEMA = (
     "values: ARRAY<ARRAY<STRING>>>"
 )
 RESULTS_SCHEMA = f"ARRAY<STRUCT<error: STRING, series: ARRAY<{SERIES_SCHEMA}>>>"
-RESPONSE_SCHEMA = f"STRUCT<results: {RESULTS_SCHEMA}, error: STRING>"
+# Cells of a typed document keep whether they were a number, text or a boolean.
+TYPED_RESULTS_SCHEMA = RESULTS_SCHEMA.replace("ARRAY<ARRAY<STRING>>", "ARRAY<ARRAY<VARIANT>>")
 
 
-def parse_documents(df: DataFrame, document: str, out: str = "response") -> DataFrame:
-    """JSON text to the nested response structure."""
-    read = F.from_json(ref(document), RESPONSE_SCHEMA)
+def parse_documents(df: DataFrame, document: str, out: str = "response", typed: bool = False) -> DataFrame:
+    """JSON text to the nested response structure; cells are text, or keep their kind if ``typed``."""
+    kind = TYPED_RESULTS_SCHEMA if typed else RESULTS_SCHEMA
+    read = F.from_json(ref(document), f"STRUCT<results: {kind}, error: STRING>")
     # Text that is no JSON object becomes a document with an error, so that it is seen.
     unread = F.named_struct(
-        F.lit("results"), F.lit(None).cast(RESULTS_SCHEMA), F.lit("error"), F.lit("not a response document")
+        F.lit("results"), F.lit(None).cast(kind), F.lit("error"), F.lit("not a response document")
     )
     is_object = F.coalesce(F.trim(ref(document)).startswith("{") & F.try_parse_json(ref(document)).isNotNull(), F.lit(False))
     parsed = F.when(ref(document).isNotNull() & ~is_object, unread).otherwise(read)
@@ -38,33 +42,184 @@ def time_of_response(text: Column, precision: str | None) -> Column:
     ).otherwise(from_iso(text))
 
 
+# -- columns that the data itself names ------------------------------------------------
+
+MAX_COLUMNS = 2_000
+TEXT_KIND, INTEGER_KIND, NUMBER_KIND, FLAG_KIND, NESTED_KIND, NO_KIND = (
+    "text", "integer", "number", "flag", "nested", "none",
+)
+
+
+@dataclass(frozen=True)
+class ResultColumns:
+    """Result columns with their Spark types, and the tags that become columns."""
+
+    columns: Mapping[str, str]
+    tags: tuple[str, ...] = ()
+
+
+def _cell_type(df: DataFrame, response: str) -> T.DataType:
+    series = type_of(df, response)["results"].dataType.elementType["series"].dataType.elementType
+    return series["values"].dataType.elementType.elementType
+
+
+def _kind(cell: Column, kind: T.DataType) -> Column:
+    """What a cell holds; numbers without decimals are apart from others."""
+    if not isinstance(kind, T.VariantType):
+        return F.when(cell.isNull(), NO_KIND).otherwise(TEXT_KIND)
+    name = F.schema_of_variant(cell)
+    return (
+        F.when(cell.isNull() | (name == "VOID"), NO_KIND)
+        .when(name == "BIGINT", INTEGER_KIND)
+        .when(name.startswith("DECIMAL") | name.isin("DOUBLE", "FLOAT"), NUMBER_KIND)
+        .when(name == "BOOLEAN", FLAG_KIND)
+        .when(name == "STRING", TEXT_KIND)
+        .otherwise(NESTED_KIND)
+    )
+
+
+def _as_kind(cell: Column, kind: T.DataType, wanted: str) -> Column:
+    return F.try_variant_get(cell, "$", wanted) if isinstance(kind, T.VariantType) else cell.try_cast(wanted)
+
+
+def widened(kinds: Iterable[str]) -> str:
+    """The type that holds all these kinds: whole numbers widen to doubles, any other
+    mix and nested values to text. A column without values is text."""
+    seen = set(kinds) - {NO_KIND}
+    if seen == {INTEGER_KIND}:
+        return "bigint"
+    if seen and seen <= {INTEGER_KIND, NUMBER_KIND}:
+        return "double"
+    return "boolean" if seen == {FLAG_KIND} else "string"
+
+
+def column_kinds(df: DataFrame, response: str = "response") -> DataFrame:
+    """``result_index, name, is_tag, kind, cells``: what the documents hold, one row for
+    each column or tag and kind.
+
+    One pass; every task counts its own cells before the shuffle. Of a name that a series
+    repeats, the last column counts. Tags are those of a result's first series.
+    """
+    kind = _cell_type(df, response)
+    results = df.select(F.posexplode(f"{response}.results").alias("result_index", "_result"))
+    names = F.coalesce(F.col("_series.columns"), F.array().cast("array<string>"))
+    last = F.transform(
+        F.array_distinct(names),
+        lambda n: F.named_struct(
+            F.lit("name"), n, F.lit("at"), (F.size(names) - F.array_position(F.reverse(names), n)).cast("int")
+        ),
+    )
+    cells = (
+        results.select("result_index", F.explode("_result.series").alias("_series"))
+        .select("result_index", last.alias("_columns"), F.explode("_series.values").alias("_row"))
+        .select("result_index", "_row", F.inline("_columns"))
+        .select("result_index", "name", F.lit(False).alias("is_tag"), _kind(F.get("_row", F.col("at")), kind).alias("kind"))
+    )
+    first = F.get(F.col("_result.series"), F.lit(0))
+    tags = results.select("result_index", F.explode(F.map_keys(first["tags"])).alias("name")).select(
+        "result_index", "name", F.lit(True).alias("is_tag"), F.lit(TEXT_KIND).alias("kind")
+    )
+    counted = cells.unionByName(tags).groupBy("result_index", "name", "is_tag", "kind")
+    return counted.agg(F.count(F.lit(1)).alias("cells")).withColumn("result_index", F.col("result_index").cast("bigint"))
+
+
+def result_columns(
+    df: DataFrame, response: str = "response", limit: int = MAX_COLUMNS
+) -> dict[int, ResultColumns]:
+    """The columns of each statement's result, from the data. Names are in order.
+
+    The driver receives a row for each name and kind; more names than ``limit`` stop it.
+    """
+    rows = column_kinds(df, response).where("name IS NOT NULL").limit(limit * 8 + 1).collect()
+    kinds: dict[int, dict[str, set[str]]] = {}
+    tags: dict[int, set[str]] = {}
+    for r in rows:
+        kinds.setdefault(r.result_index, {})
+        tags.setdefault(r.result_index, set())
+        if r.is_tag:
+            tags[r.result_index].add(r.name)
+        else:
+            kinds[r.result_index].setdefault(r.name, set()).add(r.kind)
+    if len(rows) > limit * 8 or any(len(kinds[i].keys() | tags[i]) > limit for i in kinds):
+        raise ValueError(f"More than {limit} result columns; declare the wanted ones")
+    return {
+        i: ResultColumns({n: widened(kinds[i][n]) for n in sorted(kinds[i])}, tuple(sorted(tags[i])))
+        for i in sorted(kinds)
+    }
+
+
+def merged_columns(found: Iterable[ResultColumns]) -> ResultColumns:
+    """The columns of several results in one table; types that differ widen like kinds."""
+    kind_of = {"bigint": INTEGER_KIND, "double": NUMBER_KIND, "boolean": FLAG_KIND, "string": TEXT_KIND}
+    kinds: dict[str, set[str]] = {}
+    tags: set[str] = set()
+    for one in found:
+        tags |= set(one.tags)
+        for name, kind in one.columns.items():
+            kinds.setdefault(name, set()).add(kind_of[kind])
+    return ResultColumns({n: widened(kinds[n]) for n in sorted(kinds)}, tuple(sorted(tags)))
+
+
+def _free_names(wanted: Sequence[str], taken: Iterable[str]) -> dict[str, str]:
+    """Each name, behind underscores if a column of the results has it."""
+    used, out = {t.lower() for t in taken}, {}
+    for name in wanted:
+        free = name
+        while free.lower() in used:
+            free = "_" + free
+        used.add(free.lower())
+        out[name] = free
+    return out
+
+
 def flatten_responses(
     df: DataFrame,
-    columns: Mapping[str, str],
-    tags: Sequence[str] = (),
+    columns: Mapping[str, str] | None = None,
+    tags: Sequence[str] | None = None,
     precision: str | None = None,
     response: str = "response",
+    result_index: int | None = None,
 ) -> DataFrame:
-    """One row per value row of every result and series.
+    """One row per value row of every result and series, or of the results at ``result_index``.
 
     ``columns`` gives the wanted result columns with their Spark types; ``time`` is
     always converted and comes out as ``time_ns``. ``tags`` become columns too and
     take the place of a column of the same name. Only tag names that the first series
     of a result has count. Missing series, columns or values mean no rows.
+
+    Without ``columns`` the data names them: a first pass finds all columns, tags and
+    kinds of cells (documents should be parsed as ``typed``), and the columns beside
+    them that would have a name of theirs get an underscore in front.
     """
+    declared = columns is not None
+    if not declared:
+        seen = result_columns(df, response)
+        kept = seen.values() if result_index is None else [seen[result_index]] if result_index in seen else []
+        merged = merged_columns(kept)
+        columns, tags = merged.columns, merged.tags if tags is None else tags
+    tags = list(tags or ())
     carried = [c for c in df.columns if c != response]
+    others = [*carried, "result_index", "series_index", "row_index", "name", "time_ns"]
+    data = [c for c in columns if c != "time"]
+    named = {c: c for c in others} if declared else _free_names(others, [*data, *tags])
+    kind = _cell_type(df, response)
+
+    # Inner names are numbered: names of the data may differ in case alone.
+    own = {c: f"_carried_{i}" for i, c in enumerate(carried)}
     results = df.select(
-        *[ref(c) for c in carried],
-        F.posexplode_outer(f"{response}.results").alias("result_index", "_result"),
+        *[ref(c).alias(own[c]) for c in carried],
+        F.posexplode_outer(f"{response}.results").alias("_result_index", "_result"),
     )
+    if result_index is not None:
+        results = results.filter(F.col("_result_index") == result_index)
     first = F.get(F.col("_result.series"), F.lit(0))
     series = results.select(
-        *[ref(c) for c in carried],
-        F.col("result_index").cast("bigint"),
+        *own.values(),
+        "_result_index",
         F.coalesce(F.map_keys(first["tags"]), F.array().cast("array<string>")).alias("_tag_keys"),
-        F.posexplode("_result.series").alias("series_index", "_series"),
+        F.posexplode("_result.series").alias("_series_index", "_series"),
     )
-    wanted = ([] if "time" in columns else ["time"]) + list(columns)
+    wanted = ["time", *data]
 
     def last_position(name: str) -> Column:
         names = F.coalesce("_series.columns", F.array().cast("array<string>"))
@@ -72,42 +227,59 @@ def flatten_responses(
         return F.when(from_end > 0, F.size(names) - from_end)
 
     located = series.select(
-        *[ref(c) for c in carried],
-        "result_index",
-        F.col("series_index").cast("bigint"),
-        F.col("_series.name").alias("name"),
+        *own.values(),
+        "_result_index",
+        "_series_index",
+        F.col("_series.name").alias("_name"),
         *[
-            F.when(F.array_contains("_tag_keys", t), F.col("_series.tags")[t]).alias(f"_tag_{t}")
-            for t in tags
+            F.when(F.array_contains("_tag_keys", t), F.col("_series.tags")[t]).alias(f"_tag_{i}")
+            for i, t in enumerate(tags)
         ],
-        *[F.array_contains("_tag_keys", t).alias(f"_has_{t}") for t in tags],
-        *[last_position(c).cast("int").alias(f"_at_{c}") for c in wanted],
-        F.posexplode("_series.values").alias("row_index", "_row"),
+        *[F.array_contains("_tag_keys", t).alias(f"_has_{i}") for i, t in enumerate(tags)],
+        *[last_position(c).cast("int").alias(f"_at_{i}") for i, c in enumerate(wanted)],
+        F.posexplode("_series.values").alias("_row_index", "_row"),
     )
 
     def cell(name: str) -> Column:
-        return F.get("_row", ref(f"_at_{name}"))
-
-    out = [time_of_response(cell("time"), precision).alias("time_ns")]
-    for name, kind in columns.items():
-        if name == "time" or name in tags:
-            continue
-        out.append(cell(name).try_cast(kind).alias(name))
-    for tag in tags:
-        value = ref(f"_tag_{tag}")
+        return F.get("_row", F.col(f"_at_{wanted.index(name)}"))
+
+    out = [time_of_response(_as_kind(cell("time"), kind, "string"), precision).alias(named["time_ns"])]
+    for name in data:
+        if name not in tags:
+            out.append(_as_kind(cell(name), kind, columns[name]).alias(name))
+    for i, tag in enumerate(tags):
+        value = F.col(f"_tag_{i}")
         if tag in columns:
-            value = F.when(ref(f"_has_{tag}"), value).otherwise(cell(tag))
+            text = time_of_response(_as_kind(cell(tag), kind, "string"), precision).cast("string") if tag == "time" else (
+                _as_kind(cell(tag), kind, "string")
+            )
+            value = F.when(F.col(f"_has_{i}"), value).otherwise(text)
         out.append(value.alias(tag))
     return located.select(
-        *[ref(c) for c in carried],
-        "result_index",
-        "series_index",
-        F.col("row_index").cast("bigint"),
-        "name",
+        *[F.col(own[c]).alias(named[c]) for c in carried],
+        F.col("_result_index").cast("bigint").alias(named["result_index"]),
+        F.col("_series_index").cast("bigint").alias(named["series_index"]),
+        F.col("_row_index").cast("bigint").alias(named["row_index"]),
+        F.col("_name").alias(named["name"]),
         *out,
     )
 
 
+def flatten_statements(
+    df: DataFrame, precision: str | None = None, response: str = "response"
+) -> list[DataFrame] | DataFrame:
+    """A table per statement with the columns of that statement's results, all found in one
+    pass; a single statement gives its table itself."""
+    found = result_columns(df, response)
+    count = max(found, default=0) + 1
+    none = ResultColumns({})
+    tables = [
+        flatten_responses(df, found.get(i, none).columns, found.get(i, none).tags, precision, response, i)
+        for i in range(count)
+    ]
+    return tables[0] if count == 1 else tables
+
+
 def split_results(flat: DataFrame, statements: int) -> list[DataFrame] | DataFrame:
     """One table per statement; a single statement gives its table itself."""
     tables = [
@@ -166,9 +338,9 @@ def group_of_response(
     df: DataFrame, matcher: Mapping[str, str], result_index: int = 0, response: str = "response"
 ) -> DataFrame:
     """Each document reduced to the first series of a result whose tags equal the matcher."""
+    kind = type_of(df, response)["results"].dataType.elementType["series"].dataType
     series = F.coalesce(
-        F.get(F.col(f"{response}.results"), F.lit(result_index))["series"],
-        F.array().cast(f"array<{SERIES_SCHEMA}>"),
+        F.get(F.col(f"{response}.results"), F.lit(result_index))["series"], F.array().cast(kind)
     )
     keys = F.coalesce(F.map_keys(F.get(series, F.lit(0))["tags"]), F.array().cast("array<string>"))
 
@@ -226,15 +398,15 @@ def groups(
 
 
 def series_rows(
-    df: DataFrame, name: str, tags: Sequence[str], every: str, time: str = "time_ns"
+    df: DataFrame, name: str, tags: Sequence[str], every: str, time: str = "time_ns", typed: bool = False
 ) -> DataFrame:
-    """The raw response shape: ``name, <tags>, bucket, columns, values``, values as text;
-    a series has a row for each time bucket."""
+    """The raw response shape: ``name, <tags>, bucket, columns, values``, values as text, or
+    with their kind if ``typed``; a series has a row for each time bucket."""
     columns = [time, *[c for c in df.columns if c not in tags and c != time]]
     nested = groups(df, name, tags, every, time)
     values = F.transform(
         "rows",
-        lambda r: F.array(*[scalar_text(r[c], type_of(df, c)) for c in columns]),
+        lambda r: F.array(*[r[c].cast("variant") if typed else scalar_text(r[c], type_of(df, c)) for c in columns]),
     )
     return nested.select(
         "name",

@@ -91,3 +91,63 @@ def response_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     matched = results.group_of_response(_parsed(spark, sf_dir), {"event_type": "view"})
     flat = results.flatten_responses(matched, {"value": "double"}, tags=["event_type"])
     return flat.select("event_type", "time_ns", "value")
+
+
+def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose columns and kinds differ: errors have whole values and a code of their
+    own, views have text where others have numbers."""
+    points = event_points(spark, sf_dir).select("event_type", "user_id", "time_ns", "value", "k")
+    kind = F.col("event_type")
+    common = ["event_type", "time_ns", "value", "k", (F.col("k") > 4).alias("high")]
+    views = points.where(kind == "view").select(*common, F.concat(F.lit("page "), F.col("k").cast("string")).alias("note"))
+    plain = points.where(~kind.isin("view", "error")).select(*common, F.col("k").alias("note"))
+    errors = points.where(kind == "error").select(
+        "event_type", "time_ns", F.floor("value").cast("bigint").alias("value"), F.col("user_id").alias("code"),
+        F.lit(None).cast("string").alias("empty"),
+    )
+    tables = [results.series_rows(t, "events", ["event_type"], "1d", typed=True) for t in (views, plain, errors)]
+    first, *others = [results.response_documents(t, ["event_type"]).select("document") for t in tables]
+    for more in others:
+        first = first.unionByName(more)
+    return first
+
+
+MIXED_SQL = """
+    SELECT event_type, epoch_us(ts) * 1000 AS time_ns,
+           CASE WHEN event_type = 'error' THEN floor(value) ELSE value END AS value,
+           CASE WHEN event_type <> 'error' THEN k END AS k,
+           CASE WHEN event_type <> 'error' THEN k > 4 END AS high,
+           CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN 'page ' || k ELSE CAST(k AS VARCHAR) END AS note,
+           CASE WHEN event_type = 'error' THEN CAST(user_id AS VARCHAR) END AS code, CAST(NULL AS VARCHAR) AS empty
+    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
+"""
+
+
+@query(MIXED_SQL)
+def flatten_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing is declared: columns, types and tags come from the documents, through text files."""
+    path = fresh_path(spark, "responses")
+    mixed_documents(spark, sf_dir).write.text(path)
+    return read_documents(spark, path).drop("result_index", "series_index", "row_index", "name")
+
+
+@query(
+    """
+    WITH kinds AS (
+      SELECT CASE WHEN event_type = 'error' THEN 'integer' ELSE 'number' END AS value, 'integer' AS time,
+             CASE WHEN event_type <> 'error' THEN 'integer' END AS k, CASE WHEN event_type <> 'error' THEN 'flag' END AS high,
+             CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN 'text' ELSE 'integer' END AS note,
+             CASE WHEN event_type = 'error' THEN 'text' END AS code, CASE WHEN event_type = 'error' THEN 'none' END AS empty
+      FROM events
+    )
+    SELECT name, false AS is_tag, kind, count(*) AS cells
+    FROM (UNPIVOT kinds ON value, time, k, high, note, code, empty INTO NAME name VALUE kind)
+    GROUP BY name, kind
+    UNION ALL
+    SELECT 'event_type', true, 'text', count(DISTINCT (event_type, date_trunc('day', ts))) FROM events
+    """
+)
+def response_column_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many cells of each kind the columns of the documents hold."""
+    parsed = results.parse_documents(mixed_documents(spark, sf_dir), "document", typed=True)
+    return results.column_kinds(parsed).drop("result_index")

@@ -215,3 +215,116 @@ def test_group_of_a_table(points):
     assert results.group(points, ["tag"], {"tag": "a", "x": "1"}).count() == 0
     assert results.group(points, [], {}).count() == 0
     assert points.filter(F.col("tag").isNull()).count() == 25
+
+
+# -- columns named by the data ----------------------------------------------------------
+
+
+def typed(spark, *docs):
+    df = spark.createDataFrame([(i, json.dumps(d) if not isinstance(d, str) else d) for i, d in enumerate(docs)], "id int, doc string")
+    return results.parse_documents(df, "doc", typed=True)
+
+
+@pytest.mark.parametrize(
+    "cells, kind, expected",
+    [
+        ([1, -7, None], "bigint", [1, -7, None]),
+        ([1, 0.25, 1e300], "double", [1.0, 0.25, 1e300]),
+        ([12345678901234567890123], "double", [1.2345678901234568e22]),
+        ([True, None, False], "boolean", [True, None, False]),
+        (["a", None, ""], "string", ["a", None, ""]),
+        ([True, 1], "string", ["true", "1"]),
+        ([1, "1"], "string", ["1", "1"]),
+        ([{"q": [1, "x"]}, "y"], "string", ['{"q":[1,"x"]}', "y"]),
+        ([None, None], "string", [None, None]),
+    ],
+)
+def test_kinds_widen(spark, cells, kind, expected):
+    df = results.flatten_responses(typed(spark, one(table(columns=["v"], values=[[c] for c in cells]))))
+    assert dict(df.dtypes)["v"] == kind
+    assert [r.v for r in df.orderBy("row_index").collect()] == expected
+
+
+def test_found_columns_equal_declared_ones(spark):
+    docs = [
+        one(*[table(values=[(10 * i, i / 4)], tags={"site": s}) for i, s in enumerate(["e", "n"])]),
+        one(table(columns=["load", "time", "state"], values=[[2, "2031-02-03T04:05:06Z", "on"], [3]], tags={"site": "w", "bay": "1"})),
+        one(table(columns=["never"])), {"results": None},
+    ]
+    found = results.flatten_responses(typed(spark, *docs))
+    declared = results.flatten_responses(
+        documents(spark, *docs), {"load": "double", "state": "string"}, ["bay", "site"]
+    )
+    assert found.columns == declared.columns and found.dtypes == declared.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, declared.collect()))
+    # Documents whose cells are text give columns of text.
+    plain = results.flatten_responses(documents(spark, *docs))
+    assert dict(plain.dtypes)["load"] == "string" and plain.columns == found.columns
+
+
+def test_names_of_the_data_go_first(spark):
+    doc = one(table(columns=["name", "id", "Load", "load", "row_index", "_id"], values=[["cpu", 5, 1, 2, 3, 4]]))
+    df = results.flatten_responses(typed(spark, doc))
+    row = df.first()
+    values = dict(zip(df.columns, row, strict=True))
+    assert values == {
+        "__id": 0, "result_index": 0, "series_index": 0, "_row_index": 0, "_name": "fan", "time_ns": None,
+        "name": "cpu", "id": 5, "Load": 1, "load": 2, "row_index": 3, "_id": 4,
+    }
+
+
+def test_repeated_columns_and_short_rows(spark):
+    doc = one(table(columns=["a", "b", "a"], values=[["text", 2, 3], [4]]))
+    df = results.flatten_responses(typed(spark, doc))
+    assert dict(df.dtypes)["a"] == "bigint"
+    assert [(r.a, r.b) for r in df.orderBy("row_index").collect()] == [(3, 2), (None, None)]
+
+
+def test_a_tag_in_place_of_a_column(spark):
+    doc = one(table(columns=["t", "v"], values=[[1, 1]], tags={"t": "tag"}))
+    other = one(table(columns=["t", "v"], values=[[7, 2]]))
+    rows = results.flatten_responses(typed(spark, doc, other)).orderBy("id").collect()
+    assert [(r.t, r.v) for r in rows] == [("tag", 1), ("7", 2)]
+
+
+def test_statements_with_columns_of_their_own(spark):
+    doc = {"results": [
+        {"series": [table(columns=["v"], values=[[1]])]}, {},
+        {"series": [table(columns=["w", "time"], values=[["x", 5]], tags={"s": "t"})]},
+    ]}
+    first, second, third = results.flatten_statements(typed(spark, doc))
+    assert "v" in first.columns and "w" not in first.columns and first.first().v == 1
+    assert second.count() == 0
+    assert (third.first().w, third.first().s, third.first().time_ns) == ("x", "t", 5)
+    alone = results.flatten_statements(typed(spark, one(table(columns=["v"], values=[[0.5]]))))
+    assert alone.first().v == 0.5
+
+
+def test_no_documents_and_too_many_columns(spark):
+    nothing = typed(spark, one()).where("false")
+    assert results.result_columns(nothing) == {}
+    empty = results.flatten_responses(nothing)
+    assert empty.count() == 0 and "time_ns" in empty.columns
+    wide = typed(spark, one(table(columns=[f"c{i}" for i in range(30)], values=[[1] * 30])))
+    with pytest.raises(ValueError, match="declare the wanted ones"):
+        results.result_columns(wide, limit=29)
+
+
+def test_series_and_groups_of_typed_documents(spark):
+    points = spark.createDataFrame([("a", 1, 0.5, True), ("b", 2, None, False)], "tag string, time_ns bigint, v double, f boolean")
+    series = results.series_rows(points, "m", ["tag"], "1h", typed=True)
+    parsed = results.parse_documents(results.response_documents(series, ["tag"]).select("document"), "document", typed=True)
+    back = results.flatten_responses(parsed)
+    assert sorted((r.tag, r.time_ns, r.v, r.f) for r in back.collect()) == [("a", 1, 0.5, True), ("b", 2, None, False)]
+    picked = results.flatten_responses(results.group_of_response(parsed, {"tag": "b"}))
+    assert [r.time_ns for r in picked.collect()] == [2]
+
+
+def test_reading_undeclared_responses(spark, folder):
+    docs = [one(table(values=[(5, 1)], tags={"site": "e"})), one(table(values=[(6, 1.5)], tags={"site": "n"}))]
+    spark.createDataFrame([(json.dumps(d),) for d in docs], "value string").write.text(folder + "/in")
+    rows = read_responses(spark, folder + "/in").orderBy("time_ns").collect()
+    assert [(r.site, r.time_ns, r.load) for r in rows] == [("e", 5, 1.0), ("n", 6, 1.5)]
+    spark.createDataFrame([('{"results":[{"error":"broken"}]}',)], "value string").write.text(folder + "/bad")
+    with pytest.raises(Exception, match="broken"):
+        read_responses(spark, folder + "/bad").collect()
