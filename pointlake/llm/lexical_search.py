@@ -3,12 +3,13 @@
 A first pass cuts the texts into terms, on their bytes, and keeps for each document its length
 and its counts of the terms that the items use. Sums over these rows give the statistics of the
 corpus. A second pass deals the documents into blocks. The grid of a block has a row for each
-term and a column for each document, in order of their ids; a cell holds the impact of the term
+term and a column for each document, like documents together; a cell holds the impact of the term
 there. The K2-treap is the quadtree of that grid: a node for every square that holds anything,
 with a byte for its four children, the place of the first of them, and the largest impact within,
-stored as what it lacks of its parent's. Rows of one item lie beside each other, frequent ones apart.
+stored as what it lacks of its parent's. Rows of one item lie beside each other, frequent ones
+apart, and every band of a few rows has a square grid of its own, over all columns.
 
-A query starts with the whole grid. A state is a range of documents with, for each term of an
+A query starts with all documents. A state is a range of documents with, for each term of an
 item, the node whose square has the term's row and that range; the sum of their maxima bounds every
 score in the range. The states with the highest bounds are opened first: the range is halved, and
 all paths go down together. A range of one document has its exact score. States below the item's
@@ -41,7 +42,8 @@ TOP = 10
 ITEM_BYTES = 8 << 20
 BLOCK_POINTS = 1_500_000
 BLOCK_DOCS = 1 << 16
-OPENED = 24  # states of an item that are opened at a time
+OPENED = 128  # states of an item that are opened at a time
+SIGNS = 24  # frequent terms that decide which documents lie together
 NO_ID = np.iinfo(np.int64).min
 
 # -- terms -------------------------------------------------------------------------------
@@ -156,48 +158,61 @@ def spread(values: np.ndarray) -> np.ndarray:
     return v.astype(np.int64)
 
 
-SET_BITS = np.array([bin(i).count("1") for i in range(16)], np.int64)
+SET_BITS = np.array([bin(i).count("1") for i in range(16)], np.int32)
+BAND_BITS = 4
 
 
 class K2Treap:
-    """Maxima of all squares of a sparse grid, level by level from the whole grid down to its cells.
+    """Maxima of all squares of sparse grids, level by level from whole grids down to their cells.
 
+    Rows come in bands of 2^BAND_BITS. A band is a square grid whose rows are spread over its whole
+    height, so that a few halvings tell them apart and what is left of a square is one row.
     ``children`` has a bit for each quarter (2 * lower rows + right columns) that holds
     anything, ``first`` the number of the first child's node, and ``lacks`` what a node's
     maximum lacks of its parent's.
     """
 
-    def __init__(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, height: int, width: int):
-        self.depth = max(height - 1, width - 1, 1).bit_length()
-        code = (spread(rows) << 1) | spread(columns)
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, width: int):
+        self.depth = max(BAND_BITS, (width - 1).bit_length(), 1)
+        code = (rows >> BAND_BITS << (2 * self.depth)) | (spread(self.height_of(rows)) << 1) | spread(columns)
         order = np.argsort(code, kind="stable")
         code, top = code[order], values[order].astype(np.int64)
         levels = []
         children = np.zeros(len(code), np.uint8)
-        starts = np.zeros(len(code), np.int64)
+        starts = np.zeros(len(code), np.int32)
         for _ in range(self.depth):
             above = code >> 2
             begin = np.flatnonzero(np.r_[True, above[1:] != above[:-1]])
             best = np.maximum.reduceat(top, begin)
             lacks = np.repeat(best, np.diff(np.r_[begin, len(code)])) - top
-            levels.append((children, starts, lacks))
+            levels.append((children, starts, lacks.astype(np.uint32) if best.max() < 1 << 32 else lacks))
             children = np.bitwise_or.reduceat((1 << (code & 3)).astype(np.uint8), begin)
-            starts, code, top = begin, above[begin], best
-        levels.append((children, starts, np.zeros(1, np.int64)))
+            starts, code, top = begin.astype(np.int32), above[begin], best
+        levels.append((children, starts, np.zeros(len(code), np.uint32)))
         levels.reverse()
-        self.peak = int(top[0])
-        sizes = [len(level[0]) for level in levels]
-        after = np.cumsum(sizes)
+        # The first nodes are those of the bands.
+        self.bands, self.peaks = code, top
+        after = np.cumsum([len(level[0]) for level in levels])
         self.children = np.concatenate([level[0] for level in levels])
-        self.first = np.concatenate([s + a for (_, s, _), a in zip(levels, after, strict=True)]).astype(np.int32)
-        lacks = np.concatenate([level[2] for level in levels])
-        self.lacks = lacks.astype(np.uint32) if lacks.max() < 1 << 32 else lacks
+        self.first = np.concatenate([s + np.int32(a) for (_, s, _), a in zip(levels, after, strict=True)])
+        self.lacks = np.concatenate([level[2] for level in levels])
 
-    def child(self, node: np.ndarray, quarter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which nodes have that quarter, and the child's node where they do."""
-        mask = self.children[node].astype(np.int64)
-        has = (mask >> quarter) & 1 == 1
-        return has, self.first[node] + SET_BITS[mask & ((1 << quarter) - 1)]
+    def height_of(self, rows: np.ndarray) -> np.ndarray:
+        """Where a row lies in its band's grid."""
+        return (rows & ((1 << BAND_BITS) - 1)) << (self.depth - BAND_BITS)
+
+    def roots(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which rows' bands hold anything, and the nodes of their grids."""
+        band = rows >> BAND_BITS
+        node = np.minimum(np.searchsorted(self.bands, band), len(self.bands) - 1)
+        return self.bands[node] == band, node
+
+    def halves(self, node: np.ndarray, lower: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For the left and the right columns of these rows: which nodes go on, and where."""
+        mask, quarter = self.children[node], (2 * lower).astype(np.uint8)
+        left = self.first[node] + SET_BITS[mask & ((1 << quarter) - 1).astype(np.uint8)]
+        has_left, has_right = (mask >> quarter) & 1, (mask >> (quarter + np.uint8(1))) & 1
+        return [(has_left == 1, left), (has_right == 1, left + has_left)]
 
 
 @dataclass
@@ -226,59 +241,90 @@ class Best:
         last = np.flatnonzero(np.arange(len(item)) - begin == self.k - 1)
         self.least[item[last]], self.last[item[last]] = score[last], doc[last]
 
-    def open(self, item: np.ndarray, bound: np.ndarray, first_doc: np.ndarray) -> np.ndarray:
-        """Which ranges can still hold one of the best."""
+    def open(self, item: np.ndarray, bound: np.ndarray, smallest: np.ndarray) -> np.ndarray:
+        """Which ranges, with their smallest documents, can still hold one of the best."""
         least = self.least[item]
-        return (bound > least) | ((bound == least) & (least > 0) & (first_doc < self.last[item]))
+        return (bound > least) | ((bound == least) & (least > 0) & (smallest < self.last[item]))
+
+
+class Ranges:
+    """The documents of all ranges that halving a block gives: the smallest of each."""
+
+    def __init__(self, ids: np.ndarray, depth: int):
+        self.depth = depth
+        levels = [np.r_[ids, np.full((1 << depth) - len(ids), np.iinfo(np.int64).max)]]
+        for _ in range(depth):
+            levels.append(np.minimum(levels[-1][::2], levels[-1][1::2]))
+        # Level k, with 2^k ranges, starts at 2^k - 1.
+        self.least = np.concatenate(levels[::-1])
+
+    def smallest(self, level: np.ndarray, start: np.ndarray) -> np.ndarray:
+        return self.least[(1 << level) - 1 + (start >> (self.depth - level))]
+
+
+def within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each count."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
 def descend(treap: K2Treap, ids: np.ndarray, of: np.ndarray, rows: np.ndarray, best: Best, opened: int = OPENED) -> None:
-    """Best first over the ranges of documents for all items; the entries of an item lie together."""
+    """Best first over the ranges of documents for all items; the entries of an item lie together.
+
+    ``ids`` are the documents of the columns. States are item, level, first column and bound,
+    and point to their entries: node, place of the row, maximum.
+    """
+    present, node = treap.roots(rows)
+    of, node, height, top = of[present], node[present].astype(np.int32), treap.height_of(rows[present]), treap.peaks[node[present]]
+    height = height.astype(np.int32)
     if not len(of):
         return
-    # States: item, level, first document, bound; their entries: node, row, maximum.
+    ranges = Ranges(ids, treap.depth)
     begin = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
     count = np.diff(np.r_[begin, len(of)])
-    item, level = of[begin], np.zeros(len(begin), np.int64)
-    start, bound = np.zeros(len(begin), np.int64), count * treap.peak
-    node, row, top = np.zeros(len(of), np.int64), rows, np.full(len(of), treap.peak)
+    item, level, start = of[begin], np.zeros(len(begin), np.int64), np.zeros(len(begin), np.int64)
+    bound = np.add.reduceat(top, begin)
     while len(item):
-        open_ = best.open(item, bound, ids[start])
-        order = np.lexsort((start, -bound, item))
-        order = order[open_[order]]
+        live = np.flatnonzero(best.open(item, bound, ranges.smallest(level, start)))
+        order = live[np.lexsort((start[live], -bound[live], item[live]))]
         rank = np.arange(len(order)) - np.searchsorted(item[order], item[order], side="left")
         now, later = order[rank < opened], order[rank >= opened]
-        ends = np.cumsum(count)
-
-        def entries(states: np.ndarray, count: np.ndarray = count, ends: np.ndarray = ends) -> np.ndarray:
-            own = count[states]
-            return np.repeat((ends - count)[states] - (np.cumsum(own) - own), own) + np.arange(own.sum())
-
-        here, kept = entries(now), entries(later)
-        state = np.repeat(np.arange(len(now)), count[now])
-        shift = treap.depth - 1 - level[now][state]
-        lower = (row[here] >> shift) & 1
-        parts = []
-        for half in (0, 1):
-            has, child = treap.child(node[here], 2 * lower + half)
-            owner, child, own_row = state[has], child[has].astype(np.int64), row[here][has]
-            value = top[here][has] - treap.lacks[child].astype(np.int64)
-            total = np.bincount(owner, minlength=len(now))
-            sums = np.zeros(len(now), np.int64)
-            np.add.at(sums, owner, value)
-            some = total > 0
-            parts.append((
-                item[now][some], level[now][some] + 1,
-                start[now][some] + (half << (treap.depth - 1 - level[now][some])), sums[some], total[some], child, own_row, value,
-            ))
-        leaf = [p[1] == treap.depth for p in parts]
-        for p, done in zip(parts, leaf, strict=True):
-            best.add(p[0][done], p[3][done], ids[p[2][done]])
-        on = [
-            (*(x[~done] for x in p[:5]), *(x[np.repeat(~done, p[4])] for x in p[5:])) for p, done in zip(parts, leaf, strict=True)
-        ]
-        rest = (item[later], level[later], start[later], bound[later], count[later], node[kept], row[kept], top[kept])
-        item, level, start, bound, count, node, row, top = (np.concatenate(x) for x in zip(rest, *on, strict=True))
+        if not len(now):
+            break
+        own = count[now]
+        here = np.repeat(begin[now], own) + within(own)
+        state = np.repeat(np.arange(len(now)), own)
+        low, places, maxima = treap.depth - 1 - level[now], height[here], top[here]
+        fresh = []
+        for half, (has, child) in enumerate(treap.halves(node[here], (places >> low[state]) & 1)):
+            child, value = child[has], maxima[has] - treap.lacks[child[has]]
+            total = np.bincount(state[has], minlength=len(now))
+            ends = np.cumsum(total)
+            running = np.r_[0, np.cumsum(value)]
+            sums = running[ends] - running[ends - total]
+            fresh.append([
+                item[now], level[now] + 1, start[now] + (half << low), sums, total, ends - total, child, places[has], value,
+            ])
+        for part in fresh:
+            leaf = (part[1] == treap.depth) & (part[4] > 0)
+            if leaf.any():
+                best.add(part[0][leaf], part[3][leaf], ids[part[2][leaf]])
+        parts = [[x[later] for x in (item, level, start, bound, count, begin)] + [node, height, top]]
+        for part in fresh:
+            on = (part[1] < treap.depth) & (part[4] > 0)
+            on[on] = best.open(part[0][on], part[3][on], ranges.smallest(part[1][on], part[2][on]))
+            kept = np.repeat(part[5][on], part[4][on]) + within(part[4][on])
+            states = [x[on] for x in part[:5]]
+            parts.append([*states, np.cumsum(states[4]) - states[4], *(x[kept] for x in part[6:])])
+        # Entries of states that are gone stay until they are half of all.
+        if len(node) > 2 * int(parts[0][4].sum()) + 4096:
+            old = parts[0]
+            kept = np.repeat(old[5], old[4]) + within(old[4])
+            parts[0] = [*old[:5], np.cumsum(old[4]) - old[4], *(x[kept] for x in old[6:])]
+        base = np.cumsum([0, *(len(p[6]) for p in parts[:-1])])
+        for p, b in zip(parts, base, strict=True):
+            p[5] = p[5] + b
+        item, level, start, bound, count, begin, node, height, top = (np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 # -- the search --------------------------------------------------------------------------
@@ -298,19 +344,26 @@ def row_order(items: Items, frequency: np.ndarray, documents: int) -> np.ndarray
     first = np.full(len(items.hashes), len(items.ids))
     np.minimum.at(first, items.rows, items.of)
     frequent = frequency * 50 >= documents
+    frequent[np.argsort(-frequency, kind="stable")[:SIGNS]] = True
     order = np.lexsort((items.hashes, -frequency, np.where(frequent, 0, first), ~frequent))
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     return place
 
 
+def column_order(own: np.ndarray, rows: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The documents of a block so that like ones lie together: by which of the most frequent
+    terms they hold, most frequent first, then by length. Ranges then bound their scores well."""
+    signs = np.zeros(len(ids), np.int64)
+    for sign in range(SIGNS):
+        signs[own[rows == sign]] |= 1 << (SIGNS - 1 - sign)
+    return np.lexsort((ids, lengths, signs))
+
+
 def search_block(block: pa.Table, items: Items, weights: np.ndarray, place: np.ndarray, documents: int, terms: int, best: Best) -> None:
     """Builds the block's K2-treap and lets all items look for their best documents in it."""
     ids, missing = id_array(block.column("doc_id").combine_chunks())
     ids = np.where(missing, NO_ID, ids)
-    order = np.argsort(ids, kind="stable")
-    column = np.empty(len(order), np.int64)
-    column[order] = np.arange(len(order))
     lists = block.column("terms").combine_chunks()
     own = np.repeat(np.arange(len(ids)), np.diff(np.asarray(lists.offsets)))
     term = np.asarray(lists.flatten()).astype(np.int64)
@@ -320,13 +373,15 @@ def search_block(block: pa.Table, items: Items, weights: np.ndarray, place: np.n
     some = value > 0
     if not some.any():
         return
-    treap = K2Treap(place[term[some]], column[own[some]], value[some], len(place), len(ids))
-    # Ranges may start behind the last document; nothing is there.
-    padded = np.r_[ids[order], np.full((1 << treap.depth) - len(ids), np.iinfo(np.int64).max)]
+    own, rows, value = own[some], place[term[some]], value[some]
+    order = column_order(own, rows, lengths, ids)
+    column = np.empty(len(order), np.int64)
+    column[order] = np.arange(len(order))
+    treap = K2Treap(rows, column[own], value, len(ids))
     present = np.zeros(len(place), bool)
-    present[term[some]] = True
-    kept = present[items.rows]
-    descend(treap, padded, items.of[kept], place[items.rows[kept]], best)
+    present[rows] = True
+    kept = present[place[items.rows]]
+    descend(treap, ids[order], items.of[kept], place[items.rows[kept]], best)
 
 
 def best_documents(

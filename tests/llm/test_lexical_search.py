@@ -98,26 +98,35 @@ def test_treap(seed):
     height, width = int(rng.integers(1, 40)), int(rng.integers(1, 90))
     cells = np.unique(rng.integers(0, height * width, 300))
     rows, columns, values = cells // width, cells % width, rng.integers(1, 50, len(cells)) * (1 << int(rng.integers(0, 30)))
-    treap = lexical_search.K2Treap(rows, columns, values, height, width)
-    node, top, square = np.zeros(len(cells), np.int64), np.full(len(cells), treap.peak), []
+    treap = lexical_search.K2Treap(rows, columns, values, width)
+    band, high = rows >> lexical_search.BAND_BITS, treap.height_of(rows)
+    has, node = treap.roots(rows)
+    top = treap.peaks[node]
+    assert has.all()
     for level in range(treap.depth):
         shift = treap.depth - 1 - level
-        has, node = treap.child(node, 2 * (rows >> shift & 1) + (columns >> shift & 1))
+        halves = treap.halves(node, high >> shift & 1)
+        side = columns >> shift & 1
+        assert np.where(side, halves[1][0], halves[0][0]).all()
+        node = np.where(side, halves[1][1], halves[0][1])
         top = top - treap.lacks[node].astype(np.int64)
-        square = [values[(rows >> shift == r) & (columns >> shift == c)].max() for r, c in zip(rows >> shift, columns >> shift)]
-        assert has.all() and (top == square).all()
+        square = [
+            values[(band == b) & (high >> shift == r) & (columns >> shift == c)].max()
+            for b, r, c in zip(band, high >> shift, columns >> shift, strict=True)
+        ]
+        assert (top == square).all()
     of = np.repeat(np.arange(6), 4)
     asked = np.concatenate([rng.choice(height, 4) for _ in range(6)])
     grid = np.zeros((height, width), np.int64)
     grid[rows, columns] = values
-    ids = np.r_[np.sort(rng.integers(0, 60, width)), np.full((1 << treap.depth) - width, 1 << 60)]
+    ids = rng.integers(0, 60, width)
     best = lexical_search.Best.none(6, 5)
     lexical_search.descend(treap, ids, of, asked, best, 2)
-    found = sorted(zip(best.item.tolist(), (-best.score).tolist(), best.doc.tolist()))
+    found = sorted(zip(best.item.tolist(), (-best.score).tolist(), best.doc.tolist(), strict=True))
     want = []
     for i in range(6):
         scores = grid[asked[of == i]].sum(axis=0)
-        want += [(i, *x) for x in sorted((-int(s), int(d)) for s, d in zip(scores, ids) if s > 0)[:5]]
+        want += [(i, *x) for x in sorted((-int(s), int(d)) for s, d in zip(scores, ids, strict=True) if s > 0)[:5]]
     assert found == sorted(want)
 
 
