@@ -163,6 +163,19 @@ def line_break_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+TEXTS = MeasurementSchema("texts", {"text": FieldType.STRING, "id": FieldType.INTEGER}, ("lang", "source"))
+
+
+@query("SELECT doc_id AS id, text, lang, source FROM documents")
+def line_breaks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts, with their line breaks, through line files and back."""
+    path = fresh_path(spark, "lines")
+    documents = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    lines.write_line_protocol(lines.to_line_protocol(documents, TEXTS), path, line_breaks=True)
+    good, _ = read_lines(spark, path, TEXTS, line_breaks=True)
+    return good.select("id", "text", "lang", "source")
+
+
 @query(
     """
     SELECT CASE WHEN event_type = 'error' THEN 'failures' ELSE 'events' END AS measurement,

@@ -24,6 +24,12 @@ from pointlake.operators.validate import (
 )
 
 LINE_BREAK = "line break in value"
+# A line whose breaks all stand inside strings; possessive, as user text goes through it.
+BREAKS_IN_STRINGS = (
+    r'(?s)^(?:[^\\ \r\n]++|\\[^\r\n])++'
+    r'(?: (?:[^\\=, \r\n]++|\\[^\r\n])++=(?:"(?:[^"\\]++|\\.)*+"|[^", \r\n]++)'
+    r'(?:,(?:[^\\=, \r\n]++|\\[^\r\n])++=(?:"(?:[^"\\]++|\\.)*+"|[^", \r\n]++))*+)?(?: -?\d++)?$'
+)
 
 
 def table_lines(
@@ -70,9 +76,13 @@ def to_line_protocol(
     return require_all(marked)
 
 
-def mark_line_breaks(lines: DataFrame) -> DataFrame:
-    """The format escapes no line breaks; such a line cannot stand in a text file."""
+def mark_line_breaks(lines: DataFrame, in_strings: bool = False) -> DataFrame:
+    """The format escapes no line breaks; such a line cannot stand in a text file that is read
+    line by line. With ``in_strings`` those within strings are let through, for readers of
+    whole records."""
     broken = F.col("line").contains("\n") | F.col("line").contains("\r")
+    if in_strings:
+        broken = broken & ~F.col("line").rlike(BREAKS_IN_STRINGS)
     known = F.col("reason") if "reason" in lines.columns else F.lit(None).cast("string")
     return lines.withColumn("reason", F.coalesce(known, F.when(broken, F.lit(LINE_BREAK))))
 
@@ -83,10 +93,12 @@ def write_line_protocol(
     reject_path: str | None = None,
     max_records_per_file: int | None = None,
     mode: str = "errorifexists",
+    line_breaks: bool = False,
 ) -> None:
     """Writes good lines as text files, and with ``reject_path`` the others as a table
-    of ``line`` and ``reason``; without it a bad line stops the job."""
-    marked = mark_line_breaks(lines)
+    of ``line`` and ``reason``; without it a bad line stops the job. With ``line_breaks``
+    strings keep theirs, to be read with the same option."""
+    marked = mark_line_breaks(lines, line_breaks)
     if reject_path is None:
         good = require_all(marked)
     else:

@@ -19,6 +19,7 @@ from pointlake.functions.text import (
 )
 from pointlake.functions.timecol import from_epoch
 from pointlake.model import FIELD_VALUE, FieldType, MeasurementSchema
+from pointlake.sources.records import read_records
 
 # Fixed patterns of the format. Every quantifier is possessive: a backtracking
 # form recurses once per character and overflows the stack on long values.
@@ -350,9 +351,11 @@ def read_line_protocol(
     precision: str = "n",
     database: str | None = None,
     retention_policy: str | None = None,
+    line_breaks: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Line files to points; Spark splits large files between tasks. Blank lines and
-    comments (``#``) are no points and are passed over."""
-    lines = spark.read.text(path)
+    comments (``#``) are no points and are passed over. With ``line_breaks``, strings may
+    go over several lines; the files are read twice then and their lines shuffled once."""
+    lines = read_records(spark, path) if line_breaks else spark.read.text(path)
     lines = lines.filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
     return parse_lines(lines, schema, precision, "value", database, retention_policy)
