@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pointlake.functions.columns import ref, type_of
+from pointlake.functions.exactsum import band_sums, merged_bands
 from pointlake.functions.predicate import Where, parse_where
 from pointlake.functions.timecol import bucket_start, duration_ns, now_ns
 from pointlake.model import MeasurementSchema, NanoTime
@@ -110,12 +111,23 @@ def mean(
     time: str = "time_ns",
     scale: int | None = None,
     counted: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """Mean per tag set, per time bucket, or both. Buckets are aligned to the epoch and
-    half-open; empty buckets do not appear. Partial means are combined before the shuffle."""
+    half-open; empty buckets do not appear. Partial means are combined before the shuffle.
+
+    With ``exact``, the sums are those of whole numbers (``functions.exactsum``): the mean of
+    any doubles has the same bits however the rows are spread. That costs a second, small shuffle.
+    """
     keys = [ref(t) for t in by]
     if every is not None:
         keys = [bucket_start(ref(time), duration_ns(every)).alias("time_ns"), *keys]
+    if exact:
+        names = (["time_ns"] if every is not None else []) + list(by)
+        rows = [F.count(F.lit(1)).alias("_rows")]
+        sums = band_sums(df, ref(field), keys, rows)
+        merged = merged_bands(sums, names, [F.sum("_rows").alias("n")])
+        return merged.select(*[ref(c) for c in names], "mean", *(["n"] if counted else []))
     measures = [exact_mean(ref(field), scale).alias("mean")]
     if counted:
         measures.append(F.count(F.lit(1)).alias("n"))

@@ -42,6 +42,22 @@ def downsample_mean_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_wall_time(rounded_mean(hourly))
 
 
+@query(
+    """
+    SELECT event_type, count(*) AS n,
+           round(CAST(sum(CAST(round(value * 100) AS HUGEINT) * CASE k % 3 WHEN 0 THEN 1 WHEN 1 THEN 1099511627776
+             ELSE 1208925819614629174706176 END) AS DOUBLE) / count(*) / 1099511627776, 3) AS mean
+    FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS HUGEINT) AS k FROM events) GROUP BY event_type
+    """
+)
+def mean_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of values some 24 digits apart, from exact sums."""
+    far = F.round(F.col("value") * 100) * F.pow(F.lit(2.0), F.pmod("k", F.lit(3)) * 40)
+    points = event_points(spark, sf_dir).withColumn("far", far)
+    means = mean(points, "far", by=["event_type"], exact=True, counted=True)
+    return means.select("event_type", "n", F.round(F.col("mean") / F.lit(float(2**40)), 3).alias("mean"))
+
+
 def _top_sql(n: int) -> str:
     return f"""
     SELECT event_type, ts AS time, value AS top FROM (

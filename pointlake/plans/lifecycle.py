@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointlake.functions.timecol import to_precision
+from pointlake.functions.timecol import bucket_start, duration_ns, to_precision
 from pointlake.model import FieldType, MeasurementSchema, NanoTime, RetentionPolicy
 from pointlake.operators import lifecycle
 from pointlake.operators.shards import shard_id_of
@@ -30,7 +30,7 @@ from pointlake.session import fresh_path
 from pointlake.sinks.store import MeasurementRef, Store
 from pointlake.sources.line_protocol import read_line_protocol
 from pointlake.sources.tables import to_point_form
-from pointlake.streaming import downsample
+from pointlake.streaming import downsample, partials
 from pointlake.streaming.downsample import with_time_ns
 from pointlake.streaming.intake import stream_points as start_stream_points
 
@@ -308,6 +308,40 @@ def continuous_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_wall_time(rounded_mean(store.read(into, HOURLY_BY_TYPE)))
 
 
+@query(
+    f"""
+    WITH arrived AS (
+      SELECT *, event_id % 4 = 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR
+                <= (SELECT max(ts) FROM events WHERE event_id % 4 <> 0) - INTERVAL 1 DAY AS late
+      FROM events
+    )
+    SELECT date_trunc('hour', ts) AS time, event_type, {MEAN_SQL} AS mean, count(*) AS n,
+           count(*) FILTER (WHERE late) AS n_late
+    FROM arrived GROUP BY 1, 2
+    """
+)
+def downsample_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the events arrives after all others, most of it behind the watermark: the
+    means hold all of them, and the late ones are counted."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    into, arriving, late_path = MeasurementRef("hourly", "7d"), fresh_path(spark, "arriving"), fresh_path(spark, "late")
+    events = event_points(spark, sf_dir, keep=["event_id"]).select("time_ns", "event_type", "event_id", "value")
+    checkpoint = fresh_path(spark, "checkpoint")
+    for chosen in ("event_id % 4 <> 0", "event_id % 4 = 0"):
+        events.where(chosen).coalesce(1).write.mode("append").parquet(arriving)
+        standing = partials.standing_mean(
+            spark.readStream.schema(events.schema).parquet(arriving), "hourly_late", "value", "1h", into, store,
+            HOURLY_BY_TYPE, checkpoint, late_path, "1d",
+        )
+        standing.awaitTermination()
+    late = partials.late_points(spark, late_path, events.schema)
+    counts = late.groupBy(
+        "event_type", bucket_start(F.col("time_ns"), duration_ns("1h")).alias("time_ns")
+    ).agg(F.count(F.lit(1)).alias("n_late"))
+    means = rounded_mean(store.read(into, HOURLY_BY_TYPE))
+    return with_wall_time(means.join(counts, ["time_ns", "event_type"], "left").fillna(0, ["n_late"]))
+
+
 RESAMPLE_SQL = f"""
 SELECT date_trunc('hour', ts) AS time,
        CASE WHEN date_trunc('hour', ts) >= TIMESTAMP '2024-01-24 00:00:00'
@@ -392,3 +426,35 @@ def stream_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.select("event_id", "value")
 
 
+@query(
+    """
+    SELECT event_id, value, count(*) AS n_lines FROM (
+      SELECT event_id, value FROM events WHERE event_type <> 'error'
+      UNION ALL
+      SELECT event_id, CAST(value AS BIGINT) + 1000.5 FROM events WHERE event_type = 'purchase'
+    ) GROUP BY event_id, value
+    """
+)
+def stream_points_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events arrive three times, purchases with another value the second time and with that
+    one again the third: every point gives a line, and every change one more."""
+    arriving, good_path = fresh_path(spark, "arriving"), fresh_path(spark, "lines")
+    checkpoint, rejects = fresh_path(spark, "checkpoint"), fresh_path(spark, "rejects")
+    sent = Store(spark, fresh_path(spark, "sent"))
+    carried = MeasurementSchema(
+        "events", {"value": FieldType.STRING, "event_id": FieldType.INTEGER}, STRICT.tags
+    )
+    kind = F.col("event_type")
+    events = event_points(spark, sf_dir, keep=["event_id"]).select("time_ns", *STRICT.tags, "event_id", "value")
+    changed = F.when(kind == "purchase", F.round("value").cast("bigint") + F.lit(1000.5)).otherwise(F.col("value"))
+    for again in (F.col("value"), changed, changed):
+        text = F.when(kind == "error", F.lit("oops")).otherwise(again.cast("string"))
+        events.withColumn("value", text).coalesce(1).write.mode("append").parquet(arriving)
+        schema = spark.read.parquet(arriving).schema
+        running = start_stream_points(
+            to_point_form(spark.readStream.schema(schema).parquet(arriving), carried, db="app"),
+            [STREAMED], good_path, rejects, checkpoint, sent=sent, keep="60d",
+        )
+        running.awaitTermination()
+    good, _ = read_line_protocol(spark, good_path, STREAMED, database="app")
+    return good.groupBy("event_id", "value").agg(F.count(F.lit(1)).alias("n_lines"))

@@ -12,7 +12,7 @@ takes one writer at a time.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 from urllib.parse import unquote
@@ -178,11 +178,11 @@ class Store:
         fs, handle = self._fs(path)
         return fs.exists(handle)
 
-    def _remove(self, path: str) -> None:
+    def remove(self, path: str) -> None:
         fs, handle = self._fs(path)
         fs.delete(handle, True)
 
-    def _children(self, path: str, prefix: str) -> list[str]:
+    def children(self, path: str, prefix: str) -> list[str]:
         """Names below a directory, from the file system's listing alone."""
         fs, handle = self._fs(path)
         if not fs.exists(handle):
@@ -194,11 +194,11 @@ class Store:
         """``(length, start)`` of every stored bucket in seconds, from directory names."""
         path = self.path_of(self.resolve(measurement))
         found = []
-        for length in self._children(path, "shard_s="):
+        for length in self.children(path, "shard_s="):
             size = int(length.removeprefix("shard_s="))
             found += [
                 (size, int(n.removeprefix("shard=")))
-                for n in self._children(f"{path}/{length}", "shard=")
+                for n in self.children(f"{path}/{length}", "shard=")
             ]
         return sorted(found, key=lambda b: (b[1], b[0]))
 
@@ -465,16 +465,53 @@ class Store:
             fields = {**schema.fields, write_seq: FieldType.INTEGER}
             carried = MeasurementSchema(schema.measurement, fields, schema.tags, schema.database)
         typed = self._typed(incoming, carried, moment)
+        self._merge(
+            typed, schema, target,
+            lambda stored, points: upsert_points(stored, points, schema.tag_names, schema.field_names, write_seq),
+        )
+
+    def merge(
+        self,
+        incoming: DataFrame,
+        schema: MeasurementSchema,
+        measurement: str | MeasurementRef,
+        combine: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> None:
+        """Puts ``combine(stored, incoming)`` in place of the stored points of the buckets that
+        the incoming ones fall into. Columns of the schema that these lack are NULL."""
+        target = self.resolve(measurement)
+        self._merge(self._typed(incoming, schema, moment_of(None)), schema, target, combine)
+
+    def _touched(self, points: DataFrame, target: MeasurementRef) -> list[tuple[int, int]]:
+        """The buckets that the points fall into: one row each."""
         shard_s = self.policy_of(target).shard_s
-        # One row for each bucket that the points fall into.
-        starts = typed.select(shard_start_s(F.col("time_ns"), shard_s).alias("shard")).distinct()
-        touched = [(shard_s, row.shard) for row in starts.toLocalIterator()]
+        starts = points.select(shard_start_s(F.col("time_ns"), shard_s).alias("shard")).distinct()
+        return [(shard_s, row.shard) for row in starts.toLocalIterator()]
+
+    def _merge(
+        self, typed: DataFrame, schema: MeasurementSchema, target: MeasurementRef,
+        combine: Callable[[DataFrame, DataFrame], DataFrame],
+    ) -> None:
+        touched = self._touched(typed, target)
         if not touched:
             return
         read = overlapping(touched, self.buckets(target))
         stored = self._read_shards(target, schema).filter(self._in_buckets(read)).drop("shard_s", "shard")
-        merged = upsert_points(stored, typed, schema.tag_names, schema.field_names, write_seq)
-        self._rewrite(merged, schema, target, read)
+        self._rewrite(combine(stored, typed), schema, target, read)
+
+    def read_touched(
+        self, points: DataFrame, schema: MeasurementSchema, measurement: str | MeasurementRef
+    ) -> DataFrame:
+        """The stored points of the buckets that other points fall into; no other is opened."""
+        target = self.resolve(measurement)
+        read = overlapping(self._touched(points, target), self.buckets(target))
+        return self._read_shards(target, schema).filter(self._in_buckets(read)).drop("shard_s", "shard")
+
+    def drop_before(self, measurement: str | MeasurementRef, moment: NanoTime) -> None:
+        """Removes the buckets that end by ``moment``: directories only."""
+        target = self.resolve(measurement)
+        limit = int(moment) // SECOND_NS
+        self._remove_shards(target, [b for b in self.buckets(target) if sum(b) <= limit])
 
     def replace_from(
         self,
@@ -550,21 +587,21 @@ class Store:
 
     def _remove_shards(self, target: MeasurementRef, buckets: Sequence[tuple[int, int]]) -> None:
         for length, start in buckets:
-            self._remove(f"{self.path_of(target)}/shard_s={length}/shard={start}")
+            self.remove(f"{self.path_of(target)}/shard_s={length}/shard={start}")
 
     def drop_measurement(self, measurement: str, db: str | None = None) -> None:
         """Removes the measurement under every policy of the database."""
         db = db or self.resolve(measurement).db
         base = f"{self.root}/db={path_part(db)}"
-        for rp in self._children(base, "rp="):
-            self._remove(f"{base}/{rp}/measurement={path_part(measurement)}")
+        for rp in self.children(base, "rp="):
+            self.remove(f"{base}/{rp}/measurement={path_part(measurement)}")
 
     def drop_retention_policy(self, rp: str, db: str | None = None) -> None:
         db = db or self.database
-        self._remove(f"{self.root}/db={path_part(db)}/rp={path_part(rp)}")
+        self.remove(f"{self.root}/db={path_part(db)}/rp={path_part(rp)}")
 
     def drop_database(self, db: str) -> None:
-        self._remove(f"{self.root}/db={path_part(db)}")
+        self.remove(f"{self.root}/db={path_part(db)}")
 
     def databases(self) -> list[str]:
         return sorted({t.db for t in self.targets()})
@@ -575,9 +612,9 @@ class Store:
     def targets(self) -> list[MeasurementRef]:
         """Every stored measurement, from directory names."""
         found = []
-        for db in self._children(self.root, "db="):
-            for rp in self._children(f"{self.root}/{db}", "rp="):
-                for m in self._children(f"{self.root}/{db}/{rp}", "measurement="):
+        for db in self.children(self.root, "db="):
+            for rp in self.children(f"{self.root}/{db}", "rp="):
+                for m in self.children(f"{self.root}/{db}/{rp}", "measurement="):
                     parts = [unquote(x.split("=", 1)[1]) for x in (m, rp, db)]
                     found.append(MeasurementRef(*parts))
         return found

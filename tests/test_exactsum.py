@@ -1,0 +1,95 @@
+"""Means of doubles of any size, alike for any order of the rows."""
+
+import math
+import random
+from fractions import Fraction
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from pointlake.functions.exactsum import band_sums, merged_bands
+from pointlake.operators.query import mean
+
+
+def exact(values):
+    present = [v for v in values if v is not None]
+    return float(sum(map(Fraction, present)) / len(present)) if present else None
+
+
+def close(a, b):
+    """The same double, or its neighbour."""
+    return a == b or b in (math.nextafter(a, math.inf), math.nextafter(a, -math.inf))
+
+
+def wide_values(seed, n=400):
+    rng = random.Random(seed)
+    return [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-300, 300) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_bits_do_not_depend_on_the_order(spark, seed):
+    rows = [(f"s{i % 3}", v) for i, v in enumerate(wide_values(seed))]
+    seen = set()
+    for n in (1, 3, 11):
+        random.Random(n).shuffle(rows)
+        df = spark.createDataFrame(rows, "tag string, v double").repartition(n)
+        seen.add(tuple(sorted((r.tag, r["mean"].hex()) for r in mean(df, "v", ["tag"], exact=True).collect())))
+    assert len(seen) == 1
+    for tag, found in next(iter(seen)):
+        assert close(exact([v for t, v in rows if t == tag]), float.fromhex(found))
+
+
+EDGES = {
+    "cancel": [1e300, 1.0, -1e300], "tiny": [5e-324, 5e-324, 5e-324], "subnormal": [2.2250738585072014e-308, -4e-323, 1e-310],
+    "largest": [1.7976931348623157e308] * 5, "opposite": [1.7976931348623157e308, -1.7976931348623157e308, 3.5],
+    "powers": [2.0**k for k in range(-60, 60, 4)], "below powers": [math.nextafter(2.0 ** (8 * k), 0) for k in range(-100, 100)],
+    "near": [256.0, -255.99999999999997], "zeros": [0.0, -0.0], "nulls": [None, None], "one null": [None, 0.1, 0.2],
+    "decimals": [0.1] * 10,
+}
+
+
+def test_edges(spark):
+    rows = [(k, v) for k, vs in EDGES.items() for v in vs]
+    df = spark.createDataFrame(rows, "tag string, v double").repartition(4)
+    found = {r.tag: r["mean"] for r in mean(df, "v", ["tag"], exact=True).collect()}
+    for name, values in EDGES.items():
+        want = exact(values)
+        assert found[name] == want if want is None else close(want, found[name]), name
+
+
+def test_infinities_and_nan(spark):
+    rows = [("up", math.inf), ("up", 1.0), ("both", math.inf), ("both", -math.inf), ("nan", math.nan), ("nan", math.inf)]
+    df = spark.createDataFrame(rows, "tag string, v double")
+    found = {r.tag: r["mean"] for r in mean(df, "v", ["tag"], exact=True).collect()}
+    assert found["up"] == math.inf and math.isnan(found["both"]) and math.isnan(found["nan"])
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=25))
+def test_any_doubles(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    row = mean(df, "v", exact=True, counted=True).first()
+    assert close(exact(values), row["mean"]) and row.n == len(values)
+
+
+def test_buckets_counts_and_columns(spark):
+    rows = [(i * 10**9, "ab"[i % 2], i / 8, None) for i in range(100)]
+    df = spark.createDataFrame(rows, "time_ns bigint, host string, v double, w double")
+    for by in ([], ["host"]):
+        plain = mean(df, "v", by, "7s", counted=True)
+        same = mean(df, "v", by, "7s", counted=True, exact=True)
+        assert same.columns == plain.columns and same.dtypes == plain.dtypes
+        assert sorted(map(tuple, same.collect())) == sorted(map(tuple, plain.collect()))
+    assert mean(df, "w", ["host"], exact=True).where("mean IS NULL").count() == 2
+    assert mean(df.where("false"), "v", ["host"], exact=True).count() == 0
+
+
+def test_states_add_up(spark):
+    values = wide_values(5, 60)
+    frames = [spark.createDataFrame([(v,) for v in part], "v double") for part in (values[:7], values[7:8], values[8:])]
+    states = [band_sums(f, F.col("v"), []) for f in frames]
+    together = merged_bands(states[0].unionByName(states[1]).unionByName(states[2]), []).first()
+    assert together["mean"] == mean(spark.createDataFrame([(v,) for v in values], "v double"), "v", exact=True).first()["mean"]
+    assert close(float(sum(map(Fraction, values))), together["sum"])
