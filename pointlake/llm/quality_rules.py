@@ -21,13 +21,13 @@ from pointlake.llm.common import text_of, word_list, written
 
 BUCKETS = 1 << 15  # a power of two
 # A run of letters and digits (all beyond ASCII count as such), or of ASCII signs.
-TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
+TOKEN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]++"
 # Added to every bucket's count, so that unseen buckets have a ratio.
 SMOOTHING = 1.0
 # Lowest mean log ratio that is kept.
 MIN_SCORE = -0.2
 MIN_WORDS = 20
-WINDOW = 8
+WINDOW = 8  # a power of two
 MAX_REPEATED_PERCENT = 30
 RESULTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept",
@@ -69,12 +69,16 @@ def repeated_words(words: Column) -> Column:
             F.size(F.array_distinct(hashes)) < F.size(hashes), _bound(ordered, covered)
         ).otherwise(0)
 
-    def windows(hashes: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(hashes) - (WINDOW - 1))
-        return _bound(F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, WINDOW))), of_windows)
+    def windows(hashes: Column, width: int = 1) -> Column:
+        """The hash of every window, from those of windows half as long."""
+        if width == WINDOW:
+            return _bound(hashes, of_windows)
+        n = F.size(hashes) - width
+        halves = F.zip_with(F.slice(hashes, 1, n), F.slice(hashes, width + 1, n), lambda a, b: F.xxhash64(a, b))
+        return _bound(halves, lambda joined: windows(joined, 2 * width))
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.when(F.size(words) <= WINDOW, 0).otherwise(_bound(hashes, windows))
+    return F.when(F.size(words) <= WINDOW, 0).otherwise(_bound(hashes, lambda h: windows(h)))
 
 
 def base_columns(text: Column) -> list[Column]:
