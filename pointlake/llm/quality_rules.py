@@ -21,7 +21,7 @@ from pointlake.llm.common import text_of, word_list, written
 
 BUCKETS = 1 << 15  # a power of two
 # A run of letters and digits (all beyond ASCII count as such), or of ASCII signs.
-TOKEN = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]++"
+TOKEN = "[0-9A-Za-z\u0080-\U0010FFFF]++|" r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]++"
 # Added to every bucket's count, so that unseen buckets have a ratio.
 SMOOTHING = 1.0
 # Lowest mean log ratio that is kept.
