@@ -1,6 +1,6 @@
 """Token ids in binary files: one dictionary for all, every document compressed on its own.
 
-Documents are dealt into consecutive ranges of ids. A task writes each range as one file, in
+Documents are sorted over all tasks by id. A task writes its share as files of bounded size, in
 ascending id order:
 
     magic (8 bytes) | hash of the dictionary (8 bytes) | documents (8 bytes)
@@ -12,8 +12,8 @@ pieces from all places of DICTIONARY_SAMPLE documents with the smallest digests
 TRAINING_BYTES in all, and lies beside the files. A manifest table lists files with their documents and tokens; a file's name is
 its writer's own, and only files in the manifest count, so a repeated task does no harm.
 
-Cases: null and empty texts hold the end id alone; null ids come first; repeated rows are
-all written, in order of their ids' bytes; an empty table gives no files and no rows; only the id
+Cases: null and empty texts hold the end id alone; null ids come first; documents of one id are
+all written, in order of the hash of their texts, and spread over tasks like others; an empty table gives no files and no rows; only the id
 and text columns are read, so other columns cannot clash.
 """
 
@@ -27,18 +27,18 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pointlake.llm.bpe import byte_letters
-from pointlake.llm.common import chunked, id_array, id_ranges, map_batches, range_of, ready_workers, unchunked, written
+from pointlake.llm.common import chunked, map_batches, ready_workers, written
 from pointlake.session import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -51,19 +51,51 @@ DICTIONARY_BYTES = 64 << 10
 SAMPLE_IDS = 2_000
 TRAINING_BYTES = 4 * SAMPLE_IDS * DICTIONARY_SAMPLE
 LEVEL = 3
-# Words that a worker keeps; a full cache is emptied.
-CACHE_ENTRIES = 120_000
+FEW_SAMPLES = 50
+# A file ends with so many documents, or so many bytes of frames.
+FILE_ROWS = 4_000
+FILE_BYTES = 16 << 20
+# Words, and chunks, in each generation of what a worker keeps; longer chunks are not kept.
+CACHE_ENTRIES = 150_000
+LONGEST_KEPT = 64
 # Letters below are composed, and their lower case is one letter or not a letter.
 COMBINING = "\u0250"
 SIGNS = frozenset(".,;:!?")
 
 
+class Kept:
+    """A bounded cache in two generations: what the older one gives moves to the younger, and a
+    full younger one takes the older one's place, so what is asked for often stays."""
+
+    def __init__(self, entries: int):
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) > self.entries:
+            self.young, self.old = {}, self.young
+
+    def all_of(self, keys: list[str]) -> list[bytes | None]:
+        found = list(map(self.young.get, keys))
+        old = self.old.get
+        for i, value in enumerate(found):
+            if value is None and (value := old(keys[i])) is not None:
+                found[i] = self.young[keys[i]] = value
+        return found
+
+    def get(self, key: str) -> bytes | None:
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.young[key] = value
+        return value
+
+
 class Encoder:
-    """The library's tokenizer. White space parts texts for it, so distinct chunks are encoded once.
+    """The library's tokenizer. White space parts texts for it, so distinct chunks are encoded once,
+    and the ids of a chunk that is known cost one look-up.
 
     Chunks of plain letters, with or without a sign at the end, are one or two words whatever
     else stands around: their words go to the library's merges directly and are kept. All
-    other chunks go through its whole encoding.
+    other chunks go through its whole encoding. Ids are kept as little-endian 32-bit numbers.
     """
 
     def __init__(self, path: str):
@@ -73,16 +105,17 @@ class Encoder:
         self.model = self.tokenizer.model
         # How the library spells the bytes of a word.
         self.spelling = dict(enumerate(byte_letters()))
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.words, self.chunks = Kept(CACHE_ENTRIES), Kept(CACHE_ENTRIES)
 
-    def word(self, word: str) -> tuple[int, ...]:
-        ids = self.known.get(word)
+    def word(self, word: str) -> bytes:
+        ids = self.words.get(word)
         if ids is None:
             spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
-            ids = self.known[word] = tuple([t.id for t in self.model.tokenize(spelt)])
+            found = [t.id for t in self.model.tokenize(spelt)]
+            ids = self.words.young[word] = struct.pack(f"<{len(found)}I", *found)
         return ids
 
-    def chunk(self, chunk: str) -> tuple[int, ...] | None:
+    def chunk(self, chunk: str) -> bytes | None:
         """The ids of a chunk of plain letters; none for any other chunk."""
         end = chunk[-1:]
         body = chunk[:-1] if end in SIGNS else chunk
@@ -95,21 +128,41 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and the offsets of each text's."""
         chunks, places, offsets = chunked(texts)
-        gc.disable()  # nothing here is cyclic, and walking the cache takes long
+        gc.disable()  # nothing here is cyclic, and walking the caches takes long
         try:
-            if len(self.known) > CACHE_ENTRIES:
-                self.known = {}
-            ids = [self.chunk(c) if c else () for c in chunks]
-            other = [i for i, found in enumerate(ids) if found is None]
+            self.words.turn()
+            self.chunks.turn()
+            ids = self.chunks.all_of(chunks)
+            keep, other = self.chunks.young, []
+            for i, found in enumerate(ids):
+                if found is None:
+                    chunk = chunks[i]
+                    found = self.chunk(chunk) if chunk else b""
+                    if found is None:
+                        other.append(i)
+                    else:
+                        ids[i] = keep[chunk] = found
             for i, found in zip(
                 other, self.tokenizer.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False), strict=True
             ):
-                ids[i] = found.ids
-            return unchunked(ids, places, offsets)
+                ids[i] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+                if len(chunks[i]) <= LONGEST_KEPT:
+                    keep[chunks[i]] = ids[i]
+            return unpacked(ids, places, offsets)
         finally:
             gc.enable()
 
 
+def unpacked(per_chunk: list[bytes], places: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in one array and their offsets, from the packed ids of each chunk."""
+    sizes = np.fromiter(map(len, per_chunk), np.int64, len(per_chunk)) // 4
+    flat = np.frombuffer(b"".join(per_chunk), "<u4")
+    first = np.cumsum(sizes) - sizes
+    counts = sizes[places]
+    ends = np.r_[0, np.cumsum(counts)]
+    return flat[np.arange(ends[-1]) + np.repeat(first[places] - ends[:-1], counts)], ends[offsets]
+
+
 def documents_of(ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     """The serialised ids of each text with the end id behind them."""
     end = np.array([END_ID], "<u4").tobytes()
@@ -123,12 +176,12 @@ def encoder(path: str) -> Encoder:
 
 
 def train_dictionary(docs: DataFrame, path: str, id_column: str, text_column: str) -> bytes:
-    """A dictionary from pieces of a bounded sample of documents; empty where they are too few."""
+    """A dictionary from pieces of a bounded sample of documents; the pieces themselves where they are few."""
     samples = training_pieces(docs, path, id_column, text_column)
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=512, d=8).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+    if len(samples) < FEW_SAMPLES or sum(map(len, samples)) < FEW_SAMPLES * DICTIONARY_BYTES // 10:
+        # Too little to train on: the sample itself is what documents are compressed against.
+        return b"".join(samples)[-DICTIONARY_BYTES:]
+    return zstandard.train_dictionary(DICTIONARY_BYTES, samples, k=512, d=8).as_bytes()
 
 
 def training_pieces(docs: DataFrame, path: str, id_column: str, text_column: str) -> list[bytes]:
@@ -205,46 +258,53 @@ def write_tokens(
     dictionary = train_dictionary(docs, path, id_column, text_column)
     write_bytes(f"{folder}/dictionary", dictionary)
     digest = xxhash.xxh3_64_digest(dictionary)
-    cuts = id_ranges(docs, id_column)
-    shared_cuts = spark.sparkContext.broadcast(cuts)  # one number for each few thousand documents
-
-    def compressed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, missing = id_array(batch.column(0))
-        pack = codec(dictionary)[0]
-        found = documents_of(*encoder(path).encode(batch.column(1)))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(range_of(ids, missing, shared_cuts.value)), batch.column(0),
-                pa.array([len(t) // 4 for t in found], pa.int64()),
-                pa.array([pack.compress(t) for t in found], pa.binary()),
-            ],
-            ["part", "id", "tokens", "frame"],
-        )
-
-    frames = map_batches(
-        docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")),
-        compressed, "part bigint, id bigint, tokens bigint, frame binary",
+    ready_workers(spark)
+    rows = docs.select(
+        F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"),
+        F.xxhash64(text_column).alias("digest"), F.monotonically_increasing_id().alias("read"),
     )
+    # Equal and missing ids are told apart by their texts and by where they were read, so a
+    # task's share of the documents does not depend on the ids.
+    order = [F.col("id").asc_nulls_first(), F.col("digest").asc(), F.col("read").asc()]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, pack = TaskContext.get().partitionId(), 0, codec(dictionary)[0]
+        ids: list[int | None] = []
+        tokens: list[int] = []
+        frames: list[bytes] = []
+        size = 0
+
+        def file() -> pa.RecordBatch:
+            entries = np.zeros(len(ids), ENTRY)
+            entries["null"] = [i is None for i in ids]
+            entries["id"] = [i or 0 for i in ids]
+            entries["tokens"] = tokens
+            entries["end"] = np.cumsum([len(f) for f in frames])
+            name = f"{folder}/{part:08d}-{number:06d}-{uuid.uuid4().hex}.tok"
+            head = MAGIC + digest + struct.pack("<q", len(ids))
+            write_bytes(name, head + entries.tobytes() + b"".join(frames))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([name]),
+                 pa.array([len(ids)], pa.int64()), pa.array([sum(tokens)], pa.int64())],
+                ["part", "number", "file", "documents", "tokens"],
+            )
 
-    def files(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["id", "frame"], na_position="first")
-        entries = np.zeros(len(rows), ENTRY)
-        entries["null"] = rows["id"].isna()
-        entries["id"] = rows["id"].fillna(0)
-        entries["tokens"] = rows["tokens"]
-        entries["end"] = np.cumsum([len(f) for f in rows["frame"]])
-        name = f"{folder}/{int(rows['part'].iat[0]):08d}-{uuid.uuid4().hex}.tok"
-        head = MAGIC + digest + struct.pack("<q", len(rows))
-        write_bytes(name, head + entries.tobytes() + b"".join(rows["frame"]))
-        return pd.DataFrame(
-            {"part": rows["part"].iloc[:1], "file": [name], "documents": [len(rows)], "tokens": [rows["tokens"].sum()]}
-        )
-
-    # A range holds about RANGE_ROWS documents; nullable ids keep their exact values.
-    ready_workers(spark)
-    exact = frames.withColumn("id", F.col("id").cast("decimal(20,0)"))
-    exact = exact if docs.schema[id_column].nullable else frames
-    exact.groupBy("part").applyInPandas(files, "part bigint, file string, documents bigint, tokens bigint").write.parquet(
+        for batch in batches:
+            found = documents_of(*encoder(path).encode(batch.column(1)))
+            for i, text in zip(batch.column(0).to_pylist(), found, strict=True):
+                ids.append(i)
+                tokens.append(len(text) // 4)
+                frames.append(pack.compress(text))
+                size += len(frames[-1])
+                if len(ids) >= FILE_ROWS or size >= FILE_BYTES:
+                    yield file()
+                    number, size = number + 1, 0
+                    ids, tokens, frames = [], [], []
+        if ids:
+            yield file()
+
+    ranged.mapInArrow(write, "part bigint, number bigint, file string, documents bigint, tokens bigint").write.parquet(
         f"{folder}/manifest"
     )
     return folder
@@ -275,9 +335,9 @@ def read_tokens(spark: SparkSession, folder: str, id_column: str = "doc_id", wit
     manifest, which has a row for each file.
     """
     manifest = spark.read.parquet(f"{folder}/manifest")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     files = written(
-        manifest.select("part", "file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start")), "token-starts"
+        manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start")), "token-starts"
     )
     dictionary = read_bytes(f"{folder}/dictionary")
 

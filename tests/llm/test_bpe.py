@@ -76,9 +76,7 @@ def test_unknown_ids_are_left_out(spark):
 
 
 def test_token_files(spark, folder, monkeypatch):
-    from pointlake.llm import common
-
-    monkeypatch.setattr(common, "RANGE_ROWS", 5)
+    monkeypatch.setattr(token_files, "FILE_ROWS", 5)
     path = token_files.write_tokens(frame(spark, documents()), f"{folder}/tokens")
     rows = token_files.read_tokens(spark, path, with_ids=True).collect()
     rows.sort(key=lambda r: r.start)
@@ -119,3 +117,30 @@ def test_training_pieces_come_from_whole_documents_under_a_budget(spark, monkeyp
     monkeypatch.setattr(token_files, "TRAINING_BYTES", 30_000)
     some = token_files.training_pieces(frame(spark, rows), PATH, "doc_id", "text")
     assert 0 < sum(map(len, some)) <= 30_000 and set(some) < set(whole)
+
+
+def test_documents_without_ids_of_their_own_are_spread(spark, folder, monkeypatch):
+    """Half of the ids are missing and a third are one id: tasks and files stay alike."""
+    monkeypatch.setattr(token_files, "FILE_ROWS", 100)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(None if i % 2 else 7 if i % 3 else i, f"some words {i % 50}", "a") for i in range(3000)]
+        path = token_files.write_tokens(frame(spark, rows), f"{folder}/tokens")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(f"{path}/manifest").collect()
+    assert max(f.documents for f in files) <= 100
+    parts = {p: sum(f.documents for f in files if f.part == p) for p in {f.part for f in files}}
+    assert len(parts) == 4 and max(parts.values()) < 2 * 3000 / 4
+    back = sorted(token_files.read_tokens(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in back] == sorted((i for i, _, _ in rows), key=lambda i: (i is not None, i or 0))
+
+
+def test_a_small_sample_is_the_dictionary(spark, folder):
+    docs = frame(spark, documents())
+    path = token_files.write_tokens(docs, f"{folder}/tokens")
+    dictionary = token_files.read_bytes(f"{path}/dictionary")
+    assert dictionary == b"".join(token_files.training_pieces(docs, PATH, "doc_id", "text"))[-token_files.DICTIONARY_BYTES :]
+    packed = token_files.codec(dictionary)[0]
+    one = dictionary[:400]
+    assert len(packed.compress(one)) < len(token_files.codec(b"")[0].compress(one)) / 2
