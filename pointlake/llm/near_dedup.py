@@ -13,14 +13,15 @@ MIN_AGREEING registers are let go, and a link is what the exact J of two whole t
 to be THRESHOLD or more. A pair of J = 0.8 shares no band once in 38,000 times, and agrees in
 fewer registers once in a hundred million.
 
-Equal texts are one node from the start, so copies make no pairs. Within a bucket of a band
-the nodes are compared with one pivot, not with each other: first the bucket's smallest
-node, then, for PIVOT_ROUNDS rounds, a node of the component that has most nodes in the
-bucket, another one in each band and round. Nodes that links already join are done. What is
-left, pairs of nodes of one bucket that no links join yet, is compared pair by pair: their
-registers in the join itself, and the texts of those that agree. So no link between different
-texts that share a band is lost for the classes, while a large group of near copies
-costs some comparisons for each node.
+Equal texts are one node from the start, so copies make no pairs. In a bucket of a band every
+node is held against one pivot, the node that has most company in its buckets: of a group of copies, the text they
+were made from or the nearest to it. That links most of the group at once, and says of every node how many
+of the pivot's runs it misses and how many it has of its own. Two nodes of a pivot share what neither
+misses, and own runs that are not theirs alone; where that cannot make J = 0.8, they need no comparison.
+Such counts are compared, not nodes, and there are few different ones. What can still be near, and is not linked
+by then, is held against the leader of the pivot's largest open component for LEADER_ROUNDS rounds, and then
+pair by pair. So no link between different texts that share a band is lost for the classes, while a
+large group of near copies that differ each in their own way costs one comparison for each node.
 
 Cases: a null text is empty; texts without words are equal to each other; equal texts have
 similarity 1; repeated rows are copies; null ids count as larger than all others for the
@@ -44,7 +45,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 MIN_AGREEING = 42  # of J = 0.8, 64 registers agree on average, give or take 3.6
-PIVOT_ROUNDS = 4
+LEADER_ROUNDS = 2
 CACHE_ENTRIES = 150_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -159,16 +160,20 @@ def sketches(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose whole texts are similar enough."""
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes with the signatures and texts of both."""
     one = lambda side: texts.select(
         F.col("node").alias(side), F.struct("signature", "text").alias(f"of_{side}")
     )
-    both = (
+    return (
         pairs.join(one("a"), "a").join(one("b"), "b")
         .select("a", "b", "of_a.signature", F.col("of_b.signature").alias("other"), "of_a.text", F.col("of_b.text").alias("text_b"))
     )
 
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose whole texts are similar enough."""
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         registers = [np.asarray(batch.column(i).flatten()).reshape(-1, REGISTERS) for i in (2, 3)]
         close = (registers[0] == registers[1]).sum(1) >= MIN_AGREEING
@@ -186,42 +191,126 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         ]
         return batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
-    return map_batches(both, work, "a binary, b binary")
+    return map_batches(_with_texts(pairs, texts), work, "a binary, b binary")
+
+
+COMPARED = "node binary, pivot binary, near boolean, missing int, extra int, repeats int, size int, own array<bigint>"
+
+
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Nodes ``a`` held against their pivots ``b``, with what sets them apart: ``missing`` runs of the
+    pivot, the ``own`` runs that it lacks and their number ``extra``, ``repeats`` of runs within
+    the node, and ``size``, the distinct runs of the pivot."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        shingles, known = Shingles(), {}
+
+        def weighted(node: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
+            if node not in known:
+                known[node] = shingles(text)
+            return known[node]
+
+        rows = []
+        for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4, 5)), strict=True):
+            node, pivot = shingles(x) if a != b else weighted(a, x), weighted(b, y)
+            own = np.setdiff1d(node[0], pivot[0], assume_unique=True)
+            rows.append((
+                similarity(node, pivot) >= THRESHOLD - 1e-9, len(pivot[0]) - (len(node[0]) - len(own)), len(own),
+                int(node[1].sum()) - len(node[0]), len(pivot[0]), own.view(np.int64),
+            ))
+        near, missing, extra, repeats, size, own = zip(*rows, strict=True) if rows else [()] * 6
+        ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
+        flat = np.concatenate(own) if own else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(near, pa.bool_()), *[pa.array(v, pa.int32()) for v in (missing, extra, repeats, size)],
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+            ["node", "pivot", "near", "missing", "extra", "repeats", "size", "own"],
+        )
+
+    return map_batches(_with_texts(pairs, texts), work, COMPARED)
 
 
-def _pivot_pairs(members: DataFrame, rank: Column) -> DataFrame:
-    """Every member of a bucket with the bucket's first member by rank."""
+def _pivot_pairs(members: DataFrame) -> DataFrame:
+    """Every member ``a`` of a bucket with the bucket's most popular one ``b``: the node that has
+    most company in all its buckets. Of a group of copies that is the text they were made from, or the nearest."""
     pivots = (
-        members.groupBy("band", "hash").agg(F.min(F.struct(rank, "node")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1").select("band", "hash", F.col("first.node").alias("pivot"))
+        members.groupBy("band", "hash").agg(F.max(F.struct("company", "node")).alias("first"))
+        .select("band", "hash", F.col("first.node").alias("pivot"))
     )
     return (
         members.join(pivots, ["band", "hash"]).where("node != pivot")
-        .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        .select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     )
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that links do not join yet, with their component."""
-    known = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_buckets = (
-        known.groupBy("band", "hash").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high").select("band", "hash")
+PROFILE = ("missing", "extra", "alone", "repeats", "size")
+
+
+def profiles(held: DataFrame) -> DataFrame:
+    """``pivot, node, <PROFILE>``: ``alone`` counts the own runs that no other node of the pivot has."""
+    tokens = held.select("pivot", F.xxhash64("node").alias("key"), F.explode("own").alias("run"))
+    alone = (
+        tokens.groupBy("pivot", "run").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1")
+        .groupBy("pivot", "key").agg(F.count("*").cast("int").alias("alone"))
     )
-    return known.join(open_buckets, ["band", "hash"])
+    return (
+        held.drop("own", "near").withColumn("key", F.xxhash64("node")).join(alone, ["pivot", "key"], "left").drop("key")
+        .withColumn("alone", F.coalesce("alone", F.lit(0)))
+    )
+
 
+def can_be_near(one: str, other: str) -> Column:
+    """Whether two nodes of a pivot can have J >= 0.8, by their profiles alone.
 
-def _component_pairs(rest: DataFrame, turn: int) -> DataFrame:
-    """Every member of a bucket with a node of the component that is largest in it."""
-    rank = F.xxhash64("node", "band", F.lit(turn))
-    chosen = (
-        rest.groupBy("band", "hash", "label").agg(F.count("*").alias("n"), F.min(F.struct(rank, "node")).alias("first"))
-        .groupBy("band", "hash").agg(F.max(F.struct("n", "label", F.col("first.node").alias("node"))).alias("pivot"))
-        .select("band", "hash", "pivot")
+    Of n runs of the pivot they miss a and b, c of them both; they have u and v own runs, w in common.
+    Then they share n - a - b + c + w runs of n + u + v - c - w in all, c is at most the smaller
+    of a and b, and w of the own runs that are not theirs alone. Repeated runs raise J by no more than
+    if all of them were shared beyond that.
+    """
+    f = lambda side, name: F.col(f"{side}.{name}")
+    both_miss = F.least(f(one, "missing"), f(other, "missing"))
+    both_have = F.least(f(one, "extra") - f(one, "alone"), f(other, "extra") - f(other, "alone"))
+    return (
+        9 * (both_miss + both_have) + 5 * (f(one, "repeats") + f(other, "repeats"))
+        >= 5 * (f(one, "missing") + f(other, "missing")) + 4 * (f(one, "extra") + f(other, "extra")) - f(one, "size")
     )
+
+
+def _profile_pairs(known: DataFrame) -> DataFrame:
+    """``pivot, x, y``: profiles whose nodes can be near and are not all of one component. There are as many
+    profiles as ways to differ from the pivot by numbers, however many nodes there are."""
+    kinds = known.groupBy("pivot", F.struct(*PROFILE).alias("x")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    other = kinds.select("pivot", F.col("x").alias("y"), F.col("low").alias("low_y"), F.col("high").alias("high_y"))
+    joined = (F.col("low") == F.col("high")) & (F.col("low_y") == F.col("high_y")) & (F.col("low") == F.col("low_y"))
+    return kinds.join(other.hint("merge"), "pivot").where((F.col("x") <= F.col("y")) & ~joined & can_be_near("x", "y")).select("pivot", "x", "y")
+
+
+def _open_nodes(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``known`` of nodes that can be near one of another component, with ``x``, their profile."""
+    kinds = pairs.select("pivot", "x").unionByName(pairs.select("pivot", F.col("y").alias("x"))).distinct()
+    return known.select("pivot", "node", "label", "company", F.struct(*PROFILE).alias("x")).join(kinds, ["pivot", "x"])
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _leader_pairs(open_nodes: DataFrame) -> DataFrame:
+    """Open nodes of a pivot with the most popular node of its largest open component."""
+    leaders = (
+        open_nodes.groupBy("pivot", "label").agg(F.count("*").alias("n"), F.max(F.struct("company", "node", "x")).alias("first"))
+        .groupBy("pivot").agg(F.max(F.struct("n", "label", "first")).alias("leader"))
+        .select("pivot", F.col("leader.label").alias("led"), F.col("leader.first.node").alias("leader"), F.col("leader.first.x").alias("y"))
+    )
+    return open_nodes.join(leaders, "pivot").where((F.col("label") != F.col("led")) & can_be_near("x", "y")).select(*_ordered("node", "leader")).distinct()
+
+
+def _last_pairs(open_nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """All pairs of nodes of two components that can be near."""
+    other = open_nodes.select("pivot", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y"))
     return (
-        rest.join(chosen, ["band", "hash"]).where("label != pivot.label")
-        .select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
+        pairs.join(open_nodes, ["pivot", "x"]).join(other.hint("merge"), ["pivot", "y"])
+        .where("label != label_y").select(*_ordered("node", "node_y")).distinct()
     )
 
 
@@ -236,40 +325,32 @@ def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "near-nodes",
     )
     rows = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    shared = rows.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").select("band", "hash")
+    shared = rows.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
     members = written(rows.join(shared, ["band", "hash"]), "near-members")
+    company = written(members.groupBy("node").agg(F.sum("n").alias("company")), "near-company")
     texts = written(
         docs.select(node_of(text_of(text_column)).alias("node"), text_of(text_column).alias("text"))
-        .join(members.select("node").distinct(), "node", "left_semi")
+        .join(company.select("node"), "node", "left_semi")
         .groupBy("node").agg(F.first("text").alias("text"))
         .join(nodes.select("node", "signature"), "node"),
         "near-texts",
     )
-    links = written(confirmed(_pivot_pairs(members, F.lit(0)), texts), "near-links")
-    labels = connected(links)
+    held = written(compared(_pivot_pairs(members.join(company, "node")), texts), "near-held")
+    labels = connected(held.where("near").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
+    profiled = written(profiles(held).join(company, "node"), "near-profiles")
     bare = nodes.drop("bands", "signature")
-    for turn in range(PIVOT_ROUNDS):
-        rest = written(_labelled(members, labels), "near-rest")
-        if rest.isEmpty():
-            return labels, bare
-        more = written(confirmed(_component_pairs(rest, turn), texts), "near-links")
+    for turn in range(LEADER_ROUNDS + 1):
+        known = profiled.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        kinds = written(_profile_pairs(known), "near-kinds")
+        if kinds.isEmpty():
+            break
+        open_nodes = written(_open_nodes(known, kinds), "near-open")
+        pairs = _leader_pairs(open_nodes) if turn < LEADER_ROUNDS else _last_pairs(open_nodes, kinds)
+        more = written(confirmed(pairs, texts), "near-links")
         if not more.isEmpty():
             # The components so far are stars of links themselves.
             stars = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
             labels = connected(stars.unionByName(more))
-    # Last: what pivots have not joined, pair by pair.
-    rest = written(_labelled(members, labels).join(nodes.select("node", "signature"), "node"), "near-rest")
-    other = rest.select("band", "hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "signature")])
-    agreeing = F.size(F.filter(F.zip_with("signature", "signature_b", lambda x, y: x == y), lambda same: same))
-    pairs = (
-        rest.join(other.hint("merge"), ["band", "hash"])
-        .where((F.col("label") != F.col("label_b")) & (F.col("node") < F.col("node_b")) & (agreeing >= MIN_AGREEING))
-        .select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
-    )
-    last = written(confirmed(pairs, texts), "near-links")
-    if not last.isEmpty():
-        stars = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
-        labels = connected(stars.unionByName(last))
     return labels, bare
 
 

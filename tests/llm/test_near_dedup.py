@@ -100,3 +100,61 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (200, 200)]
     found = connected(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.label for r in found} == {**dict.fromkeys(range(41), 0), **dict.fromkeys((90, 95, 100), 90)}
+
+
+def test_profiles_rule_out_no_near_pair():
+    """Whatever two texts, by their counts against any third: J >= 0.8 is never ruled out."""
+    rng, ruled_out = random.Random(9), 0
+    for _ in range(400):
+        n = rng.randrange(8, 40)
+        pivot = {k: 1 for k in range(n)}
+        nodes = []
+        for _ in range(2):
+            node = dict(pivot)
+            for _ in range(rng.choice([0, 1, 1, 2, 4, 8])):
+                how = rng.random()
+                if how < 0.4 and node:
+                    node.pop(rng.choice(list(node)))
+                elif how < 0.8:
+                    node[1000 + rng.randrange(12)] = rng.choice([1, 1, 3])
+                else:
+                    node[rng.choice(list(node) or [0])] = 2
+            nodes.append(node)
+        x, y = nodes
+        if not x or not y:
+            continue
+        a, b = len(pivot.keys() - x.keys()), len(pivot.keys() - y.keys())
+        own_x, own_y = x.keys() - pivot.keys(), y.keys() - pivot.keys()
+        alone_x, alone_y = len(own_x - own_y), len(own_y - own_x)
+        repeats = sum(x.values()) - len(x) + sum(y.values()) - len(y)
+        can = 9 * (min(a, b) + min(len(own_x) - alone_x, len(own_y) - alone_y)) + 5 * repeats >= (
+            5 * (a + b) + 4 * (len(own_x) + len(own_y)) - n
+        )
+        pair = [(np.array(sorted(v), np.uint64), np.array([v[k] for k in sorted(v)], float)) for v in (x, y)]
+        j = near_dedup.similarity(*pair)
+        assert can or j < near_dedup.THRESHOLD
+        ruled_out += not can
+    assert ruled_out > 10
+
+
+def crowd():
+    """Two texts with many copies each, edited alone or in the same way, some far from their base."""
+    rng, rows = random.Random(11), []
+    for b in range(2):
+        base = prose(50 + b, 160).split() if b == 0 else prose(50, 110).split() + prose(60, 50).split()
+        rows.append((10_000 + b, " ".join(base), "s"))
+        for k in range(40):
+            words = list(base)
+            for e in range(rng.randrange(0, 9)):
+                words[rng.randrange(len(words))] = f"edit{b}x{k}x{e}" if rng.random() < 0.7 else f"same{rng.randrange(3)}"
+            rows.append((100 * b + k, " ".join(words), "s"))
+            if k % 8 == 0:
+                words[5] = f"again{k}"
+                rows.append((1000 + 100 * b + k, " ".join(words + words[:40] * (k % 16 == 0)), "s"))
+    return rows
+
+
+def test_a_crowd_of_copies(spark):
+    rows = crowd()
+    found = near_dedup.classes(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.class_size) for r in found) == brute_classes(rows)
