@@ -77,28 +77,28 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[: n - width + 1], before[width - 1 : n])
 
 
-def segments_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments_of(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Piece hash, first byte and length of the segments of one text."""
     pieces = window_hashes(data, PIECE)
-    smallest = sliding_minimum(pieces, LENGTH - PIECE + 1)
+    smallest = sliding_minimum(pieces, length - PIECE + 1)
     # A new segment where the minimum changes, or where its leftmost place has just been left.
     changed = (smallest[1:] != smallest[:-1]) | (pieces[: len(smallest) - 1] == smallest[:-1])
     starts = np.flatnonzero(np.r_[True, changed])
-    ends = np.r_[starts[1:], len(smallest)] - 1 + LENGTH
+    ends = np.r_[starts[1:], len(smallest)] - 1 + length
     return smallest[starts], starts, ends - starts
 
 
-def _segments(docs: DataFrame, text_column: str) -> DataFrame:
+def _segments(docs: DataFrame, text_column: str, length: int) -> DataFrame:
     """``piece, content, node, start, size``: the segments of every row."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         pieces, contents, starts, sizes, counts = [], [], [], [], []
         for text in batch.column(1).to_pylist():
             raw = text.encode()
-            if len(raw) < LENGTH:
+            if len(raw) < length:
                 counts.append(0)
                 continue
-            found = segments_of(np.frombuffer(raw, np.uint8))
+            found = segments_of(np.frombuffer(raw, np.uint8), length)
             at, size = found[1].tolist(), found[2].tolist()
             contents.extend(xxhash.xxh3_64_intdigest(raw[a : a + n]) for a, n in zip(at, size, strict=True))
             pieces.append(found[0].view(np.int64))
@@ -196,24 +196,24 @@ def repeated_rows(text: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def block_windows(contents: list[bytes]) -> list[np.ndarray]:
+def block_windows(contents: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
     """For every segment of a block, which of its windows stand twice or more in the block."""
     symbols = np.concatenate([np.r_[np.frombuffer(c, np.uint8).astype(np.uint16) + 2, np.uint16(1)] for c in contents])
-    again = repeated_rows(np.r_[symbols, np.uint16(0)], LENGTH)
+    again = repeated_rows(np.r_[symbols, np.uint16(0)], length)
     out, at = [], 0
     for c in contents:
-        out.append(again[at : at + len(c) - LENGTH + 1])
+        out.append(again[at : at + len(c) - length + 1])
         at += len(c) + 1
     return out
 
 
-def covered(windows: np.ndarray) -> list[tuple[int, int]]:
+def covered(windows: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
     """Byte ranges that the marked windows cover, neighbours joined."""
     starts = np.flatnonzero(windows)
     if not len(starts):
         return []
-    cut = np.flatnonzero(np.diff(starts) > LENGTH)
-    return list(zip(starts[np.r_[0, cut + 1]].tolist(), (starts[np.r_[cut, len(starts) - 1]] + LENGTH).tolist(), strict=True))
+    cut = np.flatnonzero(np.diff(starts) > length)
+    return list(zip(starts[np.r_[0, cut + 1]].tolist(), (starts[np.r_[cut, len(starts) - 1]] + length).tolist(), strict=True))
 
 
 def _with_bytes(wanted: DataFrame, docs: DataFrame, text_column: str) -> DataFrame:
@@ -246,23 +246,23 @@ def _with_bytes(wanted: DataFrame, docs: DataFrame, text_column: str) -> DataFra
 RANGES = "node binary, low int, high int"
 
 
-def _in_blocks(open_segments: DataFrame, blocks: int) -> DataFrame:
+def _in_blocks(open_segments: DataFrame, blocks: int, length: int) -> DataFrame:
     """Repeated ranges of segments that occur once, from the transform of each block."""
     ready_workers(open_segments.sparkSession)
 
     def work(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        found = block_windows(list(rows["bytes"]))
+        found = block_windows(list(rows["bytes"]), length)
         for n, node, start, windows in zip(rows["n"], rows["node"], rows["start"], found, strict=True):
             if n == 1:
-                out += [(node, start + a, start + b) for a, b in covered(windows)]
+                out += [(node, start + a, start + b) for a, b in covered(windows, length)]
         return pd.DataFrame(out, columns=["node", "low", "high"])
 
     block = F.pmod(F.xxhash64("piece"), F.lit(blocks)).alias("block")
     return open_segments.select(block, "n", "node", "start", "bytes").groupBy("block").applyInPandas(work, RANGES)
 
 
-def _by_whole_windows(crowded: DataFrame) -> DataFrame:
+def _by_whole_windows(crowded: DataFrame, length: int) -> DataFrame:
     """Repeated ranges in segments of pieces with too many variants, keyed by whole windows."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -270,8 +270,8 @@ def _by_whole_windows(crowded: DataFrame) -> DataFrame:
         n, node, start, raw = (batch.column(batch.schema.get_field_index(c)) for c in ("n", "node", "start", "bytes"))
         for i, (at, content) in enumerate(zip(start.to_pylist(), raw.to_pylist(), strict=True)):
             data = np.frombuffer(content, np.uint8)
-            ones.append(window_hashes(data, LENGTH).view(np.int64))
-            others.append(window_hashes(data, LENGTH, OTHER_BASE).view(np.int64))
+            ones.append(window_hashes(data, length).view(np.int64))
+            others.append(window_hashes(data, length, OTHER_BASE).view(np.int64))
             starts.append(at + np.arange(len(ones[-1])))
             nodes.append(np.full(len(ones[-1]), i))
         rows = pa.array(np.concatenate(nodes))
@@ -286,13 +286,13 @@ def _by_whole_windows(crowded: DataFrame) -> DataFrame:
     repeated = windows.groupBy("one", "other").agg(F.sum("n").alias("times")).where("times > 1").select("one", "other")
     return (
         windows.where("n = 1").join(repeated, ["one", "other"], "left_semi")
-        .select("node", "low", (F.col("low") + LENGTH).cast("int").alias("high"))
+        .select("node", "low", (F.col("low") + length).cast("int").alias("high"))
     )
 
 
-def spans(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``node, spans``: the byte ranges to remove, by digest of the text."""
-    segments = written(_segments(docs, text_column), "suffix-segments")
+def spans(docs: DataFrame, text_column: str = "text", length: int = LENGTH) -> DataFrame:
+    """``node, spans``: the byte ranges to remove, by digest of the text. ``length`` is more than PIECE."""
+    segments = written(_segments(docs, text_column, length), "suffix-segments")
     counted = segments.groupBy("piece", "content").agg(
         F.count("*").alias("n"), F.min(F.struct("node", "start", "size")).alias("first")
     )
@@ -313,8 +313,8 @@ def spans(docs: DataFrame, text_column: str = "text") -> DataFrame:
     crowded = F.col("variants") > MAX_VARIANTS
     total = with_bytes.where(~crowded).agg(F.sum(F.length("bytes"))).first()[0] or 0
     ranges = (
-        whole.unionByName(_in_blocks(with_bytes.where(~crowded), 1 + total // BLOCK_BYTES))
-        .unionByName(_by_whole_windows(with_bytes.where(crowded)))
+        whole.unionByName(_in_blocks(with_bytes.where(~crowded), 1 + total // BLOCK_BYTES, length))
+        .unionByName(_by_whole_windows(with_bytes.where(crowded), length))
     )
     # Copies of a text name the same ranges.
     return ranges.distinct().groupBy("node").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
@@ -339,8 +339,8 @@ def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, raw[at:]])
 
 
-def _located(docs: DataFrame, columns: list[str], text_column: str) -> DataFrame:
-    found = written(spans(docs, text_column), "suffix-spans")
+def _located(docs: DataFrame, columns: list[str], text_column: str, length: int) -> DataFrame:
+    found = written(spans(docs, text_column, length), "suffix-spans")
     own = F.unhex(F.md5(text_of(text_column)))
     return (
         docs.select(*columns, own.alias("__node"), text_of(text_column).alias("__text"))
@@ -349,7 +349,9 @@ def _located(docs: DataFrame, columns: list[str], text_column: str) -> DataFrame
     )
 
 
-def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def removals(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH
+) -> DataFrame:
     """``<id>, n_bytes, n_removed, n_spans, kept_sha256`` of every document."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -365,13 +367,15 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     kind = docs.schema[id_column].dataType.simpleString()
     return map_batches(
-        _located(docs, [id_column], text_column), work,
+        _located(docs, [id_column], text_column, length), work,
         f"`{id_column}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     )
 
 
-def without_repeats(docs: DataFrame, text_column: str = "text", count_column: str = "n_chars") -> DataFrame:
-    """The documents with repeated passages cut out; letters are cut whole or stay.
+def without_repeats(
+    docs: DataFrame, text_column: str = "text", count_column: str = "n_chars", length: int = LENGTH
+) -> DataFrame:
+    """The documents with repeated passages of ``length`` bytes or more cut out; letters are cut whole or stay.
 
     ``count_column``, if there is one, holds the code points that are left.
     """
@@ -399,7 +403,7 @@ def without_repeats(docs: DataFrame, text_column: str = "text", count_column: st
 
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in [*others, text_column])
-    cut = map_batches(_located(docs, others, text_column), work, schema)
+    cut = map_batches(_located(docs, others, text_column, length), work, schema)
     if count_column in docs.columns:
         cut = cut.withColumn(count_column, F.length(text_column).cast(fields[count_column]))
     return cut.select(*docs.columns)

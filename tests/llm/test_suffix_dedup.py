@@ -13,15 +13,15 @@ from pointlake.llm import suffix_dedup
 LENGTH = suffix_dedup.LENGTH
 
 
-def expected(texts):
+def expected(texts, length=LENGTH):
     raws = [(t or "").encode() for t in texts]
-    seen = Counter(r[i : i + LENGTH] for r in raws for i in range(len(r) - LENGTH + 1))
+    seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
     out = []
     for r in raws:
         gone = np.zeros(len(r), bool)
-        for i in range(len(r) - LENGTH + 1):
-            if seen[r[i : i + LENGTH]] > 1:
-                gone[i : i + LENGTH] = True
+        for i in range(len(r) - length + 1):
+            if seen[r[i : i + length]] > 1:
+                gone[i : i + length] = True
         runs = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
         out.append((len(r), int(gone.sum()), runs, hashlib.sha256(bytes(np.frombuffer(r, np.uint8)[~gone])).hexdigest()))
     return out
@@ -47,6 +47,15 @@ def test_removals(spark, rows, variants, monkeypatch):
     assert sorted((str(r[0]), *r[1:]) for r in found) == sorted(want)
 
 
+@pytest.mark.parametrize("length", [80, 240, 500])
+def test_other_lengths(spark, length, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 4000)
+    rows = shared_passages() + documents()
+    found = suffix_dedup.removals(frame(spark, rows), length=length).collect()
+    want = [(str(i), *e) for (i, _, _), e in zip(rows, expected([t for _, t, _ in rows], length), strict=True)]
+    assert sorted((str(r[0]), *r[1:]) for r in found) == sorted(want)
+
+
 def test_the_expansion_finds_repeated_strings():
     rng = random.Random(2)
     for length in (7, 8, 11, 20):
