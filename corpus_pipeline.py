@@ -1,4 +1,12 @@
-"""The corpus pipeline: five text operators over ``documents``, each on what the last one kept."""
+"""The corpus pipeline: five text operators over ``documents``, each on what the last one kept.
+
+Cases: a null text has no words, so the quality rules reject it with other short texts; null ids are
+documents like others, and of equal texts the one with the smallest id stays; rows with one id and
+different texts are documents of their own; a document whose whole text is a repeated passage stays, with
+an empty text, and the mix takes it as often as its hash says, with no words; without labels of good quality all
+ratios are 0 and the base rules decide alone; an empty table gives an empty result. The stages keep columns they do not
+know.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pointlake.llm import bpe, mixing, near_dedup, quality_rules, suffix_dedup
 from pointlake.llm.common import table, written
 
+# Passages of over 50 words are 240 bytes or longer, but for those of unusually short words.
+PASSAGE_BYTES = 240
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -24,7 +35,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that stand more than once out of the texts; every document stays."""
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, length=PASSAGE_BYTES)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
