@@ -262,6 +262,33 @@ def delete_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("events", KEYED_EVENTS).select("event_id")
 
 
+@query(
+    """
+    SELECT 'user_' || user_id % 40 AS measurement, event_type, count(*) AS n,
+           CAST(sum(CAST(CASE WHEN event_type = 'click' THEN value + 1 ELSE value END AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM events GROUP BY 1, 2
+    """
+)
+def write_points_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty undeclared measurements in one write, then the clicks of all again with another value."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    name = F.concat(F.lit("user_"), (F.col("user_id").cast("bigint") % 40).cast("string"))
+    events = event_points(spark, sf_dir)
+    points = to_point_form(events, EVENTS, db="app", measurement=name)
+    store.append_points(points)
+    clicks = events.where("event_type = 'click'").withColumn("value", F.col("value") + 1)
+    store.write_points(to_point_form(clicks, EVENTS, db="app", measurement=name))
+    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")
+    counts = [
+        store.read(m).groupBy(F.lit(m).alias("measurement"), "event_type").agg(F.count(F.lit(1)).alias("n"), total)
+        for m in store.measurements()
+    ]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 # -- streams -------------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ takes one writer at a time.
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_left
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -26,7 +27,7 @@ from pointlake.functions.coercion import typed_value
 from pointlake.functions.columns import ref, type_of
 from pointlake.functions.predicate import Where, parse_where, time_bounds
 from pointlake.functions.text import scalar_text
-from pointlake.functions.timecol import SECOND_NS, duration_ns, from_epoch, now_ns
+from pointlake.functions.timecol import SECOND_NS, duration_ns, floor_div, from_epoch, now_ns
 from pointlake.model import (
     WEEK_S,
     FieldType,
@@ -41,6 +42,7 @@ from pointlake.operators.shards import (
     defaults_by_database,
     shard_id_of,
     shard_start_s,
+    start_of,
     with_default_policy,
 )
 from pointlake.operators.validate import check_points
@@ -48,6 +50,7 @@ from pointlake.session import fresh_path
 from pointlake.sources.tables import to_wide
 
 DEFAULT_POLICY = "autogen"
+COLUMNS_FILE = "_columns.json"  # Spark passes over names that start with an underscore
 
 # The characters Spark writes as %XX in partition directory names.
 ESCAPED_IN_PATHS = '"#%\'*/:=?\\{[]^\x7f'
@@ -111,27 +114,95 @@ def overlapping(
         spans = [tuple(m) for m in merged] + [(start, start + length) for length, start in new]
 
 
-def inferred_schema(points: DataFrame, target: MeasurementRef) -> MeasurementSchema:
-    """Fields and tags of map-form points of one measurement. The driver receives a row
-    for each field name and kind and for each tag name."""
-    value = F.col("value")
-    member = F.when(value["f"].isNotNull(), "f").when(value["i"].isNotNull(), "i").when(
-        value["b"].isNotNull(), "b"
-    ).when(value["s"].isNotNull(), "s")
-    kinds: dict[str, set[str]] = {}
-    fields = points.select(F.explode("fields")).select("key", member.alias("kind")).where("kind IS NOT NULL")
-    for row in fields.distinct().toLocalIterator():
-        kinds.setdefault(row.key, set()).add(row.kind)
+def _schema_of(target: MeasurementRef, kinds: dict[str, set[str]], tags: set[str]) -> MeasurementSchema:
+    """Fields and tags as the points of an undeclared measurement have them."""
     plain = {"f": FieldType.FLOAT, "i": FieldType.INTEGER, "b": FieldType.BOOLEAN, "s": FieldType.STRING}
     types = {
         name: plain[min(found)] if len(found) == 1 else FieldType.FLOAT if found == {"f", "i"} else FieldType.STRING
         for name, found in kinds.items()
     }
-    tags = [r.key for r in points.select(F.explode("tags")).where("value IS NOT NULL").select("key").distinct().toLocalIterator()]
-    clash = sorted(set(tags) & set(types))
+    clash = sorted(tags & set(types))
     if clash:
         raise ValueError(f"Both tags and fields of {target.name}: {', '.join(clash)}")
-    return MeasurementSchema(target.name, types, tuple(tags), target.db)
+    return MeasurementSchema(target.name, types, tuple(sorted(tags)), target.db)
+
+
+def placed_schemas(points: DataFrame, declared: SchemaSet) -> dict[MeasurementRef, MeasurementSchema]:
+    """The schema of every place of map-form points, declared or found in them, in one pass. The
+    driver receives a row for each place and for each tag, field name and kind in it."""
+    value = lambda e, name: e["value"][name].isNotNull()
+    entry = lambda part, key, kind: F.struct(part.alias("part"), key.alias("key"), kind.alias("kind"))
+    none = F.lit(None).cast("string")
+    tags = F.transform(
+        F.filter(F.map_entries("tags"), lambda e: e["value"].isNotNull()), lambda e: entry(F.lit("tag"), e["key"], none)
+    )
+    fields = F.filter(
+        F.transform(
+            F.map_entries("fields"),
+            lambda e: entry(
+                F.lit("field"), e["key"],
+                F.when(value(e, "f"), "f").when(value(e, "i"), "i").when(value(e, "b"), "b").when(value(e, "s"), "s"),
+            ),
+        ),
+        lambda e: e["kind"].isNotNull(),
+    )
+    own = entry(F.lit("place"), none, none)
+    parts = points.select(*PLACES, F.explode(F.concat(F.array(own), tags, fields)).alias("p")).select(*PLACES, "p.*")
+    kinds: dict[MeasurementRef, dict[str, set[str]]] = {}
+    names: dict[MeasurementRef, set[str]] = {}
+    for row in parts.distinct().toLocalIterator():
+        target = MeasurementRef(row["_measurement"], row["_rp"], row["_db"])
+        kinds.setdefault(target, {})
+        names.setdefault(target, set())
+        if row["part"] == "tag":
+            names[target].add(row["key"])
+        elif row["part"] == "field":
+            kinds[target].setdefault(row["key"], set()).add(row["kind"])
+    return {
+        target: declared.get(target.db, target.name) or _schema_of(target, kinds[target], names[target])
+        for target in sorted(kinds, key=lambda t: (t.db, t.policy, t.name))
+    }
+
+
+# Columns of one write of many places; beyond that, and where columns of two places cannot be
+# columns of one table, places are written one group after another.
+MAX_COLUMNS = 400
+LEVELS = ("db", "rp", "measurement", "shard_s", "shard")
+PLACES = ("_db", "_rp", "_measurement")
+
+
+@dataclass
+class PlaceGroup:
+    """Places whose columns agree, so that one table holds the points of all."""
+
+    places: dict[MeasurementRef, MeasurementSchema] = field(default_factory=dict)
+    columns: dict[str, tuple[str, FieldType | None]] = field(default_factory=dict)
+
+    def takes(self, columns: dict[str, tuple[str, FieldType | None]]) -> bool:
+        agree = all(self.columns.get(low, column) == column for low, column in columns.items())
+        return agree and (not self.places or len(self.columns.keys() | columns.keys()) <= MAX_COLUMNS)
+
+    @property
+    def schema(self) -> MeasurementSchema:
+        columns = sorted(self.columns.values(), key=lambda c: c[0])
+        return MeasurementSchema("all", {n: k for n, k in columns if k}, tuple(n for n, k in columns if not k))
+
+
+def grouped_places(schemas: dict[MeasurementRef, MeasurementSchema]) -> tuple[list[PlaceGroup], list[MeasurementRef]]:
+    """Groups of places, and the places with a column that is named like a directory level."""
+    groups, alone = [], []
+    for target, schema in schemas.items():
+        kinds = [(t, None) for t in schema.tag_names] + [(f, schema.fields[f]) for f in schema.field_names]
+        columns = {name.lower(): (name, kind) for name, kind in kinds}
+        if len(columns) < len(kinds) or columns.keys() & set(LEVELS):
+            alone.append(target)
+            continue
+        group = next((g for g in groups if g.takes(columns)), None)
+        if group is None:
+            groups.append(group := PlaceGroup())
+        group.places[target] = schema
+        group.columns |= columns
+    return groups, alone
 
 
 @dataclass(frozen=True)
@@ -251,6 +322,9 @@ class Store:
             return df if where is None else df.filter(parse_where(where, df))
         if schema is None:
             df = self.spark.read.option("mergeSchema", True).parquet(path)
+            known = self._noted_columns(target)
+            if known is not None:
+                df = df.select(*[ref(c) for c in df.columns if c in known or c in ("shard_s", "shard")])
             df = df.withColumns({c: F.col(c).cast("bigint") for c in ("shard_s", "shard")})
         else:
             kind = T.StructType(
@@ -337,6 +411,7 @@ class Store:
         typed = self._typed(df, schema, moment_of(write_time))
         laid = self._laid_out(typed, schema, target)
         laid.write.mode("append").partitionBy("shard_s", "shard").parquet(self.path_of(target))
+        self._note_columns(target, schema)
 
     def write_points(
         self,
@@ -351,7 +426,7 @@ class Store:
         is updated (``known_new`` skips the look for it).
 
         The batch is checked whole, once, into a staging table of the shared folder, with
-        a directory for each place. Points that fail go to a table at ``reject_path`` with
+        a directory for each place; then all places whose columns agree are written at once. Points that fail go to a table at ``reject_path`` with
         their ``reason``; without it they stop the job before anything is written. A row's
         own ``rp`` comes first, then ``retention_policy``, then the database's default.
         Measurements without a declared schema take fields and tags from their points;
@@ -389,18 +464,90 @@ class Store:
         elif (first := failed.select("reason").first()) is not None:
             raise ValueError(first.reason)
         good = staged.filter("NOT _failed")
-        # One row for each stored place, from directory names.
-        for place in good.select(*places[1:]).distinct().toLocalIterator():
-            target = MeasurementRef(place["_measurement"], place["_rp"], place["_db"])
+        schemas_by_place = placed_schemas(good, declared)
+        groups, alone = grouped_places(schemas_by_place)
+        for group in groups:
+            self._write_group(good, group, moment, known_new)
+        for target in alone:
             own = good.filter(
                 (F.col("_db") == target.db) & (F.col("_rp") == target.policy) & (F.col("_measurement") == target.name)
             )
-            schema = declared.get(target.db, target.name) or inferred_schema(own, target)
-            wide = to_wide(own, schema)
+            wide = to_wide(own, schemas_by_place[target])
             if known_new:
-                self.append(wide, schema, target, write_time=moment)
+                self.append(wide, schemas_by_place[target], target, write_time=moment)
             else:
-                self.upsert(wide, schema, target, write_time=moment)
+                self.upsert(wide, schemas_by_place[target], target, write_time=moment)
+
+    def _write_group(self, good: DataFrame, group: PlaceGroup, moment: NanoTime, known_new: bool) -> None:
+        """Writes the points of all places of a group as one table: the jobs are as many for one
+        measurement as for a thousand. Points of a place only fill its own columns."""
+        schema, levels = group.schema, list(LEVELS)
+        rows = [(t.db, t.policy, t.name, self.policy_of(t).shard_s) for t in group.places]
+        # One row for each place.
+        lengths = self.spark.createDataFrame(rows, "_db string, _rp string, _measurement string, shard_s bigint")
+        own = good.join(F.broadcast(lengths), list(PLACES))
+        filled = own.withColumn("time_ns", F.coalesce("time_ns", F.lit(int(moment)).cast("bigint")))
+        names = [F.col(c).alias(c.removeprefix("_")) for c in PLACES]
+        wide = to_wide(filled.select(*names, "tags", "fields", "time_ns", "shard_s"), schema, keep=["db", "rp", "measurement", "shard_s"])
+        placed = wide.withColumn("shard", start_of(floor_div(F.col("time_ns"), SECOND_NS), F.col("shard_s")))
+        gone: dict[MeasurementRef, list[tuple[int, int]]] = {}
+        if not known_new:
+            # One row for each bucket that the points fall into.
+            touched: dict[MeasurementRef, list[tuple[int, int]]] = {}
+            for r in placed.select(*levels).distinct().toLocalIterator():
+                touched.setdefault(MeasurementRef(r.measurement, r.rp, r.db), []).append((r.shard_s, r.shard))
+            read = {t: overlapping(b, self.buckets(t)) for t, b in touched.items()}
+            gone = {t: [b for b in found if b[0] != self.policy_of(t).shard_s] for t, found in read.items()}
+            paths = [f"{self.path_of(t)}/shard_s={size}/shard={start}" for t, found in read.items() for size, start in found]
+            kind = T.StructType([*schema.struct_type.fields, *(T.StructField(c, T.StringType()) for c in levels[:3])])
+            # The directories of other points are never listed.
+            stored = (
+                self.spark.read.schema(kind).option("basePath", self.root).parquet(*paths) if paths
+                else self.spark.createDataFrame([], kind)
+            )
+            merged = upsert_points(stored, placed, [*levels[:3], *schema.tag_names], schema.field_names)
+            keyed = merged.join(
+                F.broadcast(lengths.select(*[F.col(c).alias(c.removeprefix("_")) for c in PLACES], "shard_s")), levels[:3]
+            )
+            placed = keyed.withColumn("shard", start_of(floor_div(F.col("time_ns"), SECOND_NS), F.col("shard_s")))
+        columns = [*schema.struct_type.names, *levels]
+        laid = (
+            placed.select(*[ref(c) for c in columns]).hint("rebalance", *[F.col(c) for c in levels if c != "shard_s"])
+            .sortWithinPartitions(*levels, *[ref(t) for t in schema.tag_names], "time_ns")
+        )
+        writer = laid.write.partitionBy(*levels)
+        if known_new:
+            writer.mode("append").parquet(self.root)
+        else:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.root)
+        for target, schema in group.places.items():
+            self._note_columns(target, schema)
+            self._remove_shards(target, sorted(gone.get(target, [])))
+
+    # -- which columns of the files are a measurement's own --------------------------------
+
+    def _noted_columns(self, target: MeasurementRef) -> set[str] | None:
+        fs, handle = self._fs(f"{self.path_of(target)}/{COLUMNS_FILE}")
+        if not fs.exists(handle):
+            return None
+        stream = fs.open(handle)
+        try:
+            return set(json.loads(bytes(stream.readAllBytes()).decode()))
+        finally:
+            stream.close()
+
+    def _note_columns(self, target: MeasurementRef, schema: MeasurementSchema) -> None:
+        """Adds the schema's columns to those that reads without a schema show: files of many
+        measurements have the columns of all of them."""
+        known = self._noted_columns(target)
+        columns = {"time_ns", *schema.tag_names, *schema.field_names}
+        if known is None or not columns <= known:
+            fs, handle = self._fs(f"{self.path_of(target)}/{COLUMNS_FILE}")
+            out = fs.create(handle, True)
+            try:
+                out.write(bytearray(json.dumps(sorted(columns | (known or set()))).encode()))
+            finally:
+                out.close()
 
     def append_points(self, points: DataFrame, schemas: Sequence[MeasurementSchema] = (), **options) -> None:
         """``write_points`` for points known to be new."""
@@ -433,6 +580,7 @@ class Store:
         """Writes points in place of the buckets they were read from. Buckets of another
         length than the policy's are removed afterwards, as their points have moved."""
         laid = self._laid_out(merged, schema, target)
+        self._note_columns(target, schema)
         gone = {b for b in read if b[0] != self.policy_of(target).shard_s}
         if emptied:
             filled = {(r.shard_s, r.shard) for r in laid.select("shard_s", "shard").distinct().toLocalIterator()}

@@ -350,3 +350,70 @@ def test_hot_bucket_is_split_between_files(spark, store):
     got = store.read("perf", PERF)
     assert got.count() == 200_000
     assert got.select(F.input_file_name()).distinct().count() > 1
+
+
+# -- many measurements at once -----------------------------------------------------------
+
+
+def many(spark, n, value=0.0):
+    """``n`` measurements with a tag and a field of their own each, and a common one."""
+    rows = [
+        ("db", None if i % 3 else "7d", f"m{i}", {"host": "a", f"t{i % 5}": "x"}, {"v": (value + i, None, None, None), f"f{i % 7}": (None, i, None, None)}, at("2024-01-01") + k)
+        for i in range(n) for k in range(2)
+    ]
+    return spark.createDataFrame(rows, POINT_SCHEMA)
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    work()
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("known_new", [True, False])
+def test_jobs_do_not_grow_with_the_measurements(spark, folder, known_new):
+    counts = {}
+    for n in (3, 30):
+        store, points = Store(spark, f"{folder}/store{n}", POLICIES, database="db"), many(spark, n)
+        counts[n] = jobs_of(spark, f"{folder}-{n}", lambda s=store, p=points: s.write_points(p, known_new=known_new))
+        assert len(store.targets()) == n
+        for i in range(n):
+            rows = store.read(MeasurementRef(f"m{i}", "autogen" if i % 3 else "7d"))
+            # Only its own columns, though all measurements share files of one write.
+            assert set(rows.columns) == {"time_ns", "host", f"t{i % 5}", "v", f"f{i % 7}"}
+        assert [r.v for r in rows.collect()] == [float(n - 1)] * 2
+    assert counts[3] == counts[30]
+
+
+def test_many_measurements_are_updated(spark, store):
+    store.write_points(many(spark, 12))
+    daily = Store(spark, store.root, (POLICIES[0], RetentionPolicy("db", "7d", 604800, 3600)), database="db")
+    daily.write_points(many(spark, 12, value=100.0).filter("measurement != 'm0'"))
+    for i in range(12):
+        target = MeasurementRef(f"m{i}", "autogen" if i % 3 else "7d")
+        assert [r.v for r in daily.read(target).collect()] == [i + (100.0 if i else 0.0)] * 2
+        lengths = {b[0] for b in daily.buckets(target)}
+        assert lengths == ({604800} if i % 3 else {3600} if i else {86400})
+
+
+def test_columns_that_do_not_agree(spark, store):
+    rows = [
+        ("db", None, "a", {"x": "1"}, {"v": (1.5, None, None, None)}, 1), ("db", None, "b", {"X": "2"}, {"v": (None, None, "text", None)}, 2),
+        ("db", None, "c", {"v": "tag"}, {"x": (None, 7, None, None)}, 3), ("db", None, "d", {"rp": "odd", "shard": "s"}, {"v": (2.5, None, None, None)}, 4),
+        ("db", None, "e", {}, {}, 5),
+    ]
+    for _ in range(2):
+        store.write_points(spark.createDataFrame(rows, POINT_SCHEMA).repartition(2))
+    found = {m: store.read(m).first().asDict() for m in store.measurements()}
+    assert found == {
+        "a": {"time_ns": 1, "x": "1", "v": 1.5}, "b": {"time_ns": 2, "X": "2", "v": "text"}, "c": {"time_ns": 3, "v": "tag", "x": 7},
+        "d": {"time_ns": 4, "rp": "odd", "v": 2.5, **({"shard": found["d"]["shard"]} if "shard" in found["d"] else {})}, "e": {"time_ns": 5},
+    }
+
+
+def test_a_group_is_as_wide_as_allowed(spark, store, monkeypatch):
+    from pointlake.sinks import store as module
+
+    monkeypatch.setattr(module, "MAX_COLUMNS", 6)
+    store.write_points(many(spark, 9))
+    assert len(store.targets()) == 9 and store.read("m8").count() == 2
