@@ -19,8 +19,8 @@ were made from or the nearest to it. That links most of the group at once, and s
 of the pivot's runs it misses and how many it has of its own. Two nodes of a pivot share what neither
 misses, and own runs that are not theirs alone; where that cannot make J = 0.8, they need no comparison.
 Such counts are compared, not nodes, and there are few different ones. What can still be near, and is not linked
-by then, is held against the leader of the pivot's largest open component for LEADER_ROUNDS rounds, and then
-pair by pair. So no link between different texts that share a band is lost for the classes, while a
+by then, is held against the leader of the pivot's largest open component for LEADER_ROUNDS rounds. Then
+pairs are compared that can be near by their counts without own runs in common, or have such a run. So no link between different texts that share a band is lost for the classes, while a
 large group of near copies that differ each in their own way costs one comparison for each node.
 
 Cases: a null text is empty; texts without words are equal to each other; equal texts have
@@ -34,7 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointlake.llm.common import map_batches, mixed, text_of, words_of, written
@@ -194,13 +194,30 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(_with_texts(pairs, texts), work, "a binary, b binary")
 
 
-COMPARED = "node binary, pivot binary, near boolean, missing int, extra int, repeats int, size int, own array<bigint>"
+COMPARED = (
+    "node binary, pivot binary, near boolean, missing int, extra int, repeats int, size int, over int, under int, own array<bigint>"
+)
+
+
+def differences(node: tuple[np.ndarray, np.ndarray], pivot: tuple[np.ndarray, np.ndarray]) -> tuple:
+    """``missing, extra, repeats, size, over, under, own`` of a node against a pivot (see ``compared``)."""
+    _, at, of = np.intersect1d(node[0], pivot[0], assume_unique=True, return_indices=True)
+    apart = (node[1][at] - pivot[1][of]).astype(np.int64)
+    alien = np.ones(len(node[0]), bool)
+    alien[at] = False
+    extra = int(alien.sum())
+    over = int(np.maximum(apart, 0).sum()) + int(node[1][alien].sum()) - extra
+    return (
+        len(pivot[0]) - len(at), extra, int(node[1].sum()) - len(node[0]), len(pivot[0]),
+        over, int(np.maximum(-apart, 0).sum()), node[0][alien].view(np.int64),
+    )
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Nodes ``a`` held against their pivots ``b``, with what sets them apart: ``missing`` runs of the
     pivot, the ``own`` runs that it lacks and their number ``extra``, ``repeats`` of runs within
-    the node, and ``size``, the distinct runs of the pivot."""
+    the node, ``size``, the distinct runs of the pivot, and by how much runs of both stand more often
+    (``over``) or less often (``under``) in the node; own runs that stand twice count as over."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         shingles, known = Shingles(), {}
@@ -213,18 +230,14 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         rows = []
         for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4, 5)), strict=True):
             node, pivot = shingles(x) if a != b else weighted(a, x), weighted(b, y)
-            own = np.setdiff1d(node[0], pivot[0], assume_unique=True)
-            rows.append((
-                similarity(node, pivot) >= THRESHOLD - 1e-9, len(pivot[0]) - (len(node[0]) - len(own)), len(own),
-                int(node[1].sum()) - len(node[0]), len(pivot[0]), own.view(np.int64),
-            ))
-        near, missing, extra, repeats, size, own = zip(*rows, strict=True) if rows else [()] * 6
+            rows.append((similarity(node, pivot) >= THRESHOLD - 1e-9, *differences(node, pivot)))
+        near, missing, extra, repeats, size, over, under, own = zip(*rows, strict=True) if rows else [()] * 8
         ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
         flat = np.concatenate(own) if own else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(near, pa.bool_()), *[pa.array(v, pa.int32()) for v in (missing, extra, repeats, size)],
+            [batch.column(0), batch.column(1), pa.array(near, pa.bool_()), *[pa.array(v, pa.int32()) for v in (missing, extra, repeats, size, over, under)],
              pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-            ["node", "pivot", "near", "missing", "extra", "repeats", "size", "own"],
+            ["node", "pivot", "near", "missing", "extra", "repeats", "size", "over", "under", "own"],
         )
 
     return map_batches(_with_texts(pairs, texts), work, COMPARED)
@@ -243,11 +256,14 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-PROFILE = ("missing", "extra", "alone", "repeats", "size")
+PROFILE = ("home", "missing", "extra", "alone", "repeats", "size", "over", "under")
 
 
-def profiles(held: DataFrame) -> DataFrame:
-    """``pivot, node, <PROFILE>``: ``alone`` counts the own runs that no other node of the pivot has."""
+def profiles(held: DataFrame, company: DataFrame) -> DataFrame:
+    """``pivot, node, company, <PROFILE>``: ``alone`` counts the own runs that no other node of the pivot has,
+    ``home`` is the most popular of the node's pivots."""
+    popular = held.select("node", "pivot").join(company.select(F.col("node").alias("pivot"), F.col("company").alias("n")), "pivot")
+    homes = popular.groupBy("node").agg(F.max(F.struct("n", "pivot")).alias("top")).select("node", F.col("top.pivot").alias("home"))
     tokens = held.select("pivot", F.xxhash64("node").alias("key"), F.explode("own").alias("run"))
     alone = (
         tokens.groupBy("pivot", "run").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1")
@@ -256,26 +272,51 @@ def profiles(held: DataFrame) -> DataFrame:
     return (
         held.drop("own", "near").withColumn("key", F.xxhash64("node")).join(alone, ["pivot", "key"], "left").drop("key")
         .withColumn("alone", F.coalesce("alone", F.lit(0)))
+        .join(company, "node").join(homes, "node")
     )
 
 
-def can_be_near(one: str, other: str) -> Column:
-    """Whether two nodes of a pivot can have J >= 0.8, by their profiles alone.
+def can_be_near(one: str, other: str, sharing: bool = True) -> Column:
+    """Whether two nodes of a pivot can have J >= 0.8, by their profiles alone; without ``sharing``, if they
+    have no own run in common.
 
     Of n runs of the pivot they miss a and b, c of them both; they have u and v own runs, w in common.
     Then they share n - a - b + c + w runs of n + u + v - c - w in all, c is at most the smaller
     of a and b, and w of the own runs that are not theirs alone. Repeated runs raise J by no more than
     if all of them were shared beyond that.
+
+    With repeats: runs in common weigh M at most, all runs M and what is theirs alone, so J is
+    no more than M / (M + alone of both); M is what one has beside its own alone, and what the other
+    has more of it. Nodes of one home are held against each other there only: a
+    pivot that is not what they were made from says less of them.
     """
-    f = lambda side, name: F.col(f"{side}.{name}")
+    f = lambda side, name: F.col(f"{side}.{name}" if sharing or name != "alone" else f"{side}.extra")
     both_miss = F.least(f(one, "missing"), f(other, "missing"))
     both_have = F.least(f(one, "extra") - f(one, "alone"), f(other, "extra") - f(other, "alone"))
-    return (
+    weight = lambda side: f(side, "size") - f(side, "missing") + f(side, "extra") + f(side, "repeats") - f(side, "alone")
+    common = F.least(
+        weight(one) + f(other, "over") + f(one, "under"), weight(other) + f(one, "over") + f(other, "under")
+    )
+    heavy = common >= 4 * (f(one, "alone") + f(other, "alone"))
+    here = (f(one, "home") != f(other, "home")) | (f(one, "home") == F.col("pivot"))
+    return here & heavy & (
         9 * (both_miss + both_have) + 5 * (f(one, "repeats") + f(other, "repeats"))
         >= 5 * (f(one, "missing") + f(other, "missing")) + 4 * (f(one, "extra") + f(other, "extra")) - f(one, "size")
     )
 
 
+def least_shared(one: str, other: str) -> Column:
+    """How many own runs two nodes of a pivot need in common, 1 at least, for J >= 0.8."""
+    f = lambda side, name: F.col(f"{side}.{name}")
+    both = lambda name: f(one, name) + f(other, name)
+    by_number = (5 * both("missing") + 4 * both("extra") - f(one, "size") - 5 * both("repeats")) / 9 - F.least(
+        f(one, "missing"), f(other, "missing")
+    )
+    weight = lambda a, b: f(a, "size") - f(a, "missing") + f(a, "repeats") + f(b, "over") + f(a, "under")
+    by_weight = (4 * both("extra") - F.least(weight(one, other), weight(other, one))) / 9
+    return F.greatest(F.lit(1), F.ceil(by_number), F.ceil(by_weight))
+
+
 def _profile_pairs(known: DataFrame) -> DataFrame:
     """``pivot, x, y``: profiles whose nodes can be near and are not all of one component. There are as many
     profiles as ways to differ from the pivot by numbers, however many nodes there are."""
@@ -305,13 +346,42 @@ def _leader_pairs(open_nodes: DataFrame) -> DataFrame:
     return open_nodes.join(leaders, "pivot").where((F.col("label") != F.col("led")) & can_be_near("x", "y")).select(*_ordered("node", "leader")).distinct()
 
 
-def _last_pairs(open_nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """All pairs of nodes of two components that can be near."""
-    other = open_nodes.select("pivot", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y"))
-    return (
-        pairs.join(open_nodes, ["pivot", "x"]).join(other.hint("merge"), ["pivot", "y"])
-        .where("label != label_y").select(*_ordered("node", "node_y")).distinct()
+def _last_pairs(open_nodes: DataFrame, pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """All pairs of nodes of two components that can be near: by what they share of the pivot alone, or with
+    own runs in common, through one of these."""
+    other = lambda more: open_nodes.select(
+        "pivot", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y"), *more
+    )
+    apart = pairs.where(can_be_near("x", "y", sharing=False))
+    alike = (
+        apart.join(open_nodes, ["pivot", "x"]).join(other([]).hint("merge"), ["pivot", "y"]).where("label != label_y")
+    )
+    # A node that needs m runs in common with any other meets each by one of all but m - 1 of its
+    # shared runs; the rarest are taken.
+    needs = pairs.select("pivot", "x", "y", least_shared("x", "y").alias("need"))
+    needs = (
+        needs.select("pivot", "x", "need").unionByName(needs.select("pivot", F.col("y").alias("x"), "need"))
+        .groupBy("pivot", "x").agg(F.min("need").alias("need"))
+    )
+    runs = held.select("pivot", "node", F.explode("own").alias("run")).join(
+        open_nodes.join(needs, ["pivot", "x"]), ["pivot", "node"]
+    )
+    shared = runs.groupBy("pivot", "run").agg(F.count("*").alias("n")).where("n > 1")
+    runs = runs.join(shared, ["pivot", "run"])
+    # A node has as many rows here as its text has runs.
+    of_node = Window.partitionBy("pivot", "node")
+    runs = (
+        runs.withColumn("place", F.row_number().over(of_node.orderBy("n", "run"))).withColumn("all", F.count("*").over(of_node))
+        .where("place <= all - need + 1").select("pivot", "run", "node", "label", "x")
+    )
+    runs = written(runs, "near-runs")
+    again = runs.select(
+        "pivot", "run", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y")
+    )
+    sharing = runs.join(again.hint("merge"), ["pivot", "run"]).where(
+        (F.col("node") < F.col("node_y")) & (F.col("label") != F.col("label_y")) & can_be_near("x", "y")
     )
+    return alike.select(*_ordered("node", "node_y")).unionByName(sharing.select(*_ordered("node", "node_y"))).distinct()
 
 
 def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -337,7 +407,7 @@ def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
     held = written(compared(_pivot_pairs(members.join(company, "node")), texts), "near-held")
     labels = connected(held.where("near").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    profiled = written(profiles(held).join(company, "node"), "near-profiles")
+    profiled = written(profiles(held, company), "near-profiles")
     bare = nodes.drop("bands", "signature")
     for turn in range(LEADER_ROUNDS + 1):
         known = profiled.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -345,7 +415,7 @@ def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         if kinds.isEmpty():
             break
         open_nodes = written(_open_nodes(known, kinds), "near-open")
-        pairs = _leader_pairs(open_nodes) if turn < LEADER_ROUNDS else _last_pairs(open_nodes, kinds)
+        pairs = _leader_pairs(open_nodes) if turn < LEADER_ROUNDS else _last_pairs(open_nodes, kinds, held)
         more = written(confirmed(pairs, texts), "near-links")
         if not more.isEmpty():
             # The components so far are stars of links themselves.

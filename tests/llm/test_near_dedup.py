@@ -102,12 +102,16 @@ def test_components(spark):
     assert {r.node: r.label for r in found} == {**dict.fromkeys(range(41), 0), **dict.fromkeys((90, 95, 100), 90)}
 
 
-def test_profiles_rule_out_no_near_pair():
+KINDS = "home: binary, missing: int, extra: int, alone: int, repeats: int, size: int, over: int, under: int"
+
+
+def test_profiles_rule_out_no_near_pair(spark):
     """Whatever two texts, by their counts against any third: J >= 0.8 is never ruled out."""
-    rng, ruled_out = random.Random(9), 0
-    for _ in range(400):
+    rng, ruled_out, cases = random.Random(9), 0, []
+    names = ("missing", "extra", "repeats", "size", "over", "under")
+    for _ in range(1500):
         n = rng.randrange(8, 40)
-        pivot = {k: 1 for k in range(n)}
+        pivot = {k: rng.choice([1, 1, 1, 1, 20]) if rng.random() < 0.3 else 1 for k in range(n)}
         nodes = []
         for _ in range(2):
             node = dict(pivot)
@@ -118,20 +122,25 @@ def test_profiles_rule_out_no_near_pair():
                 elif how < 0.8:
                     node[1000 + rng.randrange(12)] = rng.choice([1, 1, 3])
                 else:
-                    node[rng.choice(list(node) or [0])] = 2
+                    node[rng.choice(list(node) or [0])] = rng.choice([2, 19, 21])
             nodes.append(node)
         x, y = nodes
         if not x or not y:
             continue
-        a, b = len(pivot.keys() - x.keys()), len(pivot.keys() - y.keys())
-        own_x, own_y = x.keys() - pivot.keys(), y.keys() - pivot.keys()
-        alone_x, alone_y = len(own_x - own_y), len(own_y - own_x)
-        repeats = sum(x.values()) - len(x) + sum(y.values()) - len(y)
-        can = 9 * (min(a, b) + min(len(own_x) - alone_x, len(own_y) - alone_y)) + 5 * repeats >= (
-            5 * (a + b) + 4 * (len(own_x) + len(own_y)) - n
-        )
         pair = [(np.array(sorted(v), np.uint64), np.array([v[k] for k in sorted(v)], float)) for v in (x, y)]
+        base = (np.arange(n).astype(np.uint64), np.array([pivot[k] for k in range(n)], float))
+        alone = [len(x.keys() - pivot.keys() - y.keys()), len(y.keys() - pivot.keys() - x.keys())]
+        rows = [
+            {"side": k, **dict(zip(names, near_dedup.differences(v, base)[:-1], strict=True)), "home": b"p", "alone": alone[k]}
+            for k, v in enumerate(pair)
+        ]
         j = near_dedup.similarity(*pair)
+        cases.append((rows, j))
+    df = spark.createDataFrame(
+        [(b"p", *[tuple(r[k] for k in near_dedup.PROFILE) for r in rows], j) for rows, j in cases],
+        f"pivot binary, x struct<{KINDS}>, y struct<{KINDS}>, j double",
+    )
+    for can, j in df.select(near_dedup.can_be_near("x", "y"), "j").collect():
         assert can or j < near_dedup.THRESHOLD
         ruled_out += not can
     assert ruled_out > 10
