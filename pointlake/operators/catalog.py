@@ -81,6 +81,11 @@ def show_shards(points: DataFrame, policies: Policies, db: str | None = None) ->
     buckets = placed.groupBy(
         "db", "rp", "shard_s", "duration_s", start.alias("start_s")
     ).agg(F.count(F.lit(1)).alias("n"))
+    return shard_listing(buckets)
+
+
+def shard_listing(buckets: DataFrame) -> DataFrame:
+    """The listing of buckets ``db, rp, shard_s, duration_s, start_s, n``."""
     end = F.col("start_s") + F.col("shard_s")
 
     def wall(seconds):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pointlake.functions.coercion import (
@@ -328,16 +328,52 @@ def require_all(checked: DataFrame) -> DataFrame:
     return checked.filter(fine).drop("reason")
 
 
+# How the reasons of each kind begin.
+REASON_KINDS = {
+    "missing_name": "Missing", "wrong_type": "Expected", "extraneous_fields": "Extraneous fields",
+    "extraneous_tags": "Extraneous tags", "unsupported_value": "Unsupported value",
+}
+
+
+class CheckCounts:
+    """Counts of a check, taken while its rows go by: no second pass counts them.
+
+    They are there once an action has read all rows of the checked table, or of its good or rejected
+    part; asking earlier waits for it. A counter counts one action.
+    """
+
+    def __init__(self) -> None:
+        self.observation = Observation()
+
+    def on(self, checked: DataFrame) -> DataFrame:
+        reason, known = F.col("reason"), F.lit(False)
+        counts = [F.count(F.lit(1)).alias("points"), F.count_if(reason.isNull()).alias("good")]
+        for kind, start in REASON_KINDS.items():
+            counts.append(F.count_if(reason.startswith(start)).alias(kind))
+            known = known | reason.startswith(start)
+        counts.append(F.count_if(reason.isNotNull() & ~known).alias("other"))
+        return checked.observe(self.observation, *counts)
+
+    @property
+    def found(self) -> dict[str, int]:
+        """``points``, ``good`` and the rejected ones by kind; kinds without points are left out."""
+        counts = self.observation.get
+        return {k: n for k, n in counts.items() if n or k in ("points", "good")}
+
+
 def parse_points(
     points: DataFrame,
     schemas: SchemaSet | Sequence[MeasurementSchema] = (),
     precision: str = "n",
     mode: str = "split",
     database: str | None = None,
+    counts: CheckCounts | None = None,
 ) -> tuple[DataFrame, DataFrame] | DataFrame:
     """Checked points: ``split`` returns (good, rejects), ``fail`` only good points and
-    an error at the first bad one."""
+    an error at the first bad one. ``counts`` fills with the first action on either."""
     checked = check_points(points, schemas, precision, database)
+    if counts is not None:
+        checked = counts.on(checked)
     if mode == "split":
         return split(checked)
     if mode == "fail":

@@ -21,6 +21,8 @@ from pointlake.plans.tables import (
     with_wall_time,
 )
 from pointlake.plans.tables import EVENTS
+from pointlake.session import fresh_path
+from pointlake.sinks.store import MeasurementRef, Store
 from pointlake.sources.tables import to_point_form
 
 
@@ -198,8 +200,7 @@ def show_retention_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.show_retention_policies(policies, "sales")
 
 
-@query(
-    """
+SHARDS_SQL = """
     SELECT CAST('0x' || substr(md5('3/app/' || rp || '/' || CAST(epoch(start_time) AS BIGINT)),
                                1, 15) AS BIGINT) AS id,
            'app' AS database, rp AS retention_policy,
@@ -218,7 +219,9 @@ def show_retention_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
              count(*) AS n
       FROM events GROUP BY 1, 2) buckets
     """
-)
+
+
+@query(SHARDS_SQL)
 def show_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = event_points(spark, sf_dir).select(
         F.lit("app").alias("db"),
@@ -226,3 +229,14 @@ def show_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "time_ns",
     )
     return catalog.show_shards(points, POLICIES, "app")
+
+
+@query(SHARDS_SQL)
+def show_stored_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a store, from the footers of its files."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app")
+    points = event_points(spark, sf_dir)
+    failed = F.col("event_type") == "error"
+    store.append(points.where(~failed), EVENTS)
+    store.append(points.where(failed), EVENTS, MeasurementRef("events", "7d"))
+    return store.show_shards("app")

@@ -287,6 +287,22 @@ def parse_points_multi_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT CASE event_type WHEN 'error' THEN 'wrong_type' WHEN 'signup' THEN 'extraneous_fields'
+             WHEN 'view' THEN 'extraneous_tags' ELSE 'good' END AS kind, count(*) AS n
+    FROM events GROUP BY 1
+    UNION ALL SELECT 'points', count(*) FROM events
+    """
+)
+def parse_points_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a check finds, counted while its good points are written."""
+    counts = validate.CheckCounts()
+    good, _ = validate.parse_points(faulty_points(spark, sf_dir), [STRICT], counts=counts)
+    good.write.parquet(fresh_path(spark, "good"))
+    return spark.createDataFrame(list(counts.found.items()), "kind string, n bigint")
+
+
 LINEITEM = MeasurementSchema(
     "lineitem",
     {

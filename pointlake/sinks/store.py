@@ -19,7 +19,7 @@ from datetime import UTC, datetime
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,7 @@ from pointlake.model import (
     RetentionPolicy,
     SchemaSet,
 )
+from pointlake.operators.catalog import shard_listing
 from pointlake.operators.lifecycle import keep_unless, upsert_points
 from pointlake.operators.query import empty_measurement
 from pointlake.operators.shards import (
@@ -44,12 +45,14 @@ from pointlake.operators.shards import (
     shard_start_s,
     start_of,
     with_default_policy,
+    with_policy,
 )
-from pointlake.operators.validate import check_points
+from pointlake.operators.validate import CheckCounts, check_points
 from pointlake.session import fresh_path
 from pointlake.sources.tables import to_wide
 
 DEFAULT_POLICY = "autogen"
+V1_SOURCES = "spark.sql.sources.useV1SourceList"
 COLUMNS_FILE = "_columns.json"  # Spark passes over names that start with an underscore
 
 # The characters Spark writes as %XX in partition directory names.
@@ -213,6 +216,9 @@ class Store:
     root: str
     policies: Sequence[RetentionPolicy] = field(default_factory=tuple)
     database: str | None = None
+    # Bloom filters on the tags of the files, so that a look for one tag value skips row groups
+    # that cannot hold it even where the values of many series lie between its smallest and largest.
+    tag_filters: bool = False
 
     # -- names -----------------------------------------------------------------
 
@@ -351,6 +357,38 @@ class Store:
             df = df.filter(F.col("shard") <= F.lit((high - 1) // SECOND_NS).cast("bigint"))
         return df
 
+    # -- what the files say of themselves ----------------------------------------
+
+    def bucket_stats(self, db: str | None = None) -> DataFrame:
+        """``db, rp, measurement, shard_s, shard, n, first_ns, last_ns`` of every stored bucket, of one
+        database or of all. The numbers come from the footers of the files: no column is read."""
+        kind = "time_ns bigint, db string, rp string, measurement string, shard_s bigint, shard bigint"
+        if not self._exists(self.root):
+            points = self.spark.createDataFrame([], kind)
+        else:
+            # Only the second version of the source hands aggregates to the files.
+            conf = self.spark.conf
+            sources = conf.get(V1_SOURCES)
+            conf.set("spark.sql.parquet.aggregatePushdown", "true")
+            conf.set(V1_SOURCES, ",".join(x for x in sources.split(",") if x != "parquet"))
+            try:
+                points = self.spark.read.schema(kind).parquet(self.root)
+            finally:
+                conf.set(V1_SOURCES, sources)
+        if db is not None:
+            points = points.filter(F.col("db") == db)
+        return points.groupBy(*LEVELS).agg(
+            F.count(F.lit(1)).alias("n"), F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns")
+        )
+
+    def show_shards(self, db: str | None = None) -> DataFrame:
+        """The time buckets of the store with their points, as ``catalog.show_shards`` lists them."""
+        buckets = with_policy(self.bucket_stats(db).withColumnRenamed("shard_s", "_length"), self.policies)
+        return shard_listing(
+            buckets.groupBy("db", "rp", F.col("_length").alias("shard_s"), "duration_s", F.col("shard").alias("start_s"))
+            .agg(F.sum("n").alias("n"))
+        )
+
     # -- write -----------------------------------------------------------------
 
     def _typed(self, df: DataFrame, schema: MeasurementSchema, moment: NanoTime) -> DataFrame:
@@ -410,7 +448,7 @@ class Store:
             df = df.withColumn("time_ns", from_epoch(F.col("time_ns"), precision))
         typed = self._typed(df, schema, moment_of(write_time))
         laid = self._laid_out(typed, schema, target)
-        laid.write.mode("append").partitionBy("shard_s", "shard").parquet(self.path_of(target))
+        self._writer(laid, schema).mode("append").partitionBy("shard_s", "shard").parquet(self.path_of(target))
         self._note_columns(target, schema)
 
     def write_points(
@@ -421,7 +459,7 @@ class Store:
         write_time: datetime | None = None,
         reject_path: str | None = None,
         known_new: bool = False,
-    ) -> None:
+    ) -> dict[str, int]:
         """Map-form points of any measurements; a stored point of the same series and time
         is updated (``known_new`` skips the look for it).
 
@@ -431,6 +469,8 @@ class Store:
         own ``rp`` comes first, then ``retention_policy``, then the database's default.
         Measurements without a declared schema take fields and tags from their points;
         a field with numbers of both kinds is FLOAT, with other mixtures STRING.
+
+        Returns how many points were good, and rejected by kind of reason, counted on the way.
         """
         moment = moment_of(write_time)
         declared = SchemaSet(schemas, self.database)
@@ -443,6 +483,8 @@ class Store:
         chosen = with_default_policy(
             checked.withColumns({"reason": reason, "db": db}), self.policies
         ).withColumn("rp", F.coalesce("rp", F.lit(retention_policy).cast("string"), "default_rp", F.lit(DEFAULT_POLICY)))
+        counts = CheckCounts()
+        chosen = counts.on(chosen)
         kept = ["db", "rp", "measurement", "tags", "fields", "time_ns", "reason"]
         places = ["_failed", "_db", "_rp", "_measurement"]
         staged_path = fresh_path(self.spark, "staged")
@@ -477,6 +519,7 @@ class Store:
                 self.append(wide, schemas_by_place[target], target, write_time=moment)
             else:
                 self.upsert(wide, schemas_by_place[target], target, write_time=moment)
+        return counts.found
 
     def _write_group(self, good: DataFrame, group: PlaceGroup, moment: NanoTime, known_new: bool) -> None:
         """Writes the points of all places of a group as one table: the jobs are as many for one
@@ -515,7 +558,7 @@ class Store:
             placed.select(*[ref(c) for c in columns]).hint("rebalance", *[F.col(c) for c in levels if c != "shard_s"])
             .sortWithinPartitions(*levels, *[ref(t) for t in schema.tag_names], "time_ns")
         )
-        writer = laid.write.partitionBy(*levels)
+        writer = self._writer(laid, schema).partitionBy(*levels)
         if known_new:
             writer.mode("append").parquet(self.root)
         else:
@@ -549,9 +592,11 @@ class Store:
             finally:
                 out.close()
 
-    def append_points(self, points: DataFrame, schemas: Sequence[MeasurementSchema] = (), **options) -> None:
+    def append_points(
+        self, points: DataFrame, schemas: Sequence[MeasurementSchema] = (), **options
+    ) -> dict[str, int]:
         """``write_points`` for points known to be new."""
-        self.write_points(points, schemas, known_new=True, **options)
+        return self.write_points(points, schemas, known_new=True, **options)
 
     def write_into(
         self,
@@ -565,9 +610,19 @@ class Store:
 
     # -- update and delete -----------------------------------------------------
 
-    def _replace(self, laid: DataFrame, target: MeasurementRef) -> None:
+    def _writer(self, laid: DataFrame, schema: MeasurementSchema | Sequence[str]) -> DataFrameWriter:
+        writer = laid.write
+        if self.tag_filters:
+            tags = schema.tag_names if isinstance(schema, MeasurementSchema) else schema
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+            for tag in tags:
+                writer = writer.option(f"parquet.bloom.filter.enabled#{tag}", "true")
+        return writer
+
+    def _replace(self, laid: DataFrame, target: MeasurementRef, tags: Sequence[str] | None = None) -> None:
+        strings = [f.name for f in laid.schema.fields if isinstance(f.dataType, T.StringType)]
         (
-            laid.write.mode("overwrite")
+            self._writer(laid, strings if tags is None else tags).mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("shard_s", "shard")
             .parquet(self.path_of(target))
@@ -580,12 +635,13 @@ class Store:
         """Writes points in place of the buckets they were read from. Buckets of another
         length than the policy's are removed afterwards, as their points have moved."""
         laid = self._laid_out(merged, schema, target)
+        tags = schema.tag_names
         self._note_columns(target, schema)
         gone = {b for b in read if b[0] != self.policy_of(target).shard_s}
         if emptied:
             filled = {(r.shard_s, r.shard) for r in laid.select("shard_s", "shard").distinct().toLocalIterator()}
             gone = set(read) - filled
-        self._replace(laid, target)
+        self._replace(laid, target, tags)
         self._remove_shards(target, sorted(gone))
 
     def _in_buckets(self, buckets: Sequence[tuple[int, int]]) -> Column:

@@ -417,3 +417,69 @@ def test_a_group_is_as_wide_as_allowed(spark, store, monkeypatch):
     monkeypatch.setattr(module, "MAX_COLUMNS", 6)
     store.write_points(many(spark, 9))
     assert len(store.targets()) == 9 and store.read("m8").count() == 2
+
+
+# -- from the files themselves ------------------------------------------------------------
+
+
+def test_stats_come_from_the_footers(spark, filled):
+    filled.append(spark.createDataFrame(ROWS[:1], COLUMNS), PERF, MeasurementRef("other/one", "7d"))
+    stats = filled.bucket_stats()
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(time_ns), MAX(time_ns)]" in plan
+    found = sorted((r.measurement, r.rp, r.shard_s, r.n, r.first_ns, r.last_ns) for r in stats.collect())
+    assert found == sorted([
+        ("perf", "autogen", 604800, 2, ROWS[0][0], ROWS[1][0]), ("perf", "autogen", 604800, 1, ROWS[2][0], ROWS[2][0]),
+        ("perf", "autogen", 604800, 1, ROWS[3][0], ROWS[3][0]), ("other/one", "7d", 86400, 1, ROWS[0][0], ROWS[0][0]),
+    ])
+    assert filled.bucket_stats("none").count() == 0
+    listed = {(r.retention_policy, r.n) for r in filled.show_shards("db").collect()}
+    assert listed == {("autogen", 2), ("autogen", 1), ("7d", 1)}
+    # Other reads stay as they were.
+    assert "FileScan parquet" in filled.read("perf", PERF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stats_of_nothing(store):
+    assert store.bucket_stats().count() == 0 and store.show_shards().count() == 0
+
+
+def test_writes_return_their_counts(spark, store, folder):
+    points = cpu_points(spark, [(1, "a", "1.5"), (2, "b", "high"), (3, "c", "low")])
+    found = store.append_points(points, [PERF], reject_path=folder + "/rejects")
+    assert found == {"points": 3, "good": 1, "wrong_type": 2}
+    assert spark.read.parquet(folder + "/rejects").count() == 2
+
+
+def scanned(df):
+    """Rows that the scan of a plan gives, after skipping row groups."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            return node.metrics().apply("numOutputRows").value()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+
+
+def test_tag_filters_skip_row_groups(spark, folder):
+    """Values that every row group has smaller and larger ones of: only a filter tells them apart."""
+    rows = spark.range(40_000).selectExpr("id AS time_ns", "sha2(cast(id AS string), 256) AS host", "cast(id AS double) AS cpu", "'' AS note")
+    wanted = rows.where("time_ns = 31234").first().host
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(256 << 10))
+    try:
+        counts = {}
+        for filters in (False, True):
+            store = Store(spark, f"{folder}/{filters}", POLICIES, database="db", tag_filters=filters)
+            # Not sorted by host: as files of many writes are, taken together.
+            laid = store._typed(rows, PERF, NanoTime(0)).selectExpr("*", "604800 AS shard_s", "0 AS shard")
+            store._writer(laid.coalesce(1), PERF).partitionBy("shard_s", "shard").parquet(store.path_of(store.resolve("perf")))
+            found = store.read("perf", PERF, where=lambda e: e.tag("host").equals.value(wanted))
+            counts[filters] = scanned(found)
+            assert [r.time_ns for r in found.collect()] == [31234]
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+    assert counts[True] < counts[False] / 3
