@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointlake.functions.timecol import to_timestamp_ntz
+from pointlake.model import NanoTime
 from pointlake.operators import catalog
 from pointlake.operators.query import mean, top
 from pointlake.operators.results import groups as nested_groups
+from pointlake.operators.shards import shard_id_of
 from pointlake.plans.registry import query
 from pointlake.plans.tables import (
     MEAN_SQL,
@@ -240,3 +244,25 @@ def show_stored_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append(points.where(~failed), EVENTS)
     store.append(points.where(failed), EVENTS, MeasurementRef("events", "7d"))
     return store.show_shards("app")
+
+
+@query(
+    """
+    SELECT event_type, CAST(user_id AS VARCHAR) AS user_id, min(epoch_us(ts)) * 1000 AS first_ns,
+           max(epoch_us(ts)) * 1000 AS last_ns, count(*) AS n_points
+    FROM events WHERE NOT (event_type = 'click' AND user_id = 8) AND ts < TIMESTAMP '2024-01-22 00:00:00'
+    GROUP BY 1, 2
+    """
+)
+def show_stored_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series of a store after a delete and a dropped bucket, from its table of series."""
+    store = Store(spark, fresh_path(spark, "store"), POLICIES, database="app", series_table=True)
+    store.append(event_points(spark, sf_dir), EVENTS)
+    store.delete(
+        EVENTS, "events", lambda e: e.tag("event_type").equals.value("click").and_.tag("user_id").equals.value("8")
+    )
+    late = NanoTime.from_datetime(datetime(2024, 1, 22))
+    for start in store.shard_starts("events"):
+        if start * 10**9 >= int(late):
+            store.drop_shard(shard_id_of("app", "autogen", start))
+    return store.show_series("events")

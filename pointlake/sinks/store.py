@@ -53,6 +53,7 @@ from pointlake.sources.tables import to_wide
 
 DEFAULT_POLICY = "autogen"
 V1_SOURCES = "spark.sql.sources.useV1SourceList"
+SERIES_FOLDER = "_series"
 COLUMNS_FILE = "_columns.json"  # Spark passes over names that start with an underscore
 
 # The characters Spark writes as %XX in partition directory names.
@@ -219,6 +220,8 @@ class Store:
     # Bloom filters on the tags of the files, so that a look for one tag value skips row groups
     # that cannot hold it even where the values of many series lie between its smallest and largest.
     tag_filters: bool = False
+    # A table of the distinct series of every bucket, kept up by all writes, beside the points.
+    series_table: bool = False
 
     # -- names -----------------------------------------------------------------
 
@@ -357,6 +360,63 @@ class Store:
             df = df.filter(F.col("shard") <= F.lit((high - 1) // SECOND_NS).cast("bigint"))
         return df
 
+    # -- the table of series ------------------------------------------------------
+
+    def series_path(self, target: MeasurementRef) -> str:
+        """Beside the databases, below a name that reads of points pass over."""
+        return self.path_of(target).replace(self.root, f"{self.root}/{SERIES_FOLDER}", 1)
+
+    def _series_of(self, points: DataFrame, tags: Sequence[str]) -> DataFrame:
+        keys = [*[ref(t) for t in tags], F.col("shard_s"), F.col("shard")]
+        return points.groupBy(*keys).agg(
+            F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns"), F.count(F.lit(1)).alias("n_points")
+        )
+
+    def _add_series(self, laid: DataFrame, tags: Sequence[str], target: MeasurementRef) -> None:
+        """Adds the series of points that were appended; rows of one series add up when they are read."""
+        if self.series_table:
+            self._series_of(laid, tags).write.mode("append").partitionBy("shard_s", "shard").parquet(self.series_path(target))
+
+    def _renew_series(
+        self, target: MeasurementRef, buckets: Sequence[tuple[int, int]], tags: Sequence[str] | None = None
+    ) -> None:
+        """Lists the series of rewritten buckets anew, from their tags and times."""
+        if not self.series_table or not buckets:
+            return
+        for length, start in buckets:
+            self.remove(f"{self.series_path(target)}/shard_s={length}/shard={start}")
+        if not self._exists(self.path_of(target)):
+            return
+        points = self._read_shards(target)
+        if tags is None:
+            tags = [f.name for f in points.schema.fields if f.name in self._series_tags(target)]
+        chosen = points.filter(self._in_buckets(buckets))
+        self._series_of(chosen, tags).write.mode("append").partitionBy("shard_s", "shard").parquet(self.series_path(target))
+
+    def _series_tags(self, target: MeasurementRef) -> list[str]:
+        if not self.children(self.series_path(target), "shard_s="):
+            return []
+        columns = self.spark.read.option("mergeSchema", True).parquet(self.series_path(target)).columns
+        return [c for c in columns if c not in ("first_ns", "last_ns", "n_points", "shard_s", "shard")]
+
+    def show_series(
+        self, measurement: str | MeasurementRef, start: NanoTime | None = None, end: NanoTime | None = None
+    ) -> DataFrame:
+        """``<tags>, first_ns, last_ns, n_points`` of every series of a measurement, from the table of series: no
+        points are read. With ``start`` (included) and ``end`` (excluded), of the buckets in that time."""
+        target = self.resolve(measurement)
+        if not self.children(self.series_path(target), "shard_s="):
+            return self.spark.createDataFrame([], "first_ns bigint, last_ns bigint, n_points bigint")
+        tags = self._series_tags(target)
+        rows = self.spark.read.option("mergeSchema", True).parquet(self.series_path(target))
+        if start is not None:
+            rows = rows.filter(F.col("shard") + F.col("shard_s") > F.lit(int(start) // SECOND_NS).cast("bigint"))
+        if end is not None:
+            rows = rows.filter(F.col("shard") <= F.lit((int(end) - 1) // SECOND_NS).cast("bigint"))
+        return rows.groupBy(*[ref(t) for t in tags]).agg(
+            F.min("first_ns").alias("first_ns"), F.max("last_ns").alias("last_ns"), F.sum("n_points").alias("n_points")
+        )
+
     # -- what the files say of themselves ----------------------------------------
 
     def bucket_stats(self, db: str | None = None) -> DataFrame:
@@ -449,6 +509,7 @@ class Store:
         typed = self._typed(df, schema, moment_of(write_time))
         laid = self._laid_out(typed, schema, target)
         self._writer(laid, schema).mode("append").partitionBy("shard_s", "shard").parquet(self.path_of(target))
+        self._add_series(laid, schema.tag_names, target)
         self._note_columns(target, schema)
 
     def write_points(
@@ -566,6 +627,19 @@ class Store:
         for target, schema in group.places.items():
             self._note_columns(target, schema)
             self._remove_shards(target, sorted(gone.get(target, [])))
+        if self.series_table and known_new:
+            self._group_series(laid, group.schema.tag_names)
+        elif self.series_table:
+            for target, found in touched.items():
+                self._renew_series(target, sorted({*found, *read[target]} - {*gone.get(target, [])}), group.places[target].tag_names)
+
+    def _group_series(self, laid: DataFrame, tags: Sequence[str]) -> None:
+        """Adds the series of all places of one write of new points."""
+        keys = [ref(c) for c in (*tags, *LEVELS)]
+        series = laid.groupBy(*keys).agg(
+            F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns"), F.count(F.lit(1)).alias("n_points")
+        )
+        series.write.partitionBy(*LEVELS).mode("append").parquet(f"{self.root}/{SERIES_FOLDER}")
 
     # -- which columns of the files are a measurement's own --------------------------------
 
@@ -641,8 +715,11 @@ class Store:
         if emptied:
             filled = {(r.shard_s, r.shard) for r in laid.select("shard_s", "shard").distinct().toLocalIterator()}
             gone = set(read) - filled
+        # Before the files that the points are read from are replaced.
+        renewed = {*self._touched(merged, target), *read} - gone if self.series_table else set()
         self._replace(laid, target, tags)
         self._remove_shards(target, sorted(gone))
+        self._renew_series(target, sorted(renewed), tags)
 
     def _in_buckets(self, buckets: Sequence[tuple[int, int]]) -> Column:
         chosen = F.lit(False)
@@ -787,25 +864,31 @@ class Store:
             # The rows stay in their buckets.
             laid = keep_unless(chosen, dropped).hint("rebalance", F.col("shard")).sortWithinPartitions("shard", "time_ns")
             self._replace(laid, target)
+            self._renew_series(target, partial, None if schema is None else schema.tag_names)
         self._remove_shards(target, [b for b in hits if hits[b] == sizes[b]])
 
     def _remove_shards(self, target: MeasurementRef, buckets: Sequence[tuple[int, int]]) -> None:
         for length, start in buckets:
             self.remove(f"{self.path_of(target)}/shard_s={length}/shard={start}")
+            if self.series_table:
+                self.remove(f"{self.series_path(target)}/shard_s={length}/shard={start}")
 
     def drop_measurement(self, measurement: str, db: str | None = None) -> None:
         """Removes the measurement under every policy of the database."""
         db = db or self.resolve(measurement).db
         base = f"{self.root}/db={path_part(db)}"
         for rp in self.children(base, "rp="):
-            self.remove(f"{base}/{rp}/measurement={path_part(measurement)}")
+            for root in (base, base.replace(self.root, f"{self.root}/{SERIES_FOLDER}", 1)):
+                self.remove(f"{root}/{rp}/measurement={path_part(measurement)}")
 
     def drop_retention_policy(self, rp: str, db: str | None = None) -> None:
         db = db or self.database
-        self.remove(f"{self.root}/db={path_part(db)}/rp={path_part(rp)}")
+        for root in (self.root, f"{self.root}/{SERIES_FOLDER}"):
+            self.remove(f"{root}/db={path_part(db)}/rp={path_part(rp)}")
 
     def drop_database(self, db: str) -> None:
-        self.remove(f"{self.root}/db={path_part(db)}")
+        for root in (self.root, f"{self.root}/{SERIES_FOLDER}"):
+            self.remove(f"{root}/db={path_part(db)}")
 
     def databases(self) -> list[str]:
         return sorted({t.db for t in self.targets()})

@@ -483,3 +483,51 @@ def test_tag_filters_skip_row_groups(spark, folder):
     finally:
         spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
     assert counts[True] < counts[False] / 3
+
+
+# -- the table of series -------------------------------------------------------------------
+
+
+def listed(store, name="perf", **times):
+    return sorted(((r.host or "-", r.first_ns, r.last_ns, r.n_points) for r in store.show_series(name, **times).collect()))
+
+
+def series_in(store, schema=PERF):
+    points = store.read(schema.measurement, schema)
+    grouped = points.groupBy("host").agg(F.min("time_ns").alias("a"), F.max("time_ns").alias("b"), F.count("*").alias("n"))
+    return sorted((r.host or "-", r.a, r.b, r.n) for r in grouped.collect())
+
+
+def test_series_follow_every_write(spark, folder):
+    store = Store(spark, folder + "/store", POLICIES, database="db", series_table=True)
+    assert store.show_series("perf").count() == 0
+    store.append(spark.createDataFrame(ROWS, COLUMNS), PERF)
+    assert listed(store) == series_in(store) and len(listed(store)) == 3
+    store.append(spark.createDataFrame([(ROWS[0][0] + 1, "a", 9.0, None)], COLUMNS), PERF)
+    assert listed(store) == series_in(store)
+    # The same point again, and a new series.
+    write_points(spark.createDataFrame([ROWS[0], (ROWS[0][0], "new", 1.0, None)], COLUMNS), store, PERF)
+    assert listed(store) == series_in(store) and len(listed(store)) == 4
+    store.delete(PERF, "perf", lambda e: e.tag("host").equals.value("new"))
+    assert listed(store) == series_in(store) and len(listed(store)) == 3
+    store.delete(None, "perf", lambda e: e.tag("host").equals.value("b"))
+    assert listed(store) == series_in(store) and [r[0] for r in listed(store)] == ["-", "a"]
+    early = listed(store, end=NanoTime(at("2024-01-05")))
+    assert [r[0] for r in early] == ["a"] and early[0][2] < at("2024-01-08")
+    store.drop_shard(shard_id_of("db", "autogen", at("2024-01-15") // 10**9))
+    assert listed(store) == series_in(store) and [r[0] for r in listed(store)] == ["a"]
+    files = store.show_series("perf").inputFiles()
+    assert files and all("/_series/" in f for f in files)
+    assert [t.name for t in store.targets()] == ["perf"] and store.bucket_stats().count() == 2
+    store.drop_measurement("perf")
+    assert store.show_series("perf").count() == 0
+
+
+def test_series_of_many_measurements(spark, folder):
+    store = Store(spark, folder + "/store", POLICIES, database="db", series_table=True)
+    store.append_points(many(spark, 5))
+    store.write_points(many(spark, 5, value=3.0))
+    for i in range(5):
+        target = MeasurementRef(f"m{i}", "autogen" if i % 3 else "7d")
+        rows = store.show_series(target).collect()
+        assert [(r.host, r[f"t{i % 5}"], r.n_points, r.last_ns - r.first_ns) for r in rows] == [("a", "x", 2, 1)]
