@@ -473,7 +473,7 @@ def stream_points_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kind = F.col("event_type")
     events = event_points(spark, sf_dir, keep=["event_id"]).select("time_ns", *STRICT.tags, "event_id", "value")
-    changed = F.when(kind == "purchase", F.round("value").cast("bigint") + F.lit(1000.5)).otherwise(F.col("value"))
+    changed = F.when(kind == "purchase", F.rint("value") + F.lit(1000.5)).otherwise(F.col("value"))
     for again in (F.col("value"), changed, changed):
         text = F.when(kind == "error", F.lit("oops")).otherwise(again.cast("string"))
         events.withColumn("value", text).coalesce(1).write.mode("append").parquet(arriving)

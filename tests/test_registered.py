@@ -54,6 +54,20 @@ def test_against_sql(spark, duck, name):
     assert got == comparable(columns, result.fetchall())
 
 
+def test_halves_round_to_even_as_in_sql(spark, duck, tmp_path):
+    halves = [0.5, 1.5, 2.5, -0.5, -1.5, 74.5, 7.25]
+    spark.read.parquet(f"{SF_DIR}/events.parquet").limit(1).crossJoin(
+        spark.createDataFrame(list(enumerate(halves)), "number long, half double")
+    ).selectExpr(
+        "number AS event_id", "ts + make_dt_interval(0, 0, 0, number) AS ts", "user_id", "'purchase' AS event_type", "half AS value", "props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    got = REGISTERED["stream_points_again"].run(spark, str(tmp_path)).collect()
+    cursor = duck.cursor()
+    cursor.execute(f"CREATE TEMP VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    want = cursor.execute(ORACLES["stream_points_again"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 2 * len(halves)
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["event_id", "ts", "user_id", "value"] and df.count() == 10
