@@ -15,7 +15,8 @@ notices, comments and the like go, whatever their importance. Where a page has a
 main element with text, only what stands in it stays; if the tree has left nothing of it, as
 happens to copies of one article on a host, the marked text comes back.
 
-Copies of a page count once in the tree. All sums are combined before the shuffle.
+Copies of a page count once in the tree. All sums are combined before the shuffle, which carries
+words as 64-bit digests.
 
 Cases: null and empty html give an empty text; markup that is cut off or not closed is read
 to its end; tagless html and fragments are pages like others; a page that is alone on its host
@@ -27,23 +28,32 @@ columns cannot clash.
 from __future__ import annotations
 
 import html as references
-import math
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointlake.llm.common import map_batches, written
+from pointlake.llm.common import BATCH_ROWS, map_batches, mixed, ready_workers, text_of, written
 
 MIN_IMPORTANCE = 0.3
 # A node on more than one in so many of the pages' paths is joined by broadcast.
 HOT_SHARE = 256
 CHILD_WEIGHT = 0.9  # how much of the importance content has, to the power of the children
+LINK = "<a>"  # the one feature that all links are
+# Nodes to remove that go to all tasks, with what each takes besides its names.
+LOW_BYTES, NODE_BYTES = 8 << 20, 100
+# Digests of copied pages that go to all tasks.
+MOST_COPIED = 1_000_000
+# Letters of html for each bucket of words, and words at nodes that a task adds up at a time.
+BUCKET_LETTERS = 16 << 20
+HELD_WORDS = 1_000_000
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 # Element names of HTML by what they do to the text around them.
 INLINE = frozenset(
@@ -247,12 +257,7 @@ def joined(texts) -> str:
 
 
 BLOCK = {"path": pa.string(), "text": pa.string(), "state": pa.int8(), "linked": pa.bool_()}
-STYLE = {"path": pa.string(), "style": pa.int64(), "children": pa.int32(), "n": pa.int32()}
-PARSED = (
-    "url string, host string, digest bigint,"
-    " blocks array<struct<path:string,text:string,state:tinyint,linked:boolean>>,"
-    " styles array<struct<path:string,style:bigint,children:int,n:int>>"
-)
+PARSED = "url string, host string, blocks array<struct<path:string,text:string,state:tinyint,linked:boolean>>"
 
 
 def _lists(rows: list[list[tuple]], fields: dict[str, pa.DataType]) -> pa.Array:
@@ -272,70 +277,195 @@ def _rows(lists: pa.Array) -> list[list[tuple]]:
     return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
-def parse_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """Pages as blocks of text, and the elements that they show."""
+def pages_of(pages: DataFrame, id_column: str, url_column: str, html_column: str) -> DataFrame:
+    """``<id>, __url, __html, __host`` of the pages."""
+    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_column), F.lit("")), HOST.pattern, 1))
+    return pages.select(
+        id_column, F.col(url_column).alias("__url"), text_of(html_column).alias("__html"), host.alias("__host")
+    )
+
+
+def parse_pages(pages: DataFrame, id_column: str, low: Mapping[str, frozenset[str]] | None = None) -> DataFrame:
+    """Pages as blocks of text; with ``low``, the nodes to remove of each host, also the ``removed`` paths of each page."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, digests, blocks, styles = [], [], [], []
-        for url, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            page = Page(text or "")
-            host = HOST.match(url or "")
-            hosts.append(host[1].lower() if host else "")
-            digests.append(xxhash.xxh3_64_intdigest((text or "").encode()) >> 1)
-            blocks.append(page.blocks())
-            styles.append(page.styles())
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(digests, pa.int64()),
-                _lists(blocks, BLOCK), _lists(styles, STYLE),
-            ],
-            [id_column, "url", "host", "digest", "blocks", "styles"],
-        )
+        found = [Page(text).blocks() for text in batch.column(2).to_pylist()]
+        columns = [batch.column(0), batch.column(1), batch.column(3), _lists(found, BLOCK)]
+        names = [id_column, "url", "host", "blocks"]
+        if low is not None:
+            gone = [low.get(host, frozenset()) for host in batch.column(3).to_pylist()]
+            removed = [list({path for path, *_ in blocks} & paths) for blocks, paths in zip(found, gone, strict=True)]
+            columns.append(pa.array(removed, pa.list_(pa.string())))
+            names.append("removed")
+        return pa.RecordBatch.from_arrays(columns, names)
 
     kind = pages.schema[id_column].dataType.simpleString()
-    return map_batches(
-        pages.select(id_column, F.col(url_column).alias("__url"), F.col(html_column).alias("__html")),
-        work, f"`{id_column}` {kind}, {PARSED}",
-    )
-
+    return map_batches(pages, work, f"`{id_column}` {kind}, {PARSED}" + (", removed array<string>" if low is not None else ""))
 
-def feature_sums(pages: DataFrame) -> DataFrame:
-    """``host, path, word, n, nlogn``, added up by batch; rows without word count pages in ``n``."""
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sums: dict[tuple[str, str, str | None], list[float]] = {}
-        for host, blocks in zip(batch.column(0).to_pylist(), _rows(batch.column(1)), strict=True):
-            counts: dict[str, Counter] = {}
-            for path, text, _, linked in blocks:
-                if words := text.split():
-                    counts.setdefault(path, Counter()).update({"<a>": len(words)} if linked else words)
-            for path, found in counts.items():
-                sums.setdefault((host, path, None), [0, 0.0])[0] += 1
-                for word, n in found.items():
-                    held = sums.get((host, path, word))
-                    if held is None:
-                        held = sums[host, path, word] = [0, 0.0]
-                    held[0] += n
-                    if n > 1:
-                        held[1] += n * math.log(n)
-        keys = zip(*sums, strict=True) if sums else [()] * 3
-        values = zip(*sums.values(), strict=True) if sums else [()] * 2
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, kind) for c, kind in zip((*keys, *values), kinds, strict=True)], ["host", "path", "word", "n", "nlogn"]
-        )
+def distinct_pages(pages: DataFrame) -> tuple[DataFrame, int]:
+    """The pages with copies on a host once, and how many letters all pages have.
 
-    return map_batches(pages.select("host", "blocks"), work, "host string, path string, word string, n bigint, nlogn double")
+    Only pages that have a copy anywhere are shuffled, unless there are too many of them to
+    send their digests to all tasks.
+    """
+    keyed = pages.select("__host", "__html", F.xxhash64("__html").alias("digest"))
+    seen = written(
+        keyed.groupBy("digest").agg(F.count("*").alias("n"), F.sum(F.length("__html")).alias("letters")), "pages-digests"
+    )
+    copied = seen.where("n > 1").select("digest")
+    letters, copies = seen.agg(F.sum("letters"), F.count_if(F.col("n") > 1)).first()
+    if copies > MOST_COPIED:
+        return keyed.dropDuplicates(["__host", "digest"]), letters or 0
+    again = keyed.join(F.broadcast(copied), "digest", "left_semi").dropDuplicates(["__host", "digest"])
+    alone = keyed.join(F.broadcast(copied), "digest", "left_anti")
+    return (alone.unionByName(again) if copies else keyed), letters or 0
+
+
+def word_key(words: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The digest of a word at a node, from theirs."""
+    return mixed(words * MULTIPLIER + nodes)
+
+
+class TreeSums:
+    """What pages say of the nodes of their hosts, added up: the words with n and n log n, the pages
+    with words, and the child sequences. Words are kept by digest, sorted by where they meet others."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.known = buckets, {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.nodes: dict[tuple[str, str], int] = {}
+        self.pages, self.styles = Counter(), Counter()
+        self.words: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, hosts: list[str], texts: list[str]) -> None:
+        words: list[str] = []
+        owners: list[int] = []
+        sizes: list[int] = []
+        for host, text in zip(hosts, texts, strict=True):
+            page, found = Page(text), {}
+            for path, shown, _, linked in page.blocks():
+                if own := shown.split():
+                    found.setdefault(path, []).extend([LINK] * len(own) if linked else own)
+            for path, own in found.items():
+                node = self.nodes.setdefault((host, path), len(self.nodes))
+                self.pages[node] += 1
+                words += own
+                owners.append(node)
+                sizes.append(len(own))
+            for path, style, children, n in page.styles():
+                self.styles[host, path, style, children] += n
+        if not words:
+            return
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        spelt = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+        width, of = len(spelt), np.repeat(np.arange(len(sizes)), sizes)
+        # A word of a page at a node, then a word at a node.
+        pairs, counts = np.unique(of * width + np.asarray(coded.indices), return_counts=True)
+        both, at = np.unique(np.asarray(owners)[pairs // width] * width + pairs % width, return_inverse=True)
+        nodes = self._digests()[both // width]
+        n, nlogn = np.bincount(at, counts), np.bincount(at, counts * np.log(counts))
+        self.words.append((word_key(spelt[both % width], nodes), nodes, n, nlogn))
+        self.size += len(both)
+
+    def _digests(self) -> np.ndarray:
+        return np.array([xxhash.xxh3_64_intdigest("\n".join(node)) for node in self.nodes], np.uint64)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        digests, rows = self._digests().view(np.int64).tolist(), []
+        for ((host, path), node), digest in zip(self.nodes.items(), digests, strict=True):
+            rows.append((digest % self.buckets, digest, host, path, None, None, self.pages[node]))
+        for (host, path, style, children), n in self.styles.items():
+            rows.append((style % self.buckets, None, host, path, style, children, n))
+        rows = [(*row, None, None, None, None, None) for row in rows]
+        if self.words:
+            key, node, n, nlogn = summed(*(np.concatenate(c) for c in zip(*self.words, strict=True)))
+            bucket = (key % np.uint64(self.buckets)).astype(np.int64)
+            order = np.lexsort((key, node, bucket))
+            bucket, key, node, n, nlogn = bucket[order], key[order], node[order], n[order], nlogn[order]
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
+                runs = np.r_[0, np.flatnonzero(np.diff(node[low:high])) + 1]
+                own = node[low:high][runs].view(np.int64), np.diff(np.r_[runs, high - low])
+                rows.append((int(bucket[low]), *[None] * 6, *own, key[low:high].view(np.int64), n[low:high], nlogn[low:high]))
+        self._clear()
+        for at in range(0, len(rows), BATCH_ROWS):
+            columns = zip(*rows[at : at + BATCH_ROWS], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, SUMS.values(), strict=True)], list(SUMS))
+
+
+def summed(key: np.ndarray, node: np.ndarray, n: np.ndarray, nlogn: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The words once each, with their sums."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    add = lambda values: np.add.reduceat(values[order], first) if len(key) else values
+    return key[first], node[order][first], add(n).astype(np.int64), add(nlogn)
+
+
+LONGS, DOUBLES = pa.list_(pa.int64()), pa.list_(pa.float64())
+SUMS = {
+    "bucket": pa.int64(), "node": pa.int64(), "host": pa.string(), "path": pa.string(), "style": pa.int64(),
+    "children": pa.int32(), "n": pa.int64(), "nodes": LONGS, "words": LONGS, "keys": LONGS, "counts": LONGS, "nlogn": DOUBLES,
+}
+SUMS_SQL = (
+    "bucket bigint, node bigint, host string, path string, style bigint, children int, n bigint,"
+    " nodes array<bigint>, words array<bigint>, keys array<bigint>, counts array<bigint>, nlogn array<double>"
+)
+TREE = {**{name: SUMS[name] for name in ("node", "host", "path", "style", "children", "n")},
+        "words": pa.int64(), "entropy": pa.float64(), "links": pa.int64()}
+TREE_SQL = (
+    "node bigint, host string, path string, style bigint, children int, n bigint, words bigint, entropy double, links bigint"
+)
 
 
-def importances(parsed: DataFrame) -> DataFrame:
+def _merged(table: pa.Table) -> pa.Table:
+    """The sums of one bucket: ``words``, their ``entropy`` added up, ``n`` and ``links`` of each node; other rows as they are."""
+    has_words = pc.is_valid(table["keys"])
+    plain = table.filter(pc.invert(has_words))
+    plain = pa.table([plain[c] if c in SUMS and c != "words" else pa.nulls(len(plain), kind) for c, kind in TREE.items()], list(TREE))
+    packed = table.filter(has_words)
+    flat = lambda c: np.asarray(packed[c].combine_chunks().flatten())
+    nodes = np.repeat(flat("nodes"), flat("words")).view(np.uint64)
+    key, node, n, nlogn = summed(flat("keys").view(np.uint64), nodes, flat("counts"), flat("nlogn"))
+    owner, at = np.unique(node, return_inverse=True)
+    linked = key == word_key(np.array([xxhash.xxh3_64_intdigest(LINK)], np.uint64), node)
+    sums = lambda values: np.bincount(at, values, len(owner))
+    columns = {
+        "node": owner.view(np.int64), "n": sums(n).astype(np.int64), "words": np.bincount(at, minlength=len(owner)),
+        "entropy": sums(np.log(n) - nlogn / n), "links": sums(n * linked).astype(np.int64),
+    }
+    found = [pa.array(columns[c], kind) if c in columns else pa.nulls(len(owner), kind) for c, kind in TREE.items()]
+    return pa.concat_tables([plain, pa.table(found, list(TREE))])
+
+
+def tree_of(pages: DataFrame) -> DataFrame:
+    """The sums of all hosts' merged trees, in three kinds of rows: nodes with their pages, child sequences of
+    nodes, and words of nodes. A word meets its like at the node in one of many buckets of even size."""
+    once, letters = distinct_pages(pages)
+    buckets = max(16, letters // BUCKET_LETTERS)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = TreeSums(buckets)
+        for batch in batches:
+            sums.add(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            if sums.size >= HELD_WORDS:
+                yield from sums.flush()
+        yield from sums.flush()
+
+    ready_workers(pages.sparkSession)
+    parts = once.select("__host", "__html").mapInArrow(work, SUMS_SQL)
+    return written(parts.groupBy("bucket").applyInArrow(_merged, TREE_SQL), "pages-tree")
+
+
+def importances(pages: DataFrame) -> DataFrame:
     """``host, path, importance`` of the nodes of every host's merged tree."""
-    # A page and its copies count once.
-    pages = parsed.dropDuplicates(["host", "digest"])
-    shown = (
-        parsed.select("host", "digest", "styles").dropDuplicates(["host", "digest"])
-        .select("host", F.inline("styles")).groupBy("host", "path", "style")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("children") * F.col("n")).alias("children"))
+    tree = tree_of(pages)
+    shown = tree.where("style IS NOT NULL").groupBy("host", "path", "style").agg(
+        F.sum("n").alias("n"), F.sum(F.col("children") * F.col("n")).alias("children")
     )
     presentation = shown.groupBy("host", "path").agg(
         F.sum("n").alias("shown"), (F.sum("children") / F.sum("n")).alias("children"), F.sum(F.col("n") * F.log("n")).alias("nlogn")
@@ -344,22 +474,12 @@ def importances(parsed: DataFrame) -> DataFrame:
         # -sum p log_m p with p = n / m.
         F.when(F.col("shown") > 1, 1 - F.col("nlogn") / (F.col("shown") * F.log("shown"))).otherwise(1.0).alias("presented"),
     )
-    is_word = F.col("word").isNotNull()
-    content = (
-        feature_sums(pages).groupBy("host", "path", "word")
-        .agg(F.sum("n").alias("n"), F.sum("nlogn").alias("nlogn"))
-        .groupBy("host", "path")
-        .agg(
-            F.sum(F.when(~is_word, F.col("n"))).alias("m"),
-            F.avg(F.when(is_word, F.log("n") - F.col("nlogn") / F.col("n"))).alias("entropy"),
-            (F.sum(F.when(F.col("word") == "<a>", F.col("n")).otherwise(0)) / F.sum(F.when(is_word, F.col("n")))).alias("links"),
-        )
-        .select(
-            "host", "path", "links",
-            F.when(F.col("m") > 1, F.col("entropy") / F.log("m")).otherwise(0.0).alias("spread"),
-        )
-        .select("host", "path", ((1 - F.col("spread")) * (1 - F.col("links"))).alias("content"))
+    nodes = tree.where("style IS NULL AND path IS NOT NULL").groupBy("node", "host", "path").agg(F.sum("n").alias("m"))
+    words = tree.where("words IS NOT NULL").groupBy("node").agg(
+        (F.sum("entropy") / F.sum("words")).alias("entropy"), (F.sum("links") / F.sum("n")).alias("links")
     )
+    spread = F.when(F.col("m") > 1, F.col("entropy") / F.log("m")).otherwise(0.0)
+    content = nodes.join(words, "node").select("host", "path", ((1 - spread) * (1 - F.col("links"))).alias("content"))
     share = F.pow(F.lit(CHILD_WEIGHT), F.coalesce("children", F.lit(0.0)))
     return content.join(presentation, ["host", "path"], "left").select(
         "host", "path",
@@ -378,11 +498,21 @@ def left_text(blocks: list[tuple[str, str, int, bool]], removed: Iterable[str])
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """``<id>, url, text, n_chars``: the main text of every page."""
-    parsed = written(
-        parse_pages(pages, id_column, url_column, html_column).withColumn("__row", F.monotonically_increasing_id()), "pages"
-    )
-    low = written(importances(parsed).where(F.col("importance") < MIN_IMPORTANCE).select("host", "path"), "pages-removed")
+    """``<id>, url, text, n_chars``: the main text of every page.
+
+    Pages are parsed again for their texts, so that no parsed table is kept. Nodes to remove go to all tasks
+    up to LOW_BYTES; more of them meet the pages by joins.
+    """
+    source = pages_of(pages, id_column, url_column, html_column)
+    low = written(importances(source).where(F.col("importance") < MIN_IMPORTANCE).select("host", "path"), "pages-removed")
+    held = low.agg(F.sum(F.length("host") + F.length("path") + NODE_BYTES)).first()[0] or 0
+    if held <= LOW_BYTES:
+        nodes: dict[str, set[str]] = {}
+        for host, path in low.collect():
+            nodes.setdefault(host, set()).add(path)
+        rows = parse_pages(source, id_column, {host: frozenset(paths) for host, paths in nodes.items()})
+        return texts(rows.select(id_column, "url", "blocks", "removed"), id_column)
+    parsed = written(parse_pages(source, id_column).withColumn("__row", F.monotonically_increasing_id()), "pages")
     removed = removed_of(parsed, low).withColumnRenamed("__row", "__at")
     rows = parsed.join(removed, F.col("__row") == F.col("__at"), "left").select(
         F.col(id_column), "url", "blocks", "removed"

@@ -1,5 +1,8 @@
 """Main text of pages with and without marked articles."""
 
+import math
+from collections import Counter
+
 import pytest
 
 from pointlake.llm import site_style
@@ -125,3 +128,56 @@ def test_pages_without_undecided_elements(spark):
 
 def test_empty(spark):
     assert extract(spark, []).count() == 0
+
+
+def many_pages():
+    pages = [(i, f"http://h{i % 3}.example.com/{i}", FRAME.format((marked, unmarked)[i % 2](i % 17)[0])) for i in range(40)]
+    return [*pages, *[(100 + i, *pages[i][1:]) for i in range(9)], (200, None, pages[0][2])]
+
+
+def test_neither_pages_nor_words_are_kept_in_tables(spark, monkeypatch):
+    kept, written = [], site_style.written
+    monkeypatch.setattr(site_style, "written", lambda rows, name: kept.append(rows.columns) or written(rows, name))
+    assert extract(spark, many_pages()).count() == 50
+    assert kept and not {c for columns in kept for c in columns} & {"blocks", "__html", "word", "text"}
+
+
+def plain_importances(pages):
+    """The sums of the module's head, page by page."""
+    words, sizes, shown = {}, {}, {}
+    for host, html in {((site_style.HOST.match(u or "") or ["", ""])[1], h) for _, u, h in pages}:
+        page, found = site_style.Page(html), {}
+        for path, text, _, linked in page.blocks():
+            if text.split():
+                found.setdefault(path, Counter()).update(["<a>"] * len(text.split()) if linked else text.split())
+        for path, counts in found.items():
+            sizes[host, path] = sizes.get((host, path), 0) + 1
+            for word, n in counts.items():
+                words.setdefault((host, path), {}).setdefault(word, []).append(n)
+        for path, style, children, n in page.styles():
+            shown.setdefault((host, path), Counter())[style, children] += n
+    out = {}
+    for node, of in words.items():
+        m, total = sizes[node], sum(map(sum, of.values()))
+        entropy = sum(-sum(n / sum(ns) * math.log(n / sum(ns)) for n in ns) for ns in of.values()) / len(of)
+        content = (1 - (entropy / math.log(m) if m > 1 else 0)) * (1 - sum(of.get("<a>", [])) / total)
+        styles, m = shown.get(node, {}), sum(shown.get(node, {}).values())
+        presented = -sum(n / m * math.log(n / m) for n in styles.values()) / math.log(m) if m > 1 else 1
+        share = 0.9 ** (sum(children * n for (_, children), n in styles.items()) / m if m else 0)
+        out[node] = share * content + (1 - share) * presented
+    return out
+
+
+@pytest.mark.parametrize(
+    "limits", [{}, {"HELD_WORDS": 1, "BUCKET_LETTERS": 100}, {"MOST_COPIED": 0}, {"LOW_BYTES": 0}], ids=lambda limits: "-".join(limits) or "as set"
+)
+def test_importances_and_texts_whatever_the_limits(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(site_style, name, value)
+    pages = many_pages()
+    source = site_style.pages_of(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), "page_id", "url", "html")
+    got = {(r.host, r.path): r.importance for r in site_style.importances(source).collect()}
+    assert got == pytest.approx(plain_importances(pages))
+    texts = {r.page_id: r.text for r in extract(spark, pages).collect()}
+    assert all(texts[i] == (marked, unmarked)[i % 2](i % 17)[1] for i in range(40) if i % 2 == 0)
+    assert all(texts[100 + i] == texts[i] for i in range(9)) and len(texts) == 50
