@@ -46,6 +46,7 @@ BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 MIN_AGREEING = 42  # of J = 0.8, 64 registers agree on average, give or take 3.6
 LEADER_ROUNDS = 2
+MAP_BITS = 27
 CACHE_ENTRIES = 150_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -256,6 +257,18 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     )
 
 
+def _likely(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of ``nodes`` and a few others, so that a join need not shuffle all texts: each node
+    sets a bit of a map that goes to all tasks, at most 2 ** MAP_BITS bits however many nodes there are."""
+    bits = min(MAP_BITS, max(15, (32 * nodes.count()).bit_length()))
+    spot = F.xxhash64("node").bitwiseAND((1 << bits) - 1)
+    part, bit = F.shiftright(spot, 15), spot.bitwiseAND((1 << 15) - 1)
+    maps = nodes.groupBy(part.alias("__part")).agg(F.bitmap_construct_agg(bit).alias("__map"))
+    byte = F.conv(F.hex(F.substring("__map", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("bigint")
+    is_set = F.call_function("shiftright", byte, bit.bitwiseAND(7).cast("int")).bitwiseAND(1) == 1
+    return texts.withColumn("__part", part).join(F.broadcast(maps), "__part").where(is_set).select("node", "text")
+
+
 PROFILE = ("home", "missing", "extra", "alone", "repeats", "size", "over", "under")
 
 
@@ -399,8 +412,9 @@ def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     members = written(rows.join(shared, ["band", "hash"]), "near-members")
     company = written(members.groupBy("node").agg(F.sum("n").alias("company")), "near-company")
     texts = written(
-        docs.select(node_of(text_of(text_column)).alias("node"), text_of(text_column).alias("text"))
-        .join(company.select("node"), "node", "left_semi")
+        _likely(docs.select(node_of(text_of(text_column)).alias("node"), text_of(text_column).alias("text")), company)
+        # Not a semi join: Spark would move that below the filter, to all texts.
+        .join(company.select("node"), "node")
         .groupBy("node").agg(F.first("text").alias("text"))
         .join(nodes.select("node", "signature"), "node"),
         "near-texts",

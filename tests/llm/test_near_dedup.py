@@ -5,8 +5,9 @@ import random
 import numpy as np
 import pytest
 from cases import documents, empty, frame, prose
+from pyspark.sql import functions as F
 
-from pointlake.llm import near_dedup
+from pointlake.llm import components, near_dedup
 from pointlake.llm.components import connected
 
 
@@ -167,3 +168,19 @@ def test_a_crowd_of_copies(spark):
     rows = crowd()
     found = near_dedup.classes(frame(spark, rows)).collect()
     assert sorted((str(r.doc_id), str(r.class_id), r.class_size) for r in found) == brute_classes(rows)
+
+
+def test_few_texts_that_have_no_company_are_shuffled(spark):
+    ids = spark.range(5000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("node"), F.col("id").cast("string").alias("text"))
+    wanted = ids.where("CAST(text AS INT) % 7 = 0")
+    found = {int(r.text) for r in near_dedup._likely(ids, wanted.select("node")).collect()}
+    assert set(range(0, 5000, 7)) <= found and len(found) < 1000
+    assert near_dedup._likely(ids, wanted.select("node").limit(0)).count() == 0
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    rounds, written = [], components.written
+    monkeypatch.setattr(components, "written", lambda rows, name: rounds.append(name) or written(rows, name))
+    stars = [(1, i) for i in range(2, 9)] + [(20, i) for i in range(21, 25)]
+    found = components.connected(spark.createDataFrame(stars, "a long, b long")).collect()
+    assert len(rounds) == 1 and {(r.node, r.label) for r in found} == {(b, a) for a, b in stars} | {(1, 1), (20, 20)}
