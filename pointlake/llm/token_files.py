@@ -21,14 +21,16 @@ from __future__ import annotations
 
 import functools
 import gc
+import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -36,9 +38,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import Split
 
 from pointlake.llm.bpe import byte_letters
-from pointlake.llm.common import chunked, map_batches, ready_workers, written
+from pointlake.llm.common import chunk_codes, map_batches, ready_workers, written
 from pointlake.session import fresh_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -58,9 +61,10 @@ FILE_BYTES = 16 << 20
 # Words, and chunks, in each generation of what a worker keeps; longer chunks are not kept.
 CACHE_ENTRIES = 150_000
 LONGEST_KEPT = 64
-# Letters below are composed, and their lower case is one letter or not a letter.
-COMBINING = "\u0250"
-SIGNS = frozenset(".,;:!?")
+SIGNS = ".,;:!?"
+# Letters below U+0250 are composed, and the lower case of these is one letter for Python and Arrow alike.
+PLAIN = "".join(c for c in map(chr, range(0x250)) if c.lower().isalpha() and pc.utf8_lower(c).as_py() == c.lower())
+PLAIN_CHUNK = f"^[{PLAIN}]+[{SIGNS}]?$"
 
 
 class Kept:
@@ -82,85 +86,130 @@ class Kept:
                 found[i] = self.young[keys[i]] = value
         return found
 
-    def get(self, key: str) -> bytes | None:
-        value = self.young.get(key)
-        if value is None and (value := self.old.get(key)) is not None:
-            self.young[key] = value
-        return value
+
+class Words:
+    """Words and their ids as arrays. A batch adds what it had to look up; of more than twice CACHE_ENTRIES words,
+    those stay that were asked for since the last time, the oldest CACHE_ENTRIES at most."""
+
+    def __init__(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.asked = np.zeros(0, bool)
+
+    def places(self, words: pa.LargeStringArray, learn: Callable[[pa.LargeStringArray], tuple]) -> np.ndarray:
+        """The place of each of these distinct words; ``learn`` gives the ids and ends of those that are new."""
+        if len(self.words) > 2 * CACHE_ENTRIES:
+            kept = np.flatnonzero(self.asked)[:CACHE_ENTRIES]
+            self.words = self.words.take(pa.array(kept))
+            self.ids, self.ends = gathered(self.ids, self.ends[kept], np.diff(self.ends)[kept])
+            self.asked = np.zeros(len(kept), bool)
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at))
+        places = np.asarray(at.fill_null(-1)).astype(np.int64)
+        missing = places < 0
+        places[missing] = np.arange(len(new)) + len(self.words)
+        if len(new):
+            ids, ends = learn(new)
+            self.words = pa.concat_arrays([self.words, new])
+            self.ends = np.r_[self.ends, ends[1:] + len(self.ids)]
+            self.ids = np.r_[self.ids, ids]
+            self.asked = np.r_[self.asked, np.zeros(len(new), bool)]
+        self.asked[places] = True
+        return places
 
 
 class Encoder:
-    """The library's tokenizer. White space parts texts for it, so distinct chunks are encoded once,
-    and the ids of a chunk that is known cost one look-up.
+    """The library's tokenizer. White space parts texts for it, so distinct chunks are encoded once.
 
     Chunks of plain letters, with or without a sign at the end, are one or two words whatever
-    else stands around: their words go to the library's merges directly and are kept. All
-    other chunks go through its whole encoding. Ids are kept as little-endian 32-bit numbers.
+    else stands around: the words that are not known yet go to the library's merges in one call
+    and are kept. All other chunks go through its whole encoding.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.model = self.tokenizer.model
         # How the library spells the bytes of a word.
         self.spelling = dict(enumerate(byte_letters()))
-        self.words, self.chunks = Kept(CACHE_ENTRIES), Kept(CACHE_ENTRIES)
-
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            spelt = word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
-            found = [t.id for t in self.model.tokenize(spelt)]
-            ids = self.words.young[word] = struct.pack(f"<{len(found)}I", *found)
+        # The merges alone, of words with line breaks between them; a line break is one id, and of no word.
+        line_break = self.spelling[ord("\n")]
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = Split(line_break, "isolated")
+        (self.between,) = (t.id for t in self.tokenizer.model.tokenize(line_break))
+        signs = [[t.id for t in self.tokenizer.model.tokenize(c)] for c in SIGNS]
+        self.sign_ids = np.array([i for ids in signs for i in ids], "<u4")
+        self.sign_ends = np.cumsum([0, *map(len, signs)])
+        # The number of the sign that a byte is; the last is that of all others.
+        self.sign_of = np.full(256, len(SIGNS), np.int64)
+        self.sign_of[[ord(c) for c in SIGNS]] = np.arange(len(SIGNS))
+        self.words, self.chunks = Words(), Kept(CACHE_ENTRIES)
+
+    def learn(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of plain letters in one array, and where each word's end, after a 0."""
+        spelt = "\n".join(words.to_numpy(zero_copy_only=False)).encode().decode("latin-1").translate(self.spelling)
+        ids = np.array(self.merges.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+        breaks = ids == self.between
+        before = np.r_[np.flatnonzero(breaks), len(ids)]
+        return ids[~breaks], np.r_[0, before - np.arange(len(before))]
+
+    def plain(self, chunks: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and first place and number of ids of the word and of the sign of each chunk of plain letters."""
+        low = pc.utf8_lower(chunks)
+        ends = np.frombuffer(low.buffers()[1], np.int64)[low.offset : low.offset + len(low) + 1]
+        data = np.frombuffer(low.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+        ends = ends - ends[0]
+        sign = self.sign_of[data[ends[1:] - 1]]
+        signed = sign < len(SIGNS)
+        letters = np.ones(len(data), bool)
+        letters[ends[1:][signed] - 1] = False
+        ends[1:] -= np.cumsum(signed)
+        bodies = pa.LargeStringArray.from_buffers(len(low), pa.py_buffer(ends), pa.py_buffer(data[letters])).dictionary_encode()
+        at = self.words.places(bodies.dictionary, self.learn)[np.asarray(bodies.indices)]
+        signs = np.r_[self.sign_ends, self.sign_ends[-1]]
+        first = np.stack([self.words.ends[at], len(self.words.ids) + signs[sign]], 1)
+        sizes = np.stack([np.diff(self.words.ends)[at], np.diff(signs)[sign]], 1)
+        return np.r_[self.words.ids, self.sign_ids], first, sizes
+
+    def other(self, chunks: list[str]) -> list[bytes]:
+        """The ids of any chunks as little-endian 32-bit numbers."""
+        self.chunks.turn()
+        ids = self.chunks.all_of(chunks)
+        new = [i for i, found in enumerate(ids) if found is None]
+        for i, found in zip(
+            new, self.tokenizer.encode_batch_fast([chunks[i] for i in new], add_special_tokens=False), strict=True
+        ):
+            ids[i] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+            if len(chunks[i]) <= LONGEST_KEPT:
+                self.chunks.young[chunks[i]] = ids[i]
         return ids
 
-    def chunk(self, chunk: str) -> bytes | None:
-        """The ids of a chunk of plain letters; none for any other chunk."""
-        end = chunk[-1:]
-        body = chunk[:-1] if end in SIGNS else chunk
-        if body and max(body) < COMBINING:
-            low = body.lower()
-            if low.isalpha():
-                return self.word(low) + self.word(end) if end in SIGNS else self.word(low)
-        return None
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and the offsets of each text's."""
-        chunks, places, offsets = chunked(texts)
+        chunks, places, offsets = chunk_codes(texts)
         gc.disable()  # nothing here is cyclic, and walking the caches takes long
         try:
-            self.words.turn()
-            self.chunks.turn()
-            ids = self.chunks.all_of(chunks)
-            keep, other = self.chunks.young, []
-            for i, found in enumerate(ids):
-                if found is None:
-                    chunk = chunks[i]
-                    found = self.chunk(chunk) if chunk else b""
-                    if found is None:
-                        other.append(i)
-                    else:
-                        ids[i] = keep[chunk] = found
-            for i, found in zip(
-                other, self.tokenizer.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False), strict=True
-            ):
-                ids[i] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-                if len(chunks[i]) <= LONGEST_KEPT:
-                    keep[chunks[i]] = ids[i]
-            return unpacked(ids, places, offsets)
+            is_plain = pc.match_substring_regex(chunks, PLAIN_CHUNK)
+            plain = np.asarray(is_plain)
+            first, sizes = np.zeros((len(chunks), 2), np.int64), np.zeros((len(chunks), 2), np.int64)
+            flat = np.zeros(0, "<u4")
+            if plain.any():
+                flat, first[plain], sizes[plain] = self.plain(chunks.filter(is_plain))
+            found = self.other(chunks.filter(pc.invert(is_plain)).to_numpy(zero_copy_only=False).tolist())
+            counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            first[~plain, 0], sizes[~plain, 0] = len(flat) + np.cumsum(counts) - counts, counts
+            per_chunk, ends = gathered(np.r_[flat, np.frombuffer(b"".join(found), "<u4")], first.ravel(), sizes.ravel())
+            ids, ends = gathered(per_chunk, ends[:-1:2][places], sizes.sum(1)[places])
+            return ids, ends[offsets]
         finally:
             gc.enable()
 
 
-def unpacked(per_chunk: list[bytes], places: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts in one array and their offsets, from the packed ids of each chunk."""
-    sizes = np.fromiter(map(len, per_chunk), np.int64, len(per_chunk)) // 4
-    flat = np.frombuffer(b"".join(per_chunk), "<u4")
-    first = np.cumsum(sizes) - sizes
-    counts = sizes[places]
-    ends = np.r_[0, np.cumsum(counts)]
-    return flat[np.arange(ends[-1]) + np.repeat(first[places] - ends[:-1], counts)], ends[offsets]
+def gathered(flat: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of these places and sizes behind each other, and where each ends, after a 0."""
+    ends = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+    return flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], sizes)], ends
 
 
 def documents_of(ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:

@@ -61,6 +61,21 @@ def test_caches_may_be_emptied(monkeypatch):
         assert ids_of(own, [text]) == ids_of(files, [text]) == [expected(text)]
 
 
+def test_new_words_are_merged_in_one_call_and_few_are_kept(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_ENTRIES", 20)
+    encoder, calls = token_files.Encoder(PATH), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: calls.append(words.to_pylist()) or learn(words))
+    for _ in range(2):
+        assert ids_of(encoder, ["Éà Word, word! x9", "other WORD İ."]) == [expected(t) for t in ("Éà Word, word! x9", "other WORD İ.")]
+    assert [sorted(words) for words in calls] == [["other", "word", "éà"]]
+    for k in range(30):
+        text = " ".join(f"word {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}{c}" for c in "abcdefghij")
+        assert ids_of(encoder, [text]) == [expected(text)]
+        assert len(encoder.words.words) == len(encoder.words.asked) == len(encoder.words.ends) - 1 <= 60
+    assert sum("word" in words for words in calls) == 1
+
+
 def test_encoding_and_decoding_of_a_table(spark):
     docs = frame(spark, documents())
     rows = bpe.decode(bpe.encode(docs)).collect()
