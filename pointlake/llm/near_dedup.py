@@ -385,16 +385,24 @@ def _last_pairs(open_nodes: DataFrame, pairs: DataFrame, held: DataFrame) -> Dat
     of_node = Window.partitionBy("pivot", "node")
     runs = (
         runs.withColumn("place", F.row_number().over(of_node.orderBy("n", "run"))).withColumn("all", F.count("*").over(of_node))
-        .where("place <= all - need + 1").select("pivot", "run", "node", "label", "x")
+        .where("place <= all - need + 1").select("pivot", "run", "node", "label", "x", (F.col("all") - F.col("place") + 1).alias("left"))
     )
-    runs = written(runs, "near-runs")
+    sharing = _sharing_pairs(written(runs, "near-runs"))
+    return alike.select(*_ordered("node", "node_y")).unionByName(sharing.select(*_ordered("node", "node_y"))).distinct()
+
+
+def _sharing_pairs(runs: DataFrame) -> DataFrame:
+    """Nodes of two components that meet in a run. Their first common run, in the order that is one for all
+    nodes of a pivot, has all others behind it; so they meet only where both have as many runs ``left``, with
+    this one, as they need in common."""
     again = runs.select(
-        "pivot", "run", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y")
+        "pivot", "run", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y"),
+        F.col("left").alias("left_y"),
     )
-    sharing = runs.join(again.hint("merge"), ["pivot", "run"]).where(
+    return runs.join(again.hint("merge"), ["pivot", "run"]).where(
         (F.col("node") < F.col("node_y")) & (F.col("label") != F.col("label_y")) & can_be_near("x", "y")
+        & (F.least("left", "left_y") >= least_shared("x", "y"))
     )
-    return alike.select(*_ordered("node", "node_y")).unionByName(sharing.select(*_ordered("node", "node_y"))).distinct()
 
 
 def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -184,3 +184,18 @@ def test_stars_take_no_round(spark, monkeypatch):
     stars = [(1, i) for i in range(2, 9)] + [(20, i) for i in range(21, 25)]
     found = components.connected(spark.createDataFrame(stars, "a long, b long")).collect()
     assert len(rounds) == 1 and {(r.node, r.label) for r in found} == {(b, a) for a, b in stars} | {(1, 1), (20, 20)}
+
+
+def test_nodes_meet_where_enough_runs_are_left(spark):
+    """Nodes that need 7 runs in common and have 3 make no pair, though rarer needs let their last runs in."""
+    profile = (b"p", 0, 20, 0, 0, 100, 0, 0)
+    own = {k: [f"rare{k}x{i}" for i in range(17)] + ["all1", "all2", "all3"] for k in range(30)}
+    own[30], own[31] = ([f"seven{i}" if i > 3 else f"of{k}x{i}" for i in range(11)] + [f"late{k}x{i}" for i in range(9)] for k in (30, 31))
+    numbers = {run: at for at, run in enumerate(dict.fromkeys(run for runs in own.values() for run in runs))}
+    rows = [
+        (b"p", numbers[run], bytes([k]), bytes([k]), profile, 20 - at) for k, runs in own.items() for at, run in enumerate(runs)
+    ]
+    runs = spark.createDataFrame(rows, f"pivot binary, run long, node binary, label binary, x struct<{KINDS}>, left long")
+    assert runs.select(near_dedup.least_shared("x", "x").alias("need")).distinct().collect() == [(7,)]
+    found = near_dedup._sharing_pairs(runs).select("node", "node_y").collect()
+    assert {tuple(map(bytes, r)) for r in found} == {(bytes([30]), bytes([31]))}
