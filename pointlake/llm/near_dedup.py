@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointlake.llm.common import map_batches, mixed, text_of, words_of, written
+from pointlake.llm.common import likely, map_batches, mixed, text_of, words_of, written
 from pointlake.llm.components import connected
 
 SHINGLE = 5
@@ -46,11 +46,15 @@ BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 MIN_AGREEING = 42  # of J = 0.8, 64 registers agree on average, give or take 3.6
 LEADER_ROUNDS = 2
-MAP_BITS = 27
 CACHE_ENTRIES = 150_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _likely(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of ``nodes`` and a few others, so that a join need not shuffle all texts."""
+    return likely(texts, nodes, ["node"])
+
+
 class Shingles:
     """Weighted word runs of texts, as hashes; word hashes are kept between texts."""
 
@@ -257,18 +261,6 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     )
 
 
-def _likely(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The texts of ``nodes`` and a few others, so that a join need not shuffle all texts: each node
-    sets a bit of a map that goes to all tasks, at most 2 ** MAP_BITS bits however many nodes there are."""
-    bits = min(MAP_BITS, max(15, (32 * nodes.count()).bit_length()))
-    spot = F.xxhash64("node").bitwiseAND((1 << bits) - 1)
-    part, bit = F.shiftright(spot, 15), spot.bitwiseAND((1 << 15) - 1)
-    maps = nodes.groupBy(part.alias("__part")).agg(F.bitmap_construct_agg(bit).alias("__map"))
-    byte = F.conv(F.hex(F.substring("__map", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("bigint")
-    is_set = F.call_function("shiftright", byte, bit.bitwiseAND(7).cast("int")).bitwiseAND(1) == 1
-    return texts.withColumn("__part", part).join(F.broadcast(maps), "__part").where(is_set).select("node", "text")
-
-
 PROFILE = ("home", "missing", "extra", "alone", "repeats", "size", "over", "under")
 
 

@@ -83,3 +83,21 @@ def test_texts_are_cut_at_letters(spark):
 def test_empty(spark):
     assert suffix_dedup.removals(empty(spark)).count() == 0
     assert suffix_dedup.without_repeats(empty(spark)).count() == 0
+
+
+def test_segments_that_stand_once_are_not_shuffled_to_be_joined(spark, monkeypatch):
+    counts, likely = [], suffix_dedup.likely
+
+    def counted(rows, wanted, keys):
+        out = likely(rows, wanted, keys)
+        counts.append((rows.count(), out.join(wanted, keys, "left_anti").count(), rows.join(wanted, keys, "left_semi").count(), out.count()))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "likely", counted)
+    rows = [(i, prose(400 + i, 250), "s") for i in range(60)] + [(100, prose(400, 250), "s"), (101, "a" + prose(401, 250), "s")]
+    found = suffix_dedup.removals(frame(spark, rows)).collect()
+    by_id = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found}
+    assert [by_id[i] for i, _, _ in rows] == expected([t for _, t, _ in rows])
+    assert len(counts) == 2
+    for everything, extra, wanted, kept in counts:
+        assert 0 < wanted == kept - extra and extra < (everything - wanted) / 10 and wanted < everything / 10
