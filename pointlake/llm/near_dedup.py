@@ -15,13 +15,15 @@ fewer registers once in a hundred million.
 
 Equal texts are one node from the start, so copies make no pairs. In a bucket of a band every
 node is held against one pivot, the node that has most company in its buckets: of a group of copies, the text they
-were made from or the nearest to it. That links most of the group at once, and says of every node how many
-of the pivot's runs it misses and how many it has of its own. Two nodes of a pivot share what neither
-misses, and own runs that are not theirs alone; where that cannot make J = 0.8, they need no comparison.
-Such counts are compared, not nodes, and there are few different ones. What can still be near, and is not linked
-by then, is held against the leader of the pivot's largest open component for LEADER_ROUNDS rounds. Then
-pairs are compared that can be near by their counts without own runs in common, or have such a run. So no link between different texts that share a band is lost for the classes, while a
-large group of near copies that differ each in their own way costs one comparison for each node.
+were made from or the nearest to it. That links most of the group at once, and says of every node which
+of the pivot's runs it misses and which it has of its own: its marks. Two nodes are the nearer the more marks they
+share, and their counts say how many they need in common for J = 0.8; two that need none are linked to the
+pivot, but for some with repeats, which meet without a mark. The others meet in the rarest of their marks only (see
+``marks_of_nodes``), and only if they are not of one component by then: in STAR_ROUNDS rounds every node of a mark is
+held against the most popular node of its largest component, then what is of other components
+is compared in pairs. So no link between different texts that share a band is lost for the classes, while a
+large group of near copies that differ each in their own way costs one comparison for each node, and
+nodes that are far from the pivot and from each other meet nowhere.
 
 Cases: a null text is empty; texts without words are equal to each other; equal texts have
 similarity 1; repeated rows are copies; null ids count as larger than all others for the
@@ -31,6 +33,8 @@ representative; an empty table gives an empty result; only id and text are read
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -45,7 +49,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
 MIN_AGREEING = 42  # of J = 0.8, 64 registers agree on average, give or take 3.6
-LEADER_ROUNDS = 2
+STAR_ROUNDS = 2
 CACHE_ENTRIES = 150_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,7 +204,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 COMPARED = (
-    "node binary, pivot binary, near boolean, missing int, extra int, repeats int, size int, over int, under int, own array<bigint>"
+    "node binary, pivot binary, near boolean, missing int, extra int, repeats int, size int, over int, under int, own array<bigint>, lost array<bigint>, "
+    "often array<bigint>, again array<bigint>"
 )
 
 
@@ -218,11 +223,17 @@ def differences(node: tuple[np.ndarray, np.ndarray], pivot: tuple[np.ndarray, np
     )
 
 
+def _lists(arrays: Sequence[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
+
+
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Nodes ``a`` held against their pivots ``b``, with what sets them apart: ``missing`` runs of the
     pivot, the ``own`` runs that it lacks and their number ``extra``, ``repeats`` of runs within
     the node, ``size``, the distinct runs of the pivot, and by how much runs of both stand more often
-    (``over``) or less often (``under``) in the node; own runs that stand twice count as over."""
+    (``over``) or less often (``under``) in the node; own runs that stand twice count as over. ``lost`` are the
+    missing runs, ``often`` the own ones that stand more than once, ``again`` how often beyond that."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         shingles, known = Shingles(), {}
@@ -235,14 +246,17 @@ def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         rows = []
         for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 1, 4, 5)), strict=True):
             node, pivot = shingles(x) if a != b else weighted(a, x), weighted(b, y)
-            rows.append((similarity(node, pivot) >= THRESHOLD - 1e-9, *differences(node, pivot)))
-        near, missing, extra, repeats, size, over, under, own = zip(*rows, strict=True) if rows else [()] * 8
-        ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
-        flat = np.concatenate(own) if own else np.zeros(0, np.int64)
+            lost = np.setdiff1d(pivot[0], node[0], assume_unique=True).view(np.int64)
+            some = (node[1] > 1) & np.isin(node[0], pivot[0], assume_unique=True, invert=True)
+            rows.append((
+                similarity(node, pivot) >= THRESHOLD - 1e-9, *differences(node, pivot), lost,
+                node[0][some].view(np.int64), node[1][some].astype(np.int64) - 1,
+            ))
+        near, missing, extra, repeats, size, over, under, own, lost, often, again = zip(*rows, strict=True) if rows else [()] * 11
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(near, pa.bool_()), *[pa.array(v, pa.int32()) for v in (missing, extra, repeats, size, over, under)],
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-            ["node", "pivot", "near", "missing", "extra", "repeats", "size", "over", "under", "own"],
+             *map(_lists, (own, lost, often, again))],
+            ["node", "pivot", "near", "missing", "extra", "repeats", "size", "over", "under", "own", "lost", "often", "again"],
         )
 
     return map_batches(_with_texts(pairs, texts), work, COMPARED)
@@ -265,135 +279,194 @@ PROFILE = ("home", "missing", "extra", "alone", "repeats", "size", "over", "unde
 
 
 def profiles(held: DataFrame, company: DataFrame) -> DataFrame:
-    """``pivot, node, company, <PROFILE>``: ``alone`` counts the own runs that no other node of the pivot has,
-    ``home`` is the most popular of the node's pivots."""
+    """``pivot, node, company, <PROFILE>, burden``: ``alone`` counts the own runs that no other node of the pivot has,
+    ``burden`` their repeats, ``home`` is the most popular of the node's pivots."""
     popular = held.select("node", "pivot").join(company.select(F.col("node").alias("pivot"), F.col("company").alias("n")), "pivot")
     homes = popular.groupBy("node").agg(F.max(F.struct("n", "pivot")).alias("top")).select("node", F.col("top.pivot").alias("home"))
-    tokens = held.select("pivot", F.xxhash64("node").alias("key"), F.explode("own").alias("run"))
+    key = F.xxhash64("node").alias("key")
+    tokens = held.select("pivot", key, F.explode("own").alias("run"), F.lit(0).cast("bigint").alias("again")).unionByName(
+        held.select("pivot", key, F.explode(F.arrays_zip("often", "again")).alias("of")).select("pivot", "key", F.col("of.often").alias("run"), "of.again")
+    )
     alone = (
-        tokens.groupBy("pivot", "run").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1")
-        .groupBy("pivot", "key").agg(F.count("*").cast("int").alias("alone"))
+        tokens.groupBy("pivot", "run")
+        .agg(F.count(F.when(F.col("again") == 0, 1)).alias("n"), F.min("key").alias("key"), F.sum("again").alias("again")).where("n = 1")
+        .groupBy("pivot", "key").agg(F.count("*").cast("int").alias("alone"), F.sum("again").alias("burden"))
     )
     return (
-        held.drop("own", "near").withColumn("key", F.xxhash64("node")).join(alone, ["pivot", "key"], "left").drop("key")
-        .withColumn("alone", F.coalesce("alone", F.lit(0)))
+        held.drop("own", "lost", "often", "again", "near").withColumn("key", F.xxhash64("node")).join(alone, ["pivot", "key"], "left").drop("key")
+        .withColumn("alone", F.coalesce("alone", F.lit(0))).withColumn("burden", F.coalesce("burden", F.lit(0)))
         .join(company, "node").join(homes, "node")
     )
 
 
-def can_be_near(one: str, other: str, sharing: bool = True) -> Column:
-    """Whether two nodes of a pivot can have J >= 0.8, by their profiles alone; without ``sharing``, if they
-    have no own run in common.
+def _of(side: str, name: str) -> Column:
+    return F.col(f"{side}.{name}" if side else name)
 
-    Of n runs of the pivot they miss a and b, c of them both; they have u and v own runs, w in common.
-    Then they share n - a - b + c + w runs of n + u + v - c - w in all, c is at most the smaller
-    of a and b, and w of the own runs that are not theirs alone. Repeated runs raise J by no more than
-    if all of them were shared beyond that.
-
-    With repeats: runs in common weigh M at most, all runs M and what is theirs alone, so J is
-    no more than M / (M + alone of both); M is what one has beside its own alone, and what the other
-    has more of it. Nodes of one home are held against each other there only: a
-    pivot that is not what they were made from says less of them.
-    """
-    f = lambda side, name: F.col(f"{side}.{name}" if sharing or name != "alone" else f"{side}.extra")
-    both_miss = F.least(f(one, "missing"), f(other, "missing"))
-    both_have = F.least(f(one, "extra") - f(one, "alone"), f(other, "extra") - f(other, "alone"))
-    weight = lambda side: f(side, "size") - f(side, "missing") + f(side, "extra") + f(side, "repeats") - f(side, "alone")
-    common = F.least(
-        weight(one) + f(other, "over") + f(one, "under"), weight(other) + f(one, "over") + f(other, "under")
-    )
-    heavy = common >= 4 * (f(one, "alone") + f(other, "alone"))
-    here = (f(one, "home") != f(other, "home")) | (f(one, "home") == F.col("pivot"))
-    return here & heavy & (
-        9 * (both_miss + both_have) + 5 * (f(one, "repeats") + f(other, "repeats"))
-        >= 5 * (f(one, "missing") + f(other, "missing")) + 4 * (f(one, "extra") + f(other, "extra")) - f(one, "size")
-    )
 
+def _own_part(side: str) -> Column:
+    """What a node adds to the marks that it needs in common with any other, times 9."""
+    return 5 * _of(side, "missing") + 4 * _of(side, "extra") - _of(side, "over")
 
-def least_shared(one: str, other: str) -> Column:
-    """How many own runs two nodes of a pivot need in common, 1 at least, for J >= 0.8."""
-    f = lambda side, name: F.col(f"{side}.{name}")
-    both = lambda name: f(one, name) + f(other, name)
-    by_number = (5 * both("missing") + 4 * both("extra") - f(one, "size") - 5 * both("repeats")) / 9 - F.least(
-        f(one, "missing"), f(other, "missing")
-    )
-    weight = lambda a, b: f(a, "size") - f(a, "missing") + f(a, "repeats") + f(b, "over") + f(a, "under")
-    by_weight = (4 * both("extra") - F.least(weight(one, other), weight(other, one))) / 9
-    return F.greatest(F.lit(1), F.ceil(by_number), F.ceil(by_weight))
 
+def _kept_repeats(side: str) -> Column:
+    """The repeats of the pivot's runs that a node has, as they stand in the pivot."""
+    return _of(side, "repeats") + _of(side, "under") - _of(side, "over")
 
-def _profile_pairs(known: DataFrame) -> DataFrame:
-    """``pivot, x, y``: profiles whose nodes can be near and are not all of one component. There are as many
-    profiles as ways to differ from the pivot by numbers, however many nodes there are."""
-    kinds = known.groupBy("pivot", F.struct(*PROFILE).alias("x")).agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    other = kinds.select("pivot", F.col("x").alias("y"), F.col("low").alias("low_y"), F.col("high").alias("high_y"))
-    joined = (F.col("low") == F.col("high")) & (F.col("low_y") == F.col("high_y")) & (F.col("low") == F.col("low_y"))
-    return kinds.join(other.hint("merge"), "pivot").where((F.col("x") <= F.col("y")) & ~joined & can_be_near("x", "y")).select("pivot", "x", "y")
 
+def _weight(side: str) -> Column:
+    """All runs of a node with their repeats."""
+    return _of(side, "size") - _of(side, "missing") + _of(side, "extra") + _of(side, "repeats")
 
-def _open_nodes(known: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``known`` of nodes that can be near one of another component, with ``x``, their profile."""
-    kinds = pairs.select("pivot", "x").unionByName(pairs.select("pivot", F.col("y").alias("x"))).distinct()
-    return known.select("pivot", "node", "label", "company", F.struct(*PROFILE).alias("x")).join(kinds, ["pivot", "x"])
+
+def _needed(one: str, other: str) -> Column:
+    """9 times the marks that two nodes of a pivot need in common for J >= 0.8, or less.
+
+    Of n runs of the pivot they miss a and b, c of them both; they have u and v own runs, w in common.
+    Then they share n - a - b + c + w runs, and a + b - 2c + u + v - 2w stand in one only. With the larger
+    weight of each run, J is no more than the weight of runs in common among all; so these weigh 4
+    times the others at least: 4 (a + b + u + v - 2c - 2w) <= n - a - b + c + w + q, where q are
+    repeats of runs in common: no more than those of the pivot's runs that either has, and what both have over.
+    By ``can_be_near`` the larger number of repeats of the two does as well.
+    """
+    kept = F.least(_kept_repeats(one), _kept_repeats(other))
+    over = _of(one, "over") + _of(other, "over")
+    q = F.least(kept + over, F.greatest(_of(one, "repeats"), _of(other, "repeats")))
+    return _own_part(one) + _own_part(other) + over - _of(one, "size") - q
+
+
+def can_be_near(one: str, other: str, burden: tuple[str, str] | None = None) -> Column:
+    """Whether two nodes of a pivot can have J >= 0.8, by their profiles alone: the marks that they can have
+    in common are the fewer of their missing runs, and of their own runs that are not theirs alone.
+
+    A term of J is 1 / (p / x_i + q / y_i) at most, with p + q = 1 for the runs in common and what is in one only
+    beside them; such means add up to no more than that of the sums. So J <= 1 / (1 + A / X + B / Y), where X
+    and Y are what runs in common weigh in each text and A and B what the others weigh there: 1 each at least, and the
+    ``burden`` of those that are theirs alone, where that is known.
+
+    Nodes of one home are held against each other there only: a pivot that is not what they were made from says
+    less of them."""
+    both_miss = F.least(_of(one, "missing"), _of(other, "missing"))
+    both_have = F.least(_of(one, "extra") - _of(one, "alone"), _of(other, "extra") - _of(other, "alone"))
+    here = (_of(one, "home") != _of(other, "home")) | (_of(one, "home") == F.col("pivot"))
+    a = _of(one, "extra") - both_have + _of(other, "missing") - both_miss
+    b = _of(other, "extra") - both_have + _of(one, "missing") - both_miss
+    if burden:
+        a, b = a + F.col(burden[0]), b + F.col(burden[1])
+    x, y = _weight(one) - a, _weight(other) - b
+    apart = (x > 0) & (y > 0) & (4 * (a * y + b * x) <= x * y)
+    return here & apart & (9 * (both_miss + both_have) >= _needed(one, other))
+
+
+def least_shared(one: str, other: str) -> Column:
+    """How many marks two nodes of a pivot need in common, 1 at least, for J >= 0.8."""
+    return F.greatest(F.lit(1), F.ceil(_needed(one, other) / 9))
 
 
 def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _leader_pairs(open_nodes: DataFrame) -> DataFrame:
-    """Open nodes of a pivot with the most popular node of its largest open component."""
-    leaders = (
-        open_nodes.groupBy("pivot", "label").agg(F.count("*").alias("n"), F.max(F.struct("company", "node", "x")).alias("first"))
-        .groupBy("pivot").agg(F.max(F.struct("n", "label", "first")).alias("leader"))
-        .select("pivot", F.col("leader.label").alias("led"), F.col("leader.first.node").alias("leader"), F.col("leader.first.x").alias("y"))
-    )
-    return open_nodes.join(leaders, "pivot").where((F.col("label") != F.col("led")) & can_be_near("x", "y")).select(*_ordered("node", "leader")).distinct()
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _last_pairs(open_nodes: DataFrame, pairs: DataFrame, held: DataFrame) -> DataFrame:
-    """All pairs of nodes of two components that can be near: by what they share of the pivot alone, or with
-    own runs in common, through one of these."""
-    other = lambda more: open_nodes.select(
-        "pivot", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y"), *more
+def _open_nodes(profiled: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes that can be near one of another component, with ``x``, their profile, ``need``, the marks that
+    they need in common with any of those, and ``bare``, whether they need none with some. That holds
+    for less when components are joined."""
+    known = _labelled(profiled, labels)
+    homes = labels.select(F.col("node").alias("pivot"), F.col("label").alias("led"))
+    rows = (
+        known.join(homes, "pivot", "left").withColumn("led", F.coalesce("led", "pivot")).withColumn("part", _own_part(""))
+        .withColumn("beyond", F.col("part") - F.col("size") - _kept_repeats(""))
     )
-    apart = pairs.where(can_be_near("x", "y", sharing=False))
-    alike = (
-        apart.join(open_nodes, ["pivot", "x"]).join(other([]).hint("merge"), ["pivot", "y"]).where("label != label_y")
+    # A node of the pivot's component asks for those outside of it; any other may ask for all.
+    bounds = (
+        rows.groupBy("pivot").agg(
+            F.min("part").alias("least"), F.min(F.when(F.col("label") != F.col("led"), F.col("part"))).alias("outside"),
+            F.max("over").alias("most_over"), F.min("label").alias("low"), F.max("label").alias("high"),
+        )
+        .where("low != high").select("pivot", "least", "outside", "most_over")
     )
-    # A node that needs m runs in common with any other meets each by one of all but m - 1 of its
-    # shared runs; the rarest are taken.
-    needs = pairs.select("pivot", "x", "y", least_shared("x", "y").alias("need"))
-    needs = (
-        needs.select("pivot", "x", "need").unionByName(needs.select("pivot", F.col("y").alias("x"), "need"))
-        .groupBy("pivot", "x").agg(F.min("need").alias("need"))
+    # With c marks missed by both and w own ones in common, the other has c and w at least of its own.
+    possible = F.expr("beyond <= 4 * missing + 5 * (extra - alone) + most_over") & (5 * F.expr("alone + burden") <= _weight(""))
+    by_least = F.col("beyond") + F.when(F.col("label") == F.col("led"), F.col("outside")).otherwise(F.col("least"))
+    by_marks = 9 * (F.col("beyond") - F.col("most_over")) / 5
+    return (
+        rows.join(bounds, "pivot").where(possible)
+        .withColumn("need", F.greatest(F.lit(1), F.ceil(F.greatest(by_least, by_marks) / 9)))
+        .select("pivot", "node", "company", F.struct(*PROFILE).alias("x"), "burden", "need", (by_least <= 0).alias("bare"))
     )
-    runs = held.select("pivot", "node", F.explode("own").alias("run")).join(
-        open_nodes.join(needs, ["pivot", "x"]), ["pivot", "node"]
+
+
+def marks_of_nodes(open_nodes: DataFrame, held: DataFrame) -> DataFrame:
+    """``pivot, run, node, company, x, burden, left``: the marks in which open nodes meet.
+
+    Marks that no other node has can not be in common. A node that needs m marks in common with any other meets each by
+    one of all but m - 1 of the rest; the rarest are taken, and ``left`` counts those from this one on. Nodes that need
+    none meet in a run of their own, with none left.
+    """
+    runs = held.select("pivot", "node", F.explode(F.concat("own", "lost")).alias("run")).join(
+        open_nodes.select("pivot", "node", "need"), ["pivot", "node"]
     )
     shared = runs.groupBy("pivot", "run").agg(F.count("*").alias("n")).where("n > 1")
-    runs = runs.join(shared, ["pivot", "run"])
-    # A node has as many rows here as its text has runs.
+    # A node has as many rows here as its text and the pivot's have runs.
     of_node = Window.partitionBy("pivot", "node")
     runs = (
-        runs.withColumn("place", F.row_number().over(of_node.orderBy("n", "run"))).withColumn("all", F.count("*").over(of_node))
-        .where("place <= all - need + 1").select("pivot", "run", "node", "label", "x", (F.col("all") - F.col("place") + 1).alias("left"))
+        runs.join(shared, ["pivot", "run"])
+        .withColumn("place", F.row_number().over(of_node.orderBy("n", "run"))).withColumn("all", F.count("*").over(of_node))
+        .where("place <= all - need + 1").select("pivot", "node", "run", (F.col("all") - F.col("place") + 1).alias("left"))
     )
-    sharing = _sharing_pairs(written(runs, "near-runs"))
-    return alike.select(*_ordered("node", "node_y")).unionByName(sharing.select(*_ordered("node", "node_y"))).distinct()
+    bare = open_nodes.where("bare").select("pivot", "node", F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("left"))
+    return runs.unionByName(bare).join(open_nodes.select("pivot", "node", "company", "x", "burden"), ["pivot", "node"])
 
 
-def _sharing_pairs(runs: DataFrame) -> DataFrame:
-    """Nodes of two components that meet in a run. Their first common run, in the order that is one for all
-    nodes of a pivot, has all others behind it; so they meet only where both have as many runs ``left``, with
-    this one, as they need in common."""
-    again = runs.select(
-        "pivot", "run", F.col("x").alias("y"), F.col("node").alias("node_y"), F.col("label").alias("label_y"),
-        F.col("left").alias("left_y"),
+def _largest(runs: DataFrame) -> DataFrame:
+    """``pivot, run, led`` of the runs in which components meet, ``led`` being the one with most nodes there."""
+    return (
+        runs.groupBy("pivot", "run", "label").agg(F.count("*").alias("n"))
+        .groupBy("pivot", "run").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
+        .where("labels > 1").select("pivot", "run", F.col("top.label").alias("led"))
     )
-    return runs.join(again.hint("merge"), ["pivot", "run"]).where(
-        (F.col("node") < F.col("node_y")) & (F.col("label") != F.col("label_y")) & can_be_near("x", "y")
-        & (F.least("left", "left_y") >= least_shared("x", "y"))
+
+
+def _meet(columns: Sequence[str]) -> Column:
+    """Whether two nodes of a mark can be near, as far as their profiles and places tell.
+
+    The first common mark of two nodes, in the order that is one for all nodes of a pivot, has all others behind
+    it; so they meet only where both have as many marks ``left``, with this one, as they need in common.
+    Those that need none meet where none are left."""
+    needed = _needed("x", "y")
+    burden = ("burden", "burden_y") if "burden" in columns else None
+    return (
+        can_be_near("x", "y", burden) & (9 * F.least("left", "left_y") >= needed)
+        & ((F.greatest("left", "left_y") == 0) == (needed <= 0))
+    )
+
+
+def _as_other(runs: DataFrame) -> DataFrame:
+    """The rows with other names of all columns but those of the mark, ``y`` being the profile."""
+    names = {"pivot": "pivot", "run": "run", "x": "y"}
+    return runs.select(*[F.col(c).alias(names.get(c, f"{c}_y")) for c in runs.columns])
+
+
+def _star_pairs(runs: DataFrame) -> DataFrame:
+    """Nodes of a mark with the most popular one of its largest component."""
+    led = runs.join(_largest(runs), ["pivot", "run"])
+    first = [c for c in runs.columns if c not in ("pivot", "run", "company")]
+    leaders = (
+        led.where("label = led").groupBy("pivot", "run").agg(F.max(F.struct("company", *first)).alias("top"))
+        .select("pivot", "run", *[f"top.{c}" for c in first])
+    )
+    return led.where("label != led").join(_as_other(leaders), ["pivot", "run"]).where(_meet(runs.columns))
+
+
+def _sharing_pairs(runs: DataFrame) -> DataFrame:
+    """Nodes of two components that meet in a mark: at least one is not of the mark's largest component."""
+    led = runs.join(_largest(runs), ["pivot", "run"])
+    once = (F.col("label_y") == F.col("led")) | (F.col("node") < F.col("node_y"))
+    return led.where("label != led").join(_as_other(led.drop("led")).hint("merge"), ["pivot", "run"]).where(
+        once & (F.col("label") != F.col("label_y")) & _meet(runs.columns)
     )
 
 
@@ -423,14 +496,12 @@ def node_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     labels = connected(held.where("near").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
     profiled = written(profiles(held, company), "near-profiles")
     bare = nodes.drop("bands", "signature")
-    for turn in range(LEADER_ROUNDS + 1):
-        known = profiled.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        kinds = written(_profile_pairs(known), "near-kinds")
-        if kinds.isEmpty():
-            break
-        open_nodes = written(_open_nodes(known, kinds), "near-open")
-        pairs = _leader_pairs(open_nodes) if turn < LEADER_ROUNDS else _last_pairs(open_nodes, kinds, held)
-        more = written(confirmed(pairs, texts), "near-links")
+    open_nodes = written(_open_nodes(profiled, labels), "near-open")
+    marks = written(marks_of_nodes(open_nodes, held), "near-marks")
+    for turn in range(STAR_ROUNDS + 1):
+        runs = written(_labelled(marks, labels), "near-runs")
+        pairs = _star_pairs(runs) if turn < STAR_ROUNDS else _sharing_pairs(runs)
+        more = written(confirmed(pairs.select(*_ordered("node", "node_y")).distinct(), texts), "near-links")
         if not more.isEmpty():
             # The components so far are stars of links themselves.
             stars = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))

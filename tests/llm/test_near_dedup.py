@@ -199,3 +199,66 @@ def test_nodes_meet_where_enough_runs_are_left(spark):
     assert runs.select(near_dedup.least_shared("x", "x").alias("need")).distinct().collect() == [(7,)]
     found = near_dedup._sharing_pairs(runs).select("node", "node_y").collect()
     assert {tuple(map(bytes, r)) for r in found} == {(bytes([30]), bytes([31]))}
+
+
+def strangers():
+    """Copies of a base with edits of many kinds, most of them too far from it and from each other."""
+    rng, base = random.Random(13), prose(70, 120).split()
+    rows = [(0, " ".join(base), "s")]
+    for k in range(300):
+        words = list(base)
+        for e in range(rng.randrange(2, 7)):
+            at, how = rng.randrange(len(words) - 1), rng.random()
+            if how < 0.3:
+                del words[at]
+            elif how < 0.6:
+                words[at : at + 2] = words[at : at + 2][::-1]
+            else:
+                words[at] = rng.choice(["the", "of", "and"]) if how < 0.8 else f"own{k}x{e}"
+        rows.append((1 + k, " ".join(words), "s"))
+    return rows
+
+
+def lines():
+    """Texts of one line over and over, with other lines that stand often in each alone."""
+    line = prose(80, 3)
+    return [(k, "\n".join([line] * (60 + k % 7) + [f"other{k} line{k}"] * (4 + k % 9)), "s") for k in range(60)]
+
+
+@pytest.mark.parametrize("rows", [strangers(), lines()], ids=["strangers", "lines"])
+def test_texts_that_are_alike_but_not_near_meet_seldom(spark, monkeypatch, rows):
+    """No step holds a row for each pair of nodes or of their profiles."""
+    sizes, written = {}, near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, name: sizes.setdefault(name, []).append(df.count()) or written(df, name))
+    confirmed = near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda df, texts: sizes.setdefault("pairs", []).append(df.count()) or confirmed(df, texts))
+    found = near_dedup.classes(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.class_size) for r in found) == brute_classes(rows)
+    assert max(sizes.get("near-kinds", [0]) + sizes.get("pairs", [0])) <= 4 * len(rows), sizes
+
+
+def test_weight_of_lone_runs_rules_out_no_near_pair(spark):
+    """With what lone runs weigh beyond one each: J >= 0.8 is never ruled out."""
+    rng, rows = random.Random(15), []
+    for _ in range(600):
+        base = {k: rng.choice([1, 1, 30]) for k in range(rng.randrange(6, 25))}
+        nodes = []
+        for side in range(2):
+            node = {k: max(1, n + rng.choice([0, 0, -2, 5])) for k, n in base.items() if rng.random() < 0.95}
+            node.update({1000 + 100 * side + i: rng.choice([1, 3, 9]) for i in range(rng.randrange(0, 4))})
+            nodes.append(node)
+        pivot = (np.array(sorted(base), np.uint64), np.array([base[k] for k in sorted(base)], float))
+        pair = [(np.array(sorted(v), np.uint64), np.array([v[k] for k in sorted(v)], float)) for v in nodes]
+        names = ("missing", "extra", "repeats", "size", "over", "under")
+        profile = [dict(zip(names, near_dedup.differences(v, pivot)[:-1], strict=True)) | {"home": b"p"} for v in pair]
+        lone = [[n for k, n in v.items() if k >= 1000] for v in nodes]
+        for p, own in zip(profile, lone, strict=True):
+            p["alone"] = len(own)
+        rows.append((
+            b"p", *[tuple(p[k] for k in near_dedup.PROFILE) for p in profile], *[sum(own) - len(own) for own in lone],
+            near_dedup.similarity(*pair),
+        ))
+    df = spark.createDataFrame(rows, f"pivot binary, x struct<{KINDS}>, y struct<{KINDS}>, bx int, by int, j double")
+    found = df.select(near_dedup.can_be_near("x", "y", ("bx", "by")).alias("can"), near_dedup.can_be_near("x", "y").alias("less"), "j").collect()
+    assert all(r.can or r.j < near_dedup.THRESHOLD for r in found)
+    assert sum(r.less and not r.can for r in found) > 5
