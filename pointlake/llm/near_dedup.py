@@ -23,7 +23,7 @@ pivot, but for some with repeats, which meet without a mark. The others meet in
 held against the most popular node of its largest component, then what is of other components
 is compared in pairs. So no link between different texts that share a band is lost for the classes, while a
 large group of near copies that differ each in their own way costs one comparison for each node, and
-nodes that are far from the pivot and from each other meet nowhere.
+nodes that are far from the pivot and from each other meet only where they share a rare mark.
 
 Cases: a null text is empty; texts without words are equal to each other; equal texts have
 similarity 1; repeated rows are copies; null ids count as larger than all others for the
